@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,3 +24,9 @@ def checkpoint_ready(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="keepwell-checkpoint-")
     sc.setCheckpointDir(folder)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder."""
+    checkpoint_ready(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
