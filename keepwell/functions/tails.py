@@ -4,12 +4,9 @@ Spark has no built-in error function, so these run as Arrow UDFs. They are
 only ever applied to already-aggregated rows (one per test or per term).
 """
 
-from __future__ import annotations
-
 import math
 from statistics import NormalDist
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
@@ -80,51 +77,42 @@ def chi2_tail_one_dof(x: float) -> float:
     return math.erfc(math.sqrt(max(x, 0.0) / 2.0))
 
 
-def _each(fn, *series: pd.Series) -> pd.Series:
-    return pd.Series([fn(*map(float, row)) if all(v is not None and v == v for v in row) else np.nan
-                      for row in zip(*series)], dtype="float64")
-
-
-@F.pandas_udf("double")
-def _norm_cdf(x: pd.Series) -> pd.Series:
-    return _each(normal_cdf, x)
-
-
-@F.pandas_udf("double")
-def _norm_two_sided(z: pd.Series) -> pd.Series:
-    return _each(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), z)
-
-
-@F.pandas_udf("double")
-def _t_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return _each(t_two_sided, t, dof)
-
+def _column(fn, *columns: Column) -> Column:
+    """``fn`` over whole rows of complete inputs; anything else is NULL."""
+    def over(*series: pd.Series) -> pd.Series:
+        return pd.Series([fn(*map(float, row)) if not any(pd.isna(v) for v in row) else None
+                          for row in zip(*series)], dtype="float64")
 
-@F.pandas_udf("double")
-def _t_quantile(q: pd.Series, dof: pd.Series) -> pd.Series:
-    return _each(t_quantile, q, dof)
+    arity = len(columns)
+    if arity == 1:
+        def batch(a: pd.Series) -> pd.Series:
+            return over(a)
+    else:
+        def batch(a: pd.Series, b: pd.Series) -> pd.Series:
+            return over(a, b)
+    value = F.pandas_udf(batch, "double")(*columns)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
-@F.pandas_udf("double")
-def _chi2_one(x: pd.Series) -> pd.Series:
-    return _each(chi2_tail_one_dof, x)
+def normal_two_sided(z: float) -> float:
+    return math.erfc(abs(z) / math.sqrt(2.0))
 
 
 def p_normal(z: Column) -> Column:
-    return F.nanvl(_norm_two_sided(z), F.lit(None).cast("double"))
+    return _column(normal_two_sided, z)
 
 
 def cdf_normal(x: Column) -> Column:
-    return F.nanvl(_norm_cdf(x), F.lit(None).cast("double"))
+    return _column(normal_cdf, x)
 
 
 def p_student(t: Column, dof: Column) -> Column:
-    return F.nanvl(_t_two_sided(t, dof), F.lit(None).cast("double"))
+    return _column(t_two_sided, t, dof)
 
 
 def q_student(q: float, dof: Column) -> Column:
-    return F.nanvl(_t_quantile(F.lit(q), dof), F.lit(None).cast("double"))
+    return _column(t_quantile, F.lit(q), dof)
 
 
 def p_chi2_one(x: Column) -> Column:
-    return F.nanvl(_chi2_one(x), F.lit(None).cast("double"))
+    return _column(chi2_tail_one_dof, x)

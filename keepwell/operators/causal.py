@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from keepwell.functions.features import addon_count, ensure_engineered, is_yes
 from keepwell.functions.scoring import clamp, linear_predictor, sigmoid
@@ -270,8 +270,7 @@ def poisson_replicates(cells: DataFrame, key: Sequence[str], draws: int, seed, n
     """
     tag = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))), 1, 15), 16, 10)
     tagged = cells.withColumn("_tag", tag.cast("long"))
-    schema = tagged.drop("_tag").schema.add("replicate", "int")
-    schema[n].nullable = True
+    schema = T.StructType([*cells.schema.fields, T.StructField("replicate", T.IntegerType())])
 
     def redraw(batches):
         for pdf in batches:

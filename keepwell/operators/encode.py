@@ -84,7 +84,7 @@ def linear_stages(nominal: Sequence[str], ordinal: Sequence[str], numeric: Seque
     index = StringIndexer(inputCols=list(nominal), outputCols=[f"{c}_ix" for c in nominal],
                           stringOrderType="alphabetAsc", handleInvalid="keep")
     hot = OneHotEncoder(inputCols=[f"{c}_ix" for c in nominal],
-                        outputCols=[f"{c}_hot" for c in nominal], dropLast=True, handleInvalid="keep")
+                        outputCols=[f"{c}_hot" for c in nominal], dropLast=True)
     gather = VectorAssembler(inputCols=[*[f"{c}_hot" for c in nominal], *[f"{c}_code" for c in ordinal], *numeric],
                              outputCol=output)
     return [index, hot, gather]

@@ -67,7 +67,9 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, str | Column],
         probes = {name: _probes(qs, sharper) for name in columns}
         counts, found = _sketch(df, columns, probes, sharper)
 
-    spans = {name: _merge(zip(found[name][::2], found[name][1::2]))
+    # Below `sketch` rows one rank is finer than the slack: keep every value.
+    spans = {name: _merge(zip(found[name][::2], found[name][1::2])) if counts[name] > sketch
+             else [[float("-inf"), float("inf")]]
              for name in columns if counts[name]}
     if not spans:
         return {name: None for name in columns}

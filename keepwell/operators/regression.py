@@ -72,11 +72,12 @@ class Fit:
 
     def rows(self) -> list[tuple]:
         se = self.std_error
-        crit = tails.t_quantile(1 - ALPHA / 2, self.dof)
+        dof = float(self.dof)
+        crit = tails.t_quantile(1 - ALPHA / 2, dof)
         out = []
         for name, b, s in zip(self.names, self.beta, se):
             t = float(b / s) if s > 0 else 0.0
-            p = tails.t_two_sided(t, self.dof)
+            p = tails.t_two_sided(t, dof)
             out.append((name, float(b), float(s), t, p, float(b - crit * s), float(b + crit * s), p < ALPHA))
         return out
 

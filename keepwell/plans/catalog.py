@@ -129,7 +129,7 @@ def canonical_export(spark, d):
     lower = lower.withColumnsRenamed({c: c.lower() for c in lower.columns})
     rounded = {"TotalCharges", "avg_monthly_spend", "charges_ratio"}
     out = canonical(lower)
-    return out.select(*[r(c, 4) if c in rounded else c for c in out.columns])
+    return out.select(*[r(c) if c in rounded else c for c in out.columns])
 
 
 @query
@@ -636,12 +636,12 @@ def dim_segment(spark, d):
 
 @query
 def kmeans_sweep(spark, d):
-    return cluster.sweep_k(labelled_points(spark, d))
+    return cluster.sweep_k(labelled_points(spark, d).drop("segment"))
 
 
 @query
 def kmeans_choice(spark, d):
-    return metrics.choose_k(cluster.sweep_k(labelled_points(spark, d), range(2, 6)))
+    return metrics.choose_k(cluster.sweep_k(labelled_points(spark, d).drop("segment"), range(2, 6)))
 
 
 def kmeans_labels(spark, d, k=3):

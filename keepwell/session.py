@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -30,3 +32,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     checkpoint_ready(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_keepwell_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="keepwell-package-")) / "keepwell"
+    sc.addPyFile(shutil.make_archive(str(base), "zip", root.parent, root.name))
+    sc._keepwell_shipped = True

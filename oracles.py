@@ -348,8 +348,8 @@ _add("median_total_charges", _RAW + " SELECT count(TotalCharges) AS n, count(*)
      "round(median(TotalCharges), 4) AS median_total_charges FROM typed")
 _add("engineered_features", _FEAT + " SELECT customerID, num_addon_services, round(avg_monthly_spend, 6) AS avg_monthly_spend, "
      "round(charges_ratio, 6) AS charges_ratio, tenure_bucket, spend_bucket FROM feat")
-_add("canonical_export", _FEAT + " SELECT * REPLACE (round(TotalCharges, 4) AS TotalCharges, round(avg_monthly_spend, 4) AS avg_monthly_spend, "
-     "round(charges_ratio, 4) AS charges_ratio) FROM feat")
+_add("canonical_export", _FEAT + " SELECT * REPLACE (round(TotalCharges, 6) AS TotalCharges, round(avg_monthly_spend, 6) AS avg_monthly_spend, "
+     "round(charges_ratio, 6) AS charges_ratio) FROM feat")
 _add("unknown_targets", _RAW + " SELECT count(*) AS rows, count(*) FILTER (Churn NOT IN ('Yes', 'No') OR Churn IS NULL) AS unknown_target FROM raw")
 _add("contract_split", _RAW + """ SELECT TotalCharges IS NOT NULL AS valid,
   CASE WHEN TotalCharges IS NULL THEN 'missing TotalCharges' ELSE '' END AS problem, count(*) AS records FROM typed GROUP BY 1, 2""")
