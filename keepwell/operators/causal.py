@@ -24,6 +24,7 @@ from keepwell.operators.matching import sweep
 from keepwell.operators.ranking import hash_rank
 from keepwell.operators.regression import Fit, ols_hc1, tsls
 from keepwell.schema import ADDON_SERVICES, TARGET
+from keepwell.session import checkpoint_ready, for_iteration
 
 # --- fixed values ------------------------------------------------------------
 TREATMENT, TREATED_LEVEL = "TechSupport", "Yes"
@@ -111,7 +112,7 @@ def fit_logistic(df: DataFrame, terms: Mapping[str, Column], label: Column, weig
     names = list(terms)
     rows = df.select(label.cast("double").alias("_y"), count.cast("double").alias("_n"), use.cast("double").alias("_w"),
                      *[terms[c].cast("double").alias(f"x{i}") for i, c in enumerate(names)]).filter("_w > 0")
-    centre = rows.agg(F.sum("_n").alias("n"), F.sum("_w").alias("w"), *[
+    centre = rows.agg(F.count("*").alias("rows"), F.sum("_n").alias("n"), F.sum("_w").alias("w"), *[
         F.sum(F.col("_n") * F.col(f"x{i}")).alias(f"s{i}") for i in range(len(names))]).first()
     means = [centre[f"s{i}"] / centre["n"] for i in range(len(names))]
     spread = rows.agg(*[F.sum(F.col("_n") * (F.col(f"x{i}") - m) * (F.col(f"x{i}") - m)).alias(f"v{i}")
@@ -120,9 +121,11 @@ def fit_logistic(df: DataFrame, terms: Mapping[str, Column], label: Column, weig
     live = [i for i, s in enumerate(sds) if s > 1e-12]
     scaled = rows.select("_y", "_w", *[((F.col(f"x{i}") - means[i]) / sds[i]).alias(f"z{i}") for i in live])
     ready = VectorAssembler(inputCols=[f"z{i}" for i in live], outputCol="_f").transform(scaled).select("_y", "_w", "_f")
+    ready = for_iteration(ready, centre["rows"])
     model = LogisticRegression(
         featuresCol="_f", labelCol="_y", weightCol="_w", standardization=False, tol=tol, maxIter=max_iter,
         regParam=l2 / centre["w"], elasticNetParam=0.0).fit(ready)
+    ready.unpersist()
     beta = model.coefficients.toArray()
     weights = {names[i]: float(b / sds[i]) for i, b in zip(live, beta)}
     intercept = float(model.intercept) - sum(float(b) * means[i] / sds[i] for i, b in zip(live, beta))
@@ -353,7 +356,6 @@ def bootstrap_with(estimator, cells: DataFrame, key: Sequence[str], draws: int,
     The redrawn cells are checkpointed once; the callable sees the cells of a
     single replicate with their new counts.
     """
-    from keepwell.session import checkpoint_ready
     checkpoint_ready(cells.sparkSession)
     replicates = poisson_replicates(cells, key, draws, seed).checkpoint()
     values = []

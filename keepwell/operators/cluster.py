@@ -13,6 +13,7 @@ from keepwell.operators import metrics
 from keepwell.operators.encode import scaled, scaling
 from keepwell.operators.ranking import hash_rank
 from keepwell.operators.segments import CLUSTER_INPUTS
+from keepwell.session import for_iteration
 
 # --- fixed values ------------------------------------------------------------
 K_RANGE = range(2, 11)
@@ -20,6 +21,7 @@ MIN_SHARE = 0.03
 RESTARTS, RESAMPLE_RESTARTS = 20, 10
 RESAMPLES, RESAMPLE_SHARE = 25, 0.8
 STABLE_ARI = 0.5
+SHIFT = 100.0
 # --- end of fixed values ----------------------------------------------------
 
 
@@ -40,7 +42,7 @@ def fit_kmeans(points: DataFrame, k: int, restarts: int = 1, seed: int = 42):
 
 def sweep_k(points: DataFrame, ks=K_RANGE, restarts: int = 1, seed: int = 42, inputs=CLUSTER_INPUTS) -> DataFrame:
     """Quality of the best labelling per k; the points are cached across fits."""
-    points = points.persist()
+    points = for_iteration(points)
     frames = []
     for k in ks:
         labelled = fit_kmeans(points, k, restarts, seed).transform(points)
@@ -52,9 +54,15 @@ def sweep_k(points: DataFrame, ks=K_RANGE, restarts: int = 1, seed: int = 42, in
     ).withColumn("eligible", F.col("smallest_share") >= MIN_SHARE)
 
 
-def second_opinion(points: DataFrame, labels: DataFrame, k: int, key: str, seed: int = 42) -> DataFrame:
+def second_opinion(points: DataFrame, labels: DataFrame, k: int, key: str, seed: int = 42,
+                   inputs=CLUSTER_INPUTS) -> DataFrame:
     """Agreement with a divisive clustering, which optimises another objective."""
-    other = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="other").fit(points).transform(points)
+    # A split starts from the centre moved by a share of its norm, and the
+    # centre of standardised data is zero: shift the points, distances stay.
+    shifted = VectorAssembler(inputCols=[f"_s{i}" for i in range(len(inputs))], outputCol="shifted").transform(
+        points.select(key, *[(F.col(c) + SHIFT).alias(f"_s{i}") for i, c in enumerate(inputs)])).select(key, "shifted")
+    shifted = for_iteration(shifted)
+    other = BisectingKMeans(k=k, seed=seed, featuresCol="shifted", predictionCol="other").fit(shifted).transform(shifted)
     return metrics.adjusted_rand(labels.join(other.select(key, "other"), key), "segment", "other")
 
 
@@ -62,7 +70,7 @@ def resample_agreement(points: DataFrame, labels: DataFrame, k: int, key: str, r
                        restarts: int = RESAMPLE_RESTARTS, seed: int = 42) -> DataFrame:
     """Agreement of refits on exact 80% samples with the full labelling."""
     rows = []
-    joined = points.join(labels.select(key, "segment"), key).persist()
+    joined = for_iteration(points.join(labels.select(key, "segment"), key))
     for r in range(runs):
         ranked = hash_rank(joined, key, f"{seed}:{r}")
         sample = ranked.filter(F.col("hash_rank") <= F.floor(RESAMPLE_SHARE * F.col("stratum_size"))).drop("hash_rank", "stratum_size")

@@ -21,7 +21,8 @@ OFFER_COST = 50.0
 def assign_arms(scored: DataFrame, threshold: float, seed, key: str = "customerID",
                 strata: int = STRATA, score: str = "churn_probability") -> DataFrame:
     """Half of every risk stratum (rounded down) is treated, in seeded order."""
-    targeted = target_population(scored, threshold, score)
+    # Read five times below (edges, slot counts, rows); kept once, spilling to disk.
+    targeted = target_population(scored.filter(F.col(score) >= threshold).persist(), threshold, score)
     edges = quantile_edges(targeted, score, strata)
     stratified = targeted.withColumn("risk_stratum", bin_index(F.col(score), edges))
     ranked = hash_rank(stratified, key, seed, ["risk_stratum"])
@@ -81,7 +82,7 @@ def two_proportion_z(arms: DataFrame, p_values: bool = True) -> DataFrame:
     })
     diff, se = F.col("absolute_difference"), F.col("se_unpooled")
     out = out.withColumns({
-        "z_statistic": F.coalesce(F.try_divide(diff, F.col("se_pooled")), F.lit(0.0)),
+        "z_statistic": F.when(F.col("se_pooled") == 0, F.lit(0.0)).otherwise(F.try_divide(diff, F.col("se_pooled"))),
         "ci_low": diff - crit * se, "ci_high": diff + crit * se})
     if p_values:
         out = out.withColumn("p_value", tails.p_normal(F.col("z_statistic")))
@@ -166,7 +167,7 @@ def holm(p_values: DataFrame, name: str = "metric", p: str = "p_value", by=(),
 
 def same_arm_halves(outcomes: DataFrame, seed, key: str = "customerID") -> DataFrame:
     """A/A control: the control arm cut in two by seeded order."""
-    control = outcomes.filter(F.col("group") == "control")
+    control = outcomes.filter(F.col("group") == "control").persist()
     ranked = hash_rank(control, key, seed)
     return ranked.withColumn("group", F.when(
         F.col("hash_rank") <= F.floor(F.col("stratum_size") / 2), "treatment").otherwise("control")

@@ -19,6 +19,7 @@ from keepwell.operators.encode import (
     balanced_weight, category_code, contract_code, linear_stages, pinned_levels,
 )
 from keepwell.schema import TARGET, active_groups, align
+from keepwell.session import for_iteration
 
 LINEAR, TREE_CODES = "linear", "tree_codes"
 
@@ -95,7 +96,7 @@ def fit_linear(train: DataFrame) -> Scorer:
                                standardization=False, maxIter=200)
     stages = [*linear_stages(shape.nominal, shape.ordinal, shape.numeric, "raw_features"), scaler]
     prepared = Pipeline(stages=stages).fit(rows)
-    fitted = model.fit(prepared.transform(rows))
+    fitted = model.fit(for_iteration(prepared.transform(rows).select("features", TARGET, "_w")))
     return Scorer("logistic_regression", shape, PipelineModel([*prepared.stages, fitted]))
 
 
@@ -121,7 +122,7 @@ def fit_trees(train: DataFrame, validation: DataFrame, name: str, levels: dict |
     gather = VectorAssembler(inputCols=shape.code_columns, outputCol="features", handleInvalid="keep")
     options = {"stepSize": LEARNING_RATE, "seed": 42, "maxBins": 64, "validationTol": 1e-4, **params}
     model = GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol="_w", validationIndicatorCol="_v", **options)
-    fitted = model.fit(gather.transform(rows))
+    fitted = model.fit(for_iteration(gather.transform(rows).select("features", TARGET, "_w", "_v")))
     return Scorer(name, shape, PipelineModel([gather, fitted]))
 
 

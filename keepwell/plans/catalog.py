@@ -23,7 +23,7 @@ from keepwell.schema import (
     ADDON_SERVICES, CONTRACT_LEVELS, ENGINEERED, ENGINEERED_NUMERIC, ID, NOMINAL, NUMERIC,
     ORDINAL, RAW_COLUMNS, TARGET, drop_non_features, unknown_targets as count_unknown,
 )
-from keepwell.session import scratch_folder
+from keepwell.session import for_iteration, scratch_folder
 from keepwell.sources import store
 from keepwell.sources.customers import customer_frame, table
 from keepwell.sources.panels import activity_panel
@@ -645,7 +645,7 @@ def kmeans_choice(spark, d):
 
 
 def kmeans_labels(spark, d, k=3):
-    points = labelled_points(spark, d).drop("segment")
+    points = for_iteration(labelled_points(spark, d).drop("segment"))
     return points, cluster.fit_kmeans(points, k, restarts=2).transform(points)
 
 
@@ -750,7 +750,7 @@ def wald_odds(spark, d):
 
 @query
 def logistic_coefficients(spark, d):
-    frame = features(spark, d).persist()
+    frame = for_iteration(features(spark, d))
     terms = encode.reference_design(frame, NOMINAL, ORDINAL, NUMERIC + ENGINEERED_NUMERIC)
     return interpret.wald_table(frame, terms, TARGET)
 
@@ -915,7 +915,7 @@ def mediator_sensitivity(spark, d):
 # --- models ------------------------------------------------------------------
 
 def splits(spark, d):
-    frame = encode.stratified_split(features(spark, d), ID, SEED).persist()
+    frame = for_iteration(encode.stratified_split(features(spark, d), ID, SEED))
     return [frame.filter(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
 
 

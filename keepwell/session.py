@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_ready(spark: SparkSession) -> None:
@@ -43,3 +43,16 @@ def ship_package(spark: SparkSession) -> None:
     base = Path(tempfile.mkdtemp(prefix="keepwell-package-")) / "keepwell"
     sc.addPyFile(shutil.make_archive(str(base), "zip", root.parent, root.name))
     sc._keepwell_shipped = True
+
+
+ROWS_PER_TASK = 100_000
+
+
+def for_iteration(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Input of an iterative fit: partitions sized to the rows, kept in memory.
+
+    A fit runs one job per iteration, so many near-empty tasks cost more than
+    the arithmetic. Partitions that do not fit in memory spill to disk.
+    """
+    rows = df.count() if rows is None else rows
+    return df.repartition(max(1, -(-rows // ROWS_PER_TASK))).persist()

@@ -143,11 +143,11 @@ _ZA, _ZB = "1.959963984540054::DOUBLE", "0.8416212335729143::DOUBLE"
 
 # Arm statistics and the z readout from a table (key columns, st, nt, sc, nc).
 _Z = f"""
-zz AS (SELECT *, st::DOUBLE / nt AS pt, sc::DOUBLE / nc AS pc, (st + sc)::DOUBLE / (nt + nc) AS pp FROM arms),
-z2 AS (SELECT *, pt - pc AS diff, sqrt(pp * (1 - pp) * (1.0::DOUBLE / nt + 1.0::DOUBLE / nc)) AS sep,
+zz AS (SELECT *, st::DOUBLE / nullif(nt, 0) AS pt, sc::DOUBLE / nullif(nc, 0) AS pc, (st + sc)::DOUBLE / (nt + nc) AS pp FROM arms),
+z2 AS (SELECT *, pt - pc AS diff, sqrt(pp * (1 - pp) * (1.0::DOUBLE / nullif(nt, 0) + 1.0::DOUBLE / nullif(nc, 0))) AS sep,
        sqrt(pt * (1 - pt) / nt + pc * (1 - pc) / nc) AS seu FROM zz),
-z3 AS (SELECT *, CASE WHEN sep > 0 THEN diff / sep ELSE 0 END AS z FROM z2),
-z4 AS (SELECT *, {_norm_p('z')} AS pv FROM z3)
+z3 AS (SELECT *, CASE WHEN sep = 0 THEN 0 ELSE diff / sep END AS z FROM z2),
+z4 AS (SELECT *, CASE WHEN z IS NOT NULL THEN {_norm_p('z')} END AS pv FROM z3)
 """
 _ARM_RET = """arms AS (SELECT {by} sum(CASE WHEN grp = 'treatment' THEN retained ELSE 0 END) AS st,
   count(*) FILTER (grp = 'treatment') AS nt, sum(CASE WHEN grp = 'control' THEN retained ELSE 0 END) AS sc,
