@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
+import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from keepwell.operators.ranking import average_ranks, cumulative_by_value
@@ -83,64 +88,65 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
         F.try_divide(F.col("sum_ab") - expected, best - expected), F.lit(1.0)).alias("adjusted_rand_index"))
 
 
-def cluster_quality(df: DataFrame, label: str, columns) -> DataFrame:
-    """Separation indices for a labelling, all from per-cluster sums.
+QUALITY = ("k int, rows long, inertia double, silhouette double, davies_bouldin double, "
+           "calinski_harabasz double, smallest_share double")
+
+
+def cluster_quality(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
+    """Separation indices for a labelling in two passes, without row pairs.
 
     inertia: squared distance to the own centroid. silhouette: the squared
     Euclidean form, where a row's mean distance to a cluster needs only that
-    cluster's count, centroid and mean squared norm (one more pass, no pairs).
-    davies_bouldin uses mean Euclidean distance to the centroid.
-    Clusters are few, so their statistics travel as a broadcast.
+    cluster's count, centroid and mean squared norm. davies_bouldin uses the
+    mean Euclidean distance to the centroid. Only those per-cluster numbers
+    come to the driver; they return as literals of the second pass.
     """
     columns = list(columns)
-    point = F.array(*[F.col(c).cast("double") for c in columns])
-    rows = df.select(F.col(label).alias("_k"), point.alias("_x"))
-    dims = range(len(columns))
-    stats = rows.groupBy("_k").agg(
-        F.count("*").alias("n"), F.array(*[F.avg(F.col("_x")[i]) for i in dims]).alias("m"),
-        F.avg(_norm2("_x")).alias("s2"))
-    table = stats.agg(F.array_sort(F.collect_list(F.struct("_k", "n", "m", "s2"))).alias("_all"))
-    near = rows.join(F.broadcast(table))
-    own = F.filter("_all", lambda c: c["_k"] == F.col("_k"))[0]
-    near = near.withColumns({"_own": own, "_d2": _dist2(F.col("_x"), own["m"])})
-    mean_d2 = lambda c: _norm2("_x") + c["s2"] - 2 * _dot(F.col("_x"), c["m"])
-    inner = F.col("_own")["n"] * mean_d2(F.col("_own")) / (F.col("_own")["n"] - 1)
-    outer = F.array_min(F.transform(F.filter("_all", lambda c: c["_k"] != F.col("_k")), mean_d2))
-    sil = F.when(F.col("_own")["n"] > 1,
-                 F.coalesce(F.try_divide(outer - inner, F.greatest(outer, inner)), F.lit(0.0))).otherwise(0.0)
-    per = near.groupBy("_k").agg(
-        F.first("_own").alias("own"), F.sum("_d2").alias("ss"),
-        F.avg(F.sqrt("_d2")).alias("spread"), F.sum(sil).alias("sil"))
-    tiny = per.agg(F.collect_list(F.struct(
-        F.col("_k").alias("k"), F.col("own")["n"].alias("n"), F.col("own")["m"].alias("m"),
-        F.col("ss"), F.col("spread"), F.col("sil"))).alias("c"))
-    add = lambda f: F.aggregate("c", F.lit(0.0), lambda acc, c: acc + f(c))
-    n = add(lambda c: c["n"].cast("double"))
-    k = F.size("c")
-    centre = F.array(*[add(lambda c, i=i: c["n"] * c["m"][i]) / n for i in dims])
-    between = F.aggregate("c", F.lit(0.0), lambda acc, c: acc + c["n"] * _dist2(c["m"], F.col("centre")))
-    worst = lambda a: F.array_max(F.transform(
-        F.filter("c", lambda b: b["k"] != a["k"]),
-        lambda b: F.try_divide(a["spread"] + b["spread"], F.sqrt(_dist2(a["m"], b["m"])))))
-    return tiny.withColumn("centre", centre).select(
-        k.cast("int").alias("k"), n.cast("long").alias("rows"),
-        add(lambda c: c["ss"]).alias("inertia"),
-        (add(lambda c: c["sil"]) / n).alias("silhouette"),
-        (add(worst) / k).alias("davies_bouldin"),
-        F.try_divide(between * (n - k), add(lambda c: c["ss"]) * (k - 1)).alias("calinski_harabasz"),
-        (F.array_min(F.transform("c", lambda c: c["n"])) / n).alias("smallest_share"))
-
-
-def _dot(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-
-
-def _norm2(name):
-    return F.aggregate(F.transform(name, lambda x: x * x), F.lit(0.0), lambda s, v: s + v)
-
-
-def _dist2(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+    x = [F.col(c).cast("double") for c in columns]
+    norm2 = reduce(add, [c * c for c in x])
+    stats = df.groupBy(F.col(label).alias("label")).agg(
+        F.count("*").alias("n"), F.avg(norm2).alias("s2"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)]).orderBy("label").collect()
+    sizes = np.array([float(r["n"]) for r in stats])
+    means = np.array([[r[f"m{i}"] for i in range(len(columns))] for r in stats])
+    k = len(stats)
+
+    def mean_distance(i):
+        dot = reduce(add, [c * F.lit(float(m)) for c, m in zip(x, means[i])])
+        return F.col("_n2") + F.lit(float(stats[i]["s2"])) - 2 * dot
+
+    near = df.select(label, *columns, norm2.alias("_n2")).select(
+        F.col(label).alias("_k"), *[mean_distance(i).alias(f"d{i}") for i in range(k)])
+    own = inner = outer = None
+    for i, r in enumerate(stats):
+        mine = F.col("_k") == F.lit(r["label"])
+        # distance to the own centroid = mean distance - spread of the cluster
+        spread = float(r["s2"]) - float(means[i] @ means[i])
+        others = [F.col(f"d{j}") for j in range(k) if j != i]
+        nearest = F.least(*others) if len(others) > 1 else others[0] if others else F.lit(None)
+        step = lambda chain, value: F.when(mine, value) if chain is None else chain.when(mine, value)
+        own = step(own, F.greatest(F.col(f"d{i}") - spread, F.lit(0.0)))
+        inner = step(inner, F.col(f"d{i}") * (sizes[i] / max(sizes[i] - 1, 1)))
+        outer = step(outer, nearest)
+    near = near.select("_k", own.alias("own"), inner.alias("a"), outer.alias("b"))
+    sil = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    found = {r["_k"]: r for r in near.groupBy("_k").agg(
+        F.sum("own").alias("ss"), F.avg(F.sqrt("own")).alias("spread"), F.sum(sil).alias("sil")).collect()}
+    ss = np.array([found[r["label"]]["ss"] for r in stats])
+    spread = np.array([found[r["label"]]["spread"] for r in stats])
+    sil = np.array([found[r["label"]]["sil"] if r["n"] > 1 else 0.0 for r in stats])
+    n = sizes.sum()
+    centre = sizes @ means / n
+    between = float(sizes @ ((means - centre) ** 2).sum(axis=1))
+    gaps = np.sqrt(((means[:, None, :] - means[None, :, :]) ** 2).sum(axis=2))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where(gaps > 0, (spread[:, None] + spread[None, :]) / gaps, -np.inf)
+    worst = float(ratio.max(axis=1).mean()) if k > 1 else None
+    within = float(ss.sum())
+    ch = between * (n - k) / (within * (k - 1)) if k > 1 and within > 0 else None
+    row = (k, int(n), within, float(sil.sum() / n) if k > 1 else None, worst, None if ch is None else float(ch),
+           float(sizes.min() / n))
+    return df.sparkSession.createDataFrame([row], QUALITY)
 
 
 def choose_k(scores: DataFrame, min_share: float = 0.03) -> DataFrame:
