@@ -9,7 +9,7 @@ from operator import add
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from keepwell.operators.ranking import average_ranks, cumulative_by_value
+from keepwell.operators.ranking import cumulative_by_value
 
 
 def classification(df: DataFrame, label: str, prediction: str, by=()) -> DataFrame:
@@ -27,48 +27,63 @@ def classification(df: DataFrame, label: str, prediction: str, by=()) -> DataFra
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact area under the ROC curve with ties counted half.
+    """Exact area under the ROC curve with ties counted half."""
+    table = cumulative_by_value(df, score, {"w": F.lit(1), "pos": F.col(label).cast("long")})
+    return _auc_from(table)
 
-    Twice the Mann-Whitney statistic is an integer sum over distinct scores.
-    """
-    pos = F.col(label).cast("long")
-    table = cumulative_by_value(df, score, {"pos": pos, "neg": 1 - pos})
-    twice = F.col("pos").cast("decimal(38,0)") * (2 * F.col("neg_below") + F.col("neg"))
+
+def _auc_from(table: DataFrame) -> DataFrame:
+    """Twice the Mann-Whitney statistic is an integer sum over distinct scores."""
+    neg, neg_below = F.col("w") - F.col("pos"), F.col("w_below") - F.col("pos_below")
+    twice = F.col("pos").cast("decimal(38,0)") * (2 * neg_below + neg)
     return table.agg(
-        F.sum("pos").alias("n_positive"), F.sum("neg").alias("n_negative"),
-        F.sum(twice).cast("double").alias("_u2")
+        F.sum("pos").alias("n_positive"), F.sum(neg).alias("n_negative"), F.sum(twice).cast("double").alias("_u2")
     ).select("n_positive", "n_negative", F.try_divide(
         F.col("_u2"), 2.0 * F.col("n_positive") * F.col("n_negative")).alias("roc_auc"))
 
 
-def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rank correlation; rows collapse to distinct score pairs before joining."""
-    pairs = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("w"))
-    weight = F.col("w")
-    ranked = (pairs.join(average_ranks(pairs, a, "ra", weight), a)
-              .join(average_ranks(pairs, b, "rb", weight), b))
-    sums = ranked.agg(
-        F.sum(weight).cast("double").alias("n"),
-        *[F.sum(weight * e).alias(n) for n, e in {
-            "sa": F.col("ra"), "sb": F.col("rb"), "saa": F.col("ra") * F.col("ra"),
-            "sbb": F.col("rb") * F.col("rb"), "sab": F.col("ra") * F.col("rb")}.items()])
+def score_pairs(df: DataFrame, label: str, a: str, b: str) -> DataFrame:
+    """Rows and positives per distinct pair of scores; common pairs cost one row."""
+    return (df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b)
+            .agg(F.count("*").alias("w"), F.sum(F.col(label).cast("long")).alias("pos")))
+
+
+def _ranks(table: DataFrame, value: str, rank: str) -> DataFrame:
+    return table.select(value, (F.col("w_below") + (F.col("w") + 1) / 2).alias(rank))
+
+
+def _rank_correlation(pairs: DataFrame, a: str, b: str, ra: DataFrame, rb: DataFrame) -> DataFrame:
+    w, x, y = F.col("w"), F.col("ra"), F.col("rb")
+    sums = pairs.join(ra, a).join(rb, b).agg(
+        F.sum(w).cast("double").alias("n"), F.sum(w * x).alias("sx"), F.sum(w * y).alias("sy"),
+        F.sum(w * x * x).alias("sxx"), F.sum(w * y * y).alias("syy"), F.sum(w * x * y).alias("sxy"))
     n = F.col("n")
-    cov = F.col("sab") - F.col("sa") * F.col("sb") / n
-    va = F.col("saa") - F.col("sa") * F.col("sa") / n
-    vb = F.col("sbb") - F.col("sb") * F.col("sb") / n
-    return sums.select(F.try_divide(cov, F.sqrt(va * vb)).alias("spearman_rho"))
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    return sums.select(F.try_divide(cov, F.sqrt(vx * vy)).alias("spearman_rho"))
 
 
 def score_agreement(df: DataFrame, label: str, first: str, second: str) -> DataFrame:
     """Pearson, Spearman, both AUCs and the mean gap of two score columns.
 
-    Each part is one row, so the joins below pair single rows.
+    Everything follows from the table of distinct score pairs. Each part is
+    one row, so the joins below pair single rows.
     """
-    linear = df.agg(F.corr(first, second).alias("pearson_r"),
-                    F.avg(F.abs(F.col(first) - F.col(second))).alias("mean_abs_probability_gap"))
-    out = (linear.join(spearman(df, first, second))
-           .join(roc_auc(df, label, first).select(F.col("roc_auc").alias("first_auc")))
-           .join(roc_auc(df, label, second).select(F.col("roc_auc").alias("second_auc"))))
+    pairs = score_pairs(df, label, first, second).persist()
+    sums = {"w": F.col("w"), "pos": F.col("pos")}
+    of_first, of_second = (cumulative_by_value(pairs, c, sums) for c in (first, second))
+    rho = _rank_correlation(pairs, first, second, _ranks(of_first, first, "ra"), _ranks(of_second, second, "rb"))
+    w, x, y = F.col("w").cast("double"), F.col(first), F.col(second)
+    m = pairs.agg(F.sum(w).alias("n"), F.sum(w * x).alias("sx"), F.sum(w * y).alias("sy"), F.sum(w * x * x).alias("sxx"),
+                  F.sum(w * y * y).alias("syy"), F.sum(w * x * y).alias("sxy"), F.sum(w * F.abs(x - y)).alias("gap"))
+    n = F.col("n")
+    linear = m.select(
+        F.try_divide(F.col("sxy") - F.col("sx") * F.col("sy") / n, F.sqrt(
+            (F.col("sxx") - F.col("sx") * F.col("sx") / n) * (F.col("syy") - F.col("sy") * F.col("sy") / n))).alias("pearson_r"),
+        (F.col("gap") / n).alias("mean_abs_probability_gap"))
+    out = (linear.join(rho).join(_auc_from(of_first).select(F.col("roc_auc").alias("first_auc")))
+           .join(_auc_from(of_second).select(F.col("roc_auc").alias("second_auc"))))
     return out.withColumns({
         "auc_gap": F.abs(F.col("first_auc") - F.col("second_auc")),
         "ranks_differ": F.col("spearman_rho") < 0.95})

@@ -64,7 +64,7 @@ def cumulative_by_value(df: DataFrame, value: str, sums: Mapping[str, Column],
     are then cut into slabs of similar size that are scanned in parallel.
     """
     distinct = df.filter(F.col(value).isNotNull()).groupBy(value).agg(
-        *[F.sum(c).alias(n) for n, c in sums.items()])
+        *[F.sum(c).alias(n) for n, c in sums.items()]).persist()
     cuts = distinct.agg(F.percentile_approx(
         value, [i / slabs for i in range(1, slabs)], 10 * slabs)).first()[0]
     splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]

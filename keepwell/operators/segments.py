@@ -68,7 +68,9 @@ def cluster_matrix(df: DataFrame, keep=(), medians: dict | None = None) -> DataF
     kept = [F.col(c).alias(f"_{c}") for c in keep]
     raw = df.select(*kept, *[e.alias(n) for n, e in {**numbers, **flags}.items()])
     if medians is None:
-        medians = exact_medians(raw, list(numbers))
+        gaps = raw.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numbers]).first()
+        with_gaps = [c for c in numbers if gaps[c]]
+        medians = exact_medians(raw, with_gaps) if with_gaps else {}
     filled = raw.fillna({c: m for c, m in medians.items() if m is not None})
     return filled.select(*[F.col(f"_{c}").alias(c) for c in keep], *CLUSTER_INPUTS)
 
