@@ -80,7 +80,8 @@ def sweep(scores, n_treated, n_control, caliper: float, handed=None, last: bool
             waiting.append(mine)
         if here[2]:
             unused.append(here)
-        while unused and unused[0][0] - score > caliper:
+        lowest_need = waiting[0][0] if waiting else score
+        while unused and unused[0][0] - lowest_need > caliper:
             unused.popleft()
     if last:
         while waiting:
