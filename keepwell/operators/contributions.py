@@ -47,6 +47,11 @@ def ranked(column: str = "contributions") -> Column:
                         .otherwise(a["position"] - b["position"]))
 
 
+def first_customers(df: DataFrame, limit: int, key: str = ID) -> DataFrame:
+    """Optional cap for a dashboard extract: the first customers by id."""
+    return df.orderBy(key).limit(limit)
+
+
 def long_contributions(df: DataFrame, key: str = ID) -> DataFrame:
     """One row per customer and feature with its rank for that customer."""
     rows = df.select(key, F.posexplode(ranked()).alias("rank0", "e"))

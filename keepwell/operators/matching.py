@@ -170,7 +170,7 @@ def match_pairs(units: DataFrame, key: str, score: str, treated: str, caliper: f
                 "c_score", (F.col("c_from") + F.col("_i")).alias("c_rank")))
     slim = units.select(F.col(key).alias("_id"), F.col(score).alias("_score"),
                         F.col(treated).alias("_arm"), *carry)
-    ranked = hash_rank(slim, "_id", seed, ["_score", "_arm"], digits=2, small_strata=False)
+    ranked = hash_rank(slim, "_id", seed, ["_score", "_arm"], digits=2)
 
     def side(arm, prefix, name):
         return ranked.filter(F.col("_arm") == arm).select(

@@ -104,6 +104,11 @@ def power_curve(designs: DataFrame, steps: int = 200, alpha=ALPHA) -> DataFrame:
         F.col("n_per_arm"), F.col("baseline_rate"), F.col("effect"), alpha))
 
 
+def register_design(designs: DataFrame, path: str) -> None:
+    """Append designs with their registration time; earlier records stay."""
+    designs.withColumn("registered_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
 def registered_design(designs: DataFrame, first_outcome: Column) -> DataFrame:
     """The newest design written before the first outcome of its experiment."""
     before = designs.filter(F.col("registered_at") < first_outcome)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from keepwell.operators.quantiles import exact_quantiles
 from keepwell.schema import active_groups, drop_non_features
 
 # --- fixed values: drift thresholds ----------------------------------------
@@ -148,6 +150,16 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return one.select(F.explode(rows).alias("r")).select("r.column_name", "r.s.*")
 
 
+def describe(df: DataFrame, columns) -> DataFrame:
+    """Count, mean, deviation, range and exact quartiles per numeric column."""
+    quartiles = exact_quantiles(df, {c: number(c) for c in columns}, [Fraction(i, 4) for i in (1, 2, 3)])
+    rows = [(c, *(quartiles[c] or [None] * 3)) for c in columns]
+    spark = df.sparkSession
+    counts = df.agg(*[F.count(number(c)).alias(c) for c in columns]).unpivot([], list(columns), "feature", "n")
+    return (counts.join(numeric_baseline(df, columns), "feature")
+            .join(spark.createDataFrame(rows, "feature string, q25 double, q50 double, q75 double"), "feature"))
+
+
 def class_balance(df: DataFrame, target: str) -> DataFrame:
     counts = df.groupBy(target).agg(F.count("*").alias("n"))
     everything = Window.partitionBy()          # one row per class

@@ -26,14 +26,14 @@ def unit_interval(key: str | Column, seed) -> Column:
 
 
 def hash_rank(df: DataFrame, key: str, seed, strata: Sequence[str] = (),
-              digits: int = SLOT_DIGITS, small_strata: bool = True) -> DataFrame:
+              digits: int = SLOT_DIGITS) -> DataFrame:
     """1-based rank in seeded order within each stratum, plus stratum size.
 
     Adds ``hash_rank`` and ``stratum_size``. A stratum may hold any share of
     the rows: the hash prefix splits it into 16**digits even slots, ranks are
-    taken inside a slot and shifted by the counts of the slots before it. With
-    few strata the shifts are a small table (strata x 4096 rows) and are
-    broadcast; otherwise they are joined by shuffle.
+    taken inside a slot and shifted by the counts of the slots before it. The
+    shifts join on the same (stratum, slot) key the window needs, so rows move
+    once; no broadcast is forced, because strata may be many.
     """
     strata = list(strata)
     slotted = (df.withColumn("_h", seeded_hash(key, seed))
@@ -45,8 +45,6 @@ def hash_rank(df: DataFrame, key: str, seed, strata: Sequence[str] = (),
         *strata, "_slot",
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift"),
         F.sum("_c").over(whole).alias("stratum_size"))
-    if small_strata:
-        shifts = F.broadcast(shifts)
     inside = Window.partitionBy(*strata, "_slot").orderBy("_h", key)
     return (
         slotted.join(shifts, [*strata, "_slot"])

@@ -242,6 +242,12 @@ def eda_missing(spark, d):
     return profile.missing_counts(customer_frame(spark, d))
 
 
+@query
+def eda_describe(spark, d):
+    out = profile.describe(clean(spark, d), NUMERIC)
+    return out.select("feature", "n", *[r(c, 4) for c in ("mean", "std", "min", "max", "q25", "q50", "q75")])
+
+
 @query
 def eda_class_balance(spark, d):
     return profile.class_balance(customer_frame(spark, d), TARGET).select(TARGET, "n", r("percent", 4), r("imbalance_ratio", 4))

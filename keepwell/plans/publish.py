@@ -64,8 +64,12 @@ def experiment_fact(retention: DataFrame, revenue: DataFrame, run: str) -> DataF
             .unionByName(shape(revenue, "net revenue per customer", "mean_t", "mean_c", "difference", "cohens_d", "Cohen's d")))
 
 
-ESTIMATE = ("analysis string, estimator string, estimate double, ci_low double, ci_high double, "
-            "adjusted boolean, note string")
+def power_fact(verdicts: DataFrame, experiment: str) -> DataFrame:
+    """Design and verdict of an experiment in one row per design."""
+    return verdicts.select(
+        F.lit(experiment).alias("experiment"), F.col("mde_absolute").alias("pre_registered_mde"),
+        F.col("absolute_difference").alias("observed_effect"), "p_value", "required_n_per_arm", "available_n_per_arm",
+        "adequately_powered", "verdict", F.col("detectable_mde").alias("detectable_mde_at_available_n"))
 
 
 def causal_fact(naive: DataFrame, adjusted: DataFrame, instrument: DataFrame, did: DataFrame,
@@ -95,12 +99,13 @@ def causal_fact(naive: DataFrame, adjusted: DataFrame, instrument: DataFrame, di
                                F.col("did_estimate"), F.col("ci_low"), F.col("ci_high"), True, no_note))
 
 
-def balance_fact(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Imbalance before and after matching, worst first."""
+def balance_fact(before: DataFrame, after: DataFrame, top: int | None = None) -> DataFrame:
+    """Imbalance before and after matching, worst first (all, or the ``top``)."""
     out = before.select("covariate", F.col("smd").alias("smd_before")).join(
         after.select("covariate", F.col("smd").alias("smd_after")), "covariate")
-    return out.withColumn("balanced_after", F.abs("smd_after") <= BALANCE_LIMIT).orderBy(
+    out = out.withColumn("balanced_after", F.abs("smd_after") <= BALANCE_LIMIT).orderBy(
         F.desc(F.abs("smd_before")), "covariate")
+    return out if top is None else out.limit(top)
 
 
 def segment_dimension(profile: DataFrame, names: DataFrame, differences: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def ship_package(spark: SparkSession) -> None:
     sc._keepwell_shipped = True
 
 
-ROWS_PER_TASK = 100_000
+ROWS_PER_TASK = 250_000
 
 
 def for_iteration(df: DataFrame, rows: int | None = None) -> DataFrame:

@@ -125,8 +125,8 @@ aa AS (SELECT * REPLACE (CASE WHEN rk2 <= sz2 // 2 THEN 'treatment' ELSE 'contro
 def _norm_p(z):
     """Two-sided normal tail by the series of the central area."""
     a = f"greatest(abs({z}), 1e-12)"
-    return (f"(SELECT 1 - 2 * exp(-{a} * {a} / 2) / sqrt(2 * pi()) * sum(exp((2 * k + 1) * ln({a}) "
-            f"- ((k + 1) * ln(2) + lgamma(k + 1.5) - 0.5 * ln(pi())))) FROM (SELECT unnest(range(0, 300)) AS k))")
+    return (f"(SELECT greatest(0, 1 - 2 * exp(-{a} * {a} / 2) / sqrt(2 * pi()) * sum(exp((2 * k + 1) * ln({a}) "
+            f"- ((k + 1) * ln(2) + lgamma(k + 1.5) - 0.5 * ln(pi()))))) FROM (SELECT unnest(range(0, 300)) AS k))")
 
 
 def _t_p(t, dof):
@@ -134,8 +134,8 @@ def _t_p(t, dof):
     steps = 2000
     x = f"(abs({t}) * i / {steps})"
     w = f"(CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
-    return (f"(SELECT 1 - 2 * abs({t}) / {steps} / 3 * sum({w} * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0) "
-            f"- 0.5 * ln({dof} * pi()) - ({dof} + 1) / 2.0 * ln(1 + {x} * {x} / {dof}))) "
+    return (f"(SELECT greatest(0, 1 - 2 * abs({t}) / {steps} / 3 * sum({w} * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0) "
+            f"- 0.5 * ln({dof} * pi()) - ({dof} + 1) / 2.0 * ln(1 + {x} * {x} / {dof})))) "
             f"FROM (SELECT unnest(range(0, {steps} + 1)) AS i))")
 
 
@@ -388,6 +388,10 @@ _TEXT = [c for c in RAW_COLUMNS if c not in ("SeniorCitizen", "tenure", "Monthly
 _add("eda_missing", _RAW + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls, "
     + (f"count(*) FILTER (trim({c}) = '')" if c in _TEXT else "0::BIGINT") + " AS blanks FROM raw" for c in RAW_COLUMNS))
+_add("eda_describe", _RAW + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(min({c})::DOUBLE, 4) AS min, "
+    f"round(max({c})::DOUBLE, 4) AS max, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS q25, round(quantile_cont({c}::DOUBLE, 0.5), 4) AS q50, "
+    f"round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q75 FROM clean" for c in NUMERIC))
 _add("eda_class_balance", _RAW + """, c AS (SELECT Churn, count(*) AS n FROM raw GROUP BY 1)
   SELECT Churn, n, round(100 * n / sum(n) OVER (), 4) AS percent, round(max(n) OVER () / min(n) OVER (), 4) AS imbalance_ratio FROM c""")
 _add("eda_churn_by_level", _RAW + f""", l AS ({_long('typed', [*NOMINAL, *ORDINAL, 'SeniorCitizen'], ', Churn')})

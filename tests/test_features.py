@@ -142,5 +142,5 @@ def test_hash_rank_in_one_hot_stratum(spark):
     from pyspark.sql import Window
     plain = df.withColumn("r", F.row_number().over(Window.partitionBy("s").orderBy(F.md5(F.concat_ws(":", "k", F.lit("7"))), "k")))
     assert ranked.join(plain, "k").filter("hash_rank <> r").isEmpty()
-    shuffled = hash_rank(df, "k", 7, ["s"], digits=2, small_strata=False)
+    shuffled = hash_rank(df, "k", 7, ["s"], digits=2)
     assert shuffled.join(plain, "k").filter("hash_rank <> r").isEmpty()
