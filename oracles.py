@@ -463,7 +463,7 @@ _add("score_ranks", _SCORED + """ SELECT p AS churn_probability, avg(rn) AS aver
   FROM (SELECT p, row_number() OVER (ORDER BY p) AS rn FROM scored) GROUP BY p""")
 
 # --- contributions -----------------------------------------------------------
-_add("linear_contributions", _contrib() + """ SELECT customerID, feature, round(shap_value, 6) AS shap_value, round(feature_value, 6) AS feature_value,
+_add("linear_contributions", _contrib() + """ SELECT customerID, feature, round(shap_value, 6) + 0.0::DOUBLE AS shap_value, round(feature_value, 6) AS feature_value,
   round(abs_shap, 6) AS abs_shap, direction, rk AS rank_within_customer FROM lc""")
 _add("global_importance", _contrib() + """, g AS (SELECT feature, avg(abs_shap) AS m FROM lc GROUP BY 1)
   SELECT feature, round(m, 6) AS mean_abs_shap, CAST(row_number() OVER (ORDER BY m DESC, feature) AS INTEGER) AS rank FROM g""")
