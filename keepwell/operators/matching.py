@@ -8,7 +8,8 @@ with a stack of unused controls decides how many units of one score go to
 another. Scores are cut into slabs that are scanned in parallel; what one slab
 leaves over (unserved treated, unused controls within reach) is handed to the
 next, and the scan repeats until nothing handed over changes. The result does
-not depend on the number of slabs.
+not depend on the number of slabs. A hand-over holds counts per distinct score
+within one caliper, never rows.
 """
 
 from __future__ import annotations
@@ -145,6 +146,25 @@ def flows_on_line(line: DataFrame, caliper: float, slab_scores: int = SLAB_SCORE
     return by_slab.cogroup(handed.groupBy("slab")).applyInPandas(flows, _FLOW).checkpoint()
 
 
+def att_on_line(line: DataFrame, caliper_sd: float = CALIPER_SD,
+                slab_scores: int = SLAB_SCORES) -> DataFrame:
+    """Matched effect from a collapsed line ``(score, n_t, n_c, y_t, y_c)``.
+
+    Units of one score count with their mean outcome, so no unit is looked up.
+    """
+    size = F.col("n_t") + F.col("n_c")
+    m = line.agg(F.sum(size).alias("n"), F.sum(size * F.col("score")).alias("s")).first()
+    mean = m["s"] / m["n"]
+    var = line.agg((F.sum(size * (F.col("score") - mean) * (F.col("score") - mean)) / m["n"]).alias("v")).first()["v"]
+    flows = flows_on_line(line.select("score", F.col("n_t").cast("long").alias("n_t"), F.col("n_c").cast("long").alias("n_c")),
+                          caliper_sd * float(var) ** 0.5, slab_scores)
+    rate = lambda arm: line.filter(F.col(f"n_{arm}") > 0).select(
+        F.col("score").alias(f"{arm}_score"), (F.col(f"y_{arm}") / F.col(f"n_{arm}")).alias(f"rate_{arm}"))
+    joined = flows.join(rate("t"), "t_score").join(rate("c"), "c_score")
+    return joined.agg(F.sum("n").alias("n_pairs"),
+                      F.try_divide(F.sum(F.col("n") * (F.col("rate_t") - F.col("rate_c"))), F.sum("n")).alias("matching_att"))
+
+
 def caliper_width(units: DataFrame, score: str, caliper_sd: float = CALIPER_SD) -> float:
     row = units.agg(F.stddev_pop(score).alias("sd")).first()
     return caliper_sd * float(row["sd"] or 0.0)

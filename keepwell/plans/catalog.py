@@ -305,8 +305,8 @@ def revenue_at_risk(spark, d):
     annual = F.col("MonthlyCharges") * S.MONTHS
     offer = annual * F.col("churn_probability") * 0.2 - 50
     return scored(spark, d).select(ID, r(annual, 2).alias("annual_revenue"),
-                                   r(annual * F.col("churn_probability"), 4).alias("revenue_at_risk"),
-                                   r(offer, 4).alias("expected_offer_value"))
+                                   r(annual * F.col("churn_probability"), 8).alias("revenue_at_risk"),
+                                   r(offer, 8).alias("expected_offer_value"))
 
 
 @query
@@ -323,7 +323,7 @@ def customer_table(spark, d):
     segments = ruled_segments(features(spark, d)).select(ID, "segment")
     out = publish.customer_table(scored(spark, d), "v1", "linear_score", segments)
     return out.select(ID, "churn_probability", "prediction", "risk_category", "risk_decile", "model_version", "model_name",
-                      "actual_churn", "prediction_outcome", r("annual_revenue", 2), r("revenue_at_risk", 4), "segment")
+                      "actual_churn", "prediction_outcome", r("annual_revenue", 2), r("revenue_at_risk", 8), "segment")
 
 
 @query

@@ -420,11 +420,11 @@ _add("score_linear", _SCORED + " SELECT customerID, churn_probability, predictio
 _add("risk_bands", _SCORED + f" SELECT {_BAND} AS risk_category, {_BAND2} AS risk_band, count(*) AS customers FROM scored GROUP BY 1, 2")
 _add("confusion_labels", _SCORED + f" SELECT customerID, {_OUT} AS prediction_outcome, CAST(prediction = Churn AS INTEGER) AS correct_prediction FROM scored")
 _add("revenue_at_risk", _SCORED + """ SELECT customerID, round(MonthlyCharges * 12, 2) AS annual_revenue,
-  round(MonthlyCharges * 12 * p, 4) AS revenue_at_risk, round(MonthlyCharges * 12 * p * 0.2::DOUBLE - 50, 4) AS expected_offer_value FROM scored""")
+  round(MonthlyCharges * 12 * p, 8) AS revenue_at_risk, round(MonthlyCharges * 12 * p * 0.2::DOUBLE - 50, 8) AS expected_offer_value FROM scored""")
 _add("top_risks", _SCORED + " SELECT customerID, churn_probability FROM scored ORDER BY churn_probability DESC, customerID LIMIT 10")
 _add("customer_table", _PUBLISHED + f""" SELECT customerID, churn_probability, prediction, {_BAND} AS risk_category, CAST(bin + 1 AS INTEGER) AS risk_decile,
   'v1' AS model_version, 'linear_score' AS model_name, Churn AS actual_churn, {_OUT} AS prediction_outcome,
-  round(MonthlyCharges * 12, 2) AS annual_revenue, round(MonthlyCharges * 12 * p, 4) AS revenue_at_risk, {_SEGMENT} AS segment FROM binned""")
+  round(MonthlyCharges * 12, 2) AS annual_revenue, round(MonthlyCharges * 12 * p, 8) AS revenue_at_risk, {_SEGMENT} AS segment FROM binned""")
 _add("decile_outcome", _PUBLISHED + """ SELECT CAST(bin + 1 AS INTEGER) AS risk_decile, count(*) AS customers, round(avg(Churn), 6) AS churn_rate,
   round(avg(p), 6) AS mean_score FROM binned GROUP BY bin""")
 _add("gain_curve", _PUBLISHED + """, g AS (SELECT CAST(bin + 1 AS INTEGER) AS risk_decile, count(*) AS customers, sum(Churn)::BIGINT AS churned FROM binned GROUP BY bin)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from keepwell.operators import causal, matching
 from keepwell.operators.causal import saturated_propensity
-from keepwell.plans.observational import run_observational
+from keepwell.plans.observational import refute, run_observational
 
 
 def greedy(score, treated, caliper):
@@ -114,6 +114,25 @@ def test_null_effect_and_refuters(spark):
     assert verdict["placebo_treatment"]["passes"] and verdict["random_subset"]["passes"]
 
 
+def test_line_effect_equals_pair_effect(spark):
+    rng = np.random.default_rng(2)
+    score = rng.normal(size=500)                        # all scores differ, so both forms match the same units
+    treated, outcome = (rng.random(500) < 0.4).astype(int), (rng.random(500) < 0.3).astype(int)
+    units = frame(spark, score, treated, outcome)
+    pairs = matching.match_pairs(units, "customerID", "score", "treated", carry=["outcome"])
+    line = units.select("score", F.col("treated").cast("double").alias("n_t"), (1.0 - F.col("treated")).alias("n_c"),
+                        (F.col("treated") * F.col("outcome")).cast("double").alias("y_t"),
+                        ((1 - F.col("treated")) * F.col("outcome")).cast("double").alias("y_c"))
+    a, b = matching.att(pairs).first(), matching.att_on_line(line, slab_scores=100).first()
+    assert a["n_pairs"] == b["n_pairs"] and a["att"] == pytest.approx(b["matching_att"])
+
+
+def test_logistic_refuters(spark):
+    units = confounded(spark, -0.10, n=1500, seed=6).persist()
+    out = {r["refuter"]: r for r in refute(units, "customerID", -0.10, runs=2).collect()}
+    assert abs(out["placebo_treatment"]["mean_estimate"]) < 0.08 and out["random_subset"]["n_runs"] == 2
+
+
 def test_bootstrap_is_partition_invariant_and_covers(spark):
     units = confounded(spark, -0.10, seed=4)
     cells = causal.design_cells(units, ["tenure"])

@@ -8,8 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["customer", "orders", "events"]
-SAMPLE = ["clean_customers", "engineered_features", "baseline_categorical", "drift_numeric", "eda_histogram", "roc_auc_exact",
-          "master_table", "stratified_split", "segment_names", "did_regression", "iv_readout", "ipw_ate", "att_lookup"]
+SAMPLE = ["engineered_features", "drift_numeric", "master_table", "stratified_split", "did_regression", "iv_readout", "ipw_ate"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables absent")
 
