@@ -615,7 +615,7 @@ def most_exposed(spark, d):
 
 
 def labelled_points(spark, d) -> DataFrame:
-    matrix = seg.cluster_matrix(ruled_segments(features(spark, d)), [ID, "segment"])
+    matrix = seg.cluster_matrix(ruled_segments(features(spark, d)), [ID, "segment"]).persist()
     return cluster.standardised(matrix, [ID, "segment"])
 
 
