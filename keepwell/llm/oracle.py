@@ -50,8 +50,8 @@ with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text,
 s as (select distinct doc_id, g from (select doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]]
       else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1]) end) as g from d)),
 n as (select doc_id, count(*) as n from s group by 1),
-pair as (select a.doc_id as a, b.doc_id as b, count(*) as both from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
-link as (select a, b from pair join n x on a = x.doc_id join n y on b = y.doc_id where 100 * both >= 80 * (x.n + y.n - both)),
+pair as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+link as (select a, b from pair join n x on a = x.doc_id join n y on b = y.doc_id where 100 * common >= 80 * (x.n + y.n - common)),
 reach(a, b) as (select a, b from link union select reach.a, link.b from reach join link on reach.b = link.a),
 comp as (select a, min(b) as b from reach group by 1)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(comp.b, d.doc_id)) as component_id,

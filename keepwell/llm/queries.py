@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keepwell.llm import oracle
 from keepwell.llm.decontaminate import contained
+from keepwell.llm.minhash import near_duplicates
 from keepwell.llm.quality import quality
 from keepwell.llm.tables import read
 
@@ -20,5 +21,9 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {"op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
-ORACLES = {"op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}
+def op6_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read(spark, folder, "documents"))
+
+
+QUERIES = {"op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
+ORACLES = {"op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}
