@@ -88,15 +88,14 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     wins = written(windows(benchmark), "benchmark-windows")
     shingles = window_shingles(wins)
     found = written(postings(words, shingles), "benchmark-postings")
-    prefix = sized(written(necessary(shingles, found), "benchmark-prefixes"), 256)
+    prefix = sized(written(necessary(shingles, found), "benchmark-prefixes"), 96 + F.octet_length("win"))
     start = F.col("pos") - F.col("offset")
     candidates = (found.select("doc_id", "text_key", "n_words", "pos", "n", "h").join(prefix, ["n", "h"])
                   .where((start >= 0) & (start + F.col("k") <= F.col("n_words")))
                   .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
                   .agg(F.array_sort(F.collect_set(F.struct(start.alias("start"), "k", "win"))).alias("c")))
     c = written(candidates, "benchmark-candidates")
-    # one row of candidates is about 150 bytes a window
-    c = sized(c, 2048)
+    c = sized(c, 96 + F.aggregate("c", F.lit(0), lambda n, x: n + 48 + F.octet_length(x["win"])))
     seen = words.join(c, words["doc_id"].eqNullSafe(c["_id"]) & (words["text_key"] == c["_key"]), "left").select(
         "doc_id", "text_key", F.size("w").cast("long").alias("n_words"),
         F.filter("c", lambda x: F.array_join(F.slice("w", x["start"] + 1, x["k"]), " ") == x["win"]).alias("c"))

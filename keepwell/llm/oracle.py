@@ -66,8 +66,7 @@ win as (select doc_id, i, array_to_string(w[i:i+19], ' ') as g from
 ranked as (select doc_id, i, row_number() over (partition by g order by doc_id, i) as r from win),
 gone as (select doc_id, list(distinct p) as p from (select doc_id, unnest(range(i, i + 20)) as p from ranked where r > 1) group by 1),
 kept as (select d.doc_id, w, coalesce(p, []) as p from d left join gone using (doc_id)),
-pos as (select doc_id, i, w[i] as x from (select doc_id, w, p, unnest(range(1, len(w) + 1)) as i from kept) k
-        where not exists (select 1 from ranked r where false)),
+pos as (select doc_id, i, w[i] as x from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from kept)),
 rest as (select pos.doc_id, string_agg(x, ' ' order by i) as t from pos
          left join (select doc_id, unnest(p) as i, true as g from gone) q using (doc_id, i) where g is null group by 1)
 select kept.doc_id, len(w)::bigint as n_words, len(p)::bigint as n_removed, sha256(coalesce(rest.t, '')) as kept_sha256

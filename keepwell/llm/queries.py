@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keepwell.llm import oracle
 from keepwell.llm.decontaminate import contained
 from keepwell.llm.minhash import near_duplicates
 from keepwell.llm.quality import quality
+from keepwell.llm.substrings import without_repeats
 from keepwell.llm.tables import read
 
 
@@ -25,5 +27,10 @@ def op6_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"))
 
 
-QUERIES = {"op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
-ORACLES = {"op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(read(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES = {"op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
+ORACLES = {"op10_repeated_passages": oracle.REPEATED_PASSAGES, "op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}

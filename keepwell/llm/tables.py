@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.session import scratch_folder
@@ -22,13 +22,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized(side: DataFrame, row_bytes: int) -> DataFrame:
-    """A written side, marked for broadcast if its counted size is within the bound.
+def sized(side: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """A written side, marked for broadcast if its measured size is within the bound.
 
-    Beyond the bound the join is left to a shuffle, whose skewed partitions
-    adaptive execution splits.
+    ``row_bytes`` is the width of a row, or an expression of it where rows hold
+    arrays. Beyond the bound the join is left to a shuffle, whose skewed
+    partitions adaptive execution splits.
     """
-    return F.broadcast(side) if side.count() * row_bytes <= BROADCAST_BYTES else side
+    width = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    total = side.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(side) if total <= BROADCAST_BYTES else side
 
 
 def text_key(text) -> F.Column:

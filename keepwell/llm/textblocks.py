@@ -7,6 +7,7 @@ power of its first position: prefix sums give the hash of any span at once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -112,10 +113,26 @@ class Words:
             w = last
         return mixed(out)
 
+    @cached_property
+    def _joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The words with one space between them, and where each begins and ends there."""
+        solid = ~_SPACE[self.raw]
+        keep = solid.copy()
+        after = self.ends[self.ends < len(self.raw)]
+        keep[after] = True  # the space behind a word, or the next text's first byte
+        place = np.cumsum(keep)
+        joined = np.where(solid, self.raw, np.uint8(32))[keep].tobytes()
+        return joined, place[self.starts] - 1, place[self.ends - 1]
+
     def text(self, i: int, j: int) -> bytes:
-        """Words i..j-1 joined by one space."""
-        view = self.raw
-        return b" ".join(view[s:e].tobytes() for s, e in zip(self.starts[i:j], self.ends[i:j]))
+        """Words i..j-1 of one text joined by one space."""
+        joined, starts, ends = self._joined
+        return joined[starts[i] : ends[j - 1]]
+
+    def texts(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Words first..last (inclusive) of each pair, joined by one space."""
+        joined, starts, ends = self._joined
+        return [joined[a:b] for a, b in zip(starts[first].tolist(), ends[last].tolist())]
 
 
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
