@@ -6,6 +6,7 @@ power of its first position: prefix sums give the hash of any span at once.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -17,6 +18,8 @@ SPACES = b" \t\n\x0b\x0c\r"
 BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _INVERSE = pow(BASE, -1, 1 << 64)
+#: White space outside ASCII; it can join the white space of the next unit.
+WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -144,3 +147,95 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out = out * np.uint64(BASE) + hashes[k : k + m]
     return mixed(out)
+
+
+class Units:
+    """A block of texts cut before every run of white space that follows a word.
+
+    A unit is white space (if any) and the word behind it, so splitters whose
+    tokens never reach over a word's end treat each unit on its own. ``code``
+    numbers the different units, ``sample`` holds where each stands.
+    """
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+        self.raw = raw
+        space = _SPACE[raw]
+        begin = space.copy()
+        begin[1:] &= ~space[:-1]
+        begin[offsets[:-1][offsets[:-1] < len(raw)]] = True
+        self.starts = np.flatnonzero(begin)
+        self.ends = np.r_[self.starts[1:], len(raw)][: len(self.starts)]
+        self.bounds = np.searchsorted(self.starts, offsets)
+        self.hashes = np.empty(len(self.starts), np.uint64)
+        w = 0
+        while w < len(self.starts):
+            low = self.starts[w]
+            last = max(w + 1, int(np.searchsorted(self.ends, low + CHUNK, "right")))
+            piece = _BYTE[raw[low : self.ends[last - 1]]]
+            self.hashes[w:last] = span_hashes(piece, self.starts[w:last] - low, self.ends[w:last] - low)
+            w = last
+        _, self.sample, self.code = np.unique(self.hashes, return_index=True, return_inverse=True)
+
+    def exact(self) -> bool:
+        """Whether every unit has the bytes of its sample: no two hashes met."""
+        size = self.ends - self.starts
+        same = self.sample[self.code]
+        if not np.array_equal(size, size[same]):
+            return False
+        shift = np.repeat(self.starts[same] - self.starts, size)
+        return np.array_equal(self.raw, self.raw[np.arange(len(self.raw)) + shift])
+
+    def bytes(self, which: np.ndarray) -> list[bytes]:
+        """The units at the given places."""
+        raw = self.raw.tobytes()
+        return [raw[a:b] for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist())]
+
+
+class Lookup:
+    """Ids of units met so far, by hash; forgets all when it holds over ``limit``."""
+
+    def __init__(self, encode, limit: int):
+        self.encode, self.limit = encode, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.texts: list[bytes] = []
+        self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _row(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each known key, -1 for others."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, offsets) of all texts of a block; None if hashes met."""
+        if len(self.keys) > self.limit:
+            self._clear()
+        units = Units(raw, offsets)
+        if not units.exact():
+            return None
+        keys, own = units.hashes[units.sample], units.bytes(units.sample)
+        row = self._row(keys)
+        if any(self.texts[r] != t for r, t in zip(row.tolist(), own) if r >= 0):
+            return None
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            fresh = [own[i] for i in new.tolist()]
+            made = self.encode(fresh)
+            keys_all = np.concatenate([self.keys, keys[new]])
+            order = np.argsort(keys_all)
+            texts = self.texts + fresh
+            size = np.array([len(x) for x in made], np.int64)
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(size) - size])[order]
+            self.sizes = np.concatenate([self.sizes, size])[order]
+            self.flat = np.concatenate([self.flat, *(np.asarray(x, np.int32) for x in made)])
+            self.keys, self.texts = keys_all[order], [texts[i] for i in order.tolist()]
+            row = self._row(keys)
+        row = row[units.code]
+        size = self.sizes[row]
+        ends = np.cumsum(size)
+        out = self.flat[np.repeat(self.starts[row] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        return out, np.r_[0, ends][units.bounds]
