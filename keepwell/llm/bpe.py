@@ -29,8 +29,7 @@ from keepwell.llm.textblocks import WIDE_SPACE, Lookup, column_bytes, slices
 #: Texts of about this many bytes are replayed together.
 BLOCK = 4 << 20
 #: Different units whose ids a task remembers from block to block.
-REMEMBERED = 500_000
-_NONE = np.zeros(0, np.int64)
+REMEMBERED = 1_000_000
 ENCODED = "doc_id long, ids array<int>"
 
 
@@ -173,11 +172,11 @@ class Encoder:
         made = iter(replay([w for w, k in zip(fresh, whole) if k is None], self.ranks))
         return [np.array([k]) if k is not None else next(made) for k in whole]
 
-    def _units(self, units: list[bytes]) -> list[np.ndarray]:
+    def _units(self, units: list[bytes]) -> list[list[int]]:
         number: dict[str, int] = {}
         parts = [[number.setdefault(w, len(number)) for w in self.split.findall(u.decode())] for u in units]
-        ids = self._words([w.encode() for w in number])
-        return [ids[p[0]] if len(p) == 1 else np.concatenate([_NONE, *(ids[i] for i in p)]) for p in parts]
+        ids = [x.tolist() for x in self._words([w.encode() for w in number])]
+        return [ids[p[0]] if len(p) == 1 else [k for i in p for k in ids[i]] for p in parts]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of a column of texts."""
@@ -185,13 +184,19 @@ class Encoder:
         found = None if WIDE_SPACE.search(raw.tobytes()) else self.lookup.ids(raw, offsets)
         if found is None:
             ids = self._units([t or b"" for t in column.cast(pa.binary()).to_pylist()])
-            return np.concatenate([_NONE, *ids]).astype(np.int32), np.r_[0, np.cumsum([len(x) for x in ids])]
+            return np.array([k for x in ids for k in x], np.int32), np.r_[0, np.cumsum([len(x) for x in ids])]
         return found
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str, pattern: str) -> Encoder:
+    """One encoder a worker process; what it remembers serves later tasks."""
+    return Encoder(path, pattern)
+
+
 def _encoded(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, pattern)
+        encoder = encoder_of(path, pattern)
         for whole in batches:
             for batch in slices(whole, "text", BLOCK):
                 ids, offsets = encoder.encode(batch.column("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import oracle
+from keepwell.llm import bpe, dac, oracle
 from keepwell.llm.decontaminate import contained
 from keepwell.llm.minhash import near_duplicates
 from keepwell.llm.quality import quality
@@ -32,5 +32,17 @@ def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
+def op3_merge_replay(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_addressable_ids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return dac.through_files(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {"op3_merge_replay": op3_merge_replay, "op9_addressable_ids": op9_addressable_ids, "op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
 ORACLES = {"op10_repeated_passages": oracle.REPEATED_PASSAGES, "op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -191,17 +192,35 @@ class Units:
         return [raw[a:b] for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist())]
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[s : s + n] of every pair, one behind the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Lookup:
-    """Ids of units met so far, by hash; forgets all when it holds over ``limit``."""
+    """Ids of units met so far, found by hash and confirmed by their bytes.
+
+    ``encode`` gets a list of new units. When more than ``limit`` are held,
+    those met in one block only are forgotten.
+    """
 
     def __init__(self, encode, limit: int):
         self.encode, self.limit = encode, limit
-        self._clear()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.flat, self.raw = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint8)
+        self.starts, self.sizes, self.places, self.lengths, self.met = (np.zeros(0, np.int64) for _ in range(5))
 
-    def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.texts: list[bytes] = []
-        self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def _shrink(self) -> None:
+        keep = self.met > 1
+        if 2 * keep.sum() > self.limit:
+            return self._forget()
+        flat, raw = gathered(self.flat, self.starts[keep], self.sizes[keep]), gathered(self.raw, self.places[keep], self.lengths[keep])
+        self.keys, self.sizes, self.lengths, self.flat, self.raw = self.keys[keep], self.sizes[keep], self.lengths[keep], flat, raw
+        self.starts, self.places = np.cumsum(self.sizes) - self.sizes, np.cumsum(self.lengths) - self.lengths
+        self.met = np.zeros(len(self.keys), np.int64)
 
     def _row(self, keys: np.ndarray) -> np.ndarray:
         """Row of each known key, -1 for others."""
@@ -211,31 +230,33 @@ class Lookup:
         return np.where(self.keys[at] == keys, at, -1)
 
     def ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        """(ids, offsets) of all texts of a block; None if hashes met."""
+        """(ids, offsets) of all texts of a block; None if two hashes met."""
         if len(self.keys) > self.limit:
-            self._clear()
+            self._shrink()
         units = Units(raw, offsets)
         if not units.exact():
             return None
-        keys, own = units.hashes[units.sample], units.bytes(units.sample)
+        keys, begin = units.hashes[units.sample], units.starts[units.sample]
+        length = units.ends[units.sample] - begin
         row = self._row(keys)
-        if any(self.texts[r] != t for r, t in zip(row.tolist(), own) if r >= 0):
+        old, new = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+        k = row[old]
+        if not np.array_equal(self.lengths[k], length[old]) or not np.array_equal(
+                gathered(self.raw, self.places[k], self.lengths[k]), gathered(raw, begin[old], length[old])):
             return None
-        new = np.flatnonzero(row < 0)
         if len(new):
-            fresh = [own[i] for i in new.tolist()]
-            made = self.encode(fresh)
-            keys_all = np.concatenate([self.keys, keys[new]])
-            order = np.argsort(keys_all)
-            texts = self.texts + fresh
+            made = self.encode(units.bytes(units.sample[new]))
             size = np.array([len(x) for x in made], np.int64)
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(size) - size])[order]
-            self.sizes = np.concatenate([self.sizes, size])[order]
-            self.flat = np.concatenate([self.flat, *(np.asarray(x, np.int32) for x in made)])
-            self.keys, self.texts = keys_all[order], [texts[i] for i in order.tolist()]
+            order = np.argsort(np.concatenate([self.keys, keys[new]]))
+            join = lambda x, y: np.concatenate([x, y])[order]
+            self.starts = join(self.starts, len(self.flat) + np.cumsum(size) - size)
+            self.places = join(self.places, len(self.raw) + np.cumsum(length[new]) - length[new])
+            self.raw = np.concatenate([self.raw, gathered(raw, begin[new], length[new])])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(made), np.int32, int(size.sum()))])
+            self.keys, self.sizes = join(self.keys, keys[new]), join(self.sizes, size)
+            self.lengths, self.met = join(self.lengths, length[new]), join(self.met, np.zeros(len(new), np.int64))
             row = self._row(keys)
+        self.met[row] += 1
         row = row[units.code]
         size = self.sizes[row]
-        ends = np.cumsum(size)
-        out = self.flat[np.repeat(self.starts[row] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        return out, np.r_[0, ends][units.bounds]
+        return gathered(self.flat, self.starts[row], size), np.r_[0, np.cumsum(size)][units.bounds]
