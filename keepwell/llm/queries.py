@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from keepwell.llm import bpe, dac, oracle
 from keepwell.llm.decontaminate import contained
+from keepwell.llm.html_text import extract
 from keepwell.llm.minhash import near_duplicates
 from keepwell.llm.quality import quality
 from keepwell.llm.substrings import without_repeats
 from keepwell.llm.tables import read
+from keepwell.llm.warc import through_archives
 
 
 def op1_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,5 +46,13 @@ def op9_addressable_ids(spark: SparkSession, folder: str) -> DataFrame:
     return dac.through_files(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op3_merge_replay": op3_merge_replay, "op9_addressable_ids": op9_addressable_ids, "op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
-ORACLES = {"op10_repeated_passages": oracle.REPEATED_PASSAGES, "op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}
+def op4_zstd_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return through_archives(read(spark, folder, "pages"))
+
+
+def op7_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(read(spark, folder, "pages"))
+
+
+QUERIES = {"op4_zstd_warc": op4_zstd_warc, "op7_tree_scoring": op7_tree_scoring, "op3_merge_replay": op3_merge_replay, "op9_addressable_ids": op9_addressable_ids, "op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
+ORACLES = {"op4_zstd_warc": oracle.WARC, "op10_repeated_passages": oracle.REPEATED_PASSAGES, "op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}
