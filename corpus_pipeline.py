@@ -2,24 +2,54 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from keepwell.llm import bpe
 from keepwell.llm.decontaminate import drop_contaminated
+from keepwell.llm.minhash import keep_one
 from keepwell.llm.quality import apply_quality
+from keepwell.llm.secrets import mask_secrets
 from keepwell.llm.tables import read, written
 
+#: Words of a shingle in the near-duplicate stage; the similarity is the operator's 0.8.
+SHINGLE = 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; frequent lines of a host go from the others."""
     return apply_quality(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays."""
+    return keep_one(docs, SHINGLE)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
     return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality rules", quality_rules), ("benchmark decontamination", decontamination)]
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked."""
+    return mask_secrets(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded texts."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("secret scan", secrets),
+    ("byte-level BPE", encoding),
+]
 
-#: MinHash, masking and byte-pair encoding have no SQL; the tests compare with a brute-force version.
+#: MinHash, masking and byte-pair encoding have no SQL; a test compares with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -10,8 +10,10 @@ from keepwell.llm.decontaminate import contained
 from keepwell.llm.html_text import extract
 from keepwell.llm.minhash import near_duplicates
 from keepwell.llm.quality import quality
+from keepwell.llm.secrets import scan
 from keepwell.llm.substrings import without_repeats
 from keepwell.llm.tables import read
+from keepwell.llm.toxicity import toxicity
 from keepwell.llm.warc import through_archives
 
 
@@ -54,5 +56,18 @@ def op7_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return extract(read(spark, folder, "pages"))
 
 
-QUERIES = {"op4_zstd_warc": op4_zstd_warc, "op7_tree_scoring": op7_tree_scoring, "op3_merge_replay": op3_merge_replay, "op9_addressable_ids": op9_addressable_ids, "op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
+def op8_nearest_examples(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+def op2_markov_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan(read(spark, folder, "documents"))
+    base = F.filter("found", lambda s: s["kind"] != "random")
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("random"),
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed("found").alias("spans"))
+
+
+QUERIES = {"op2_markov_secrets": op2_markov_secrets, "op8_nearest_examples": op8_nearest_examples, "op4_zstd_warc": op4_zstd_warc, "op7_tree_scoring": op7_tree_scoring, "op3_merge_replay": op3_merge_replay, "op9_addressable_ids": op9_addressable_ids, "op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
 ORACLES = {"op4_zstd_warc": oracle.WARC, "op10_repeated_passages": oracle.REPEATED_PASSAGES, "op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}
