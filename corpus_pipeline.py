@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,31 +13,46 @@ from keepwell.llm.minhash import keep_one
 from keepwell.llm.quality import apply_quality
 from keepwell.llm.secrets import mask_secrets
 from keepwell.llm.tables import read, written
+from keepwell.session import ship_package
 
 #: Words of a shingle in the near-duplicate stage; the similarity is the operator's 0.8.
 SHINGLE = 5
 
 
+def _stage(function):
+    """A stage whose Python code is on all executors."""
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, docs, sf_dir)
+    return run
+
+
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; frequent lines of a host go from the others."""
     return apply_quality(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
     return keep_one(docs, SHINGLE)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
     return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked."""
     return mask_secrets(docs)
 
 
+@_stage
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts."""
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)

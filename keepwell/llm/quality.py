@@ -103,7 +103,8 @@ def quality(docs: DataFrame, min_docs: int = MIN_DOCS, share_pct: int = SHARE_PC
 
 def apply_quality(docs: DataFrame) -> DataFrame:
     """Kept documents without their removed lines; the columns of the input."""
-    q = quality(docs).where("kept").select(
+    # written first: a filter pushed into the counts would evaluate them inside their own lambdas
+    q = written(quality(docs), "quality").where("kept").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_host"), F.col("text_key").alias("_key"), F.col("lines").alias("_lines")).distinct()
     d = docs.join(q, docs["doc_id"].eqNullSafe(q["_id"]) & docs["source"].eqNullSafe(q["_host"])
                   & (text_key(docs["text"]) == q["_key"]))
