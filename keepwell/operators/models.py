@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import math
 import random
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keepwell.functions.features import ensure_engineered
@@ -91,11 +93,16 @@ def fit_linear(train: DataFrame) -> Scorer:
     shape = shape_of(train, LINEAR)
     rows = shape.prepare(train).withColumn("_w", balanced_weight(train, TARGET))
     total = rows.agg(F.sum("_w")).first()[0]
-    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
+    scaler = StandardScaler(inputCol="raw_features", outputCol="sample_scaled", withMean=True, withStd=True)
     model = LogisticRegression(labelCol=TARGET, weightCol="_w", regParam=1.0 / total, elasticNetParam=0.0,
                                standardization=False, maxIter=200)
     stages = [*linear_stages(shape.nominal, shape.ordinal, shape.numeric, "raw_features"), scaler]
     prepared = Pipeline(stages=stages).fit(rows)
+    # the scaler divides by the sample deviation; the penalty is meant for population units
+    n = rows.count()
+    width = prepared.stages[-1].mean.size
+    unit = ElementwiseProduct(scalingVec=Vectors.dense([math.sqrt(n / max(n - 1, 1))] * width), inputCol="sample_scaled", outputCol="features")
+    prepared = PipelineModel([*prepared.stages, unit])
     fitted = model.fit(for_iteration(prepared.transform(rows).select("features", TARGET, "_w")))
     return Scorer("logistic_regression", shape, PipelineModel([*prepared.stages, fitted]))
 
@@ -144,9 +151,9 @@ def candidate_metrics(scorers, test: DataFrame) -> DataFrame:
 
 def winner(comparison: DataFrame) -> DataFrame:
     """Best candidate by AUC flagged as deployed, best first."""
-    best = comparison.agg(F.max_by("model", "roc_auc").alias("best"))
+    best = comparison.agg(F.max_by("model", F.struct("roc_auc", "model")).alias("best"))      # ties by name
     return (comparison.join(F.broadcast(best)).withColumn("deployed", F.col("model") == F.col("best"))
-            .drop("best").orderBy(F.desc("roc_auc")))
+            .drop("best").orderBy(F.desc("roc_auc"), F.desc("model")))
 
 
 def search_space(trials: int = SEARCH_TRIALS, seed: int = 42) -> list[dict]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from fractions import Fraction
 from functools import reduce
 
@@ -82,23 +83,25 @@ def numeric_drift(baseline: DataFrame, scoring: DataFrame) -> DataFrame:
         | (F.col("std_drift_percent") > STD_DRIFT_PERCENT), F.lit(False)))
 
 
-def aligned_shares(baseline: DataFrame, scoring: DataFrame) -> DataFrame:
+def aligned_shares(baseline: DataFrame, scoring: DataFrame, scoring_columns: Sequence[str] = ()) -> DataFrame:
     """Full alignment of two category distributions; an absent level has share 0.
 
     Features known to one side only are left out; that test reads the joined
-    levels again instead of joining once more.
+    levels again instead of joining once more. ``scoring_columns`` are columns
+    the scoring side has: one of them without any value keeps its feature, whose
+    levels then have all vanished.
     """
     b = baseline.select("feature", "category", F.col("share").alias("train_share"))
     s = scoring.select("feature", "category", F.col("share").alias("scoring_share"))
     known = Window.partitionBy("feature")              # the levels of one feature
     joined = b.join(s, ["feature", "category"], "full").fillna(0.0, ["train_share", "scoring_share"])
-    return (joined.withColumn("_both", (F.max("train_share").over(known) > 0) & (F.max("scoring_share").over(known) > 0))
+    return (joined.withColumn("_both", (F.max("train_share").over(known) > 0) & ((F.max("scoring_share").over(known) > 0) | F.col("feature").isin(list(scoring_columns))))
             .filter("_both").drop("_both"))
 
 
-def categorical_drift(baseline: DataFrame, scoring: DataFrame) -> DataFrame:
+def categorical_drift(baseline: DataFrame, scoring: DataFrame, scoring_columns: Sequence[str] = ()) -> DataFrame:
     """Total variation distance with new and vanished categories per feature."""
-    sides = aligned_shares(baseline, scoring)
+    sides = aligned_shares(baseline, scoring, scoring_columns)
     names = lambda test: F.array_sort(F.collect_set(F.when(test, F.col("category"))))
     return (
         sides.groupBy("feature").agg(
@@ -132,7 +135,7 @@ def drift_report(train: DataFrame, scoring: DataFrame) -> dict[str, DataFrame]:
     """All drift tables for two frames of model inputs."""
     train_x, scoring_x = drop_non_features(train), drop_non_features(scoring)
     numeric = numeric_drift(numeric_baseline(train_x), numeric_baseline(scoring_x))
-    categorical = categorical_drift(categorical_baseline(train_x), categorical_baseline(scoring_x))
+    categorical = categorical_drift(categorical_baseline(train_x), categorical_baseline(scoring_x), scoring_x.columns)
     return {"numeric": numeric, "categorical": categorical,
             "summary": drift_summary(numeric, categorical, train_x.columns, scoring_x.columns)}
 

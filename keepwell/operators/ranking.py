@@ -6,6 +6,8 @@ Seeded orders use md5 of key and seed, so they do not depend on partitioning.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,7 +35,8 @@ def hash_rank(df: DataFrame, key: str, seed, strata: Sequence[str] = (),
     the rows: the hash prefix splits it into 16**digits even slots, ranks are
     taken inside a slot and shifted by the counts of the slots before it. The
     shifts join on the same (stratum, slot) key the window needs, so rows move
-    once; no broadcast is forced, because strata may be many.
+    once; no broadcast is forced, because strata may be many. A row whose key is
+    NULL takes part with the hash of its seed.
     """
     strata = list(strata)
     slotted = (df.withColumn("_h", seeded_hash(key, seed))
@@ -42,14 +45,16 @@ def hash_rank(df: DataFrame, key: str, seed, strata: Sequence[str] = (),
     whole = Window.partitionBy(*strata)
     before = whole.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     shifts = per_slot.select(
-        *strata, "_slot",
+        *[F.col(s).alias(f"_stratum_{i}") for i, s in enumerate(strata)], F.col("_slot").alias("_at"),
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift"),
         F.sum("_c").over(whole).alias("stratum_size"))
     inside = Window.partitionBy(*strata, "_slot").orderBy("_h", key)
+    # a NULL stratum is a stratum like any other
+    same = [F.col(s).eqNullSafe(F.col(f"_stratum_{i}")) for i, s in enumerate(strata)]
     return (
-        slotted.join(shifts, [*strata, "_slot"])
+        slotted.join(shifts, reduce(and_, same, F.col("_slot").eqNullSafe(F.col("_at"))))
         .withColumn("hash_rank", F.col("_shift") + F.row_number().over(inside))
-        .drop("_h", "_slot", "_shift")
+        .drop("_h", "_slot", "_shift", "_at", *[f"_stratum_{i}" for i in range(len(strata))])
     )
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -22,38 +24,47 @@ SUMS_IN_PLAN = 8
 def moments(df: DataFrame, terms: Mapping[str, Column], weight: Column | None = None) -> np.ndarray:
     """Weighted cross-product matrix of the terms.
 
-    A few terms are plain sums inside one aggregate. Wide designs would make
-    that aggregate too large to compile, so each task multiplies its Arrow
-    batches and the partial matrices are added by cell.
+    Rows with a NULL or NaN among the terms or the weight are left out of every
+    cell, whatever the width. A few terms are plain sums inside one aggregate.
+    Wide designs would make that aggregate too large to compile, so each task
+    multiplies its Arrow batches and the partial matrices are added by cell.
     """
     names = list(terms)
     k = len(names)
     w = F.lit(1.0) if weight is None else weight.cast("double")
+    columns = ["_w", *[f"x{i}" for i in range(k)]]
+    rows = df.select(w.alias("_w"), *[terms[n].cast("double").alias(f"x{i}") for i, n in enumerate(names)])
+    rows = rows.filter(reduce(and_, [F.col(c).isNotNull() & ~F.isnan(c) for c in columns]))
     if k <= SUMS_IN_PLAN:
-        row = df.select(w.alias("_w"), *[terms[n].cast("double").alias(f"x{i}") for i, n in enumerate(names)]).agg(
+        row = rows.agg(
             *[F.sum(F.col("_w") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"m{i}_{j}")
               for i in range(k) for j in range(i, k)]).first()
         out = np.zeros((k, k))
         for i in range(k):
             for j in range(i, k):
                 out[i, j] = out[j, i] = row[f"m{i}_{j}"] or 0.0
-        return out
+        return _finite(out)
 
     def partial(batches):
         total = np.zeros((k, k))
         for pdf in batches:
-            x = pdf.iloc[:, :k].to_numpy(dtype=float)
+            x = pdf[columns[1:]].to_numpy(dtype=float)
             total += x.T @ (x * pdf["_w"].to_numpy(dtype=float)[:, None])
         i, j = np.triu_indices(k)
         yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "s": total[i, j]})
 
-    wide = df.select(*[terms[n].cast("double").alias(f"x{i}") for i, n in enumerate(names)], w.alias("_w"))
-    cells = (wide.mapInPandas(partial, "i int, j int, s double")
+    cells = (rows.mapInPandas(partial, "i int, j int, s double")
              .groupBy("i", "j").agg(F.sum("s").alias("s")).collect())
     out = np.zeros((k, k))
     for r in cells:
         out[r["i"], r["j"]] = out[r["j"], r["i"]] = r["s"]
-    return out
+    return _finite(out)
+
+
+def _finite(sums: np.ndarray) -> np.ndarray:
+    if not np.isfinite(sums).all():
+        raise ValueError("the moments of the terms are not finite")
+    return sums
 
 
 @dataclass

@@ -193,7 +193,7 @@ def drift_numeric(spark, d):
 @query
 def drift_categorical(spark, d):
     train, batch = halves(spark, d)
-    out = profile.categorical_drift(profile.categorical_baseline(train), profile.categorical_baseline(batch))
+    out = profile.categorical_drift(profile.categorical_baseline(train), profile.categorical_baseline(batch), batch.columns)
     return out.select("feature", r("tvd", 4), "drifted", F.array_join("new_categories", "|").alias("new_categories"),
                       F.array_join("missing_categories", "|").alias("missing_categories"))
 
@@ -201,7 +201,7 @@ def drift_categorical(spark, d):
 @query
 def category_alignment(spark, d):
     train, batch = halves(spark, d)
-    out = profile.aligned_shares(profile.categorical_baseline(train), profile.categorical_baseline(batch))
+    out = profile.aligned_shares(profile.categorical_baseline(train), profile.categorical_baseline(batch), batch.columns)
     return out.select("feature", "category", r("train_share"), r("scoring_share"))
 
 
@@ -1049,3 +1049,17 @@ def stream_score(spark, d):
     records = online.parse(spark.readStream.schema("value string").text(f"{folder}/in"))
     online.run_stream(records, with_score, "v1", "linear_score", f"{folder}/out", f"{folder}/state")
     return spark.read.parquet(f"{folder}/out")
+
+
+@query
+def stream_quarantine(spark, d):
+    """Records that the contract rejects, with their problems, from the second sink of the stream."""
+    folder = scratch_folder(spark, "stream")
+    frame = typed(customer_frame(spark, d)).drop(TARGET)
+    broken = F.when(F.col("tenure") % 11 == 3, F.lit(-1)).otherwise(F.col("tenure"))
+    senior = F.when(F.col("tenure") % 13 == 5, F.lit(2)).otherwise(F.col("SeniorCitizen"))
+    frame = frame.withColumns({"tenure": broken, "SeniorCitizen": senior})
+    frame.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{folder}/in")
+    records = online.parse(spark.readStream.schema("value string").text(f"{folder}/in"))
+    online.run_stream(records, with_score, "v1", "linear_score", f"{folder}/out", f"{folder}/state")
+    return spark.read.parquet(f"{folder}/out-rejected").select(ID, F.array_join("problems", "; ").alias("problems"))

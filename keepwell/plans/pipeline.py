@@ -93,7 +93,7 @@ def score_stage(batch: DataFrame, root: str, run_ts: str) -> DataFrame:
     inputs = drop_non_features(batch)
     stored = lambda name: store.newest_run(store.read_runs(spark, f"{root}/{name}")).drop("run_ts")
     numeric = profile.numeric_drift(stored("baseline_numeric"), profile.numeric_baseline(inputs))
-    categorical = profile.categorical_drift(stored("baseline_categorical"), profile.categorical_baseline(inputs))
+    categorical = profile.categorical_drift(stored("baseline_categorical"), profile.categorical_baseline(inputs), inputs.columns)
     store.write_run(numeric, f"{root}/drift_numeric", run_ts)
     store.write_run(categorical, f"{root}/drift_categorical", run_ts)
     store.write_run(profile.drift_summary(numeric, categorical, scorer.shape.feature_names, inputs.columns),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from keepwell.functions.features import with_engineered
 from keepwell.functions.scoring import hard_prediction, risk_category
@@ -24,7 +25,7 @@ REQUIRED = [f.name for f in RECORD_SCHEMA if f.name != ID]
 
 def parse(values: DataFrame, column: str = "value") -> DataFrame:
     """JSON text to typed columns; a wrong type or broken text fills ``_corrupt``."""
-    schema = RECORD_SCHEMA.add("_corrupt", "string") if "_corrupt" not in RECORD_SCHEMA.names else RECORD_SCHEMA
+    schema = StructType([*RECORD_SCHEMA.fields, StructField("_corrupt", StringType())])
     parsed = F.from_json(column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return values.withColumn("_r", parsed).select("*", "_r.*").drop("_r")
 
@@ -60,9 +61,15 @@ def quarantine(records: DataFrame) -> DataFrame:
 
 
 def run_stream(records: DataFrame, score, version: str, model_name: str, sink: str, checkpoint: str):
-    """Process what is available, write parquet exactly once, and stop."""
-    query = (score_records(records, score, version, model_name).writeStream
-             .format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
-    query.awaitTermination()
-    return query
+    """Process what is available, write parquet exactly once, and stop.
+
+    Rejected records go to ``<sink>-rejected`` with their problems, by a query of
+    its own, so that each sink keeps its exactly-once log.
+    """
+    outputs = {sink: (score_records(records, score, version, model_name), checkpoint),
+               f"{sink}-rejected": (quarantine(records), f"{checkpoint}-rejected")}
+    queries = [frame.writeStream.format("parquet").option("path", path).option("checkpointLocation", state)
+               .outputMode("append").trigger(availableNow=True).start() for path, (frame, state) in outputs.items()]
+    for query in queries:
+        query.awaitTermination()
+    return queries[0]

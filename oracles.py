@@ -699,5 +699,8 @@ _add("fact_causal", _CELLS + "," + _IPW + "," + _AIPW + ", nv AS (SELECT avg(out
   UNION ALL SELECT 'Difference-in-differences', 'Naive before/after', round(tq - tp, 6), false, '' FROM dc
   UNION ALL SELECT 'Difference-in-differences', 'Difference-in-differences', round(tq - tp - (cq - cp), 6), true, '' FROM dc""")
 _add("report_flatten", _PROFILE + " SELECT segment, customers, share, churn_rate, monthly_revenue FROM prof")
+_add("stream_quarantine", _FEAT + """, broken AS (SELECT customerID, TotalCharges IS NULL AS missing, tenure % 11 = 3 AS negative, tenure % 13 = 5 AS senior FROM typed)
+SELECT customerID, concat_ws('; ', CASE WHEN missing THEN 'missing TotalCharges' END, CASE WHEN negative THEN 'negative tenure' END,
+  CASE WHEN senior THEN 'SeniorCitizen out of range' END) AS problems FROM broken WHERE missing OR negative OR senior""")
 _add("stream_score", _SCORED + f""" SELECT customerID, churn_probability, prediction, {_BAND} AS risk_category, 'v1' AS model_version, 'linear_score' AS model_name
   FROM scored WHERE customerID IN (SELECT customerID FROM typed WHERE TotalCharges IS NOT NULL)""")
