@@ -261,7 +261,7 @@ def eda_churn_by_level(spark, d):
 
 @query
 def eda_histogram(spark, d):
-    out = profile.class_histogram(clean(spark, d), ["tenure", "MonthlyCharges"], TARGET)
+    out = profile.class_histogram(clean(spark, d), ["tenure", "MonthlyCharges", "TotalCharges"], TARGET)
     return out.select("feature", "class", "bin", r("lo", 4), r("hi", 4), "n", r("density"))
 
 
@@ -531,7 +531,7 @@ def design_table(spark, d):
 
 @query
 def power_curve(spark, d):
-    return power.power_curve(designs(spark, d), steps=40).select(
+    return power.power_curve(designs(spark, d)).select(
         "Contract", "n_per_arm", r("effect"), r("power"))
 
 
@@ -557,8 +557,8 @@ def category_levels(spark, d):
 def category_codes(spark, d):
     """Levels pinned on check payers; other payment methods are unseen (-1)."""
     frame = typed(customer_frame(spark, d))
-    pinned = encode.pinned_levels(frame.filter(F.col("PaymentMethod").endswith("check")), ["PaymentMethod", "InternetService"])
-    return encode.with_codes(frame, pinned).select(ID, "PaymentMethod", "InternetService", encode.contract_code().alias("contract_code"))
+    pinned = encode.pinned_levels(frame.filter(F.col("PaymentMethod").endswith("check")), NOMINAL)
+    return encode.with_codes(frame, pinned).select(ID, *NOMINAL, encode.contract_code().alias("contract_code"))
 
 
 @query
@@ -567,7 +567,7 @@ def one_hot(spark, d):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     frame = typed(customer_frame(spark, d)).withColumn("Contract_code", encode.contract_code().cast("double"))
-    names = ["InternetService", "PaymentMethod"]
+    names = list(NOMINAL)
     fitted = Pipeline(stages=encode.linear_stages(names, ["Contract"], ["tenure"])).fit(frame)
     labels = [f"{c}_{v}" for c, ls in zip(names, fitted.stages[0].labelsArray) for v in ls] + ["Contract_code", "tenure"]
     values = vector_to_array("features")
@@ -578,7 +578,7 @@ def one_hot(spark, d):
 @query
 def reference_design(spark, d):
     frame = typed(customer_frame(spark, d))
-    terms = encode.reference_design(frame, ["InternetService", "PaymentMethod"], ["Contract"], ["tenure"])
+    terms = encode.reference_design(frame, NOMINAL, ["Contract"], ["tenure"])
     return frame.select(ID, *[c.alias(n.replace(" ", "_").replace("(", "").replace(")", "").replace("-", "_")) for n, c in terms.items()])
 
 

@@ -397,7 +397,7 @@ _add("eda_class_balance", _RAW + """, c AS (SELECT Churn, count(*) AS n FROM raw
 _add("eda_churn_by_level", _RAW + f""", l AS ({_long('typed', [*NOMINAL, *ORDINAL, 'SeniorCitizen'], ', Churn')})
   SELECT feature, category, count(*) AS n, sum(Churn)::BIGINT AS positives, round(avg(Churn), 6) AS rate FROM l GROUP BY 1, 2""")
 _add("eda_histogram", _RAW + """, l AS (SELECT 'tenure' AS feature, Churn AS class, tenure::DOUBLE AS v FROM clean
-   UNION ALL SELECT 'MonthlyCharges', Churn, MonthlyCharges FROM clean),
+   UNION ALL SELECT 'MonthlyCharges', Churn, MonthlyCharges FROM clean UNION ALL SELECT 'TotalCharges', Churn, TotalCharges FROM clean),
   s AS (SELECT *, min(v) OVER w AS lo, max(v) OVER w AS hi, count(*) OVER w AS total FROM l WINDOW w AS (PARTITION BY feature, class)),
   b AS (SELECT *, CAST(CASE WHEN hi > lo THEN least(floor((v - lo) * 30 / (hi - lo)), 29) ELSE 0 END AS INTEGER) AS bin FROM s)
   SELECT feature, class, bin, round(lo, 4) AS lo, round(hi, 4) AS hi, count(*) AS n,
@@ -531,7 +531,7 @@ def _cdf(z):
 
 _add("power_curve", _SCORED + "," + _DESIGN + f""",
   tp AS (SELECT *, greatest(floor(req * 1.6::DOUBLE), 2 * avail, 51) AS top FROM ds),
-  gr AS (SELECT DISTINCT Contract, base, CAST(floor(50 + (top - 50) * i / 39) AS BIGINT) AS n_per_arm FROM tp, (SELECT unnest(range(0, 40)) AS i)),
+  gr AS (SELECT DISTINCT Contract, base, CAST(floor(50 + (top - 50) * i / 199) AS BIGINT) AS n_per_arm FROM tp, (SELECT unnest(range(0, 200)) AS i)),
   ge AS (SELECT *, m * 0.05::DOUBLE AS effect FROM gr, (SELECT unnest([1.0::DOUBLE, 1.5::DOUBLE, 2.0::DOUBLE]) AS m)),
   gz AS (SELECT *, {_power('n_per_arm', 'base', 'effect')} AS z FROM ge)
   SELECT Contract, n_per_arm, round(effect, 6) AS effect, round({_cdf('z')}, 6) AS power FROM gz""")
@@ -544,19 +544,21 @@ _add("verdicts", _ASSIGNED + "," + _ARM_RET.format(by="Contract,", src="outcomes
 # --- encoding ----------------------------------------------------------------
 _add("category_levels", _FEAT + f""", l AS ({_long('feat', [*NOMINAL, 'tenure_bucket', 'spend_bucket'])})
   SELECT feature, string_agg(DISTINCT category, '|' ORDER BY category) AS levels FROM l GROUP BY 1""")
-_add("category_codes", _RAW + """ SELECT customerID,
-  CAST(CASE PaymentMethod WHEN 'Electronic check' THEN 0 WHEN 'Mailed check' THEN 1 ELSE -1 END AS INTEGER) AS PaymentMethod,
-  CAST(CASE InternetService WHEN 'DSL' THEN 0 WHEN 'Fiber optic' THEN 1 WHEN 'No' THEN 2 ELSE -1 END AS INTEGER) AS InternetService,
+_add("category_codes", _RAW + ", " + ", ".join(
+    f"code_{c} AS (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT {c} FROM typed WHERE PaymentMethod LIKE '%check'))"
+    for c in NOMINAL) + " SELECT customerID, " + ", ".join(
+    f"coalesce((SELECT code FROM code_{c} WHERE v = typed.{c}), -1) AS {c}" for c in NOMINAL) + """,
   CAST(CASE Contract WHEN 'Month-to-month' THEN 0 WHEN 'One year' THEN 1 WHEN 'Two year' THEN 2 ELSE -1 END AS INTEGER) AS contract_code FROM typed""")
-_add("one_hot", _RAW + """ SELECT 'InternetService_' || InternetService AS term, count(*)::DOUBLE AS total FROM typed GROUP BY 1
-  UNION ALL SELECT 'PaymentMethod_' || PaymentMethod, count(*)::DOUBLE FROM typed GROUP BY 1
+_add("one_hot", _RAW + " " + " UNION ALL ".join(f"SELECT '{c}_' || {c} AS term, count(*)::DOUBLE AS total FROM typed GROUP BY 1" for c in NOMINAL) + """
   UNION ALL SELECT 'tenure', sum(tenure)::DOUBLE FROM typed
   UNION ALL SELECT 'Contract_code', sum(CASE Contract WHEN 'One year' THEN 1 WHEN 'Two year' THEN 2 ELSE 0 END)::DOUBLE FROM typed""")
+_OTHER_LEVELS = {c: {"gender": ["Male"], "MultipleLines": ["No phone service", "Yes"], "InternetService": ["Fiber optic", "No"],
+                     "PaymentMethod": ["Credit card (automatic)", "Electronic check", "Mailed check"]}.get(
+    c, ["Yes"] if c in ("Partner", "Dependents", "PhoneService", "PaperlessBilling") else ["No internet service", "Yes"]) for c in NOMINAL}
 _ind = lambda c, v: f"(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END)::DOUBLE"
 _add("reference_design", _RAW + " SELECT customerID, " + ", ".join(
     f"{_ind(c, v)} AS \"{c}_{v.replace(' ', '_').replace('(', '').replace(')', '').replace('-', '_')}\"" for c, v in [
-        ("InternetService", "Fiber optic"), ("InternetService", "No"), ("PaymentMethod", "Credit card (automatic)"),
-        ("PaymentMethod", "Electronic check"), ("PaymentMethod", "Mailed check"), ("Contract", "One year"), ("Contract", "Two year")])
+        *[(c, v) for c in NOMINAL for v in _OTHER_LEVELS[c]], ("Contract", "One year"), ("Contract", "Two year")])
     + ", tenure::DOUBLE AS tenure FROM typed")
 _add("standardised", _RAW + " SELECT customerID, " + ", ".join(
     f"round(({c} - (SELECT avg({c}) FROM clean)) / (SELECT stddev_pop({c}) FROM clean), 6) AS {c}" for c in NUMERIC) + " FROM clean")
