@@ -15,11 +15,30 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: cuts lineage, outlives any executor."""
+#: Rows of a narrow table that one task writes, where the number is known before.
+ROWS_A_TASK = 250_000
+
+
+def written(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: cuts lineage, outlives any executor.
+
+    ``most`` is a bound on its rows; few rows are written by few tasks.
+    """
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kind = df.schema
+    (df if most is None else df.coalesce(max(4, -(-most // ROWS_A_TASK)))).write.parquet(path)
+    return df.sparkSession.read.schema(kind).parquet(path)
+
+
+def measured(df: DataFrame, name: str, most: int | None = None, **values: Column) -> tuple[DataFrame, dict]:
+    """A written table with its row count and other aggregates, read from the table."""
+    table = written(df, name, most)
+    return table, table.agg(F.count(F.lit(1)).alias("rows"), *(v.alias(k) for k, v in values.items())).first().asDict()
+
+
+def small(side: DataFrame, size: int) -> DataFrame:
+    """A side of a known size in bytes, marked for broadcast within the bound."""
+    return F.broadcast(side) if size <= BROADCAST_BYTES else side
 
 
 def sized(side: DataFrame, row_bytes: int | Column) -> DataFrame:
