@@ -3,7 +3,8 @@
 A window is WINDOW consecutive words. Its minimiser is the smallest hash of the
 MINIMISER-word grams in it; consecutive windows with one minimiser travel as one
 packed string to the bucket of that minimiser, where equal windows meet and are
-sorted by hash, compared word by word and counted. All but the first occurrence (smallest doc_id, then
+sorted by hash, compared word by word and counted. A first pass sends the minimisers alone; only
+super-k-mers whose minimiser has another one then travel with their words. All but the first occurrence (smallest doc_id, then
 start) are removed. Before that, each block of documents sends only the first
 occurrence that it holds itself, so a passage that stands in a third of all
 documents arrives once a block.
@@ -26,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.tables import sized, written
-from keepwell.llm.textblocks import Words, column_bytes, ngram_hashes, slices
+from keepwell.llm.tables import written
+from keepwell.llm.textblocks import Words, column_bytes, mixed, ngram_hashes, slices
 
 WINDOW = 20
 MINIMISER = 5
@@ -35,8 +36,10 @@ MINIMISER = 5
 SAMPLE_A_PARTITION = 16
 NO_ID = -(1 << 63)
 
-#: Bytes of packed words judged together.
+#: Bytes of packed words judged together, and of texts cut together.
 HELD_BYTES = 4 << 20
+BLOCK = 4 << 20
+ROUTES = "route long, doc long, text_key long, first long, last long"
 PACKED = "route long, doc long, text_key long, start long, n long, words binary"
 RUNS = "doc long, text_key long, first long, last long"
 
@@ -82,10 +85,14 @@ def _repeated(words: Words, doc: np.ndarray, start: np.ndarray, first: np.ndarra
     # neighbours whose sources are neighbours too are compared as one stretch
     a, b = first[at], first[source[at]]
     lo, hi = _stretches(_breaks((np.diff(a) != 1) | (np.diff(b) != 1) | (np.diff(start[at]) != 1) | (np.diff(start[source[at]]) != 1), len(at)))
-    for i, j, x, y in zip(lo.tolist(), hi.tolist(), words.texts(a[lo], a[hi] + WINDOW - 1), words.texts(b[lo], b[hi] + WINDOW - 1)):
-        if x != y:
-            for k in range(i, j + 1):
-                later[at[k]] = words.text(a[k], a[k] + WINDOW) == words.text(b[k], b[k] + WINDOW)
+    met = {h for i, j, x, y in zip(lo.tolist(), hi.tolist(), words.texts(a[lo], a[hi] + WINDOW - 1), words.texts(b[lo], b[hi] + WINDOW - 1))
+           if x != y for h in hashes[at[i : j + 1]].tolist()}
+    for h in met:  # different windows may share this hash: tell them by their words
+        seen: dict[bytes, tuple[int, int]] = {}
+        own = np.flatnonzero(hashes == np.uint64(h))
+        for k in own[np.lexsort((start[own], doc[own]))].tolist():
+            place = (int(doc[k]), int(start[k]))
+            later[k] = seen.setdefault(words.text(first[k], first[k] + WINDOW), place) != place
     return later
 
 
@@ -126,25 +133,72 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(low.astype(np.int64)), pa.array(n.astype(np.int64))], names=["low", "n"])
 
 
+class _Block:
+    """Super-k-mers of a block of texts, and the windows that occur earlier in the block itself."""
+
+    def __init__(self, batch: pa.RecordBatch, hot: np.ndarray):
+        self.words, first, text, hashes, low = _block(batch)
+        ids, keys = _ids(batch)
+        doc, key, start = ids[text], keys[text], first - self.words.bounds[:-1][text]
+        gone = _repeated(self.words, doc, start, first, hashes)
+        self.runs = _runs(doc[gone], key[gone], start[gone])
+        doc, key, start, first, text, hashes, low = (x[~gone] for x in (doc, key, start, first, text, hashes, low))
+        rare = ~np.isin(low, hot)
+        lo, hi = _stretches(_breaks((np.diff(first) != 1) | (np.diff(start) != 1) | (low[1:] != low[:-1]) | ~rare[1:], len(first)))
+        self.route = np.where(rare[lo], low[lo], hashes[lo])
+        self.doc, self.key, self.start, self.text, self.first = doc[lo], key[lo], start[lo], text[lo], first[lo]
+        self.last = first[hi] + WINDOW - 1
+
+
+def _routes(hot: np.ndarray):
+    """(route, doc, text key) of every super-k-mer; runs already known to repeat ride along with first and last."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", BLOCK):
+                b = _Block(batch, hot)
+                n, m = len(b.route), len(b.runs[0])
+                none = np.r_[np.ones(n, bool), np.zeros(m, bool)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.r_[b.route.astype(np.int64), b.runs[0] ^ b.runs[2]]), pa.array(np.r_[b.doc, b.runs[0]]), pa.array(np.r_[b.key, b.runs[1]]),
+                     pa.array(np.r_[b.start, b.runs[2]], mask=none), pa.array(np.r_[b.start, b.runs[3]], mask=none)],
+                    names=["route", "doc", "text_key", "first", "last"])
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by route, those whose route has another row, and all runs."""
+    before, left = None, None
+    for batch in batches:
+        rows = batch if left is None else pa.Table.from_batches([left, batch]).combine_chunks().to_batches()[0]
+        if not rows.num_rows:
+            continue
+        route = rows.column("route").to_numpy()
+        same = route[1:] == route[:-1]
+        keep = np.r_[same, False] | np.r_[route[0] == before, same]
+        keep |= rows.column("first").is_valid().to_numpy(zero_copy_only=False)
+        # whether the last row has a partner shows with the next batch
+        before = route[-2] if len(route) > 1 else before
+        yield rows.slice(0, rows.num_rows - 1).filter(pa.array(keep[:-1]))
+        left = rows.slice(rows.num_rows - 1)
+    if left is not None:
+        keep = left.column("route")[0].as_py() == before or left.column("first")[0].is_valid
+        yield left.filter(pa.array([bool(keep)]))
+
+
 def _pack(hot: np.ndarray):
-    """Documents to super-k-mers; runs already known to repeat ride along with null words."""
+    """Documents with their shared routes to packed strings; runs ride along with null words."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
-                words, first, text, hashes, low = _block(batch)
-                if not len(first):
-                    continue
-                ids, keys = _ids(batch)
-                doc, key, start = ids[text], keys[text], first - words.bounds[:-1][text]
-                gone = _repeated(words, doc, start, first, hashes)
-                runs = _runs(doc[gone], key[gone], start[gone])
-                doc, key, start, first, hashes, low = (x[~gone] for x in (doc, key, start, first, hashes, low))
-                rare = ~np.isin(low, hot)
-                lo, hi = _stretches(_breaks((np.diff(first) != 1) | (np.diff(start) != 1) | (low[1:] != low[:-1]) | ~rare[1:], len(first)))
-                route = np.where(rare[lo], low[lo], hashes[lo]).astype(np.int64)
-                columns = [np.r_[route, runs[0] ^ runs[2]], np.r_[doc[lo], runs[0]], np.r_[key[lo], runs[1]],
-                           np.r_[start[lo], runs[2]], np.r_[hi - lo + 1, runs[3]]]
-                packed = words.texts(first[lo], first[hi] + WINDOW - 1) + [None] * len(runs[0])
+            for batch in slices(whole, "text", BLOCK):
+                b = _Block(batch, hot)
+                routes = batch.column("routes")
+                row = np.repeat(np.arange(batch.num_rows), routes.value_lengths().to_numpy())
+                pair = lambda text, route: mixed(route ^ mixed(text.astype(np.uint64) + np.uint64(1)))
+                wanted = np.isin(pair(b.text, b.route), pair(row, routes.flatten().to_numpy().astype(np.uint64)))
+                r, n = b.runs, len(b.runs[0])
+                columns = [np.r_[b.route[wanted].astype(np.int64), r[0] ^ r[2]], np.r_[b.doc[wanted], r[0]], np.r_[b.key[wanted], r[1]],
+                           np.r_[b.start[wanted], r[2]], np.r_[b.last[wanted] - b.first[wanted], r[3]]]
+                packed = b.words.texts(b.first[wanted], b.last[wanted]) + [None] * n
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(packed, pa.binary())],
                                                  names=["route", "doc", "text_key", "start", "n", "words"])
     return pack
@@ -219,9 +273,17 @@ def frequent_minimisers(docs: DataFrame) -> np.ndarray:
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(doc, text_key, runs): the runs of words to remove from each text that loses any."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    packed = docs.mapInArrow(_pack(frequent_minimisers(docs)), PACKED)
+    hot = np.sort(frequent_minimisers(docs))
+    # a window can only repeat if another super-k-mer takes its route: most never do, and their words stay where they are
+    routes = docs.mapInArrow(_routes(hot), ROUTES).repartition("route").sortWithinPartitions("route").mapInArrow(_shared, ROUTES)
+    routes = written(routes, "routes")
+    known = routes.where("first is not null").select("doc", "text_key", "first", "last")
+    wanted = routes.where("first is null").groupBy("doc", F.col("text_key").alias("own_key")).agg(F.collect_set("route").alias("routes"))
+    docs = docs.withColumn("own", F.coalesce("doc_id", F.lit(NO_ID)))
+    some = docs.join(wanted, (docs["own"] == wanted["doc"]) & (docs["text_key"] == wanted["own_key"])).select("doc_id", "text", "text_key", "routes")
+    packed = some.mapInArrow(_pack(hot), PACKED)
     runs = packed.repartition("route").sortWithinPartitions("route").mapInArrow(_count, RUNS)
-    return runs.groupBy("doc", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    return runs.unionAll(known).groupBy("doc", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -229,6 +291,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     runs = written(repeated_runs(docs), "repeated-runs")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("own", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("key", F.xxhash64("text"))
-    r = sized(runs, 96 + 40 * F.size("runs"))
-    return (docs.join(r, (docs["own"] == r["doc"]) & (docs["key"] == r["text_key"]), "left").select("doc_id", "text", "runs")
+    return (docs.join(runs, (docs["own"] == runs["doc"]) & (docs["key"] == runs["text_key"]), "left").select("doc_id", "text", "runs")
             .mapInArrow(_without, "doc_id long, n_words long, n_removed long, kept_text string"))
