@@ -11,8 +11,8 @@ has LEAST_SEGMENT of them unbroken.
 Bound: the models are trained on the documents of a hash sample of about
 SAMPLE_DOCS; they hold 2 x 66 x 65 counts. Every text is scanned whole.
 
-Edge cases: a null text is empty; without examples both models are uniform or know
-ordinary strings alone, and patterns work as ever; rows with null or repeated ids
+Edge cases: a null text is empty; without examples of
+random strings their model is uniform, and patterns work as ever; rows with null or repeated ids
 are scanned one by one; other columns are not read. Positions are code points, ends
 exclusive.
 """
@@ -34,12 +34,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "random")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_IDENTIFIER = re.compile(r"[A-Za-z][A-Za-z0-9_]{5,}")
+#: Longer runs of characters are no identifiers, and would outweigh all others.
+_IDENTIFIER = re.compile(r"\b[A-Za-z][A-Za-z0-9_]{5,39}\b", re.ASCII)
 _BREAK = re.compile(r"[^A-Za-z0-9]")
 _HINT = re.compile(r"[:=]")
 CLASSES = 65
 SAMPLE_DOCS = 20_000
 LEAST_RATIO, LEAST_MEAN, LEAST_SEGMENT = 20.0, 1.0, 14
+#: Weight, in transitions, of the character frequencies in a state.
+BACKOFF = 8.0
 MASK = "[secret]"
 
 SPACE = CLASSES + 1
@@ -71,11 +74,17 @@ def steps(word: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Ratio:
-    """Log-likelihood ratio of two smoothed first-order models."""
+    """Log-likelihood ratio of two first-order models, smoothed by their character frequencies."""
 
     def __init__(self, random: np.ndarray, ordinary: np.ndarray):
-        own = [np.log((m + 1.0) / (m + 1.0).sum(axis=1, keepdims=True)) for m in (random, ordinary)]
-        self.table = own[0] - own[1]
+        self.table = self._log(random) - self._log(ordinary)
+
+    @staticmethod
+    def _log(counts: np.ndarray) -> np.ndarray:
+        """Log-probabilities; what a state has seen little of follows the frequency of the characters."""
+        single = counts.sum(axis=0) + 1.0
+        mixed = counts + BACKOFF * single / single.sum()
+        return np.log(mixed / mixed.sum(axis=1, keepdims=True))
 
     def of(self, word: str) -> float:
         return float(self.table[steps(word)].sum())
@@ -96,7 +105,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ordinary, at = [], 0
             for a, b in [*((s[0], s[2]) for s in spans), (len(text or ""), 0)]:
                 if a > at:
-                    ordinary += _IDENTIFIER.findall(text, at, a)
+                    # what could be a random secret itself is no example of an ordinary identifier
+                    ordinary += [w for w in _IDENTIFIER.findall(text, at, a) if len(w) < LEAST_SEGMENT or w.isalpha()]
                 at = max(at, b)
             for model, words in enumerate((_values(text, spans) if spans else [], ordinary)):
                 if words:
