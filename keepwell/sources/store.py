@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from keepwell.schema import RAW_SCHEMA
@@ -43,9 +43,10 @@ def load_table(df: DataFrame, name: str, mode: str = "overwrite") -> int:
     """Write a catalog table (replace or append) and report its rows added."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown write mode: {mode}")
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).saveAsTable(name)
-    return seen.get["rows"]
+    spark = df.sparkSession
+    before = spark.table(name).count() if mode == "append" and spark.catalog.tableExists(name) else 0
+    df.write.mode(mode).saveAsTable(name)
+    return spark.table(name).count() - before
 
 
 def run_stamp(now: datetime | None = None) -> str:
