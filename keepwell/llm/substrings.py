@@ -37,8 +37,8 @@ SAMPLE_A_PARTITION = 16
 NO_ID = -(1 << 63)
 
 #: Bytes of packed words judged together, and of texts cut together.
-HELD_BYTES = 4 << 20
-BLOCK = 4 << 20
+HELD_BYTES = 1 << 20
+BLOCK = 1 << 20
 ROUTES = "route long, doc long, text_key long, first long, last long"
 PACKED = "route long, doc long, text_key long, start long, n long, words binary"
 RUNS = "doc long, text_key long, first long, last long"
