@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
 A text's terms are its lower-cased words and their beginnings of three to seven
-letters, kept if they are associated with the label among the examples. Examples
+letters, kept if they go with the label among the examples. Examples
 and texts are TF-IDF vectors over these terms. A block-max index bounds the cosine
 of all examples of a block, so blocks that can't hold one of the K nearest are
 skipped and the result is still exact. The nearest vote with the square of
@@ -9,7 +9,8 @@ their cosine against a prior; the votes are calibrated by isotonic regression on
 the examples themselves, each left out of its own vote.
 
 Bound: the model is fitted on at most MAX_EXAMPLES labelled rows (those with the
-smallest hash of doc_id) and keeps at most MAX_TERMS terms. Everything else covers
+smallest hash of doc_id), keeps at most MAX_TERMS terms and is calibrated on at
+most MAX_CALIBRATION examples, evenly spread. Everything else covers
 all rows: every text is scored whole.
 
 Edge cases: a null or empty text has no term and gets the calibrated rate of such
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from keepwell.llm.tables import written
 
-MAX_EXAMPLES, MAX_TERMS, MIN_DOCS, MIN_Z = 12_000, 2_000, 5, 5.0
+MAX_EXAMPLES, MAX_TERMS, MAX_CALIBRATION, MIN_DOCS, MIN_Z = 12_000, 2_000, 2_000, 5, 5.0
 STEMS = range(3, 8)
 K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 64, 0.5, 0.3
 REMEMBERED = 400_000
@@ -117,19 +118,34 @@ class BlockMaxIndex:
         bound = np.zeros(-(-self.n // self.size))
         for (_, _, blocks, _, most), w in lists:
             bound[blocks] += w * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < -best[-1][0] - 1e-12):
-                break
-            score = np.zeros(self.size)
-            for (ids, own, blocks, begin, _), w in lists:
-                j = int(np.searchsorted(blocks, b))
-                if j < len(blocks) and blocks[j] == b:
-                    part = slice(begin[j], begin[j + 1])
-                    score[ids[part] - b * self.size] += w * own[part]
-            found = np.flatnonzero(score > 0)
-            best = sorted([*best, *((-float(score[i]), b * self.size + i) for i in found.tolist() if b * self.size + i != without)])[:k]
-        return [(-s, i) for s, i in best]
+        order = np.argsort(-bound, kind="stable")
+        # the blocks that promise most set the mark; one pass over the lists settles all blocks that may reach it
+        first = order[: 1 + k // self.size]
+        alive = np.zeros(len(bound), bool)
+        alive[first] = True
+        best = self._scores(lists, alive, k, without)
+        mark = best[-1][0] if len(best) == k else 0.0
+        alive = (bound > 0) & (bound >= mark - 1e-12)
+        alive[first] = False
+        return sorted([*best, *self._scores(lists, alive, k, without)], key=lambda p: (-p[0], p[1]))[:k]
+
+    def _scores(self, lists: list, alive: np.ndarray, k: int, without: int) -> list[tuple[float, int]]:
+        """The k best examples of the blocks that are alive."""
+        ids, parts = [], []
+        for (own_ids, own, blocks, begin, _), w in lists:
+            on = alive[blocks]
+            if on.any():
+                at = np.repeat(on, np.diff(begin))
+                ids.append(own_ids[at])
+                parts.append(w * own[at])
+        if not ids:
+            return []
+        score = np.bincount(np.concatenate(ids), np.concatenate(parts), self.n)
+        if without >= 0:
+            score[without] = 0.0
+        found = np.flatnonzero(score > 0)
+        found = found[np.lexsort((found, -score[found]))[:k]]
+        return list(zip(score[found].tolist(), found.tolist()))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,8 +176,9 @@ class Model:
         bare = [v[2] for v in vectors if not v[0][0]]
         self.bare = (sum(bare) + self.prior) / (len(bare) + 1) if rows else 0.0
         if with_terms:
-            votes = np.array([self._vote(self.index.nearest(*v[0], K, i)) for i, v in enumerate(with_terms)])
-            self.steps = isotonic(votes, np.array(self.y, float))
+            tested = range(0, len(with_terms), -(-len(with_terms) // MAX_CALIBRATION))
+            votes = np.array([self._vote(self.index.nearest(*with_terms[i][0], K, i)) for i in tested])
+            self.steps = isotonic(votes, np.array([self.y[i] for i in tested], float))
 
     def _vote(self, near: list[tuple[float, int]]) -> float:
         pull = [c * c for c, _ in near]
@@ -186,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counts = (rows.select("text", "toxic").mapInArrow(_counted, "term string, n long, n_toxic long")
               .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).where(F.col("n") >= MIN_DOCS))
     z = (F.col("n_toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
-    terms = counts.withColumn("z", z).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "term").limit(MAX_TERMS).collect()
+    terms = counts.withColumn("z", z).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()
     kept = Terms([(r["term"], r["n"]) for r in terms], total)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
