@@ -7,7 +7,7 @@ import tiktoken
 
 import corpus_pipeline
 from keepwell.llm.tables import read, written
-from tests.llm.conftest import frame, sentence
+from tests.llm.fixtures import frame, sentence
 from tests.llm.test_documents import components, contained, marked, words
 
 

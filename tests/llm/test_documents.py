@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from keepwell.llm import decontaminate, html_text, minhash, quality, secrets, substrings, toxicity
-from tests.llm.conftest import frame, sentence
+from tests.llm.fixtures import awkward, frame, sentence  # noqa: F401
 
 
 def words(text):

@@ -13,7 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from keepwell.llm import bpe, dac, warc
-from tests.llm.conftest import frame
+from tests.llm.fixtures import awkward, frame  # noqa: F401
 
 RANKS, LIBRARY = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
 PARTS = [" ", "a", "ing", "é", "ß", "\n", "\t", "\x1c", "\x85", "\xa0", " ", "　", "1", "23", "½", "字", "😀", "'", "'s", "'LL", "...", "İ", "́", "\r\n",

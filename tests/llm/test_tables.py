@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
-from tests.llm.conftest import FOLDER
+from tests.llm.fixtures import FOLDER
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables absent")
 NAMES = [n for n in oracle_sql() if n.startswith("op")]
