@@ -1,42 +1,50 @@
 """Toxicity by the nearest labelled examples.
 
 A text's terms are its lower-cased words and their beginnings of three to seven
-letters, kept if they go with the label among the examples. Examples
-and texts are TF-IDF vectors over these terms. A block-max index bounds the cosine
-of all examples of a block, so blocks that can't hold one of the K nearest are
-skipped and the result is still exact. The nearest vote with the square of
-their cosine against a prior; the votes are calibrated by isotonic regression on
-the examples themselves, each left out of its own vote.
+letters; all terms of the examples are kept. Examples and texts are TF-IDF vectors
+over these terms, with idf over all documents and more weight on terms that go with
+the label among the examples. The cosines of a text with all examples are computed at
+once (frequent terms as a matrix, others by inverted lists) in single precision; the
+largest of each block of examples gives a mark, and what may reach it is computed
+again exactly. The nearest vote with the square of their cosine against a prior; the
+votes are calibrated by isotonic regression on all examples, each left out of its own
+vote.
 
 Bound: the model is fitted on at most MAX_EXAMPLES labelled rows (those with the
-smallest hash of doc_id), keeps at most MAX_TERMS terms and is calibrated on at
-most MAX_CALIBRATION examples, evenly spread. Everything else covers
-all rows: every text is scored whole.
+smallest hash of doc_id). Everything else covers all rows and terms: every text is
+searched and scored whole.
 
-Edge cases: a null or empty text has no term and gets the calibrated rate of such
+Edge cases: a null text, or one without a term of the examples, gets the calibrated rate of such
 examples; no labels at all give every text the score 0; of several labels of a doc_id the largest
 counts; a null doc_id is not held out; equal texts among the examples count once;
-other columns are not read.
+other columns are not read. ``terms`` lists the terms of a text that go clearly with
+the label (at least MIN_DOCS examples, z at least MIN_Z); they are no condition of the search.
 """
 
 from __future__ import annotations
 
-import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.llm.tables import written
 
-MAX_EXAMPLES, MAX_TERMS, MAX_CALIBRATION, MIN_DOCS, MIN_Z = 12_000, 2_000, 2_000, 5, 5.0
+MAX_EXAMPLES, MIN_DOCS, MIN_Z = 12_000, 5, 5.0
+#: A term of this z weighs its idf; each unit above adds one idf.
+PLAIN_Z = 2.0
 STEMS = range(3, 8)
 K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 64, 0.5, 0.3
-REMEMBERED = 400_000
+#: Terms in more than this share of the examples are held as a matrix; texts of one matrix product.
+FREQUENT, TEXTS = 1 / 16, 64
+REMEMBERED = 200_000
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -58,94 +66,160 @@ def examples(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> D
     return rows.groupBy(F.md5("text").alias("k")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("e")).select("e.*")
 
 
+def keys_of(terms: list[str]) -> np.ndarray:
+    """64-bit keys, the same in every process."""
+    return pd.util.hash_array(np.array(terms, object), categorize=False).view(np.int64) if terms else np.zeros(0, np.int64)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, docs, toxic docs) of a batch of examples."""
+    """(term key, docs, toxic docs) of a batch of examples."""
     for batch in batches:
         every, toxic = Counter(), Counter()
         for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             found = {t for w in set(_WORD.findall(text.lower())) for t in terms_of(w)}
             every.update(found)
-            if y:
+            if y > 0:
                 toxic.update(found)
-        yield pa.RecordBatch.from_arrays([pa.array(list(every)), pa.array(list(every.values()), pa.int64()), pa.array([toxic[t] for t in every], pa.int64())],
-                                         names=["term", "n", "n_toxic"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys_of(list(every))), pa.array(list(every.values()), pa.int64()),
+                                          pa.array([toxic[t] for t in every], pa.int64())], names=["term", "n", "n_toxic"])
 
 
 class Terms:
-    """Selected terms with their weights; turns texts into unit vectors."""
-
-    def __init__(self, rows: list[tuple[str, int]], total: int):
-        self.names = [t for t, _ in rows]
-        self.number = {t: i for i, t in enumerate(self.names)}
-        self.idf = [math.log((1 + total) / (1 + n)) + 1 for _, n in rows]
-        self._known: dict[str, tuple[int, ...]] = {}
-
-    def vector(self, text: str | None) -> tuple[list[int], list[float]]:
-        counts: Counter = Counter()
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in _WORD.findall((text or "").lower()):
-            hits = known.get(w)
-            if hits is None:
-                known[w] = hits = tuple(self.number[t] for t in terms_of(w) if t in self.number)
+    """All terms of the examples, by sorted keys, with their weights; turns texts into unit vectors."""
+
+    def __init__(self, keys: np.ndarray, marked: np.ndarray, weight: np.ndarray | None = None):
+        self.keys, self.marked, self.weight = keys, marked, weight
+        self._known: dict[str, tuple[tuple[int, ...], tuple[str, ...]]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_known": {}}
+
+    def learn(self, words: set[str]) -> None:
+        """Remember, of every word, the numbers of its terms and the names of those that go with the label."""
+        if len(self._known) > REMEMBERED:
+            self._known.clear()
+        new = [w for w in words if w not in self._known]
+        names = [terms_of(w) for w in new]
+        flat = [t for n in names for t in n]
+        keys = keys_of(flat)
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        marked = {i for i in np.flatnonzero(found).tolist() if self.marked[at[i]]}
+        at, found, i = at.tolist(), found.tolist(), 0
+        for w, own in zip(new, names):
+            j = i + len(own)
+            self._known[w] = tuple(a for a, f in zip(at[i:j], found[i:j]) if f), tuple(flat[x] for x in range(i, j) if x in marked)
+            i = j
+
+    def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, list[str]]]:
+        """(term, times) of every text, and its terms that go with the label."""
+        words = [Counter(_WORD.findall((t or "").lower())) for t in texts]
+        self.learn({w for c in words for w in c})
+        return [self._counts(c) for c in words]
+
+    def _counts(self, words: Counter) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        at, times, names = [], [], set()
+        for w, n in words.items():
+            hits, marked = self._known[w]
             if hits:
-                counts.update(hits)
-        at = sorted(counts)
-        raw = [(1 + math.log(counts[t])) * self.idf[t] for t in at]
-        norm = math.sqrt(sum(x * x for x in raw)) or 1.0
-        return at, [x / norm for x in raw]
+                at += hits
+                times += [n] * len(hits)
+                names.update(marked)
+        numbers, back = np.unique(np.array(at, np.int64), return_inverse=True)
+        return numbers, np.bincount(back, np.array(times, float), len(numbers)), sorted(names)
+
+    def unit(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = (1 + np.log(times)) * self.weight[at]
+        return at, raw / (np.sqrt((raw * raw).sum()) or 1.0)
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All positions of several ranges, one range after another."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length)
 
 
 class BlockMaxIndex:
-    """Inverted lists over blocks of examples, with the largest weight of each block."""
+    """Vectors of the examples; the largest score of every block tells which examples are computed exactly."""
 
-    def __init__(self, vectors: list[tuple[list[int], list[float]]], size: int = BLOCK):
+    def __init__(self, vectors: list, size: int = BLOCK):
         self.size, self.n = size, len(vectors)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, (at, weights) in enumerate(vectors):
-            for t, w in zip(at, weights):
-                lists.setdefault(t, []).append((i, w))
-        self.lists = {}
-        for t, pairs in lists.items():
-            ids, weights = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
-            blocks, begin = np.unique(ids // size, return_index=True)
-            self.lists[t] = (ids, weights, blocks, np.r_[begin, len(ids)], np.maximum.reduceat(weights, begin))
+        self.begin = np.r_[0, np.cumsum([len(v[0]) for v in vectors])].astype(np.int64)
+        self.at = np.concatenate([np.asarray(v[0], np.int32) for v in vectors] or [np.zeros(0, np.int32)])
+        self.own = np.concatenate([np.asarray(v[1], float) for v in vectors] or [np.zeros(0)])
+        self._ready = False
+
+    def __getstate__(self) -> dict:
+        return {k: self.__dict__[k] for k in ("size", "n", "begin", "at", "own")} | {"_ready": False}
+
+    def _prepare(self) -> None:
+        """Matrix of the frequent terms and inverted lists of the others; made where they are used."""
+        self.width = int(self.at.max()) + 1 if len(self.at) else 0
+        df = np.bincount(self.at, minlength=self.width)
+        row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.begin))
+        self.column = np.full(self.width, -1, np.int32)
+        frequent = np.flatnonzero(df > max(self.size, self.n * FREQUENT))
+        self.column[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.n), np.float32)
+        dense = self.column[self.at] >= 0
+        self.matrix[self.column[self.at[dense]], row[dense]] = self.own[dense]
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(self.at[rare], kind="stable")]
+        self.rows, self.weights = row[rare], self.own[rare].astype(np.float32)
+        self.length = np.where(self.column < 0, df, 0)
+        self.first = np.cumsum(self.length) - self.length
+        self.query = np.zeros(self.width)
+        # no rounding of a sum of products, which is at most 1, is larger
+        self.slack = 2.0 ** -22 * (len(frequent) + 64)
+        self._ready = True
 
     def nearest(self, at: list[int], weights: list[float], k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0, exactly: (cosine, example), ties by example."""
-        lists = [(self.lists[t], w) for t, w in zip(at, weights) if t in self.lists]
-        bound = np.zeros(-(-self.n // self.size))
-        for (_, _, blocks, _, most), w in lists:
-            bound[blocks] += w * most
-        order = np.argsort(-bound, kind="stable")
-        # the blocks that promise most set the mark; one pass over the lists settles all blocks that may reach it
-        first = order[: 1 + k // self.size]
-        alive = np.zeros(len(bound), bool)
-        alive[first] = True
-        best = self._scores(lists, alive, k, without)
-        mark = best[-1][0] if len(best) == k else 0.0
-        alive = (bound > 0) & (bound >= mark - 1e-12)
-        alive[first] = False
-        return sorted([*best, *self._scores(lists, alive, k, without)], key=lambda p: (-p[0], p[1]))[:k]
-
-    def _scores(self, lists: list, alive: np.ndarray, k: int, without: int) -> list[tuple[float, int]]:
-        """The k best examples of the blocks that are alive."""
-        ids, parts = [], []
-        for (own_ids, own, blocks, begin, _), w in lists:
-            on = alive[blocks]
-            if on.any():
-                at = np.repeat(on, np.diff(begin))
-                ids.append(own_ids[at])
-                parts.append(w * own[at])
-        if not ids:
-            return []
-        score = np.bincount(np.concatenate(ids), np.concatenate(parts), self.n)
+        return self.nearest_of([(at, weights)], k, [without])[0]
+
+    def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """``nearest`` of several vectors."""
+        if not self._ready:
+            self._prepare()
+        out = []
+        for i in range(0, len(queries), TEXTS):
+            part = []
+            for q in queries[i:i + TEXTS]:
+                at, w = np.asarray(q[0], np.int64), np.asarray(q[1], float)
+                on = at < self.width
+                part.append((at[on], w[on]))
+            left = np.zeros((len(part), len(self.matrix)), np.float32)
+            for j, (at, w) in enumerate(part):
+                column = self.column[at]
+                left[j, column[column >= 0]] = w[column >= 0]
+            rough = left @ self.matrix
+            for j, (at, w) in enumerate(part):
+                out.append(self._settled(rough[j], at, w, k, without[i + j] if without else -1))
+        return out
+
+    def _settled(self, rough: np.ndarray, at: np.ndarray, w: np.ndarray, k: int, without: int) -> list[tuple[float, int]]:
+        length = self.length[at]
+        inside = _ranges(self.first[at], length)
+        rough = rough + np.bincount(self.rows[inside], self.weights[inside] * np.repeat(w, length), self.n)
         if without >= 0:
-            score[without] = 0.0
-        found = np.flatnonzero(score > 0)
-        found = found[np.lexsort((found, -score[found]))[:k]]
-        return list(zip(score[found].tolist(), found.tolist()))
+            rough[without] = 0.0
+        blocks = -(-self.n // self.size)
+        if blocks > k:
+            most = np.maximum.reduceat(rough, np.arange(0, self.n, self.size))
+            found = np.flatnonzero((rough > 0) & (rough >= np.partition(most, blocks - k)[blocks - k] - self.slack))
+        else:
+            found = np.flatnonzero(rough > 0)
+        if len(found) > k:
+            found = found[rough[found] >= np.partition(rough[found], len(found) - k)[len(found) - k] - self.slack]
+        # added up term by term in one order, so the result does not depend on the other texts of the product
+        self.query[at] = w
+        length = np.diff(self.begin)[found]
+        inside = _ranges(self.begin[found], length)
+        exact = np.bincount(np.repeat(np.arange(len(found)), length), self.own[inside] * self.query[self.at[inside]], len(found))
+        self.query[at] = 0.0
+        order = np.lexsort((found, -exact))[:k]
+        return [(float(exact[o]), int(found[o])) for o in order]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,67 +236,149 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Terms, index, votes and calibration; small enough to go with every task."""
+    """Terms, examples and votes; packed small enough to go to every worker."""
 
-    def __init__(self, terms: Terms, rows: list[tuple[int, int, list[int], list[float]]]):
+    def __init__(self, terms: Terms, doc: np.ndarray, y: np.ndarray, counts: list):
+        """Examples by ascending doc_id, with (term, times) of each."""
         self.terms = terms
-        vectors = [((at, weights), doc, int(y > 0)) for doc, y, at, weights in rows]
-        # examples with the same leading terms stand together, which makes the bounds tight
-        with_terms = sorted((v for v in vectors if v[0][0]), key=lambda v: (v[0][0], v[1]))
-        self.doc, self.y = [v[1] for v in with_terms], [v[2] for v in with_terms]
-        self.index = BlockMaxIndex([v[0] for v in with_terms])
-        self.prior = sum(v[2] for v in vectors) / max(1, len(vectors))
-        self.steps = None
-        bare = [v[2] for v in vectors if not v[0][0]]
-        self.bare = (sum(bare) + self.prior) / (len(bare) + 1) if rows else 0.0
-        if with_terms:
-            tested = range(0, len(with_terms), -(-len(with_terms) // MAX_CALIBRATION))
-            votes = np.array([self._vote(self.index.nearest(*with_terms[i][0], K, i)) for i in tested])
-            self.steps = isotonic(votes, np.array([self.y[i] for i in tested], float))
+        with_terms = np.array([len(c[0]) > 0 for c in counts], bool)
+        self.doc, self.y = doc[with_terms], y[with_terms]
+        self.prior = float(y.sum()) / max(1, len(y))
+        bare = y[~with_terms]
+        self.bare = (float(bare.sum()) + self.prior) / (len(bare) + 1) if len(y) else 0.0
+        # sent packed: differences of the ascending numbers, and times instead of weights
+        kept = [c for c, w in zip(counts, with_terms) if w]
+        self.sizes = [len(c[0]) for c in kept]
+        self.packed = tuple(zlib.compress(np.concatenate(x).astype(np.int32), 1) for x in (
+            [np.diff(c[0], prepend=0) for c in kept], [c[1] for c in kept])) if kept else ()
+        self._index: BlockMaxIndex | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_index": None}
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        if self._index is None:
+            cuts = np.cumsum(self.sizes)[:-1]
+            at, times = (np.split(np.frombuffer(zlib.decompress(x), np.int32), cuts) for x in self.packed)
+            self._index = BlockMaxIndex([self.terms.unit(np.cumsum(a), t) for a, t in zip(at, times)])
+        return self._index
 
     def _vote(self, near: list[tuple[float, int]]) -> float:
         pull = [c * c for c, _ in near]
-        return (sum(p * self.y[i] for p, (_, i) in zip(pull, near)) + PRIOR_WEIGHT * self.prior) / (sum(pull) + PRIOR_WEIGHT)
-
-    def score(self, text: str | None) -> tuple[float, list[dict], list[str]]:
-        """Calibrated score, the nearest examples and the terms that were met."""
-        at, weights = self.terms.vector(text)
-        near = self.index.nearest(at, weights, K) if at else []
-        if not near or self.steps is None:
-            return float(self.bare), [], []
-        begins, values = self.steps
-        value = float(values[max(0, int(np.searchsorted(begins, self._vote(near), "right")) - 1)])
-        return min(1.0, max(0.0, value)), [{"doc_id": self.doc[i], "cosine": c, "toxic": self.y[i]} for c, i in near[:3]], [self.terms.names[t] for t in at]
-
+        return (sum(p * int(self.y[i]) for p, (_, i) in zip(pull, near)) + PRIOR_WEIGHT * self.prior) / (sum(pull) + PRIOR_WEIGHT)
+
+    def votes(self, docs: list[int], texts: list[str]) -> list[float]:
+        """The votes on examples with terms, each left out of its own."""
+        near = self.index.nearest_of([self.terms.unit(*c[:2]) for c in self.terms.counts_of(texts)], K, np.searchsorted(self.doc, docs).tolist())
+        return [self._vote(n) for n in near]
+
+    def scores(self, texts: list[str | None], steps: tuple[np.ndarray, np.ndarray] | None) -> list[tuple[float, list[dict], list[str]]]:
+        """Calibrated score, the nearest examples and the terms that go with the label, of every text."""
+        if steps is None:
+            return [(float(self.bare), [], []) for _ in texts]
+        counts = self.terms.counts_of(texts)
+        begins, values = steps
+        out = []
+        for (_, _, names), near in zip(counts, self.index.nearest_of([self.terms.unit(*c[:2]) for c in counts], K)):
+            if not near:
+                out.append((float(self.bare), [], []))
+                continue
+            value = float(values[max(0, int(np.searchsorted(begins, self._vote(near), "right")) - 1)])
+            out.append((min(1.0, max(0.0, value)), [{"doc_id": int(self.doc[i]), "cosine": min(1.0, c), "toxic": int(self.y[i])} for c, i in near[:3]], names))
+        return out
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts that bound the vectors held at a time."""
+    for i in range(0, batch.num_rows, TEXTS * 4):
+        yield batch.slice(i, TEXTS * 4)
+
+
+def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
+    """Number of documents with a text, and of those with each term."""
+    sent = docs.sparkSession.sparkContext.broadcast(terms)
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Choose terms and build the index from the examples."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = sent.value, 0
+        seen = np.zeros(len(known.keys), np.int64)
+        for batch in (p for b in batches for p in _parts(b)):
+            texts = batch.column("text").drop_null().to_pylist()
+            total += len(texts)
+            for at, _, _ in known.counts_of(texts):
+                seen[at] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[total, seen[at]])], names=["term", "n"])
+
+    got = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    sent.destroy()
+    at, n = got["term"].to_numpy(), got["n"].to_numpy()
+    counts = np.zeros(len(terms.keys), np.int64)
+    counts[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), counts
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, tuple[np.ndarray, np.ndarray] | None]:
+    """Weigh the terms, send the examples to the workers and calibrate on all of them: (model, steps)."""
     rows = written(examples(docs, labels), "examples")
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") > 0).cast("int")), F.lit(0))).first()
-    share = F.lit(toxic / max(1, total))
-    counts = (rows.select("text", "toxic").mapInArrow(_counted, "term string, n long, n_toxic long")
-              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).where(F.col("n") >= MIN_DOCS))
-    z = (F.col("n_toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
-    terms = counts.withColumn("z", z).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()
-    kept = Terms([(r["term"], r["n"]) for r in terms], total)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [kept.vector(t.as_py()) for t in batch.column("text")]
+    if not total:
+        none = np.zeros(0, np.int64)
+        return rows.sparkSession.sparkContext.broadcast(Model(Terms(none, none), none, none, [])), None
+    counts = (rows.select("text", "toxic").mapInArrow(_counted, "term long, n long, n_toxic long")
+              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).toArrow())
+    keys, n, n_toxic = (counts[c].to_numpy() for c in ("term", "n", "n_toxic"))
+    order = np.argsort(keys)
+    keys, n, n_toxic = keys[order], n[order], n_toxic[order]
+    share = toxic / total
+    z = (n_toxic - n * share) / np.sqrt(n * share * (1 - share) + 1e-9)
+    terms = Terms(keys, (n >= MIN_DOCS) & (z >= MIN_Z))
+    documents, frequency = _document_counts(docs, terms)
+    terms.weight = (np.log((1 + documents) / (1 + frequency)) + 1) * (1 + np.maximum(0, z - PLAIN_Z))
+    sent = rows.sparkSession.sparkContext.broadcast(terms)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (p for b in batches for p in _parts(b)):
+            got = sent.value.counts_of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float64()))],
-                names=["doc_id", "toxic", "at", "weights"])
+                [batch.column("doc_id"), pa.array([int(t.as_py() > 0) for t in batch.column("toxic")], pa.int32()),
+                 pa.array([g[0].astype(np.int32) for g in got], pa.list_(pa.int32())), pa.array([g[1].astype(np.int32) for g in got], pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "at", "times"])
+
+    fitted = rows.mapInArrow(counted, "doc_id long, toxic int, at array<int>, times array<int>").toArrow()
+    sent.destroy()
+    doc, y = fitted["doc_id"].to_numpy(), fitted["toxic"].to_numpy().astype(np.int64)
+    found = [pair for at, times in zip(fitted["at"].chunks, fitted["times"].chunks) for pair in zip(_split(at), _split(times))]
+    order = np.argsort(doc)
+    sent = rows.sparkSession.sparkContext.broadcast(Model(terms, doc[order], y[order], [found[i] for i in order]))
+    return sent, _steps(sent, rows)
+
+
+def _split(chunk: pa.ListArray) -> list[np.ndarray]:
+    """The rows of a list column without Python values."""
+    return np.split(chunk.flatten().to_numpy(zero_copy_only=False), np.cumsum(chunk.value_lengths().to_numpy(zero_copy_only=False))[:-1]) if len(chunk) else []
+
+
+def _steps(sent: Broadcast, rows: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Isotonic steps over the votes on all examples that have terms, cast in the tasks."""
+
+    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (p for b in batches for p in _parts(b)):
+            known = set(sent.value.doc[np.isin(sent.value.doc, batch.column("doc_id").to_numpy(zero_copy_only=False))].tolist())
+            got = [(d, t, int(y > 0)) for d, t, y in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))) if d in known]
+            yield pa.RecordBatch.from_arrays([pa.array(sent.value.votes([g[0] for g in got], [g[1] for g in got]), pa.float64()),
+                                              pa.array([g[2] for g in got], pa.int32())], names=["vote", "toxic"])
 
-    fitted = rows.mapInArrow(vectors, "doc_id long, toxic int, at array<int>, weights array<double>").orderBy("doc_id").collect()
-    return Model(kept, [(r["doc_id"], r["toxic"], r["at"], r["weights"]) for r in fitted])
+    votes = rows.select("doc_id", "text", "toxic").mapInArrow(cast, "vote double, toxic int").toArrow()
+    return isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(float)) if votes.num_rows else None
 
 
-def _scored(model: Model):
+def _scored(sent: Broadcast, steps):
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [model.score(t.as_py()) for t in batch.column("text")]
+        for batch in (p for b in batches for p in _parts(b)):
+            got = sent.value.scores(batch.column("text").to_pylist(), steps)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], kind), pa.array([g[2] for g in got], pa.list_(pa.string()))],
                 names=["doc_id", "score", "evidence", "terms"])
@@ -231,6 +387,6 @@ def _scored(model: Model):
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (nearest examples) and terms of every document."""
-    scored = docs.select("doc_id", "text").mapInArrow(_scored(fit(docs, labels)), SCORED)
+    scored = docs.select("doc_id", "text").mapInArrow(_scored(*fit(docs, labels)), SCORED)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence", "terms")

@@ -289,3 +289,14 @@ def test_held_out_accuracy(spark, awkward):
     assert all(r.evidence[0].toxic == 1 for r in test if r.predicted)
     assert {r.score for r in toxicity.toxicity(df, labels.limit(0)).collect()} == {0.0}
     assert toxicity.toxicity(df.limit(0), labels).count() == 0
+
+
+def test_texts_without_label_terms_are_searched(spark):
+    # no term reaches MIN_DOCS examples: every toxic pair has a word of its own
+    rows = [(i, sentence(i, 40) + (f" grumblor{chr(97 + i // 40)}x" if i % 20 < 2 else ""), "s") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 20 < 2)) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.toxicity(frame(spark, rows), labels).collect()
+    assert all(len(r.evidence) == 3 and 0 < r.evidence[0].cosine <= 1 for r in got)
+    assert len({r.score for r in got}) > 1
+    assert [(r.doc_id, r.score, r.evidence) for r in sorted(got)] == [
+        (r.doc_id, r.score, r.evidence) for r in sorted(toxicity.toxicity(frame(spark, rows).repartition(7), labels).collect())]
