@@ -642,17 +642,17 @@ def dim_segment(spark, d):
 
 @query
 def kmeans_sweep(spark, d):
-    return cluster.sweep_k(labelled_points(spark, d).drop("segment"))
+    return cluster.sweep_k(labelled_points(spark, d).drop("segment"), restarts=cluster.RESTARTS)
 
 
 @query
 def kmeans_choice(spark, d):
-    return metrics.choose_k(cluster.sweep_k(labelled_points(spark, d).drop("segment"), range(2, 6)))
+    return metrics.choose_k(cluster.sweep_k(labelled_points(spark, d).drop("segment"), restarts=cluster.RESTARTS))
 
 
 def kmeans_labels(spark, d, k=3):
     points = for_iteration(labelled_points(spark, d).drop("segment"))
-    return points, cluster.fit_kmeans(points, k, restarts=2).transform(points)
+    return points, cluster.fit_kmeans(points, k, restarts=cluster.RESTARTS).transform(points)
 
 
 @query
@@ -672,7 +672,7 @@ def bisecting_agreement(spark, d):
 def resample_stability(spark, d):
     points, labels = kmeans_labels(spark, d)
     return cluster.stability(cluster.second_opinion(points, labels, 3, ID),
-                             cluster.resample_agreement(points, labels, 3, ID, runs=3, restarts=1))
+                             cluster.resample_agreement(points, labels, 3, ID))
 
 
 @query
