@@ -42,7 +42,7 @@ LOGIT_CLIP = 1e-6
 AGREEMENT_SPREAD = 0.03
 PLACEBO_RUNS = 12
 SUBSET_SHARE = 0.7
-BOOTSTRAP_DRAWS, MIN_DRAWS = 200, 20
+BOOTSTRAP_DRAWS, MEDIATOR_DRAWS, MIN_DRAWS = 200, 50, 20
 # --- end of fixed values ----------------------------------------------------
 
 

@@ -909,13 +909,13 @@ def refutation_verdict(spark, d):
 @query
 def observational_run(spark, d):
     from keepwell.plans.observational import run_observational
-    return run_observational(observational(spark, d), ID, seed=SEED)["estimates"]
+    return run_observational(observational(spark, d), ID, draws=causal.BOOTSTRAP_DRAWS, seed=SEED)["estimates"]
 
 
 @query
 def mediator_sensitivity(spark, d):
     from keepwell.plans.observational import run_observational
-    return run_observational(observational(spark, d), ID, mediators=True, seed=SEED)["estimates"]
+    return run_observational(observational(spark, d), ID, mediators=True, draws=causal.MEDIATOR_DRAWS, seed=SEED)["estimates"]
 
 
 # --- models ------------------------------------------------------------------

@@ -2,7 +2,7 @@
 import pytest
 
 from keepwell.operators import cluster
-from keepwell.plans import catalog
+from keepwell.plans import catalog, observational
 
 
 class Called(Exception):
@@ -37,3 +37,9 @@ def test_labels_and_resamples_use_all_starts(monkeypatch):
     monkeypatch.setattr(cluster, "second_opinion", lambda *_: None)
     args, kwargs = caught(monkeypatch, cluster, "resample_agreement", catalog.resample_stability)
     assert len(args) == 4 and not kwargs
+
+
+@pytest.mark.parametrize("query, draws", [(catalog.observational_run, 200), (catalog.mediator_sensitivity, 50)])
+def test_observational_runs_have_intervals(monkeypatch, query, draws):
+    monkeypatch.setattr(catalog, "observational", lambda *_: None)
+    assert caught(monkeypatch, observational, "run_observational", query)[1]["draws"] == draws
