@@ -1,12 +1,13 @@
 """Secret scan: marked secrets by pattern, unmarked ones by two character Markov models.
 
 Patterns label what is surely a secret. Their values are the examples of random
-strings; the other identifiers of the sample are the examples of ordinary ones. Each
+strings; the other identifiers of the documents are the examples of ordinary ones. Each
 set trains a first-order Markov model over 65 character classes. A run of 16 or
-more identifier characters outside the marked spans is a secret of kind
-``random`` if its log-likelihood ratio, random over ordinary, is at least
-LEAST_RATIO in all and LEAST_MEAN a character, if it mixes letters and digits and
-has LEAST_SEGMENT of them unbroken.
+more identifier characters is a secret of kind ``random`` if its log-likelihood
+ratio, random over ordinary, summed over its pieces between separators, is at least
+LEAST_RATIO in all and LEAST_MEAN a letter or digit. Runs without a letter are
+numbers or rules, not identifiers. Of a random run that a marked span touches, the
+parts outside it are kept if they have LEAST_MEAN a character themselves.
 
 Bound: the models are trained on the documents of a hash sample of about
 SAMPLE_DOCS; they hold 2 x 66 x 65 counts. Every text is scanned whole.
@@ -90,10 +91,16 @@ class Ratio:
         return float(self.table[steps(word)].sum())
 
     def secret(self, word: str) -> bool:
-        if not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word) or max(map(len, _BREAK.split(word))) < LEAST_SEGMENT:
-            return False
-        r = self.of(word)
-        return r >= LEAST_RATIO and r >= LEAST_MEAN * len(word)
+        return any(c.isalpha() for c in word) and self.summed(word) >= max(LEAST_RATIO, LEAST_MEAN * sum(map(len, _BREAK.split(word))))
+
+    def summed(self, word: str) -> float:
+        """The ratio over the pieces between separators."""
+        return sum(self.of(piece) for piece in _BREAK.split(word) if piece)
+
+    def leftover(self, part: str) -> bool:
+        """Whether what a marked span leaves of a random run looks random as well."""
+        n = sum(map(len, _BREAK.split(part)))
+        return n > 0 and self.summed(part) >= LEAST_MEAN * n
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,12 +137,20 @@ def train(docs: DataFrame) -> Ratio:
 
 
 def spans_of(text: str | None, ratio: Ratio) -> list[tuple[int, str, int]]:
-    """All spans of a text: the marked ones, and random runs that touch none of them."""
+    """All spans of a text: the marked ones, and random runs outside them."""
     if not text:
         return []
     base = marked(text)
-    more = [(m.start(), "random", m.end()) for m in _RUN.finditer(text) if ratio.secret(m[0])]
-    more = [s for s in more if not any(a < s[2] and s[0] < b for a, _, b in base)]
+    more = []
+    for m in _RUN.finditer(text):
+        touched = [(a, b) for a, _, b in base if a < m.end() and m.start() < b]
+        parts, at = [], m.start()
+        for a, b in touched:
+            parts += [(at, a)] if a > at else []
+            at = max(at, b)
+        parts += [(at, m.end())] if at < m.end() else []
+        if parts and ratio.secret(m[0]):
+            more += [(a, "random", b) for a, b in parts if not touched or ratio.leftover(text[a:b])]
     return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[1])))
 
 

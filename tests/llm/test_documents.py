@@ -251,6 +251,28 @@ def test_extracted_pages(spark):
     assert sorted(map(repr, map(tuple, got))) == sorted(repr((i, f"http://x/{i}", t := html_text.main_text(h), len(t))) for i, h in rows)
 
 
+def test_random_runs_of_every_form():
+    import random
+    import string
+
+    g = random.Random(5)
+    letters, rest = string.ascii_letters, string.digits
+    random_words = ["".join(g.choice(letters + rest) for _ in range(40)) for _ in range(500)]
+    counts = np.zeros((2, secrets.CLASSES + 1, secrets.CLASSES))
+    for model, words in enumerate((random_words, [w for i in range(500) for w in sentence(i, 20).split() if w.isascii() and w.isalpha()])):
+        for w in words:
+            np.add.at(counts[model], secrets.steps(w), 1)
+    ratio = secrets.Ratio(*counts)
+    key = "-".join("".join(g.choice(letters + rest) for _ in range(6)) for _ in range(6))
+    bare = "".join(g.choice(letters) for _ in range(40))
+    for word in (key, bare, "3f2b8c1e-9d47-4a6b-b1c5-7e0f9a2d6c38"):
+        assert secrets.spans_of(f"see {word} here", ratio) == [(4, "random", 4 + len(word))]
+    # a marked span inside a random run leaves its rest a secret
+    text = f"x {bare}/AKIA{'Q7' * 10}"
+    assert secrets.masked(text, secrets.spans_of(text, ratio)).count(bare) == 0
+    assert secrets.spans_of("1234567890123456 " + "-" * 20, ratio) == []
+
+
 # --- toxicity
 
 def test_index_finds_the_nearest():
