@@ -9,8 +9,8 @@ LEAST_RATIO in all and LEAST_MEAN a letter or digit. Runs without a letter are
 numbers or rules, not identifiers. Of a random run that a marked span touches, the
 parts outside it are kept if they have LEAST_MEAN a character themselves.
 
-Bound: the models are trained on the documents of a hash sample of about
-SAMPLE_DOCS; they hold 2 x 66 x 65 counts. Every text is scanned whole.
+The models are trained on all documents; they hold 2 x 66 x 65 counts, summed in the
+tasks. Every text is scanned whole.
 
 Edge cases: a null text is empty; without examples of
 random strings their model is uniform, and patterns work as ever; rows with null or repeated ids
@@ -40,7 +40,6 @@ _IDENTIFIER = re.compile(r"\b[A-Za-z][A-Za-z0-9_]{5,39}\b", re.ASCII)
 _BREAK = re.compile(r"[^A-Za-z0-9]")
 _HINT = re.compile(r"[:=]")
 CLASSES = 65
-SAMPLE_DOCS = 20_000
 LEAST_RATIO, LEAST_MEAN, LEAST_SEGMENT = 20.0, 1.0, 14
 #: Weight, in transitions, of the character frequencies in a state.
 BACKOFF = 8.0
@@ -127,11 +126,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame) -> Ratio:
-    """Both models from the sample; at most 2 x 66 x 65 counts reach the driver."""
-    every = max(1, docs.count() // SAMPLE_DOCS)
-    sample = docs.select("doc_id", "text").where((F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) & F.col("text").isNotNull())
+    """Both models from all documents; at most 2 x 66 x 65 counts reach the driver."""
+    texts = docs.select("text").where("text is not null")
     counts = np.zeros((2, CLASSES + 1, CLASSES))
-    for r in sample.mapInArrow(_counted, "m long, x long, y long, n long").groupBy("m", "x", "y").agg(F.sum("n").alias("n")).collect():
+    for r in texts.mapInArrow(_counted, "m long, x long, y long, n long").groupBy("m", "x", "y").agg(F.sum("n").alias("n")).collect():
         counts[r["m"], r["x"], r["y"]] = r["n"]
     return Ratio(*counts)
 

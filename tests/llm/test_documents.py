@@ -273,6 +273,23 @@ def test_random_runs_of_every_form():
     assert secrets.spans_of("1234567890123456 " + "-" * 20, ratio) == []
 
 
+def test_models_count_all_documents(spark):
+    docs = spark.range(40_000).selectExpr("id as doc_id", "'plainword' as text")
+    seen = []
+
+    class Kept(secrets.Ratio):
+        def __init__(self, random, ordinary):
+            seen.append(ordinary.sum())
+            super().__init__(random, ordinary)
+
+    own, secrets.Ratio = secrets.Ratio, Kept
+    try:
+        secrets.train(docs)
+    finally:
+        secrets.Ratio = own
+    assert seen == [40_000 * len("plainword")]
+
+
 # --- toxicity
 
 def test_index_finds_the_nearest():
