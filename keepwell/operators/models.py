@@ -115,11 +115,8 @@ SEARCH_TRIALS = 50
 # --- end of fixed values ----------------------------------------------------
 
 
-def fit_trees(train: DataFrame, validation: DataFrame, name: str, levels: dict | None = None, **params) -> Scorer:
-    """Boosted trees on integer codes; positives carry the class weight.
-
-    Rounds stop when the validation error no longer improves.
-    """
+def tree_matrix(train: DataFrame, validation: DataFrame, levels: dict | None = None) -> tuple:
+    """(shape, assembler, cached rows) that all boosted-tree fits on these rows share."""
     shape = shape_of(train, TREE_CODES, levels)
     pos = train.agg(F.count_if(F.col(TARGET) == 0).alias("n"), F.count_if(F.col(TARGET) == 1).alias("p")).first()
     weight = F.when(F.col(TARGET) == 1, pos["n"] / max(pos["p"], 1)).otherwise(1.0)
@@ -127,9 +124,18 @@ def fit_trees(train: DataFrame, validation: DataFrame, name: str, levels: dict |
             .unionByName(shape.prepare(validation).withColumn("_v", F.lit(True)))
             .withColumn("_w", weight))
     gather = VectorAssembler(inputCols=shape.code_columns, outputCol="features", handleInvalid="keep")
+    return shape, gather, for_iteration(gather.transform(rows).select("features", TARGET, "_w", "_v"))
+
+
+def fit_trees(train: DataFrame, validation: DataFrame, name: str, levels: dict | None = None, matrix: tuple | None = None, **params) -> Scorer:
+    """Boosted trees on integer codes; positives carry the class weight.
+
+    Rounds stop when the validation error no longer improves.
+    """
+    shape, gather, rows = matrix or tree_matrix(train, validation, levels)
     options = {"stepSize": LEARNING_RATE, "seed": 42, "maxBins": 64, "validationTol": 1e-4, **params}
     model = GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol="_w", validationIndicatorCol="_v", **options)
-    fitted = model.fit(for_iteration(gather.transform(rows).select("features", TARGET, "_w", "_v")))
+    fitted = model.fit(rows)
     return Scorer(name, shape, PipelineModel([gather, fitted]))
 
 
@@ -165,12 +171,12 @@ def search_space(trials: int = SEARCH_TRIALS, seed: int = 42) -> list[dict]:
              "featureSubsetStrategy": f"{0.5 + 0.5 * rng.random():.3f}"} for _ in range(trials)]
 
 
-def search_trees(train: DataFrame, validation: DataFrame, space: list[dict]) -> tuple[DataFrame, dict]:
+def search_trees(train: DataFrame, validation: DataFrame, space: list[dict], matrix: tuple | None = None) -> tuple[DataFrame, dict]:
     """Fit every draw; one row per trial with its validation AUC, and the best draw."""
-    levels = pinned_levels(train, active_groups(train.columns)[0])
+    matrix = matrix or tree_matrix(train, validation, pinned_levels(train, active_groups(train.columns)[0]))
     rows = []
     for i, params in enumerate(space):
-        scorer = fit_trees(train, validation, f"trial_{i}", levels, **params)
+        scorer = fit_trees(train, validation, f"trial_{i}", matrix=matrix, **params)
         auc = metrics.roc_auc(scorer.score(validation), TARGET, "churn_probability").first()["roc_auc"]
         rows.append((i, json.dumps(params), float(auc)))
     best = max(rows, key=lambda r: (r[2], -r[0]))

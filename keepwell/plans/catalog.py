@@ -928,15 +928,17 @@ def splits(spark, d):
 @query
 def train_compare(spark, d):
     train, validation, test = splits(spark, d)
-    candidates = [models.fit_linear(train), models.fit_trees(train, validation, "boosted_trees", maxIter=20, maxDepth=4)]
+    matrix = models.tree_matrix(train, validation)
+    best = models.search_trees(train, validation, models.search_space(seed=SEED), matrix)[1]
+    trees = [("boosted_trees", models.FIRST_TREES), ("boosted_trees_deep", models.SECOND_TREES), ("boosted_trees_tuned", best)]
+    candidates = [models.fit_linear(train), *(models.fit_trees(train, validation, name, matrix=matrix, **p) for name, p in trees)]
     return models.winner(models.candidate_metrics(candidates, test))
 
 
 @query
 def param_search(spark, d):
     train, validation, _ = splits(spark, d)
-    space = [{**p, "maxIter": 10, "maxDepth": min(p["maxDepth"], 4)} for p in models.search_space(2, SEED)]
-    return models.search_trees(train, validation, space)[0]
+    return models.search_trees(train, validation, models.search_space(seed=SEED))[0]
 
 
 @query
@@ -951,7 +953,7 @@ def batch_score(spark, d):
 @query
 def tree_contributions(spark, d):
     train, validation, test = splits(spark, d)
-    scorer = models.fit_trees(train, validation, "boosted_trees", maxIter=10, maxDepth=4)
+    scorer = models.fit_trees(train, validation, "boosted_trees", **models.FIRST_TREES)
     path = scratch_folder(spark, "trees")
     scorer.pipeline.stages[-1].write().overwrite().save(path)
     nodes = contrib.tree_nodes(spark, path)

@@ -1,7 +1,7 @@
 """Registered queries run their operators at full extent."""
 import pytest
 
-from keepwell.operators import cluster
+from keepwell.operators import cluster, models
 from keepwell.plans import catalog, observational
 
 
@@ -43,3 +43,22 @@ def test_labels_and_resamples_use_all_starts(monkeypatch):
 def test_observational_runs_have_intervals(monkeypatch, query, draws):
     monkeypatch.setattr(catalog, "observational", lambda *_: None)
     assert caught(monkeypatch, observational, "run_observational", query)[1]["draws"] == draws
+
+
+def test_tree_queries_use_the_whole_search(monkeypatch):
+    monkeypatch.setattr(catalog, "splits", lambda *_: (None, None, None))
+    space = models.search_space(50, catalog.SEED)
+    assert caught(monkeypatch, models, "search_trees", catalog.param_search)[0][2] == space
+    assert caught(monkeypatch, models, "fit_trees", catalog.tree_contributions)[1] == {"maxDepth": 5, "maxIter": 500}
+
+
+def test_train_compare_fits_four_candidates(monkeypatch):
+    fitted = []
+    monkeypatch.setattr(catalog, "splits", lambda *_: (None, None, None))
+    monkeypatch.setattr(models, "tree_matrix", lambda *_: "matrix")
+    monkeypatch.setattr(models, "search_trees", lambda t, v, space, matrix: (None, space[7]))
+    monkeypatch.setattr(models, "fit_linear", lambda *_: "linear")
+    monkeypatch.setattr(models, "fit_trees", lambda t, v, name, matrix, **p: fitted.append(p) or name)
+    got = caught(monkeypatch, models, "candidate_metrics", catalog.train_compare)[0][0]
+    assert got == ["linear", "boosted_trees", "boosted_trees_deep", "boosted_trees_tuned"]
+    assert fitted == [models.FIRST_TREES, models.SECOND_TREES, models.search_space(seed=catalog.SEED)[7]]
