@@ -84,3 +84,57 @@ select page_id, octet_length(encode(h))::bigint as payload_bytes,
   case when page_id = first then null else first end as refers_to
 from x
 """
+
+_ROUNDS, _CLUSTERS = 10, 8
+
+
+def _assign(r: int) -> str:
+    return f"""a{r} as materialized (select k, vec_id, v, c, d from (select k, vec_id, kept.v, c,
+  list_sum(list_transform(range(1, 65), lambda i: (kept.v[i] - m.v[i]) * (kept.v[i] - m.v[i])))::bigint as d
+  from kept, m{r} m) qualify row_number() over (partition by k order by d, c) = 1)"""
+
+
+def _means(r: int) -> str:
+    return f"""s{r} as (select c, i, sum(x) as s, count(*) as n from (select c, unnest(range(1, 65)) as i, unnest(v) as x from a{r - 1}) group by all),
+u{r} as (select c, list((s - ((s % n) + n) % n) // n order by i)::bigint[] as v from s{r} group by 1),
+m{r} as materialized (select c, coalesce(u{r}.v, m{r - 1}.v) as v from m{r - 1} left join u{r} using (c))"""
+
+
+CENTROIDS = f"""
+with kept as materialized (select row_number() over () as k, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+m0 as materialized (select row_number() over (order by sha256('3:' || vec_id), v) - 1 as c, v from kept qualify c < {_CLUSTERS}),
+{_assign(0)},
+{",".join(f"""
+{_means(r)},
+{_assign(r)}""" for r in range(1, _ROUNDS + 1))}
+select vec_id, c::integer as cluster, d as distance, sum(d) over (partition by c)::bigint as cluster_inertia, sum(d) over ()::bigint as inertia,
+  sha256(array_to_string(m.v, ',')) as centroid_sha256
+from a{_ROUNDS} a join m{_ROUNDS} m using (c)
+"""
+
+#: The checksum is folded over the digits of the id: a byte is added, then eight steps.
+PREFIX_TRIE = r"""
+with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first) as i,
+  coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 20 as family, list_reduce(
+  list_prepend(4294967295, flatten(list_transform(range(1, length(conv_id::varchar) + 1), lambda p: list_concat([ascii(substr(conv_id::varchar, p, 1))], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+  lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end) as folded from (select distinct conv_id from t)),
+h as (select conv_id, family, xor(folded, 4294967295) % 4 as h from c),
+r as (select h.conv_id, t.i, role, text from h join t on t.conv_id = h.family and t.i <= h.h
+      union all select h.conv_id, t.i, role, text from h join t on t.conv_id = h.conv_id and t.i > h.h),
+p as (select conv_id, row_number() over w as d, array_to_string(list(sha256(length(role) || ':' || role || text)) over w, '') as prefix,
+  len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words from r window w as (partition by conv_id order by i)),
+m as (select conv_id, d, prefix, words from p union all select conv_id, 0, '', 0 from h),
+last as (select conv_id, max(d) as d from m group by 1),
+n as (select m.d, prefix, min(conv_id) as conv_id, count(*) as n, any_value(words) as words,
+  sha256(coalesce(string_agg(case when m.d = last.d then conv_id::varchar end, ',' order by conv_id), '')) as ends
+  from m join last using (conv_id) group by m.d, prefix),
+k as (select n.d, n.prefix, count(x.d) as kids from n left join n x on x.d = n.d + 1 and x.prefix[:64 * n.d] = n.prefix group by all),
+sub as (select a.d, a.prefix, sum((x.n - 1) * x.words) as saved, count(*) filter (k.kids = 0) as leaves
+  from n x join k on k.d = x.d and k.prefix = x.prefix join n a on a.d <= x.d and a.prefix = x.prefix[:64 * a.d] group by all)
+select n.conv_id, n.d::bigint as depth, up.conv_id as parent_conv_id, n.n::bigint as n_convs, k.kids::bigint as n_children,
+  leaves::bigint as n_leaves, saved::bigint as saved_tokens, n.ends as ends_sha256
+from n join k on k.d = n.d and k.prefix = n.prefix join sub on sub.d = n.d and sub.prefix = n.prefix
+left join n up on up.d = n.d - 1 and up.prefix = n.prefix[:64 * (n.d - 1)] and n.d > 0
+"""

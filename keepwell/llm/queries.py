@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.llm import bpe, dac, oracle
+from keepwell.llm.burst_trie import trie
 from keepwell.llm.decontaminate import contained
 from keepwell.llm.html_text import extract
 from keepwell.llm.minhash import near_duplicates
 from keepwell.llm.quality import quality
+from keepwell.llm.resharding import resharded
 from keepwell.llm.secrets import scan
+from keepwell.llm.simplex import clustered
 from keepwell.llm.substrings import without_repeats
 from keepwell.llm.tables import read
 from keepwell.llm.toxicity import toxicity
@@ -69,5 +72,19 @@ def op2_markov_secrets(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed("found").alias("spans"))
 
 
-QUERIES = {"op2_markov_secrets": op2_markov_secrets, "op8_nearest_examples": op8_nearest_examples, "op4_zstd_warc": op4_zstd_warc, "op7_tree_scoring": op7_tree_scoring, "op3_merge_replay": op3_merge_replay, "op9_addressable_ids": op9_addressable_ids, "op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination}
-ORACLES = {"op4_zstd_warc": oracle.WARC, "op10_repeated_passages": oracle.REPEATED_PASSAGES, "op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION}
+def op11_nsimplex_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    return clustered(read(spark, folder, "embeddings"))
+
+
+def op12_flow_resharding(spark: SparkSession, folder: str) -> DataFrame:
+    return resharded(read(spark, folder, "documents"))
+
+
+def op13_burst_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie(read(spark, folder, "conversations"))
+
+
+QUERIES = {"op2_markov_secrets": op2_markov_secrets, "op8_nearest_examples": op8_nearest_examples, "op4_zstd_warc": op4_zstd_warc, "op7_tree_scoring": op7_tree_scoring, "op3_merge_replay": op3_merge_replay, "op9_addressable_ids": op9_addressable_ids, "op10_repeated_passages": op10_repeated_passages, "op6_bbit_minhash": op6_bbit_minhash, "op1_line_frequency": op1_line_frequency, "op5_decontamination": op5_decontamination,
+           "op11_nsimplex_kmeans": op11_nsimplex_kmeans, "op12_flow_resharding": op12_flow_resharding, "op13_burst_trie": op13_burst_trie}
+ORACLES = {"op4_zstd_warc": oracle.WARC, "op10_repeated_passages": oracle.REPEATED_PASSAGES, "op6_bbit_minhash": oracle.NEAR_DUPLICATES, "op1_line_frequency": oracle.QUALITY, "op5_decontamination": oracle.DECONTAMINATION,
+           "op11_nsimplex_kmeans": oracle.CENTROIDS, "op13_burst_trie": oracle.PREFIX_TRIE}

@@ -12,13 +12,13 @@ NAMES = [n for n in oracle_sql() if n.startswith("op")]
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in queries()
+    assert {n.split("_")[0] for n in queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
     df = queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
