@@ -9,18 +9,18 @@ cells instead of customers.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from keepwell.functions.features import addon_count, ensure_engineered, is_yes
 from keepwell.functions.scoring import clamp, linear_predictor, sigmoid
+from keepwell.operators import newton
 from keepwell.operators.encode import one_hot_terms, pinned_levels
-from keepwell.operators.matching import sweep
+from keepwell.operators.matching import CALIPER_SD, lines_att
 from keepwell.operators.ranking import hash_rank
 from keepwell.operators.regression import Fit, ols_hc1, tsls
 from keepwell.schema import ADDON_SERVICES, TARGET
@@ -76,8 +76,7 @@ def design_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def confounder_terms(cells: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict[str, Column]:
     """Reference-coded design over the cells' columns."""
-    levels = pinned_levels(cells, categorical)
-    dummies = one_hot_terms(levels, drop_first=True)
+    dummies = one_hot_terms(pinned_levels(cells, categorical), drop_first=True) if categorical else {}
     return {**{c: F.col(c).cast("double") for c in numeric}, **dummies}
 
 
@@ -100,36 +99,28 @@ class Logistic:
 
 
 def fit_logistic(df: DataFrame, terms: Mapping[str, Column], label: Column, weight: Column | None = None,
-                 l2: float = 1.0, class_weight: Column | None = None, tol: float = 1e-9,
-                 max_iter: int = 200) -> Logistic:
+                 l2: float = 1.0, class_weight: Column | None = None) -> Logistic:
     """Logistic regression on standardised terms, reported on the raw scale.
 
     ``weight`` counts rows; ``l2`` is the strength on the summed loss (0 for
-    an unpenalised fit). Constant terms get no coefficient.
+    an unpenalised fit). Constant terms get no coefficient. Raises if the fit
+    has one outcome class or doesn't converge.
     """
     count = F.lit(1.0) if weight is None else weight
     use = count if class_weight is None else count * class_weight
-    names = list(terms)
-    rows = df.select(label.cast("double").alias("_y"), count.cast("double").alias("_n"), use.cast("double").alias("_w"),
-                     *[terms[c].cast("double").alias(f"x{i}") for i, c in enumerate(names)]).filter("_w > 0")
-    centre = rows.agg(F.count("*").alias("rows"), F.sum("_n").alias("n"), F.sum("_w").alias("w"), *[
-        F.sum(F.col("_n") * F.col(f"x{i}")).alias(f"s{i}") for i in range(len(names))]).first()
-    means = [centre[f"s{i}"] / centre["n"] for i in range(len(names))]
-    spread = rows.agg(*[F.sum(F.col("_n") * (F.col(f"x{i}") - m) * (F.col(f"x{i}") - m)).alias(f"v{i}")
-                        for i, m in enumerate(means)], F.lit(0).alias("_")).first()
-    sds = [float(np.sqrt(spread[f"v{i}"] / centre["n"])) for i in range(len(names))]
-    live = [i for i, s in enumerate(sds) if s > 1e-12]
-    scaled = rows.select("_y", "_w", *[((F.col(f"x{i}") - means[i]) / sds[i]).alias(f"z{i}") for i in live])
-    ready = VectorAssembler(inputCols=[f"z{i}" for i in live], outputCol="_f").transform(scaled).select("_y", "_w", "_f")
-    ready = for_iteration(ready, centre["rows"])
-    model = LogisticRegression(
-        featuresCol="_f", labelCol="_y", weightCol="_w", standardization=False, tol=tol, maxIter=max_iter,
-        regParam=l2 / centre["w"], elasticNetParam=0.0).fit(ready)
-    ready.unpersist()
-    beta = model.coefficients.toArray()
-    weights = {names[i]: float(b / sds[i]) for i, b in zip(live, beta)}
-    intercept = float(model.intercept) - sum(float(b) * means[i] / sds[i] for i, b in zip(live, beta))
-    return Logistic(intercept, weights, terms)
+    rows = df.select(F.array(*[e.cast("double") for e in terms.values()]).alias("x"), label.cast("double").alias("y"),
+                     count.cast("double").alias("n"), use.cast("double").alias("w")).filter("w > 0")
+    rows = for_iteration(rows)
+
+    def read(part):
+        y, n, w = (part.column(c).to_numpy()[:, None] for c in ("y", "n", "w"))
+        return y * w, w, n
+
+    found = newton.fit_many(rows, list(terms), 1, read, l2)
+    rows.unpersist()
+    if not found.converged[0] or not np.isnan(found.rate[0]):
+        raise ValueError("the logistic fit has one outcome class or did not converge")
+    return Logistic(float(found.intercept[0]), dict(zip(found.names, map(float, found.weights[0]))), terms)
 
 
 def overlap(cells: DataFrame, p: str = "propensity", n: str = "n", trim: float = TRIM) -> DataFrame:
@@ -233,29 +224,6 @@ def aipw_saturated(wide: DataFrame, by=()) -> DataFrame:
         (F.sum(influence) / F.sum(n)).alias("aipw_ate"))
 
 
-def aipw(cells: DataFrame, terms: Mapping[str, Column], p: str = "propensity", weight: str = "n") -> float:
-    """Doubly robust effect with one logistic outcome model per arm.
-
-    An arm with a single outcome value predicts that constant.
-    """
-    n = F.col(weight)
-    rates = {r["treated"]: (r["y"], r["n"]) for r in cells.groupBy("treated").agg(
-        F.sum(n * F.col("outcome")).alias("y"), F.sum(n).alias("n")).collect()}
-    predicted = {}
-    for arm in (0, 1):
-        y, size = rates[arm]
-        if y in (0, size):
-            predicted[arm] = F.lit(y / size)
-        else:
-            predicted[arm] = fit_logistic(
-                cells.filter(F.col("treated") == arm), terms, F.col("outcome"), n).probability
-    q = clamp(F.col(p), *WEIGHT_CLIP)
-    t, y = F.col("treated"), F.col("outcome")
-    influence = (predicted[1] - predicted[0] + t * (y - predicted[1]) / q
-                 - (1 - t) * (y - predicted[0]) / (1 - q))
-    return float(cells.agg((F.sum(n * influence) / F.sum(n)).alias("e")).first()["e"])
-
-
 def e_value(risk_ratio: Column) -> Column:
     """Confounder strength on the risk-ratio scale needed to explain a result away."""
     rr = F.when(risk_ratio >= 1, risk_ratio).otherwise(F.try_divide(F.lit(1.0), risk_ratio))
@@ -264,6 +232,289 @@ def e_value(risk_ratio: Column) -> Column:
 
 # --- resampling --------------------------------------------------------------
 
+def replicate_weights(cells: DataFrame, terms: Mapping[str, Column], key: Sequence[str], draws: int, seed) -> DataFrame:
+    """Cells with all their redrawn counts: (x, treated, outcome, w), w an array of ``draws`` counts.
+
+    A row-level Poisson(1) bootstrap summed over a cell of n rows is
+    Poisson(n), so a replicate costs one draw per cell, not per customer. The
+    generator is keyed by the cell itself: partitioning cannot change a draw.
+    """
+    tagged = cells.select(F.array(*[e.cast("double") for e in terms.values()]).alias("x"), "treated", "outcome", "n", _cell_tag(key, seed).alias("tag"))
+
+    def redraw(batches):
+        for b in batches:
+            w = np.array([np.random.Generator(np.random.Philox(key=t)).poisson(c, draws) for t, c in zip(b.column("tag").to_pylist(), b.column("n").to_pylist())], np.int32)
+            lists = pa.ListArray.from_arrays(np.arange(0, w.size + 1, draws, dtype=np.int32), w.ravel())
+            yield pa.RecordBatch.from_arrays([b.column("x"), b.column("treated"), b.column("outcome"), lists], names=["x", "treated", "outcome", "w"])
+
+    return tagged.mapInArrow(redraw, "x array<double>, treated int, outcome int, w array<int>")
+
+
+def _read_cells(part):
+    """Treatment, outcome (as columns) and weights (a column per replicate) of a block of cells."""
+    t, y = (part.column(c).to_numpy(zero_copy_only=False).astype(float)[:, None] for c in ("treated", "outcome"))
+    return t, y, newton.matrix(part.column("w"), part.num_rows)
+
+
+def _propensity(part):
+    t, _, w = _read_cells(part)
+    return w * t, w, w
+
+
+def _outcome_by_arm(part):
+    """Two models per replicate, controls first; the penalty is scaled on both arms together."""
+    t, y, w = _read_cells(part)
+    totals = np.hstack([w * (1 - t), w * t])
+    return totals * y, totals, np.hstack([w, w])
+
+
+@dataclass
+class Replicates:
+    """Propensity and outcome models of all replicates of a design."""
+
+    cells: DataFrame
+    draws: int
+    propensity: newton.Fits
+    outcome: newton.Fits | None
+
+    def weighted(self) -> list[tuple]:
+        """(replicate, ipw_ate, aipw_ate, effective_sample_size), None where a fit failed."""
+        p, o, r, clip = self.propensity, self.outcome, self.draws, WEIGHT_CLIP
+
+        def values(part, x):
+            t, y, w = _read_cells(part)
+            q = np.clip(p.probability(x), *clip)
+            up, down = w * t / q, w * (1 - t) / (1 - q)
+            out = [w, w * t, up, up * y, down, down * y, w * t / (q * q), w * (1 - t) / ((1 - q) * (1 - q))]
+            if o is not None:
+                m = o.probability(x)
+                out.append(w * (m[:, r:] - m[:, :r] + t * (y - m[:, r:]) / q - (1 - t) * (y - m[:, :r]) / (1 - q)))
+            return np.column_stack([v.sum(axis=0) for v in out])
+
+        with np.errstate(invalid="ignore", divide="ignore"):
+            n, treated, w1, y1, w0, y0, ww1, ww0, *influence = newton.summed(self.cells, r, values).T
+            share = treated / n
+            total = share * w1 + (1 - share) * w0
+            size = total * total / (share * share * ww1 + (1 - share) ** 2 * ww0)
+            effects = (y1 / w1 - y0 / w0, influence[0] / n if influence else np.full(r, np.nan), size)
+        usable = np.isnan(p.rate) & p.converged
+        return [(i, *(float(e[i]) if usable[i] and np.isfinite(e[i]) else None for e in effects)) for i in range(r)]
+
+    def lines(self) -> DataFrame:
+        """Score lines of all replicates: (replicate, score, n_t, n_c, y_t, y_c)."""
+        p, draws = self.propensity, self.draws
+        usable = np.isnan(p.rate) & p.converged
+
+        def emit(batches):
+            for part, x in newton.blocks(batches, draws):
+                t, y, w = _read_cells(part)
+                q = np.clip(p.probability(x), LOGIT_CLIP, 1 - LOGIT_CLIP)
+                # equal designs get equal scores, in whatever block they are multiplied
+                score = np.round(np.log(q / (1 - q)), 12)
+                row, replicate = np.nonzero((w > 0) & usable[None, :])
+                n, t, y = w[row, replicate], t[row, 0], y[row, 0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(replicate, pa.int32()), *map(pa.array, (score[row, replicate], n * t, n * (1 - t), n * t * y, n * (1 - t) * y))],
+                    names=["replicate", "score", "n_t", "n_c", "y_t", "y_c"])
+
+        return self.cells.mapInArrow(emit, "replicate int, score double, n_t double, n_c double, y_t double, y_c double")
+
+    def matched(self, caliper_sd: float = CALIPER_SD) -> DataFrame:
+        return lines_att(self.lines(), ["replicate"], caliper_sd)
+
+
+def fit_replicates(weighted: DataFrame, names: Sequence[str], draws: int, outcomes: bool = True) -> Replicates:
+    """All models of all replicates; the cells with their weights are written once."""
+    checkpoint_ready(weighted.sparkSession)
+    cells = weighted.checkpoint()
+    propensity = newton.fit_many(cells, names, draws, _propensity)
+    return Replicates(cells, draws, propensity, newton.fit_many(cells, names, 2 * draws, _outcome_by_arm) if outcomes else None)
+
+
+def single(cells: DataFrame, terms: Mapping[str, Column], n: str = "n") -> DataFrame:
+    """The design itself as its only replicate."""
+    return cells.select(F.array(*[e.cast("double") for e in terms.values()]).alias("x"), "treated", "outcome", F.array(n).alias("w"))
+
+
+def model_bootstrap(cells: DataFrame, terms: Mapping[str, Column], key: Sequence[str], draws: int = BOOTSTRAP_DRAWS, seed=42,
+                    caliper_sd: float = CALIPER_SD) -> DataFrame:
+    """Intervals of the three estimators, the propensity and outcome models refitted in every draw."""
+    fitted = fit_replicates(replicate_weights(cells, terms, key, draws, seed), list(terms), draws)
+    spark = cells.sparkSession
+    rows = spark.createDataFrame(fitted.weighted(), "replicate int, ipw_ate double, aipw_ate double, effective_sample_size double")
+    return reduce(DataFrame.unionByName, [
+        percentile_interval(rows, "ipw_ate"), percentile_interval(rows, "aipw_ate"), percentile_interval(fitted.matched(caliper_sd), "matching_att")])
+
+
+def score_equations(fitted: Replicates, l2: float = 1.0) -> DataFrame:
+    """(replicate, term, residual): what is left of each propensity model's score equation, by plain column sums.
+
+    The residual is the derivative of the penalised loss per row of weight, so it is 0 at the fit.
+    """
+    p = fitted.propensity
+    models = fitted.cells.sparkSession.createDataFrame(
+        [(i, float(p.intercept[i]), [float(b) for b in p.weights[i]]) for i in range(fitted.draws)], "replicate int, intercept double, beta array<double>")
+    rows = fitted.cells.select("x", "treated", F.posexplode("w").alias("replicate", "n")).filter("n > 0").join(F.broadcast(models), "replicate")
+    eta = F.col("intercept") + F.aggregate(F.zip_with("x", "beta", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    rows = rows.withColumn("gap", F.col("n") * (F.col("treated") - sigmoid(eta)))
+    v = [F.col("x")[i] for i in range(len(p.names))]
+    sums = rows.groupBy("replicate").agg(F.sum("gap").alias("g"), F.sum("n").alias("n"), F.first("beta").alias("beta"), *[
+        e for i, x in enumerate(v) for e in (F.sum(F.col("gap") * x).alias(f"g{i}"), F.sum(F.col("n") * x).alias(f"s{i}"), F.sum(F.col("n") * x * x).alias(f"q{i}"))])
+
+    def left(i):
+        """On the raw scale a ridge on standardised coefficients is l2 x variance x coefficient."""
+        mean = F.col(f"s{i}") / F.col("n")
+        return (F.col(f"g{i}") - l2 * (F.col(f"q{i}") / F.col("n") - mean * mean) * F.col("beta")[i]) / F.col("n")
+
+    cells = [F.struct(F.lit("intercept").alias("term"), (F.col("g") / F.col("n")).alias("residual"))]
+    cells += [F.struct(F.lit(name).alias("term"), left(i).alias("residual")) for i, name in enumerate(p.names)]
+    return sums.select("replicate", F.explode(F.array(*cells)).alias("e")).select("replicate", "e.*")
+
+
+# --- resampling --------------------------------------------------------------
+
+def replicate_weights(cells: DataFrame, terms: Mapping[str, Column], key: Sequence[str], draws: int, seed) -> DataFrame:
+    """Cells with all their redrawn counts: (x, treated, outcome, w), w an array of ``draws`` counts.
+
+    A row-level Poisson(1) bootstrap summed over a cell of n rows is
+    Poisson(n), so a replicate costs one draw per cell, not per customer. The
+    generator is keyed by the cell itself: partitioning cannot change a draw.
+    """
+    tagged = cells.select(F.array(*[e.cast("double") for e in terms.values()]).alias("x"), "treated", "outcome", "n", _cell_tag(key, seed).alias("tag"))
+
+    def redraw(batches):
+        for b in batches:
+            w = np.array([np.random.Generator(np.random.Philox(key=t)).poisson(c, draws) for t, c in zip(b.column("tag").to_pylist(), b.column("n").to_pylist())], np.int32)
+            lists = pa.ListArray.from_arrays(np.arange(0, w.size + 1, draws, dtype=np.int32), w.ravel())
+            yield pa.RecordBatch.from_arrays([b.column("x"), b.column("treated"), b.column("outcome"), lists], names=["x", "treated", "outcome", "w"])
+
+    return tagged.mapInArrow(redraw, "x array<double>, treated int, outcome int, w array<int>")
+
+
+def _read_cells(part):
+    """Treatment, outcome (as columns) and weights (a column per replicate) of a block of cells."""
+    t, y = (part.column(c).to_numpy(zero_copy_only=False).astype(float)[:, None] for c in ("treated", "outcome"))
+    return t, y, newton.matrix(part.column("w"), part.num_rows)
+
+
+def _propensity(part):
+    t, _, w = _read_cells(part)
+    return w * t, w, w
+
+
+def _outcome_by_arm(part):
+    """Two models per replicate, controls first; the penalty is scaled on both arms together."""
+    t, y, w = _read_cells(part)
+    totals = np.hstack([w * (1 - t), w * t])
+    return totals * y, totals, np.hstack([w, w])
+
+
+@dataclass
+class Replicates:
+    """Propensity and outcome models of all replicates of a design."""
+
+    cells: DataFrame
+    draws: int
+    propensity: newton.Fits
+    outcome: newton.Fits | None
+
+    def weighted(self) -> list[tuple]:
+        """(replicate, ipw_ate, aipw_ate, effective_sample_size), None where a fit failed."""
+        p, o, r, clip = self.propensity, self.outcome, self.draws, WEIGHT_CLIP
+
+        def values(part, x):
+            t, y, w = _read_cells(part)
+            q = np.clip(p.probability(x), *clip)
+            up, down = w * t / q, w * (1 - t) / (1 - q)
+            out = [w, w * t, up, up * y, down, down * y, w * t / (q * q), w * (1 - t) / ((1 - q) * (1 - q))]
+            if o is not None:
+                m = o.probability(x)
+                out.append(w * (m[:, r:] - m[:, :r] + t * (y - m[:, r:]) / q - (1 - t) * (y - m[:, :r]) / (1 - q)))
+            return np.column_stack([v.sum(axis=0) for v in out])
+
+        with np.errstate(invalid="ignore", divide="ignore"):
+            n, treated, w1, y1, w0, y0, ww1, ww0, *influence = newton.summed(self.cells, r, values).T
+            share = treated / n
+            total = share * w1 + (1 - share) * w0
+            size = total * total / (share * share * ww1 + (1 - share) ** 2 * ww0)
+            effects = (y1 / w1 - y0 / w0, influence[0] / n if influence else np.full(r, np.nan), size)
+        usable = np.isnan(p.rate) & p.converged
+        return [(i, *(float(e[i]) if usable[i] and np.isfinite(e[i]) else None for e in effects)) for i in range(r)]
+
+    def lines(self) -> DataFrame:
+        """Score lines of all replicates: (replicate, score, n_t, n_c, y_t, y_c)."""
+        p, draws = self.propensity, self.draws
+        usable = np.isnan(p.rate) & p.converged
+
+        def emit(batches):
+            for part, x in newton.blocks(batches, draws):
+                t, y, w = _read_cells(part)
+                q = np.clip(p.probability(x), LOGIT_CLIP, 1 - LOGIT_CLIP)
+                # equal designs get equal scores, in whatever block they are multiplied
+                score = np.round(np.log(q / (1 - q)), 12)
+                row, replicate = np.nonzero((w > 0) & usable[None, :])
+                n, t, y = w[row, replicate], t[row, 0], y[row, 0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(replicate, pa.int32()), *map(pa.array, (score[row, replicate], n * t, n * (1 - t), n * t * y, n * (1 - t) * y))],
+                    names=["replicate", "score", "n_t", "n_c", "y_t", "y_c"])
+
+        return self.cells.mapInArrow(emit, "replicate int, score double, n_t double, n_c double, y_t double, y_c double")
+
+    def matched(self, caliper_sd: float = CALIPER_SD) -> DataFrame:
+        return lines_att(self.lines(), ["replicate"], caliper_sd)
+
+
+def fit_replicates(weighted: DataFrame, names: Sequence[str], draws: int, outcomes: bool = True) -> Replicates:
+    """All models of all replicates; the cells with their weights are written once."""
+    checkpoint_ready(weighted.sparkSession)
+    cells = weighted.checkpoint()
+    propensity = newton.fit_many(cells, names, draws, _propensity)
+    return Replicates(cells, draws, propensity, newton.fit_many(cells, names, 2 * draws, _outcome_by_arm) if outcomes else None)
+
+
+def single(cells: DataFrame, terms: Mapping[str, Column], n: str = "n") -> DataFrame:
+    """The design itself as its only replicate."""
+    return cells.select(F.array(*[e.cast("double") for e in terms.values()]).alias("x"), "treated", "outcome", F.array(n).alias("w"))
+
+
+def model_bootstrap(cells: DataFrame, terms: Mapping[str, Column], key: Sequence[str], draws: int = BOOTSTRAP_DRAWS, seed=42,
+                    caliper_sd: float = CALIPER_SD) -> DataFrame:
+    """Intervals of the three estimators, the propensity and outcome models refitted in every draw."""
+    fitted = fit_replicates(replicate_weights(cells, terms, key, draws, seed), list(terms), draws)
+    spark = cells.sparkSession
+    rows = spark.createDataFrame(fitted.weighted(), "replicate int, ipw_ate double, aipw_ate double, effective_sample_size double")
+    return reduce(DataFrame.unionByName, [
+        percentile_interval(rows, "ipw_ate"), percentile_interval(rows, "aipw_ate"), percentile_interval(fitted.matched(caliper_sd), "matching_att")])
+
+
+def score_equations(fitted: Replicates, l2: float = 1.0) -> DataFrame:
+    """(replicate, term, residual): what is left of each propensity model's score equation, by plain column sums.
+
+    The residual is the derivative of the penalised loss per row of weight, so it is 0 at the fit.
+    """
+    p = fitted.propensity
+    models = fitted.cells.sparkSession.createDataFrame(
+        [(i, float(p.intercept[i]), [float(b) for b in p.weights[i]]) for i in range(fitted.draws)], "replicate int, intercept double, beta array<double>")
+    rows = fitted.cells.select("x", "treated", F.posexplode("w").alias("replicate", "n")).filter("n > 0").join(F.broadcast(models), "replicate")
+    eta = F.col("intercept") + F.aggregate(F.zip_with("x", "beta", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    rows = rows.withColumn("gap", F.col("n") * (F.col("treated") - sigmoid(eta)))
+    long = rows.select("replicate", "n", "gap", F.posexplode("x").alias("place", "v"), "beta")
+    sums = long.groupBy("replicate", "place").agg(
+        F.sum(F.col("gap") * F.col("v")).alias("g"), F.sum("gap").alias("g0"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("v")).alias("s"),
+        F.sum(F.col("n") * F.col("v") * F.col("v")).alias("q"), F.max(F.col("beta")[F.col("place")]).alias("b"))
+    variance = F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n"))
+    names = F.array(*[F.lit(c) for c in p.names])
+    # on the raw scale a ridge on standardised coefficients is l2 x variance x coefficient, about the centred term
+    centred = F.col("g") - F.col("g0") * F.col("s") / F.col("n")
+    return sums.select("replicate", F.get(names, F.col("place")).alias("term"), ((centred - l2 * variance * F.col("b")) / F.col("n")).alias("residual"))
+
+
+# --- resampling --------------------------------------------------------------
+
+def _cell_tag(key: Sequence[str], seed) -> Column:
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+
+
 def poisson_replicates(cells: DataFrame, key: Sequence[str], draws: int, seed, n: str = "n") -> DataFrame:
     """One row per cell and replicate with a redrawn count.
 
@@ -271,8 +522,7 @@ def poisson_replicates(cells: DataFrame, key: Sequence[str], draws: int, seed, n
     Poisson(n), so a replicate costs one draw per cell, not per customer. The
     generator is keyed by the cell itself: partitioning cannot change a draw.
     """
-    tag = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))), 1, 15), 16, 10)
-    tagged = cells.withColumn("_tag", tag.cast("long"))
+    tagged = cells.withColumn("_tag", _cell_tag(key, seed))
     schema = T.StructType([*cells.schema.fields, T.StructField("replicate", T.IntegerType())])
 
     def redraw(batches):
@@ -292,31 +542,11 @@ def poisson_replicates(cells: DataFrame, key: Sequence[str], draws: int, seed, n
 def line_att(lines: DataFrame, by: Sequence[str], caliper_sd: float) -> DataFrame:
     """Matched effect per replicate from collapsed cells.
 
-    ``lines`` has (by..., propensity, n_t, n_c, y_t, y_c): one row per distinct
-    propensity, so a group holds at most as many rows as there are confounder
-    cells. Units of equal score count with their mean outcome.
+    ``lines`` has (by..., propensity, n_t, n_c, y_t, y_c). Units of equal score
+    count with their mean outcome.
     """
-    by = list(by)
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema if f.name in by)
-
-    def one(key, pdf):
-        p = pdf["propensity"].clip(LOGIT_CLIP, 1 - LOGIT_CLIP).to_numpy()
-        score = np.log(p / (1 - p))
-        size = (pdf["n_t"] + pdf["n_c"]).to_numpy()
-        mean = np.average(score, weights=size)
-        caliper = caliper_sd * np.sqrt(np.average((score - mean) ** 2, weights=size))
-        order = np.argsort(-score, kind="stable")
-        flows, _ = sweep(score[order].tolist(), pdf["n_t"].to_numpy()[order].tolist(),
-                         pdf["n_c"].to_numpy()[order].tolist(), caliper)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rate_t = dict(zip(score, pdf["y_t"] / pdf["n_t"]))
-            rate_c = dict(zip(score, pdf["y_c"] / pdf["n_c"]))
-        total = sum(f[4] for f in flows)
-        effect = sum(f[4] * (rate_t[f[0]] - rate_c[f[2]]) for f in flows) / total if total else None
-        return pd.DataFrame([[*key, effect, total]], columns=[*by, "matching_att", "n_pairs"])
-
-    merged = lines.groupBy(*by, "propensity").agg(*[F.sum(c).alias(c) for c in ("n_t", "n_c", "y_t", "y_c")])
-    return merged.groupBy(*by).applyInPandas(one, f"{fields}, matching_att double, n_pairs double")
+    score = F.log(clamp(F.col("propensity"), LOGIT_CLIP, 1 - LOGIT_CLIP) / (1 - clamp(F.col("propensity"), LOGIT_CLIP, 1 - LOGIT_CLIP)))
+    return lines_att(lines.withColumn("score", score), by, caliper_sd)
 
 
 def percentile_interval(draws: DataFrame, value: str) -> DataFrame:
@@ -389,10 +619,22 @@ def subset_samples(units: DataFrame, key: str, runs: int, seed, share: float = S
         "hash_rank", "stratum_size", "_key")
 
 
-def run_effects(samples: DataFrame, columns: Sequence[str], caliper_sd: float = 0.2) -> DataFrame:
-    """Matched effect of every run with a saturated propensity, in one job."""
-    cells = samples.groupBy("run", *columns, "treated", "outcome").agg(F.count("*").cast("double").alias("n"))
-    return line_att(saturated_propensity(cells, columns, by=["run"]), ["run"], caliper_sd)
+def run_effects(samples: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), caliper_sd: float = CALIPER_SD) -> DataFrame:
+    """Matched effect of every run, a logistic propensity refitted in each: (run, n_pairs, matching_att).
+
+    ``samples`` has a row per unit and run; units collapse to cells that hold the counts of all runs.
+    """
+    columns = [*numeric, *categorical]
+    runs = samples.agg(F.max("run")).first()[0]
+    if runs is None:
+        return samples.select("run", F.lit(None).cast("double").alias("n_pairs"), F.lit(None).cast("double").alias("matching_att"))
+    counts = F.array(*[F.sum((F.col("run") == r).cast("int")).cast("int") for r in range(runs + 1)])
+    cells = samples.groupBy(*columns, "treated", "outcome").agg(counts.alias("w")).persist()
+    terms = confounder_terms(cells, numeric, categorical)
+    design = cells.select(F.array(*[e.cast("double") for e in terms.values()]).alias("x"), "treated", "outcome", "w")
+    fitted = fit_replicates(design, list(terms), runs + 1, outcomes=False)
+    cells.unpersist()
+    return fitted.matched(caliper_sd).withColumnRenamed("replicate", "run")
 
 
 def refutation(observed: float, placebo: DataFrame, subset: DataFrame) -> DataFrame:

@@ -26,8 +26,7 @@ COEFFICIENTS = ("feature string, coefficient double, std_error double, odds_rati
 
 def fit_inference(df: DataFrame, terms: Mapping[str, Column], target: str) -> Logistic:
     """Unpenalised class-balanced logistic fit on reference-coded terms."""
-    return fit_logistic(df, terms, F.col(target), l2=0.0, class_weight=balanced_weight(df, target),
-                        tol=1e-10, max_iter=500)
+    return fit_logistic(df, terms, F.col(target), l2=0.0, class_weight=balanced_weight(df, target))
 
 
 def wald_table(df: DataFrame, terms: Mapping[str, Column], target: str,

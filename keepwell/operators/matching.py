@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import pickle
 from collections import deque
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
@@ -146,23 +147,79 @@ def flows_on_line(line: DataFrame, caliper: float, slab_scores: int = SLAB_SCORE
     return by_slab.cogroup(handed.groupBy("slab")).applyInPandas(flows, _FLOW).checkpoint()
 
 
-def att_on_line(line: DataFrame, caliper_sd: float = CALIPER_SD,
-                slab_scores: int = SLAB_SCORES) -> DataFrame:
-    """Matched effect from a collapsed line ``(score, n_t, n_c, y_t, y_c)``.
+def lines_att(lines: DataFrame, by: Sequence[str], caliper_sd: float = CALIPER_SD,
+              slab_scores: int = SLAB_SCORES) -> DataFrame:
+    """Matched effect of many collapsed lines at once: (by..., n_pairs, matching_att).
 
-    Units of one score count with their mean outcome, so no unit is looked up.
+    ``lines`` has (by..., score, n_t, n_c, y_t, y_c); ``by`` numbers the line and has few
+    values. Units of one score count with their mean outcome. Each line is cut
+    into slabs. What a slab leaves over travels as one row to the slab below,
+    with the mean outcomes of the scores in it, and only slabs whose message
+    changed are swept again. A line without pairs has a NULL effect.
     """
+    spark, by = lines.sparkSession, list(by)
+    checkpoint_ready(spark)
+    merged = lines.groupBy(*by, "score").agg(*[F.sum(c).cast("double").alias(c) for c in ("n_t", "n_c", "y_t", "y_c")]).checkpoint()
     size = F.col("n_t") + F.col("n_c")
-    m = line.agg(F.sum(size).alias("n"), F.sum(size * F.col("score")).alias("s")).first()
-    mean = m["s"] / m["n"]
-    var = line.agg((F.sum(size * (F.col("score") - mean) * (F.col("score") - mean)) / m["n"]).alias("v")).first()["v"]
-    flows = flows_on_line(line.select("score", F.col("n_t").cast("long").alias("n_t"), F.col("n_c").cast("long").alias("n_c")),
-                          caliper_sd * float(var) ** 0.5, slab_scores)
-    rate = lambda arm: line.filter(F.col(f"n_{arm}") > 0).select(
-        F.col("score").alias(f"{arm}_score"), (F.col(f"y_{arm}") / F.col(f"n_{arm}")).alias(f"rate_{arm}"))
-    joined = flows.join(rate("t"), "t_score").join(rate("c"), "c_score")
-    return joined.agg(F.sum("n").alias("n_pairs"),
-                      F.try_divide(F.sum(F.col("n") * (F.col("rate_t") - F.col("rate_c"))), F.sum("n")).alias("matching_att"))
+    stats = merged.groupBy(*by).agg(F.sum(size).alias("n"), F.sum(size * F.col("score")).alias("s"), F.count(F.lit(1)).alias("scores")).collect()
+    means = {tuple(r[b] for b in by): r["s"] / r["n"] for r in stats}
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in merged.schema if f.name in by)
+    if not stats:
+        return spark.createDataFrame([], f"{kinds}, n_pairs double, matching_att double")
+    centre = F.broadcast(spark.createDataFrame([(*k, float(m)) for k, m in means.items()], f"{kinds}, mean double"))   # a row per line
+    gap = F.col("score") - F.col("mean")
+    spread = merged.join(centre, by).groupBy(*by).agg((F.sum(size * gap * gap) / F.sum(size)).alias("v")).collect()
+    caliper = {tuple(r[b] for b in by): caliper_sd * float(r["v"]) ** 0.5 for r in spread}
+
+    slabs = -(-max(r["scores"] for r in stats) // slab_scores)
+    slab = F.lit(0)
+    if slabs > 1:
+        cuts = merged.agg(F.percentile_approx("score", [i / slabs for i in range(1, slabs)], 20 * slabs)).first()[0]
+        edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts), reverse=True)])
+        slab = F.size(F.filter(edges, lambda e: e > F.col("score")))     # 0 is the highest
+        slabs = len(set(cuts)) + 1
+    merged = merged.withColumn("slab", slab)
+    where = [*by, "slab"]
+
+    def swept(key, rows, handed):
+        rows = rows.sort_values("score", ascending=False)
+        left, rates = pickle.loads(handed["handed"].iloc[0]) if len(handed) else (None, {})
+        rates = {**rates, **{("t", s): y / n for s, y, n in zip(rows["score"], rows["y_t"], rows["n_t"]) if n},
+                 **{("c", s): y / n for s, y, n in zip(rows["score"], rows["y_c"], rows["n_c"]) if n}}
+        flows, left = sweep(rows["score"].tolist(), rows["n_t"].tolist(), rows["n_c"].tolist(), caliper[tuple(key[:-1])], left, key[-1] == slabs - 1)
+        known = {k: rates[k] for k in [*(("t", t[0]) for t in left[0]), *(("c", c[0]) for c in left[1])]}
+        return flows, rates, (left, known) if left[0] or left[1] else None
+
+    def message(key, rows, handed):
+        _, _, left = swept(key, rows, handed)
+        return pd.DataFrame([[*key[:-1], key[-1] + 1, pickle.dumps(left)]] if left and key[-1] < slabs - 1 else [], columns=[*where, "handed"])
+
+    def effect(key, rows, handed):
+        flows, rates, _ = swept(key, rows, handed)
+        return pd.DataFrame([[*key[:-1], float(sum(f[4] for f in flows)), float(sum(f[4] * (rates["t", f[0]] - rates["c", f[2]]) for f in flows))]], columns=[*by, "n", "gap"])
+
+    kind = f"{kinds}, slab int, handed binary"
+    handed = spark.createDataFrame([], kind)
+    changed = merged.select(*where).distinct()
+    for _ in range(slabs - 1):
+        again = merged.join(changed, where, "left_semi").groupBy(*where).cogroup(handed.join(changed, where, "left_semi").groupBy(*where))
+        fresh = again.applyInPandas(message, kind).checkpoint()
+        below = changed.withColumn("slab", F.col("slab") + 1)
+        old = handed.join(below, where, "left_semi")
+        # a slab below gets a new, another or no message
+        differs = fresh.join(old, [*where, "handed"], "left_anti").select(*where).unionByName(old.join(fresh, where, "left_anti").select(*where)).checkpoint()
+        handed = handed.join(below, where, "left_anti").unionByName(fresh).checkpoint()
+        changed = differs
+        if differs.isEmpty():
+            break
+    parts = merged.groupBy(*where).cogroup(handed.groupBy(*where)).applyInPandas(effect, f"{kinds}, n double, gap double")
+    return parts.groupBy(*by).agg(F.sum("n").alias("n_pairs"), F.try_divide(F.sum("gap"), F.sum("n")).alias("matching_att"))
+
+
+def att_on_line(line: DataFrame, caliper_sd: float = CALIPER_SD,
+                slab_scores: int = SLAB_SCORES) -> DataFrame:
+    """Matched effect from a collapsed line ``(score, n_t, n_c, y_t, y_c)``."""
+    return lines_att(line.withColumn("line", F.lit(0)), ["line"], caliper_sd, slab_scores).select("n_pairs", "matching_att")
 
 
 def caliper_width(units: DataFrame, score: str, caliper_sd: float = CALIPER_SD) -> float:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from keepwell.functions.features import is_yes
@@ -26,6 +29,17 @@ CLUSTER_FLAGS = {
 CLUSTER_INPUTS = CLUSTER_NUMERIC + list(CLUSTER_FLAGS) + ["senior"]
 HIGH_CHURN_FACTOR, LOW_CHURN_FACTOR, COMMITTED_BELOW = 1.25, 0.6, 0.5
 TOP_DIFFERENCES = 4
+# conditions hold together; the first row that holds names the segment
+SEGMENT_NAMES = [
+    (("high churn", "high spend"), "High-Value At Risk"),
+    (("high churn", "short tenure"), "New and Unsettled"),
+    (("high churn",), "Drifting Regulars"),
+    (("low churn", "committed", "high spend"), "Premium Loyalists"),
+    (("low churn", "committed"), "Locked-In Core"),
+    (("low spend", "short tenure"), "Budget Newcomers"),
+    (("high spend",), "Established Spenders"),
+    ((), "Steady Mainstream"),
+]
 # --- end of fixed values ----------------------------------------------------
 
 SEGMENT_DIMENSIONS = ["Contract", "tenure_bucket", "spend_bucket"]
@@ -154,18 +168,14 @@ def name_segments(profiles: DataFrame, segment: str = "segment") -> DataFrame:
         / F.sum("customers").over(everything),
         "_tenure": F.median("avg_tenure").over(everything),
         "_spend": F.median("avg_monthly_charges").over(everything)})
-    high_churn = F.col("churn_rate") > F.col("_base") * HIGH_CHURN_FACTOR
-    low_churn = F.col("churn_rate") < F.col("_base") * LOW_CHURN_FACTOR
-    veteran = F.col("avg_tenure") > F.col("_tenure")
-    big = F.col("avg_monthly_charges") > F.col("_spend")
-    loyal = low_churn & (F.col("pct_month_to_month") < COMMITTED_BELOW)
-    label = (
-        F.when(high_churn, F.when(big, "High-Value At Risk")
-               .when(~veteran, "New and Unsettled").otherwise("Drifting Regulars"))
-        .when(loyal, F.when(big, "Premium Loyalists").otherwise("Locked-In Core"))
-        .when(big, "Established Spenders")
-        .when(~veteran, "Budget Newcomers")
-        .otherwise("Steady Mainstream"))
+    longer, dearer = F.col("avg_tenure") > F.col("_tenure"), F.col("avg_monthly_charges") > F.col("_spend")
+    holds = {
+        "high churn": F.col("churn_rate") > F.col("_base") * HIGH_CHURN_FACTOR,
+        "low churn": F.col("churn_rate") < F.col("_base") * LOW_CHURN_FACTOR,
+        "committed": F.col("pct_month_to_month") < COMMITTED_BELOW,
+        "short tenure": ~longer, "high spend": dearer, "low spend": ~dearer}
+    rules = [F.when(reduce(and_, [holds[c] for c in conditions], F.lit(True)), F.lit(name)) for conditions, name in SEGMENT_NAMES]
+    label = F.coalesce(*rules)
     named = judged.withColumn("_label", label)
     repeat = F.row_number().over(Window.partitionBy("_label").orderBy(segment)) > 1
     suffix = F.format_string("%s (%d)", F.col("_label"), F.col(segment))

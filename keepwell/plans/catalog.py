@@ -841,13 +841,16 @@ def e_value(spark, d):
 
 
 def matched(spark, d):
-    """Units scored by a logistic propensity, trimmed to support, with pairs."""
+    """Units inside the common support, scored by a propensity fitted on them, with pairs."""
     units = observational(spark, d).persist()
     numeric, categorical = causal.confounder_columns()
     cells = causal.design_cells(units, numeric + categorical).persist()
     terms = causal.confounder_terms(cells, numeric, categorical)
-    model = causal.fit_logistic(cells, terms, F.col("treated"), F.col("n"))
-    scored_units = units.withColumn("score", S.logit(model.probability, causal.LOGIT_CLIP))
+    first = causal.fit_logistic(cells, terms, F.col("treated"), F.col("n")).probability
+    ends = causal.overlap(cells.withColumn("propensity", first)).first()
+    inside = first.between(ends["low"], ends["high"])
+    model = causal.fit_logistic(cells.filter(inside), terms, F.col("treated"), F.col("n"))
+    scored_units = units.filter(inside).withColumn("score", S.logit(model.probability, causal.LOGIT_CLIP))
     return scored_units, terms, matching.match_pairs(scored_units, ID, "score", "treated", carry=["outcome"], seed=SEED)
 
 
@@ -878,15 +881,37 @@ def att_lookup(spark, d):
         "n_pairs", r("att"), r("treated_rate"), r("control_rate"))
 
 
+def full_design(spark, d):
+    """Cells over all confounders inside the common support, and their terms."""
+    numeric, categorical = causal.confounder_columns()
+    every = causal.design_cells(observational(spark, d), numeric + categorical).persist()
+    model = causal.fit_logistic(every, causal.confounder_terms(every, numeric, categorical), F.col("treated"), F.col("n"))
+    with_p = every.withColumn("propensity", model.probability)
+    cells = causal.trim_to_support(with_p, causal.overlap(with_p)).drop("propensity").persist()
+    return cells, causal.confounder_terms(cells, numeric, categorical), [*numeric, *categorical, "treated", "outcome"]
+
+
 @query
 def bootstrap_intervals(spark, d):
-    return causal.bootstrap(causal.design_cells(observational(spark, d), CELL_COLUMNS), CELL_COLUMNS)
+    cells, terms, key = full_design(spark, d)
+    return causal.model_bootstrap(cells, terms, key, seed=SEED)
+
+
+@query
+def bootstrap_score_equations(spark, d):
+    """What is left of the score equations of the propensity model in each of 200 draws."""
+    cells, terms, key = full_design(spark, d)
+    weighted = causal.replicate_weights(cells, terms, key, causal.BOOTSTRAP_DRAWS, SEED)
+    fitted = causal.fit_replicates(weighted, list(terms), causal.BOOTSTRAP_DRAWS, outcomes=False)
+    return causal.score_equations(fitted).groupBy("replicate").agg(
+        F.abs(F.round(F.max(F.abs("residual")), 8)).alias("largest_residual"))
 
 
 def runs(spark, d, kind):
-    units = observational(spark, d).select(ID, *CELL_COLUMNS, "treated", "outcome")
+    numeric, categorical = causal.confounder_columns()
+    units = observational(spark, d).select(ID, *numeric, *categorical, "treated", "outcome")
     make = causal.placebo_treatments if kind == "placebo" else causal.subset_samples
-    return causal.run_effects(make(units, ID, causal.PLACEBO_RUNS, SEED), CELL_COLUMNS)
+    return causal.run_effects(make(units, ID, causal.PLACEBO_RUNS, SEED), numeric, categorical)
 
 
 @query
@@ -901,8 +926,8 @@ def refute_subset(spark, d):
 
 @query
 def refutation_verdict(spark, d):
-    cells = causal.design_cells(observational(spark, d), CELL_COLUMNS).withColumn("run", F.lit(0))
-    effect = causal.line_att(causal.saturated_propensity(cells, CELL_COLUMNS, by=["run"]), ["run"], matching.CALIPER_SD)
+    cells, terms, _ = full_design(spark, d)
+    effect = causal.fit_replicates(causal.single(cells, terms), list(terms), 1, outcomes=False).matched()
     return causal.refutation(effect.first()["matching_att"], runs(spark, d, "placebo"), runs(spark, d, "subset"))
 
 

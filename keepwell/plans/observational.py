@@ -9,37 +9,12 @@ from keepwell.operators import causal, matching
 from keepwell.session import checkpoint_ready
 
 
-def logistic_att(cells: DataFrame, numeric, categorical) -> float | None:
-    """Matched effect of a cell table with a freshly fitted logistic propensity."""
-    terms = causal.confounder_terms(cells, numeric, categorical)
-    model = causal.fit_logistic(cells, terms, F.col("treated"), F.col("n"))
-    arm = lambda a, v: F.sum(F.when(F.col("treated") == a, v).otherwise(0.0))
-    line = cells.groupBy(logit(model.probability, causal.LOGIT_CLIP).alias("score")).agg(
-        arm(1, F.col("n")).alias("n_t"), arm(0, F.col("n")).alias("n_c"),
-        arm(1, F.col("n") * F.col("outcome")).alias("y_t"), arm(0, F.col("n") * F.col("outcome")).alias("y_c"))
-    return matching.att_on_line(line).first()["matching_att"]
-
-
 def refute(units: DataFrame, key: str, observed: float, runs: int = causal.PLACEBO_RUNS, seed=42) -> DataFrame:
-    """Placebo and subset refuters with the logistic propensity refitted per run.
-
-    All permuted and sampled designs are collapsed to cells in one pass each;
-    a run then only touches its own cells.
-    """
-    spark = units.sparkSession
-    checkpoint_ready(spark)
+    """Placebo and subset refuters; the runs of each are fitted together."""
     numeric, categorical = causal.confounder_columns()
-    columns = numeric + categorical
-    slim = units.select(key, *columns, "treated", "outcome")
-
-    def effects(samples):
-        cells = samples.groupBy("run", *columns, "treated", "outcome").agg(
-            F.count("*").cast("double").alias("n")).checkpoint()
-        found = [(r, logistic_att(cells.filter(F.col("run") == r).drop("run"), numeric, categorical)) for r in range(runs)]
-        return spark.createDataFrame(found, "run int, matching_att double")
-
-    return causal.refutation(observed, effects(causal.placebo_treatments(slim, key, runs, seed)),
-                             effects(causal.subset_samples(slim, key, runs, seed)))
+    slim = units.select(key, *numeric, *categorical, "treated", "outcome")
+    return causal.refutation(observed, causal.run_effects(causal.placebo_treatments(slim, key, runs, seed), numeric, categorical),
+                             causal.run_effects(causal.subset_samples(slim, key, runs, seed), numeric, categorical))
 
 
 def run_observational(units: DataFrame, key: str, mediators: bool = False, draws: int = 0,
@@ -62,12 +37,12 @@ def run_observational(units: DataFrame, key: str, mediators: bool = False, draws
     ends = support.first()
     cells = with_p.filter(F.col("propensity").between(ends["low"], ends["high"])).drop("propensity").checkpoint()
     terms = causal.confounder_terms(cells, numeric, categorical)
-    second = causal.fit_logistic(cells, terms, F.col("treated"), F.col("n"))
+    fitted = causal.fit_replicates(causal.single(cells, terms), list(terms), 1)
+    _, by_weight, robust, effective_size = fitted.weighted()[0]
+    if by_weight is None:
+        raise ValueError("the propensity has one class on the common support or did not converge")
+    second = causal.Logistic(float(fitted.propensity.intercept[0]), dict(zip(terms, map(float, fitted.propensity.weights[0]))), terms)
     weighted = cells.withColumn("propensity", second.probability)
-
-    arms = weighted.withColumn("y", F.col("n") * F.col("outcome"))
-    by_weight = causal.ipw(arms)
-    robust = causal.aipw(weighted, terms)
     kept = units.filter(first.probability.between(ends["low"], ends["high"])).withColumn(
         "score", logit(second.probability, causal.LOGIT_CLIP))
     caliper = matching.caliper_width(kept, "score")
@@ -84,27 +59,13 @@ def run_observational(units: DataFrame, key: str, mediators: bool = False, draws
                .join(after.select("covariate", F.col("smd").alias("after_matching")), "covariate")
                .join(reweighted.select("covariate", F.col("smd").alias("after_weighting")), "covariate"))
 
-    w = by_weight.first()
     intervals = {}
     if draws:
-        def refit(c):
-            return causal.fit_logistic(c, terms, F.col("treated"), F.col("n")).probability
-
-        def one_ipw(c):
-            arms = c.withColumns({"propensity": refit(c), "y": F.col("n") * F.col("outcome")})
-            return causal.ipw(arms).first()["ipw_ate"]
-
-        def one_aipw(c):
-            return causal.aipw(c.withColumn("propensity", refit(c)), terms)
-
-        def one_matching(c):
-            return logistic_att(c, numeric, categorical)
-
-        for name, fn in (("ipw_ate", one_ipw), ("aipw_ate", one_aipw), ("matching_att", one_matching)):
-            intervals[name] = causal.bootstrap_with(fn, cells, [*columns, "treated", "outcome"], draws, seed).first()
-    values = {"matching_att": effect["att"], "ipw_ate": w["ipw_ate"], "aipw_ate": robust}
-    methods = {"matching_att": "1:1 nearest neighbour on the propensity logit, caliper 0.2 SD",
-               "ipw_ate": "stabilised inverse probability weighting", "aipw_ate": "augmented weighting (doubly robust)"}
+        found = causal.model_bootstrap(cells, terms, [*columns, "treated", "outcome"], draws, seed)
+        intervals = {r["estimator"]: r for r in found.collect()}
+    values = {"matching_att": effect["att"], "ipw_ate": by_weight, "aipw_ate": robust}
+    methods = {"matching_att": "each treated customer with the nearest free control by propensity logit, within 0.2 deviations",
+               "ipw_ate": "outcome means weighted by inverse propensity", "aipw_ate": "an outcome model per arm, corrected by weighted residuals"}
     estimates = spark.createDataFrame([
         (k, None if v is None else float(v), intervals[k]["ci_low"] if k in intervals else None,
          intervals[k]["ci_high"] if k in intervals else None, methods[k]) for k, v in values.items()],
@@ -114,7 +75,7 @@ def run_observational(units: DataFrame, key: str, mediators: bool = False, draws
     rr = (effect["treated_rate"] / effect["control_rate"]) if effect["control_rate"] else None
     diagnostics = spark.createDataFrame(
         [(gap, None if effect["att"] is None else gap - effect["att"], max(known) - min(known),
-          bool(max(known) - min(known) < causal.AGREEMENT_SPREAD), rr, float(w["effective_sample_size"]))],
+          bool(max(known) - min(known) < causal.AGREEMENT_SPREAD), rr, effective_size)],
         "naive_difference double, selection_bias_removed double, estimator_spread double, estimators_agree boolean, "
         "risk_ratio double, effective_sample_size double").withColumn("e_value", causal.e_value(F.col("risk_ratio")))
     return {"naive": naive, "estimates": estimates, "overlap": support, "balance": balance,

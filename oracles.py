@@ -700,6 +700,8 @@ _add("fact_causal", _CELLS + "," + _IPW + "," + _AIPW + ", nv AS (SELECT avg(out
   UNION ALL SELECT 'Difference-in-differences', 'Naive post-period', round(tq - cq, 6), false, '' FROM dc
   UNION ALL SELECT 'Difference-in-differences', 'Naive before/after', round(tq - tp, 6), false, '' FROM dc
   UNION ALL SELECT 'Difference-in-differences', 'Difference-in-differences', round(tq - tp - (cq - cp), 6), true, '' FROM dc""")
+# every draw's score equations are 0 at the fit
+ORACLES["bootstrap_score_equations"] = "SELECT CAST(r AS INTEGER) AS replicate, 0.0::DOUBLE AS largest_residual FROM range(0, 200) t(r)"
 _add("report_flatten", _PROFILE + " SELECT segment, customers, share, churn_rate, monthly_revenue FROM prof")
 _add("stream_quarantine", _FEAT + """, broken AS (SELECT customerID, TotalCharges IS NULL AS missing, tenure % 11 = 3 AS negative, tenure % 13 = 5 AS senior FROM typed)
 SELECT customerID, concat_ws('; ', CASE WHEN missing THEN 'missing TotalCharges' END, CASE WHEN negative THEN 'negative tenure' END,

@@ -191,3 +191,87 @@ def test_eligibility(spark, raw):
     assert out.count() == 8 and {r["treated"] for r in out.collect()} == {0, 1}
     first = out.filter("customerID = 'C0000'").first()
     assert first["num_other_addons"] == first["num_addon_services"] - 1
+
+
+def plain_newton(x, y, w, scale, l2):
+    """Ridge logistic fit of one data set in numpy."""
+    mean = np.average(x, axis=0, weights=scale)
+    sd = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=scale))
+    z = np.column_stack([np.ones(len(x)), (x - mean) / np.where(sd > 1e-9, sd, 1)])
+    pen = np.r_[0.0, np.full(x.shape[1], l2)]
+    b = np.zeros(z.shape[1])
+    for _ in range(60):
+        mu = 1 / (1 + np.exp(-z @ b))
+        b = b + np.linalg.solve((z.T * (w * mu * (1 - mu))) @ z + np.diag(pen), z.T @ (w * (y - mu)) - pen * b)
+    return 1 / (1 + np.exp(-z @ b))
+
+
+def weighted_design(spark, n=300, draws=5, seed=9):
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([rng.normal(50, 9, n), rng.integers(0, 2, n), np.full(n, 3.0), rng.normal(size=n) * 1e-3])
+    t = (rng.random(n) < 1 / (1 + np.exp(-(x[:, 0] - 50) / 9 - x[:, 1]))).astype(int)
+    y = (rng.random(n) < 0.3 + 0.2 * t).astype(int)
+    w = rng.poisson(1, (n, draws))
+    w[:, 1] = w[:, 1] * t                                # a replicate without controls
+    w[:, 2] = 0                                          # and one without rows
+    w[:, 3] = w[:, 3] * (x[:, 1] == 1)                   # a term that is constant in a replicate
+    df = spark.createDataFrame([(list(map(float, a)), int(b), int(c), list(map(int, d))) for a, b, c, d in zip(x, t, y, w)],
+                               "x array<double>, treated int, outcome int, w array<int>")
+    return x, t, y, w, df.repartition(3)
+
+
+def test_batched_fits_equal_single_fits(spark):
+    x, t, y, w, df = weighted_design(spark)
+    fitted = causal.fit_replicates(df, list("abcd"), 5)
+    got = fitted.propensity.probability(x)
+    for r in (0, 3, 4):
+        assert got[:, r] == pytest.approx(plain_newton(x, t, w[:, r], w[:, r], 1.0), abs=1e-7)
+    assert fitted.propensity.rate[1] == 1.0 and np.isnan(got[:, 2]).all() and not fitted.propensity.converged[2]
+    assert (fitted.propensity.weights[:, 2] == 0).all() and fitted.propensity.weights[3, 1] == 0
+    m = fitted.outcome.probability(x)
+    for arm in (0, 1):
+        assert m[:, 5 * arm + 4] == pytest.approx(plain_newton(x, y, w[:, 4] * (t == arm), w[:, 4], 1.0), abs=1e-7)
+    residual = causal.score_equations(fitted).filter("replicate in (0, 3, 4)").agg(F.max(F.abs("residual"))).first()[0]
+    assert residual < 1e-9
+
+
+def test_batched_estimates_equal_plain_ones(spark):
+    x, t, y, w, df = weighted_design(spark)
+    fitted = causal.fit_replicates(df, list("abcd"), 5)
+    rows = {r[0]: r for r in fitted.weighted()}
+    assert rows[1][1:] == (None, None, None) and rows[2][1:] == (None, None, None)
+    q = np.clip(plain_newton(x, t, w[:, 4], w[:, 4], 1.0), 0.01, 0.99)
+    m1, m0 = (plain_newton(x, y, w[:, 4] * (t == a), w[:, 4], 1.0) for a in (1, 0))
+    robust = np.average(m1 - m0 + t * (y - m1) / q - (1 - t) * (y - m0) / (1 - q), weights=w[:, 4])
+    by_weight = np.average(y, weights=w[:, 4] * t / q) - np.average(y, weights=w[:, 4] * (1 - t) / (1 - q))
+    assert rows[4][1] == pytest.approx(by_weight, abs=1e-7) and rows[4][2] == pytest.approx(robust, abs=1e-7)
+    att = {r["replicate"]: r for r in fitted.matched().collect()}
+    score = np.round(np.log(np.clip(fitted.propensity.probability(x)[:, 4], 1e-6, 1 - 1e-6) / (1 - np.clip(fitted.propensity.probability(x)[:, 4], 1e-6, 1 - 1e-6))), 12)
+    units = np.repeat(np.arange(len(x)), w[:, 4])
+    caliper = 0.2 * score[units].std()
+    pairs = greedy(score[units], t[units], caliper)
+    assert att[4]["n_pairs"] == len(pairs) and set(att) == {0, 3, 4}
+
+
+def test_lines_in_slabs_equal_one_slab(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for line in range(3):
+        score = np.round(np.r_[rng.normal(size=200), [9.0, 9.01] * (line == 1)], 3)
+        rows += [(line, float(s), *(float(v) for v in (t, c, t * 0.5, c * 0.25))) for s, t, c in zip(score, rng.integers(0, 4, len(score)), rng.integers(0, 3, len(score)))]
+    lines = spark.createDataFrame(rows, "line int, score double, n_t double, n_c double, y_t double, y_c double")
+    one = sorted(map(tuple, matching.lines_att(lines, ["line"], 1.5).collect()))
+    many = sorted(map(tuple, matching.lines_att(lines, ["line"], 1.5, slab_scores=15).collect()))
+    assert [r[:2] for r in one] == [r[:2] for r in many] and [r[2] for r in one] == pytest.approx([r[2] for r in many])
+
+
+def test_model_bootstrap_covers(spark):
+    units = confounded(spark, -0.10, n=1500, seed=4)
+    out = run_observational(units, "customerID", draws=40, seed=1)["estimates"].collect()
+    assert all(r["ci_low"] < r["estimate"] < r["ci_high"] and r["ci_high"] - r["ci_low"] < 0.25 for r in out)
+
+
+def test_failed_fits_raise(spark):
+    units = confounded(spark, -0.1, n=50).withColumn("treated", F.lit(1))
+    with pytest.raises(ValueError):
+        causal.fit_logistic(units, {"tenure": F.col("tenure")}, F.col("treated"))
