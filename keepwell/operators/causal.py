@@ -8,6 +8,7 @@ cells instead of customers.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,7 +22,7 @@ from keepwell.functions.scoring import clamp, linear_predictor, sigmoid
 from keepwell.operators import newton
 from keepwell.operators.encode import one_hot_terms, pinned_levels
 from keepwell.operators.matching import CALIPER_SD, lines_att
-from keepwell.operators.ranking import hash_rank
+from keepwell.operators.ranking import hash_cuts, seeded_hash
 from keepwell.operators.regression import Fit, ols_hc1, tsls
 from keepwell.schema import ADDON_SERVICES, TARGET
 from keepwell.session import checkpoint_ready, for_iteration
@@ -596,43 +597,49 @@ def bootstrap_with(estimator, cells: DataFrame, key: Sequence[str], draws: int,
     return percentile_interval(frame, "effect")
 
 
+def _run_hashes(key: str, runs: int, seed) -> list[Column]:
+    return [seeded_hash(F.concat_ws("#", F.col(key), F.lit(str(r))), seed) for r in range(runs)]
+
+
 def placebo_treatments(units: DataFrame, key: str, runs: int, seed) -> DataFrame:
-    """Each unit once per run with a permuted treatment.
+    """Adds ``arms``: for every run a permuted treatment.
 
-    The first ``n_treated`` units in the run's seeded order are flagged, so
-    every run keeps the exact number of treated.
+    The ``n_treated`` units with the smallest hashes of the run are treated, so
+    every run keeps the exact number; units are flagged where they lie.
     """
     n_treated = units.agg(F.sum("treated").alias("t")).first()["t"] or 0
-    spread = (units.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
-              .withColumn("_key", F.concat_ws("#", F.col(key), F.col("run"))))
-    ranked = hash_rank(spread, "_key", seed, ["run"])
-    return (ranked.withColumn("treated", (F.col("hash_rank") <= n_treated).cast("int"))
-            .drop("hash_rank", "stratum_size", "_key"))
+    hashes = _run_hashes(key, runs, seed)
+    cuts = hash_cuts(units, hashes, lambda n: [n_treated])
+    return units.withColumn("arms", F.array(*[cuts.below(h, i).cast("int") for i, h in enumerate(hashes)]))
 
 
 def subset_samples(units: DataFrame, key: str, runs: int, seed, share: float = SUBSET_SHARE) -> DataFrame:
-    """Exact-size samples without replacement, one per run."""
-    spread = (units.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
-              .withColumn("_key", F.concat_ws("#", F.col(key), F.col("run"))))
-    ranked = hash_rank(spread, "_key", seed, ["run"])
-    return ranked.filter(F.col("hash_rank") <= F.floor(F.lit(share) * F.col("stratum_size"))).drop(
-        "hash_rank", "stratum_size", "_key")
+    """Adds ``w``: for every run 1 if the unit is in its exact-size sample without replacement, else 0."""
+    hashes = _run_hashes(key, runs, seed)
+    cuts = hash_cuts(units, hashes, lambda n: [math.floor(share * n)])
+    return units.withColumn("w", F.array(*[cuts.below(h, i).cast("int") for i, h in enumerate(hashes)]))
 
 
-def run_effects(samples: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), caliper_sd: float = CALIPER_SD) -> DataFrame:
+def run_effects(units: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), caliper_sd: float = CALIPER_SD) -> DataFrame:
     """Matched effect of every run, a logistic propensity refitted in each: (run, n_pairs, matching_att).
 
-    ``samples`` has a row per unit and run; units collapse to cells that hold the counts of all runs.
+    Units carry the treatments (``arms``) or the weights (``w``) of all runs and
+    collapse to cells that hold the counts of all runs.
     """
-    columns = [*numeric, *categorical]
-    runs = samples.agg(F.max("run")).first()[0]
-    if runs is None:
-        return samples.select("run", F.lit(None).cast("double").alias("n_pairs"), F.lit(None).cast("double").alias("matching_att"))
-    counts = F.array(*[F.sum((F.col("run") == r).cast("int")).cast("int") for r in range(runs + 1)])
-    cells = samples.groupBy(*columns, "treated", "outcome").agg(counts.alias("w")).persist()
+    columns, name = [*numeric, *categorical], "arms" if "arms" in units.columns else "w"
+    runs = units.agg(F.max(F.size(name))).first()[0] or 0
+    if not runs:
+        return units.sparkSession.createDataFrame([], "run int, n_pairs double, matching_att double")
+    total = lambda e: F.array(*[F.sum(e(F.col(name)[r])).cast("int") for r in range(runs)])
+    if name == "arms":
+        both = units.groupBy(*columns, "outcome").agg(total(lambda a: a).alias("t"), total(lambda a: 1 - a).alias("c"))
+        arm = F.explode(F.array(*[F.struct(F.lit(a).alias("treated"), F.col(v).alias("w")) for a, v in ((1, "t"), (0, "c"))]))
+        cells = both.select(*columns, "outcome", arm.alias("a")).select(*columns, "outcome", "a.*").persist()
+    else:
+        cells = units.groupBy(*columns, "treated", "outcome").agg(total(lambda w: w).alias("w")).persist()
     terms = confounder_terms(cells, numeric, categorical)
     design = cells.select(F.array(*[e.cast("double") for e in terms.values()]).alias("x"), "treated", "outcome", "w")
-    fitted = fit_replicates(design, list(terms), runs + 1, outcomes=False)
+    fitted = fit_replicates(design, list(terms), runs, outcomes=False)
     cells.unpersist()
     return fitted.matched(caliper_sd).withColumnRenamed("replicate", "run")
 

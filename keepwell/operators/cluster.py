@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from keepwell.operators import metrics
+from keepwell.operators import lloyd, metrics
 from keepwell.operators.encode import scaled, scaling
-from keepwell.operators.ranking import hash_rank
+from keepwell.operators.ranking import hash_cuts, seeded_hash
 from keepwell.operators.segments import CLUSTER_INPUTS
 from keepwell.session import for_iteration
 
@@ -33,21 +33,36 @@ def standardised(matrix: DataFrame, keep=(), inputs=CLUSTER_INPUTS) -> DataFrame
     return VectorAssembler(inputCols=list(inputs), outputCol="features").transform(wide)
 
 
-def fit_kmeans(points: DataFrame, k: int, restarts: int = 1, seed: int = 42):
-    """Lowest-cost model over several seeded starts."""
-    models = (KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="segment").fit(points)
-              for i in range(restarts))
-    return min(models, key=lambda m: m.summary.trainingCost)
+def model_rows(points: DataFrame, inputs=CLUSTER_INPUTS, samples: list | None = None) -> DataFrame:
+    """What fits read: the inputs, a hash of the row and the samples it is in."""
+    plain = [f.name for f in points.schema if f.name != "features"]
+    extra = [F.array(*samples).alias("w")] if samples else []
+    return for_iteration(points.select(F.array(*[F.col(c).cast("double") for c in inputs]).alias("x"), F.xxhash64(*plain).alias("h"), *extra))
+
+
+def fit_kmeans(points: DataFrame, k: int, restarts: int = 1, seed: int = 42, inputs=CLUSTER_INPUTS) -> lloyd.Fitted:
+    """Lowest-cost model over several seeded starts, fitted together."""
+    rows = model_rows(points, inputs)
+    fits = lloyd.fit_models(rows, [lloyd.Model(k, i) for i in range(restarts)], len(inputs), seed)
+    rows.unpersist()
+    return lloyd.best_of(fits)
+
+
+def sweep_models(points: DataFrame, ks=K_RANGE, restarts: int = 1, seed: int = 42, inputs=CLUSTER_INPUTS) -> list[lloyd.Fitted]:
+    """The best model per k; all k and starts are fitted together."""
+    rows = model_rows(points, inputs)
+    fits = lloyd.fit_models(rows, [lloyd.Model(k, i) for k in ks for i in range(restarts)], len(inputs), seed)
+    rows.unpersist()
+    return [lloyd.best_of([f for f in fits if f.model.k == k]) for k in ks]
 
 
 def sweep_k(points: DataFrame, ks=K_RANGE, restarts: int = 1, seed: int = 42, inputs=CLUSTER_INPUTS) -> DataFrame:
-    """Quality of the best labelling per k; the points are cached across fits."""
+    """Quality of the best labelling per k."""
     points = for_iteration(points)
     frames = []
-    for k in ks:
-        labelled = fit_kmeans(points, k, restarts, seed).transform(points)
-        row = metrics.cluster_quality(labelled, "segment", inputs).first()
-        frames.append((k, *[float(row[c]) for c in ("inertia", "silhouette", "davies_bouldin", "calinski_harabasz", "smallest_share")]))
+    for fit in sweep_models(points, ks, restarts, seed, inputs):
+        row = metrics.cluster_quality(fit.assign(points, inputs), "segment", inputs).first()
+        frames.append((fit.model.k, *[float(row[c]) for c in ("inertia", "silhouette", "davies_bouldin", "calinski_harabasz", "smallest_share")]))
     points.unpersist()
     return points.sparkSession.createDataFrame(
         frames, "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double, smallest_share double"
@@ -66,20 +81,20 @@ def second_opinion(points: DataFrame, labels: DataFrame, k: int, key: str, seed:
     return metrics.adjusted_rand(labels.join(other.select(key, "other"), key), "segment", "other")
 
 
-def resample_agreement(points: DataFrame, labels: DataFrame, k: int, key: str, runs: int = RESAMPLES,
-                       restarts: int = RESAMPLE_RESTARTS, seed: int = 42) -> DataFrame:
-    """Agreement of refits on exact 80% samples with the full labelling."""
-    rows = []
-    joined = for_iteration(points.join(labels.select(key, "segment"), key))
-    for r in range(runs):
-        ranked = hash_rank(joined, key, f"{seed}:{r}")
-        sample = ranked.filter(F.col("hash_rank") <= F.floor(RESAMPLE_SHARE * F.col("stratum_size"))).drop("hash_rank", "stratum_size")
-        model = min((KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="again").fit(sample)
-                     for i in range(restarts)), key=lambda m: m.summary.trainingCost)
-        ari = metrics.adjusted_rand(model.transform(sample), "segment", "again").first()[0]
-        rows.append((r, float(ari)))
-    joined.unpersist()
-    return points.sparkSession.createDataFrame(rows, "run int, ari double")
+def resample_agreement(points: DataFrame, own: lloyd.Fitted, key: str, runs: int = RESAMPLES,
+                       restarts: int = RESAMPLE_RESTARTS, seed: int = 42, inputs=CLUSTER_INPUTS) -> DataFrame:
+    """Agreement of refits on exact 80% samples with the full labelling.
+
+    Samples are 0/1 weights of the rows; all runs and starts are fitted together.
+    """
+    hashes = [seeded_hash(key, f"{seed}:{r}") for r in range(runs)]
+    cuts = hash_cuts(points, hashes, lambda n: [math.floor(RESAMPLE_SHARE * n)])
+    rows = model_rows(points, inputs, [cuts.below(h, i).cast("int") for i, h in enumerate(hashes)])
+    fits = lloyd.fit_models(rows, [lloyd.Model(own.model.k, i, r) for r in range(runs) for i in range(restarts)], len(inputs), seed)
+    best = [lloyd.best_of([f for f in fits if f.model.sample == r]) for r in range(runs)]
+    found = lloyd.agreement(rows, own, best)
+    rows.unpersist()
+    return points.sparkSession.createDataFrame([(r, float(v)) for r, v in enumerate(found)], "run int, ari double")
 
 
 def stability(cross: DataFrame, resamples: DataFrame) -> DataFrame:

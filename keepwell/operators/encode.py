@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keepwell.operators.ranking import hash_rank
+from keepwell.operators.ranking import SharedHash, hash_cuts, hash_rank, seeded_hash
 from keepwell.schema import CONTRACT_LEVELS, TARGET
 
 
@@ -92,15 +92,23 @@ def linear_stages(nominal: Sequence[str], ordinal: Sequence[str], numeric: Seque
 
 def stratified_split(df: DataFrame, key: str, seed, target: str = TARGET,
                      test: Fraction = Fraction(1, 5), validation: Fraction = Fraction(1, 5)) -> DataFrame:
-    """Adds ``split``: train / validation / test with exact counts per class."""
-    ranked = hash_rank(df, key, seed, [target])
-    size, rank = F.col("stratum_size"), F.col("hash_rank")
-    cut = lambda f: F.floor((2 * size * f.numerator + f.denominator) / (2 * f.denominator))
-    n_test = cut(test)
-    n_validation = cut(validation)
-    return ranked.withColumn(
-        "split", F.when(rank <= n_test, "test").when(rank <= n_test + n_validation, "validation")
-        .otherwise("train")).drop("hash_rank", "stratum_size")
+    """Adds ``split``: train / validation / test with exact counts per class.
+
+    Rows are flagged where they lie; only if keys repeat at a cut are they ranked.
+    """
+    cut = lambda n, f: (2 * n * f.numerator + f.denominator) // (2 * f.denominator)
+    ends = lambda n: (cut(n, test), cut(n, test) + cut(n, validation))
+    try:
+        cuts = hash_cuts(df, [seeded_hash(key, seed)], ends, [target])
+    except SharedHash:
+        ranked = hash_rank(df, key, seed, [target])
+        size, rank = F.col("stratum_size"), F.col("hash_rank")
+        share = lambda f: F.floor((2 * size * f.numerator + f.denominator) / (2 * f.denominator))
+        return ranked.withColumn(
+            "split", F.when(rank <= share(test), "test").when(rank <= share(test) + share(validation), "validation")
+            .otherwise("train")).drop("hash_rank", "stratum_size")
+    h = seeded_hash(key, seed)
+    return df.withColumn("split", F.when(cuts.below(h, slot=0), "test").when(cuts.below(h, slot=1), "validation").otherwise("train"))
 
 
 def balanced_weight(df: DataFrame, target: str) -> Column:

@@ -66,7 +66,7 @@ def blocks(batches: Iterator[pa.RecordBatch], fits: int) -> Iterator[tuple[pa.Re
 
 
 def summed(rows: DataFrame, fits: int, values: Callable[[pa.RecordBatch, np.ndarray], np.ndarray]) -> np.ndarray:
-    """Fits x width: the sum over all rows of what ``values`` gives for a block."""
+    """Fits x width: the sum over all rows of what ``values`` gives for a block; empty without rows."""
     def partial(batches):
         total = None
         for part, x in blocks(batches, fits):
@@ -85,8 +85,7 @@ def summed(rows: DataFrame, fits: int, values: Callable[[pa.RecordBatch, np.ndar
 
     parts = rows.mapInArrow(partial, "fit int, sums array<double>").repartition("fit").mapInArrow(add_up, "fit int, sums array<double>")
     found = {r["fit"]: r["sums"] for r in parts.collect()}            # one row per fit
-    width = len(next(iter(found.values()))) if found else 0
-    return np.array([found[k] for k in sorted(found)]).reshape(-1, width)
+    return np.array([found[k] for k in sorted(found)])
 
 
 def _sums(fits: np.ndarray, total: np.ndarray) -> pa.RecordBatch:

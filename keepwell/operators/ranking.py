@@ -5,7 +5,7 @@ Seeded orders use md5 of key and seed, so they do not depend on partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -58,6 +58,82 @@ def hash_rank(df: DataFrame, key: str, seed, strata: Sequence[str] = (),
     )
 
 
+class SharedHash(Exception):
+    """A cut falls between rows of one hash, which only a rank can tell apart."""
+
+
+#: Hex digits that one round of the selection fixes.
+SELECT_DIGITS = 3
+
+
+def _stratum(strata: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*strata)) if strata else F.lit("")
+
+
+class Cuts:
+    """For each stratum and hash, the limits below which the wanted numbers of rows lie."""
+
+    def __init__(self, strata: Sequence[str], limits: dict[tuple[str, int], list[str]]):
+        self.strata, self.limits = list(strata), limits
+
+    def below(self, hashed: Column, which: int = 0, slot: int = 0) -> Column:
+        """Whether a row is among the wanted ones."""
+        found = {s: limits[slot] for (s, i), limits in self.limits.items() if i == which}
+        if not found:
+            return F.lit(False)
+        table = F.create_map(*[F.lit(v) for pair in found.items() for v in pair])
+        return hashed < F.try_element_at(table, _stratum(self.strata))
+
+
+def hash_cuts(df: DataFrame, hashes: Sequence[Column], wanted: Callable[[int], Sequence[int]], strata: Sequence[str] = ()) -> Cuts:
+    """Radix selection of the m-th smallest hash, for all strata, hashes and m at once.
+
+    ``wanted`` gives the numbers of rows to lie below the limits from the size
+    of a stratum. Each round counts three more hex digits of the hashes that share a
+    prefix with an open limit: counts are summed in the tasks, rows never move,
+    and four rounds reach 10**12 rows. Strata are few. Raises SharedHash if a limit
+    would split rows of equal hash.
+    """
+    slim = df.select(_stratum(strata).alias("s"), F.posexplode(F.array(*hashes)).alias("i", "h"))
+    sizes = {r["s"]: r["count"] for r in df.select(_stratum(strata).alias("s")).groupBy("s").count().collect()}      # a row per stratum
+    limits = {(s, i): [""] * len(wanted(n)) for s, n in sizes.items() for i in range(len(hashes))}
+    open_cuts: dict[tuple, list] = {}
+    for s, n in sizes.items():
+        for slot, m in enumerate(wanted(n)):
+            for i in range(len(hashes)):
+                if m >= n:
+                    limits[s, i][slot] = "g"              # above any digit
+                elif m > 0:
+                    open_cuts.setdefault((s, i, ""), []).append((slot, int(m)))
+    depth = 0
+    while open_cuts:
+        rows = slim
+        if depth:
+            # a row per open limit at most
+            held = df.sparkSession.createDataFrame(list(open_cuts), "s string, i int, prefix string")
+            rows = slim.withColumn("prefix", F.substring("h", 1, depth)).join(F.broadcast(held), ["s", "i", "prefix"])
+        depth += SELECT_DIGITS
+        counts: dict[tuple, list] = {}
+        for r in rows.groupBy("s", "i", F.substring("h", 1, depth).alias("p")).count().collect():
+            counts.setdefault((r["s"], r["i"], r["p"][:depth - SELECT_DIGITS]), []).append((r["p"], r["count"]))
+        following: dict[tuple, list] = {}
+        for (s, i, prefix), cuts in open_cuts.items():
+            buckets = sorted(counts[s, i, prefix])
+            for slot, m in cuts:
+                for p, n in buckets:
+                    if m <= n:
+                        break
+                    m -= n
+                if m == n:
+                    limits[s, i][slot] = p + "g"
+                elif len(p) < depth:
+                    raise SharedHash
+                else:
+                    following.setdefault((s, i, p), []).append((slot, m))
+        open_cuts = following
+    return Cuts(strata, limits)
+
+
 def cumulative_by_value(df: DataFrame, value: str, sums: Mapping[str, Column],
                         slabs: int = SLABS) -> DataFrame:
     """Per distinct value: each sum at that value and over all smaller values.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from keepwell.functions import scoring as S
 from keepwell.functions.features import canonical, is_yes, typed, with_engineered
 from keepwell.operators import (
-    causal, cluster, contributions as contrib, encode, experiment as ex, interpret, matching,
+    causal, cluster, contributions as contrib, encode, experiment as ex, interpret, lloyd, matching,
     metrics, models, power, profile, regression, segments as seg,
 )
 from keepwell.operators.quantiles import exact_median
@@ -652,27 +652,38 @@ def kmeans_choice(spark, d):
 
 def kmeans_labels(spark, d, k=3):
     points = for_iteration(labelled_points(spark, d).drop("segment"))
-    return points, cluster.fit_kmeans(points, k, restarts=cluster.RESTARTS).transform(points)
+    fit = cluster.fit_kmeans(points, k, restarts=cluster.RESTARTS)
+    return points, fit, fit.assign(points, seg.CLUSTER_INPUTS)
 
 
 @query
 def kmeans_assign(spark, d):
-    _, labels = kmeans_labels(spark, d)
+    _, _, labels = kmeans_labels(spark, d)
     prof = seg.name_segments(seg.segment_profile(features(spark, d).join(labels.select(ID, "segment"), ID)))
     return labels.select(ID, "segment").join(F.broadcast(prof.select("segment", F.col("name").alias("segment_name"))), "segment")
 
 
+@query
+def kmeans_stationary(spark, d):
+    """The best model of every k as a fixed point: rows nearer to another centre, and how far centres are from their means."""
+    points = for_iteration(labelled_points(spark, d).drop("segment"))
+    out = None
+    for fit in cluster.sweep_models(points, restarts=cluster.RESTARTS):
+        row = lloyd.fixed_point(points, fit, seg.CLUSTER_INPUTS)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query
 def bisecting_agreement(spark, d):
-    points, labels = kmeans_labels(spark, d)
+    points, _, labels = kmeans_labels(spark, d)
     return cluster.second_opinion(points, labels, 3, ID)
 
 
 @query
 def resample_stability(spark, d):
-    points, labels = kmeans_labels(spark, d)
-    return cluster.stability(cluster.second_opinion(points, labels, 3, ID),
-                             cluster.resample_agreement(points, labels, 3, ID))
+    points, fit, labels = kmeans_labels(spark, d)
+    return cluster.stability(cluster.second_opinion(points, labels, 3, ID), cluster.resample_agreement(points, fit, ID))
 
 
 @query

@@ -130,13 +130,14 @@ def segment_stage(features: DataFrame, ks=cluster.K_RANGE, restarts: int = clust
     points = for_iteration(cluster.standardised(matrix, [ID]))
     scores = cluster.sweep_k(points, ks, restarts)
     k = metrics.choose_k(scores).first()["k"]
-    labels = cluster.fit_kmeans(points, k, restarts).transform(points).select(ID, "segment").persist()
+    fit = cluster.fit_kmeans(points, k, restarts)
+    labels = fit.assign(points, segments.CLUSTER_INPUTS).select(ID, "segment").persist()
     labelled = features.join(labels, ID)
     prof = segments.segment_profile(labelled)
     names = segments.name_segments(prof).select("segment", "name")
     differences = segments.differences_map(segments.segment_differences(matrix.join(labels, ID)))
     stable = cluster.stability(cluster.second_opinion(points, labels, k, ID),
-                               cluster.resample_agreement(points, labels, k, ID, resamples))
+                               cluster.resample_agreement(points, fit, ID, resamples))
     assignments = labels.join(F.broadcast(names.withColumnRenamed("name", "segment_name")), "segment")   # k names
     return {"assignments": assignments, "dim_segment": publish.segment_dimension(prof, names, differences),
             "fct_k_selection": scores, "stability": stable}

@@ -700,6 +700,8 @@ _add("fact_causal", _CELLS + "," + _IPW + "," + _AIPW + ", nv AS (SELECT avg(out
   UNION ALL SELECT 'Difference-in-differences', 'Naive post-period', round(tq - cq, 6), false, '' FROM dc
   UNION ALL SELECT 'Difference-in-differences', 'Naive before/after', round(tq - tp, 6), false, '' FROM dc
   UNION ALL SELECT 'Difference-in-differences', 'Difference-in-differences', round(tq - tp - (cq - cp), 6), true, '' FROM dc""")
+# a model at rest: every row is at its nearest centre and every centre is the mean of its rows
+ORACLES["kmeans_stationary"] = "SELECT CAST(k AS INTEGER) AS k, CAST(0 AS BIGINT) AS nearer_elsewhere, 0.0::DOUBLE AS centre_gap FROM range(2, 11) t(k)"
 # every draw's score equations are 0 at the fit
 ORACLES["bootstrap_score_equations"] = "SELECT CAST(r AS INTEGER) AS replicate, 0.0::DOUBLE AS largest_residual FROM range(0, 200) t(r)"
 _add("report_flatten", _PROFILE + " SELECT segment, customers, share, churn_rate, monthly_revenue FROM prof")

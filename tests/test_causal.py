@@ -106,9 +106,10 @@ def test_null_effect_and_refuters(spark):
     assert abs(att) < 0.05
     placebo = causal.placebo_treatments(units, "customerID", 4, 1)
     n_t = units.agg(F.sum("treated")).first()[0]
-    assert {r["t"] for r in placebo.groupBy("run").agg(F.sum("treated").alias("t")).collect()} == {n_t}
+    assert set(placebo.agg(*[F.sum(F.col("arms")[r]) for r in range(4)]).first()) == {n_t}
+    assert placebo.filter("arms[0] != arms[1]").count() > 500
     subset = causal.subset_samples(units, "customerID", 4, 1)
-    assert {r["count"] for r in subset.groupBy("run").count().collect()} == {2800}
+    assert set(subset.agg(*[F.sum(F.col("w")[r]) for r in range(4)]).first()) == {2800}
     verdict = {r["refuter"]: r for r in causal.refutation(
         att, causal.run_effects(placebo, ["tenure"]), causal.run_effects(subset, ["tenure"])).collect()}
     assert verdict["placebo_treatment"]["passes"] and verdict["random_subset"]["passes"]

@@ -54,11 +54,12 @@ def test_clusters_found_scored_and_stable(spark):
     points, x, truth = blobs(spark)
     scores = cluster.sweep_k(points, range(2, 5), restarts=2, inputs=["a", "b"])
     assert metrics.choose_k(scores).first()["k"] == 3
-    labels = cluster.fit_kmeans(points, 3, 3).transform(points)
+    fit = cluster.fit_kmeans(points, 3, 3, inputs=["a", "b"])
+    labels = fit.assign(points, ["a", "b"])
     assert metrics.adjusted_rand(labels, "segment", "truth").first()[0] == pytest.approx(1.0)
     cross = cluster.second_opinion(points, labels, 3, "customerID", inputs=["a", "b"])
     assert cross.first()[0] > 0.9
-    again = cluster.resample_agreement(points, labels, 3, "customerID", runs=2, restarts=2)
+    again = cluster.resample_agreement(points, fit, "customerID", runs=2, restarts=2, inputs=["a", "b"])
     assert cluster.stability(cross, again).first()["stable"]
     row = metrics.cluster_quality(labels, "segment", ["a", "b"]).first()
     lab = np.array([r["segment"] for r in labels.orderBy("customerID").collect()])

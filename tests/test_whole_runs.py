@@ -33,10 +33,10 @@ def test_labels_and_resamples_use_all_starts(monkeypatch):
     monkeypatch.setattr(catalog, "for_iteration", lambda df: df)
     args, kwargs = caught(monkeypatch, cluster, "fit_kmeans", catalog.kmeans_assign)
     assert kwargs["restarts"] == 20
-    monkeypatch.setattr(catalog, "kmeans_labels", lambda *_: (None, None))
+    monkeypatch.setattr(catalog, "kmeans_labels", lambda *_: (None, None, None))
     monkeypatch.setattr(cluster, "second_opinion", lambda *_: None)
     args, kwargs = caught(monkeypatch, cluster, "resample_agreement", catalog.resample_stability)
-    assert len(args) == 4 and not kwargs
+    assert len(args) == 3 and not kwargs
 
 
 @pytest.mark.parametrize("query, draws", [(catalog.observational_run, 200), (catalog.mediator_sensitivity, 50)])
