@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from keepwell.functions import tails
 from keepwell.functions.scoring import MONTHS, target_population
 from keepwell.operators.quantiles import bin_index, quantile_edges
-from keepwell.operators.ranking import hash_rank
+from keepwell.operators.ranking import flag_half
 
 # --- fixed values ------------------------------------------------------------
 ALPHA = 0.05
@@ -20,16 +20,13 @@ OFFER_COST = 50.0
 
 def assign_arms(scored: DataFrame, threshold: float, seed, key: str = "customerID",
                 strata: int = STRATA, score: str = "churn_probability") -> DataFrame:
-    """Half of every risk stratum (rounded down) is treated, in seeded order."""
+    """Half of every risk stratum (rounded down) is treated, in seeded order; customers are flagged where they lie."""
     # Read five times below (edges, slot counts, rows); kept once, spilling to disk.
     targeted = target_population(scored.filter(F.col(score) >= threshold).persist(), threshold, score)
     edges = quantile_edges(targeted, score, strata)
     stratified = targeted.withColumn("risk_stratum", bin_index(F.col(score), edges))
-    ranked = hash_rank(stratified, key, seed, ["risk_stratum"])
-    half = F.floor(F.col("stratum_size") / 2)
-    return ranked.withColumn(
-        "group", F.when(F.col("hash_rank") <= half, "treatment").otherwise("control")
-    ).drop("hash_rank", "stratum_size")
+    flagged = flag_half(stratified, key, seed, "_first", ["risk_stratum"])
+    return flagged.withColumn("group", F.when(F.col("_first"), "treatment").otherwise("control")).drop("_first")
 
 
 def with_outcomes(assigned: DataFrame, churned: Column, offer_cost: float = OFFER_COST) -> DataFrame:
@@ -168,7 +165,5 @@ def holm(p_values: DataFrame, name: str = "metric", p: str = "p_value", by=(),
 def same_arm_halves(outcomes: DataFrame, seed, key: str = "customerID") -> DataFrame:
     """A/A control: the control arm cut in two by seeded order."""
     control = outcomes.filter(F.col("group") == "control").persist()
-    ranked = hash_rank(control, key, seed)
-    return ranked.withColumn("group", F.when(
-        F.col("hash_rank") <= F.floor(F.col("stratum_size") / 2), "treatment").otherwise("control")
-    ).drop("hash_rank", "stratum_size")
+    flagged = flag_half(control, key, seed, "_first")
+    return flagged.withColumn("group", F.when(F.col("_first"), "treatment").otherwise("control")).drop("_first")

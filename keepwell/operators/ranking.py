@@ -9,11 +9,11 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLOT_DIGITS = 3
-SLABS = 256
+#: Distinct values of a slab, and slabs of a group.
+SLAB_VALUES, GROUP = 200_000, 512
 
 
 def seeded_hash(key: str | Column, seed) -> Column:
@@ -134,31 +134,43 @@ def hash_cuts(df: DataFrame, hashes: Sequence[Column], wanted: Callable[[int], S
     return Cuts(strata, limits)
 
 
+def flag_half(df: DataFrame, key: str, seed, name: str, strata: Sequence[str] = ()) -> DataFrame:
+    """Adds ``name``: true for the first half (rounded down) of each stratum in seeded order.
+
+    Rows are flagged where they lie; only if keys repeat at a cut are they ranked.
+    """
+    try:
+        cuts = hash_cuts(df, [seeded_hash(key, seed)], lambda n: [n // 2], strata)
+    except SharedHash:
+        ranked = hash_rank(df, key, seed, strata)
+        return ranked.withColumn(name, F.col("hash_rank") <= F.floor(F.col("stratum_size") / 2)).drop("hash_rank", "stratum_size")
+    return df.withColumn(name, cuts.below(seeded_hash(key, seed)))
+
+
 def cumulative_by_value(df: DataFrame, value: str, sums: Mapping[str, Column],
-                        slabs: int = SLABS) -> DataFrame:
+                        slab_values: int = SLAB_VALUES) -> DataFrame:
     """Per distinct value: each sum at that value and over all smaller values.
 
     ``<name>`` and ``<name>_below`` are exact running totals. Rows collapse to
-    distinct values first, so a very common value costs one row; the values
-    are then cut into slabs of similar size that are scanned in parallel.
+    distinct values first, so a very common value costs one row. The values are
+    then dealt by range into as many slabs as their number needs, slabs are
+    scanned in parallel, and slab totals are scanned in two levels: inside groups of
+    GROUP slabs, and over the groups.
     """
     distinct = df.filter(F.col(value).isNotNull()).groupBy(value).agg(
         *[F.sum(c).alias(n) for n, c in sums.items()]).persist()
-    cuts = distinct.agg(F.percentile_approx(
-        value, [i / slabs for i in range(1, slabs)], 10 * slabs)).first()[0]
-    splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
-    if len(splits) > 2:
-        slabbed = Bucketizer(splits=splits, inputCol=value, outputCol="_slab").transform(distinct)
-    else:
-        slabbed = distinct.withColumn("_slab", F.lit(0.0))
-    earlier = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        slabbed.groupBy("_slab").agg(*[F.sum(n).alias(n) for n in sums])   # <= `slabs` rows
-        .select("_slab", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
-    )
+    slabs = max(1, -(-distinct.count() // slab_values))
+    slabbed = distinct.repartitionByRange(slabs, value).withColumn("_slab", F.spark_partition_id()) if slabs > 1 else distinct.withColumn("_slab", F.lit(0))
+    slabbed = slabbed.persist()
+    totals = slabbed.groupBy("_slab").agg(*[F.sum(n).alias(n) for n in sums]).withColumn("_group", F.floor(F.col("_slab") / GROUP))
+    groups = totals.groupBy("_group").agg(*[F.sum(n).alias(n) for n in sums])             # slabs / GROUP rows
+    over, inside = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (Window.orderBy("_group"), Window.partitionBy("_group").orderBy("_slab")))
+    earlier = groups.select("_group", *[F.coalesce(F.sum(n).over(over), F.lit(0)).alias(f"_g{n}") for n in sums])
+    offsets = totals.join(earlier, "_group").select(
+        "_slab", *[(F.col(f"_g{n}") + F.coalesce(F.sum(n).over(inside), F.lit(0))).alias(f"_{n}") for n in sums])
     within = Window.partitionBy("_slab").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slabbed.join(F.broadcast(offsets), "_slab")
+        slabbed.join(offsets, "_slab")
         .select(value, *sums, *[
             (F.col(f"_{n}") + F.coalesce(F.sum(n).over(within), F.lit(0))).alias(f"{n}_below")
             for n in sums])

@@ -86,12 +86,30 @@ def test_exact_quantiles_match_numpy(spark, kind, parts):
     assert np.allclose(got, np.quantile(values, [float(q) for q in qs]), rtol=0, atol=1e-12)
 
 
-def test_quantile_sharpening_stays_exact(spark, monkeypatch):
+def test_quantile_brackets_close_in(spark, monkeypatch):
     from keepwell.operators import quantiles
-    monkeypatch.setattr(quantiles, "MAX_INSIDE", 50)
-    values = np.random.default_rng(1).normal(size=30_000)
-    df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    assert exact_median(df, "v") == pytest.approx(float(np.median(values)), abs=1e-15)
+    monkeypatch.setattr(quantiles, "FEW", 5)
+    monkeypatch.setattr(quantiles, "BINS", 4)
+    rng = np.random.default_rng(1)
+    wide = np.r_[rng.normal(size=900), rng.normal(size=50) * 1e250, [1e308, -1e308] * 3]
+    many = np.r_[np.full(500, 2.5), rng.normal(size=456)]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(wide, many)], "a double, b double").repartition(3)
+    qs = [Fraction(i, 7) for i in range(8)]
+    got = exact_quantiles(df, {"a": "a", "b": "b"}, qs)
+    for c, values in (("a", wide), ("b", many)):
+        s = np.sort(values)
+        for q, v in zip(qs, got[c]):
+            pos = q * (len(s) - 1)
+            low = pos.numerator // pos.denominator
+            high = min(low + (pos.denominator != 1), len(s) - 1)
+            assert v == (s[low] if s[low] == s[high] else s[low] + (s[high] - s[low]) * float(pos - low))
+
+
+def test_quantiles_of_infinities_and_nan(spark):
+    values = [float("-inf"), float("inf"), float("inf"), float("nan"), 1.0, 2.0, 3.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = exact_quantiles(df, {"v": "v"}, [Fraction(i, 6) for i in range(7)])["v"]
+    assert got[:6] == [float("-inf"), 1.0, 2.0, 3.0, float("inf"), float("inf")] and got[6] != got[6]
 
 
 def test_quantile_bins_are_right_closed(spark):

@@ -112,3 +112,14 @@ def test_cuts_of_nothing(spark):
     df = spark.createDataFrame([], "k string")
     cuts = ranking.hash_cuts(df, [ranking.seeded_hash("k", 1)], lambda n: [math.floor(n / 2)])
     assert df.filter(cuts.below(ranking.seeded_hash("k", 1))).count() == 0
+
+
+def test_running_totals_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "GROUP", 3)
+    rng = np.random.default_rng(6)
+    v = np.r_[rng.integers(0, 90, 500), np.full(200, 7)]
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(v, rng.integers(0, 5, len(v)))], "v int, n int").repartition(4)
+    for size in (4, 10 ** 6):
+        got = {r["v"]: (r["n"], r["n_below"]) for r in ranking.cumulative_by_value(df, "v", {"n": F.col("n")}, slab_values=size).collect()}
+        rows = df.collect()
+        assert got == {k: (sum(r.n for r in rows if r.v == k), sum(r.n for r in rows if r.v < k)) for k in set(v.tolist())}
