@@ -19,7 +19,6 @@ from collections import deque
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 from keepwell.operators.ranking import hash_rank
@@ -99,52 +98,60 @@ def match_flows(units: DataFrame, score: str, treated: str, caliper: float,
     return flows_on_line(line, caliper, slab_scores)
 
 
+def _slabbed(rows: DataFrame, most_scores: int, slab_scores: int) -> tuple[DataFrame, int]:
+    """Adds ``slab``, 0 for the highest scores; all lines share the limits."""
+    slabs = max(1, -(-most_scores // slab_scores))
+    if slabs == 1:
+        return rows.withColumn("slab", F.lit(0)), 1
+    cuts = sorted(set(rows.agg(F.percentile_approx("score", [i / slabs for i in range(1, slabs)], 20 * slabs)).first()[0]), reverse=True)
+    edges = F.array(*[F.lit(float(c)) for c in cuts])
+    return rows.withColumn("slab", F.size(F.filter(edges, lambda e: e > F.col("score")))), len(cuts) + 1
+
+
+def _handed_on(rows: DataFrame, where: list[str], kinds: str, slabs: int, message) -> DataFrame:
+    """What every slab gets from the slab above, when nothing changes any more.
+
+    A message is one row keyed by its slab. A slab is swept again only if its message
+    is new, another or gone; as leftovers fade within a caliper or two, later
+    rounds touch few slabs. There are at most ``slabs`` rounds.
+    """
+    kind = f"{kinds}, handed binary"
+    handed = rows.sparkSession.createDataFrame([], kind)
+    changed = rows.select(*where).distinct()
+    for _ in range(slabs - 1):
+        again = rows.join(changed, where, "left_semi").groupBy(*where).cogroup(handed.join(changed, where, "left_semi").groupBy(*where))
+        fresh = again.applyInPandas(message, kind).checkpoint()
+        below = changed.withColumn("slab", F.col("slab") + 1)
+        old = handed.join(below, where, "left_semi")
+        differs = fresh.join(old, [*where, "handed"], "left_anti").select(*where).unionByName(old.join(fresh, where, "left_anti").select(*where)).checkpoint()
+        handed = handed.join(below, where, "left_anti").unionByName(fresh).checkpoint()
+        changed = differs
+        if differs.isEmpty():
+            break
+    return handed
+
+
 def flows_on_line(line: DataFrame, caliper: float, slab_scores: int = SLAB_SCORES) -> DataFrame:
     """Flows for a collapsed line ``(score, n_t, n_c)``."""
-    spark = line.sparkSession
-    checkpoint_ready(spark)
+    checkpoint_ready(line.sparkSession)
     line = line.checkpoint()
-    n = line.count()
-    slabs = max(1, -(-n // slab_scores))
-    if slabs > 1:
-        cuts = line.agg(F.percentile_approx(
-            "score", [i / slabs for i in range(1, slabs)], 20 * slabs)).first()[0]
-        splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-        slabs = len(splits) - 1
-        line = Bucketizer(splits=splits, inputCol="score", outputCol="_b").transform(line)
-        line = line.withColumn("slab", (F.lit(slabs - 1) - F.col("_b")).cast("int")).drop("_b")
-    else:
-        line = line.withColumn("slab", F.lit(0))
-    final = slabs - 1
-
-    def scan(key, rows, handed):
+    line, slabs = _slabbed(line, line.count(), slab_scores)
+
+    def swept(key, rows, handed):
         rows = rows.sort_values("score", ascending=False)
         got = pickle.loads(handed["handed"].iloc[0]) if len(handed) else None
-        slab = int(key[0])
-        return slab, sweep(rows["score"].tolist(), rows["n_t"].tolist(), rows["n_c"].tolist(),
-                           caliper, got, slab == final)
+        return sweep(rows["score"].tolist(), rows["n_t"].tolist(), rows["n_c"].tolist(), caliper, got, int(key[0]) == slabs - 1)
 
-    def hand_on(key, rows, handed):
-        slab, (_, left) = scan(key, rows, handed)
-        return pd.DataFrame({"slab": [slab + 1], "handed": [pickle.dumps(left)]})
+    def message(key, rows, handed):
+        _, left = swept(key, rows, handed)
+        some = (left[0] or left[1]) and int(key[0]) < slabs - 1
+        return pd.DataFrame([[int(key[0]) + 1, pickle.dumps(left)]] if some else [], columns=["slab", "handed"])
 
     def flows(key, rows, handed):
-        _, (out, _) = scan(key, rows, handed)
-        return pd.DataFrame(out, columns=["t_score", "t_from", "c_score", "c_from", "n"])
-
-    by_slab = line.groupBy("slab")
-    handed = spark.createDataFrame([], "slab int, handed binary")
-    # A slab's hand-over is final once the slab above it is, so this ends after
-    # at most `slabs` rounds; usually a few, because leftovers fade quickly.
-    for _ in range(final):
-        fresh = (by_slab.cogroup(handed.groupBy("slab"))
-                 .applyInPandas(hand_on, "slab int, handed binary")
-                 .filter(F.col("slab") <= final).checkpoint())
-        changed = fresh.join(handed, ["slab", "handed"], "left_anti").take(1)
-        handed = fresh
-        if not changed:
-            break
-    return by_slab.cogroup(handed.groupBy("slab")).applyInPandas(flows, _FLOW).checkpoint()
+        return pd.DataFrame(swept(key, rows, handed)[0], columns=["t_score", "t_from", "c_score", "c_from", "n"])
+
+    handed = _handed_on(line, ["slab"], "slab int", slabs, message)
+    return line.groupBy("slab").cogroup(handed.groupBy("slab")).applyInPandas(flows, _FLOW).checkpoint()
 
 
 def lines_att(lines: DataFrame, by: Sequence[str], caliper_sd: float = CALIPER_SD,
@@ -171,14 +178,7 @@ def lines_att(lines: DataFrame, by: Sequence[str], caliper_sd: float = CALIPER_S
     spread = merged.join(centre, by).groupBy(*by).agg((F.sum(size * gap * gap) / F.sum(size)).alias("v")).collect()
     caliper = {tuple(r[b] for b in by): caliper_sd * float(r["v"]) ** 0.5 for r in spread}
 
-    slabs = -(-max(r["scores"] for r in stats) // slab_scores)
-    slab = F.lit(0)
-    if slabs > 1:
-        cuts = merged.agg(F.percentile_approx("score", [i / slabs for i in range(1, slabs)], 20 * slabs)).first()[0]
-        edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts), reverse=True)])
-        slab = F.size(F.filter(edges, lambda e: e > F.col("score")))     # 0 is the highest
-        slabs = len(set(cuts)) + 1
-    merged = merged.withColumn("slab", slab)
+    merged, slabs = _slabbed(merged, max(r["scores"] for r in stats), slab_scores)
     where = [*by, "slab"]
 
     def swept(key, rows, handed):
@@ -198,20 +198,7 @@ def lines_att(lines: DataFrame, by: Sequence[str], caliper_sd: float = CALIPER_S
         flows, rates, _ = swept(key, rows, handed)
         return pd.DataFrame([[*key[:-1], float(sum(f[4] for f in flows)), float(sum(f[4] * (rates["t", f[0]] - rates["c", f[2]]) for f in flows))]], columns=[*by, "n", "gap"])
 
-    kind = f"{kinds}, slab int, handed binary"
-    handed = spark.createDataFrame([], kind)
-    changed = merged.select(*where).distinct()
-    for _ in range(slabs - 1):
-        again = merged.join(changed, where, "left_semi").groupBy(*where).cogroup(handed.join(changed, where, "left_semi").groupBy(*where))
-        fresh = again.applyInPandas(message, kind).checkpoint()
-        below = changed.withColumn("slab", F.col("slab") + 1)
-        old = handed.join(below, where, "left_semi")
-        # a slab below gets a new, another or no message
-        differs = fresh.join(old, [*where, "handed"], "left_anti").select(*where).unionByName(old.join(fresh, where, "left_anti").select(*where)).checkpoint()
-        handed = handed.join(below, where, "left_anti").unionByName(fresh).checkpoint()
-        changed = differs
-        if differs.isEmpty():
-            break
+    handed = _handed_on(merged, where, f"{kinds}, slab int", slabs, message)
     parts = merged.groupBy(*where).cogroup(handed.groupBy(*where)).applyInPandas(effect, f"{kinds}, n double, gap double")
     return parts.groupBy(*by).agg(F.sum("n").alias("n_pairs"), F.try_divide(F.sum("gap"), F.sum("n")).alias("matching_att"))
 

@@ -892,6 +892,14 @@ def att_lookup(spark, d):
         "n_pairs", r("att"), r("treated_rate"), r("control_rate"))
 
 
+@query
+def match_caliper(spark, d):
+    """Pairs within a caliper on a line that SQL can walk too: months and charges in quarters."""
+    units = observational(spark, d).withColumn("score", F.col("tenure") + F.floor(F.col("MonthlyCharges") * 4) / 64)
+    flows = matching.match_flows(units, "score", "treated", 0.125)
+    return flows.groupBy("t_score", "c_score").agg(F.sum("n").alias("pairs"))
+
+
 def full_design(spark, d):
     """Cells over all confounders inside the common support, and their terms."""
     numeric, categorical = causal.confounder_columns()

@@ -700,6 +700,16 @@ _add("fact_causal", _CELLS + "," + _IPW + "," + _AIPW + ", nv AS (SELECT avg(out
   UNION ALL SELECT 'Difference-in-differences', 'Naive post-period', round(tq - cq, 6), false, '' FROM dc
   UNION ALL SELECT 'Difference-in-differences', 'Naive before/after', round(tq - tp, 6), false, '' FROM dc
   UNION ALL SELECT 'Difference-in-differences', 'Difference-in-differences', round(tq - tp - (cq - cp), 6), true, '' FROM dc""")
+# one treated customer a step, from the highest score down; used controls are a list of places on the line
+ORACLES["match_caliper"] = "WITH RECURSIVE " + _OBS + """, line AS MATERIALIZED (SELECT tenure + floor(MonthlyCharges * 4) / 64 AS score, treated FROM obs),
+t AS MATERIALIZED (SELECT score, row_number() OVER (ORDER BY score DESC) AS i FROM line WHERE treated = 1),
+c AS MATERIALIZED (SELECT score, row_number() OVER (ORDER BY score DESC) AS j FROM line WHERE treated = 0),
+walk AS (SELECT 0::BIGINT AS i, NULL::DOUBLE AS t_score, NULL::DOUBLE AS c_score, []::BIGINT[] AS used
+  UNION ALL
+  SELECT t.i, t.score, near.score, CASE WHEN near.j IS NULL THEN used ELSE list_append(used, near.j) END FROM walk JOIN t ON t.i = walk.i + 1
+  LEFT JOIN LATERAL (SELECT c.score, c.j FROM c WHERE abs(c.score - t.score) <= 0.125 AND NOT list_contains(walk.used, c.j)
+    ORDER BY abs(c.score - t.score), c.score DESC, c.j LIMIT 1) near ON true)
+SELECT t_score, c_score, count(*) AS pairs FROM walk WHERE c_score IS NOT NULL GROUP BY ALL"""
 # a model at rest: every row is at its nearest centre and every centre is the mean of its rows
 ORACLES["kmeans_stationary"] = "SELECT CAST(k AS INTEGER) AS k, CAST(0 AS BIGINT) AS nearer_elsewhere, 0.0::DOUBLE AS centre_gap FROM range(2, 11) t(k)"
 # every draw's score equations are 0 at the fit
