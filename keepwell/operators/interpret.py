@@ -24,6 +24,11 @@ COEFFICIENTS = ("feature string, coefficient double, std_error double, odds_rati
                 "significant boolean, vif double")
 
 
+def _exp(value: float) -> float:
+    """An odds ratio; beyond the range of doubles it is infinite."""
+    return math.exp(value) if value < 709 else math.inf
+
+
 def fit_inference(df: DataFrame, terms: Mapping[str, Column], target: str) -> Logistic:
     """Unpenalised class-balanced logistic fit on reference-coded terms."""
     return fit_logistic(df, terms, F.col(target), l2=0.0, class_weight=balanced_weight(df, target))
@@ -50,7 +55,7 @@ def wald_table(df: DataFrame, terms: Mapping[str, Column], target: str,
         raw, raw_se = model.weights.get(name, 0.0), float(se[i]) / sd
         z = raw / raw_se if raw_se > 0 else 0.0
         pv = math.erfc(abs(z) / math.sqrt(2.0))
-        rows.append((name, raw, raw_se, math.exp(raw), math.exp(raw - crit * raw_se), math.exp(raw + crit * raw_se),
+        rows.append((name, raw, raw_se, _exp(raw), _exp(raw - crit * raw_se), _exp(raw + crit * raw_se),
                      z, pv, raw * sd, pv < ALPHA, vif[name]))
     rows.sort(key=lambda r: -abs(r[1]))
     return df.sparkSession.createDataFrame(rows, COEFFICIENTS)

@@ -106,7 +106,26 @@ def power_curve(designs: DataFrame, steps: int = 200, alpha=ALPHA) -> DataFrame:
 
 def register_design(designs: DataFrame, path: str) -> None:
     """Append designs with their registration time; earlier records stay."""
-    designs.withColumn("registered_at", F.current_timestamp()).write.mode("append").parquet(path)
+    store_designs(designs.withColumn("registered_at", F.current_timestamp()), path)
+
+
+def store_designs(designs: DataFrame, path: str) -> None:
+    """Append designs that carry their own ``registered_at``."""
+    designs.write.mode("append").parquet(path)
+
+
+def designs_as_of(designs: DataFrame, outcomes: DataFrame, key: str = "experiment") -> DataFrame:
+    """Per experiment the newest design registered before its first outcome, and how many came too late.
+
+    ``outcomes`` has (experiment, first_outcome), a row per experiment; an experiment
+    whose designs are all late, or that has none, has a NULL design.
+    """
+    fields = F.struct("registered_at", *[c for c in designs.columns if c not in (key, "registered_at")])
+    held = outcomes.select(key, "first_outcome").join(designs.select(key, "registered_at", fields.alias("_d")), key, "left")
+    late = F.col("registered_at") >= F.col("first_outcome")
+    newest = F.max_by(F.when(~late, F.col("_d")), F.when(~late, F.col("registered_at")))
+    out = held.groupBy(key, "first_outcome").agg(newest.alias("_d"), F.count_if(late).alias("refused"))
+    return out.select(key, "first_outcome", "_d.*", "refused")
 
 
 def registered_design(designs: DataFrame, first_outcome: Column) -> DataFrame:

@@ -6,6 +6,7 @@ rounded only here, so they can be compared across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -13,12 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from keepwell.functions import scoring as S
 from keepwell.functions.features import canonical, is_yes, typed, with_engineered
 from keepwell.operators import (
-    causal, cluster, contributions as contrib, encode, experiment as ex, interpret, lloyd, matching,
+    causal, cluster, contributions as contrib, encode, experiment as ex, explain, interpret, lloyd, matching,
     metrics, models, power, profile, regression, segments as seg,
 )
 from keepwell.operators.quantiles import exact_median
 from keepwell.operators.ranking import average_ranks, cumulative_by_value
-from keepwell.plans import publish
+from keepwell.plans import pipeline, publish, reports
 from keepwell.schema import (
     ADDON_SERVICES, CONTRACT_LEVELS, ENGINEERED, ENGINEERED_NUMERIC, ID, NOMINAL, NUMERIC,
     ORDINAL, RAW_COLUMNS, TARGET, drop_non_features, unknown_targets as count_unknown,
@@ -933,6 +934,20 @@ def runs(spark, d, kind):
     return causal.run_effects(make(units, ID, causal.PLACEBO_RUNS, SEED), numeric, categorical)
 
 
+@query
+def placebo_assignment(spark, d):
+    """The permuted treatments of all twelve placebo runs, a digit per run."""
+    out = causal.placebo_treatments(observational(spark, d), ID, causal.PLACEBO_RUNS, SEED)
+    return out.select(ID, F.array_join(F.transform("arms", lambda a: a.cast("string")), "").alias("arms"))
+
+
+@query
+def subset_assignment(spark, d):
+    """The members of all twelve random subsets, a digit per run."""
+    out = causal.subset_samples(observational(spark, d), ID, causal.PLACEBO_RUNS, SEED)
+    return out.select(ID, F.array_join(F.transform("w", lambda a: a.cast("string")), "").alias("members"))
+
+
 @query
 def refute_placebo(spark, d):
     return runs(spark, d, "placebo")
@@ -994,6 +1009,17 @@ def batch_score(spark, d):
     return models.Scorer.load(spark, path).score(test).select(ID, "churn_probability", "prediction")
 
 
+@query
+def deployed_explanations(spark, d):
+    """A stored linear model, loaded and explained: its contributions add up to its own margin."""
+    train, _, test = splits(spark, d)
+    path = scratch_folder(spark, "scorer")
+    models.fit_linear(train).save(path)
+    scorer = models.Scorer.load(spark, path)
+    out = explain.additivity(explain.explain(scorer, test), explain.margins(scorer, test))
+    return out.select(ID, F.abs(F.round("gap", 6)).alias("gap"))
+
+
 @query
 def tree_contributions(spark, d):
     train, validation, test = splits(spark, d)
@@ -1078,6 +1104,87 @@ def report_flatten(spark, d):
     return parsed.select(F.inline("d.segments")).select("segment", "customers", "share", "churn_rate", "monthly_revenue")
 
 
+#: Sections of the six reports: the registered query whose rows they hold, and its key.
+REPORTS = {
+    "drift": ("numeric", "drift_numeric", ["feature"]),
+    "experiment": ("readout", "fact_experiment", ["run", "metric"]),
+    "power": ("designs", "verdicts", ["Contract"]),
+    "segmentation": ("segments", "segment_profile", ["segment"]),
+    "causal": ("estimates", "fact_causal", ["analysis", "estimator"]),
+    "coefficients": ("terms", "wald_odds", ["feature"]),
+}
+
+
+@query
+def reports_flat(spark, d):
+    """All six reports assembled, written as JSON, read back and flattened by their schemas."""
+    root, out = scratch_folder(spark, "reports"), None
+    for kind, (name, source, key) in REPORTS.items():
+        one = reports.report(kind, {name: reports.section(QUERIES[source](spark, d), key)})
+        schema = reports.write_report(one, root, "20260101-000000")
+        flat = reports.flatten(reports.read_report(spark, root, kind, "20260101-000000", schema))
+        out = flat if out is None else out.unionByName(flat)
+    return out.filter("number is not null").select("report", "path", "number")
+
+
+@query
+def registered_designs(spark, d):
+    """Designs stored by month, read back as of the first outcome of their experiment.
+
+    An experiment is an order priority; its outcomes are the orders from 1997 on.
+    """
+    orders = table(spark, d, "orders").select(
+        F.col("o_orderpriority").alias("experiment"), F.to_timestamp("o_orderdate").alias("at"), (F.col("o_orderstatus") == "F").cast("int").alias("done"))
+    monthly = orders.groupBy("experiment", (F.trunc("at", "MM") + F.expr("interval 1 month")).cast("timestamp").alias("registered_at")).agg(
+        F.count("*").alias("available_n"), F.sum("done").alias("finished"))
+    path = scratch_folder(spark, "designs")
+    early = F.col("registered_at") < F.lit("1995-01-01").cast("timestamp")
+    power.store_designs(monthly.filter(early), path)
+    power.store_designs(monthly.filter(~early), path)
+    first = orders.filter(F.col("at") >= F.lit("1997-01-01").cast("timestamp")).groupBy("experiment").agg(F.min("at").alias("first_outcome"))
+    out = power.designs_as_of(spark.read.parquet(path), first)
+    return out.select("experiment", F.date_format("first_outcome", "yyyy-MM-dd").alias("first_outcome"),
+                      F.date_format("registered_at", "yyyy-MM-dd").alias("registered_at"), "available_n", "finished", "refused")
+
+
+@query
+def table_chain(spark, d):
+    """Raw CSV to the chain of catalog tables; the segment table is read back."""
+    folder, prefix = scratch_folder(spark, "raw"), f"chain_{uuid.uuid4().hex}_"
+    store.write_csv(customer_frame(spark, d), folder)
+    pipeline.feature_stage(store.read_raw_csv(spark, folder), prefix)
+    copy = scratch_folder(spark, "segments")
+    store.write_parquet(spark.table(f"{prefix}churn_by_segment"), copy)
+    for name in ("clean_customers", "customer_features", "churn_by_segment"):
+        spark.sql(f"drop table {prefix}{name}")
+    return spark.read.parquet(copy)
+
+
+@query
+def table_loads(spark, d):
+    """Replace and append loads of a catalog table with the rows each reports, and what the table holds then."""
+    name = f"load_{uuid.uuid4().hex}"
+    rows = scored(spark, d).select(ID, "churn_probability")
+    steps = [("replace", store.load_table(rows, name)), ("append", store.load_table(rows.filter("churn_probability >= 0.5"), name, "append")),
+             ("replace again", store.load_table(rows.filter("churn_probability >= 0.5"), name)), ("held", spark.table(name).count())]
+    spark.sql(f"drop table {name}")
+    return spark.createDataFrame(steps, "step string, rows long")
+
+
+@query
+def published_predictions(spark, d):
+    """Two stored runs of predictions; the newest is published as a catalog table and read back."""
+    root, name = scratch_folder(spark, "runs"), f"published_{uuid.uuid4().hex}"
+    rows = scored(spark, d).select(ID, "churn_probability", "prediction")
+    store.write_run(rows.withColumn("churn_probability", F.lit(0.0)), f"{root}/predictions", "20260101-000000")
+    store.write_run(rows, f"{root}/predictions", "20260102-000000")
+    pipeline.upload_predictions(spark, root, name)
+    copy = scratch_folder(spark, "published")
+    store.write_parquet(spark.table(name), copy)
+    spark.sql(f"drop table {name}")
+    return spark.read.parquet(copy)
+
+
 @query
 def data_dictionary(spark, d):
     frame = customers_published(spark, d)

@@ -714,9 +714,53 @@ SELECT t_score, c_score, count(*) AS pairs FROM walk WHERE c_score IS NOT NULL G
 ORACLES["kmeans_stationary"] = "SELECT CAST(k AS INTEGER) AS k, CAST(0 AS BIGINT) AS nearer_elsewhere, 0.0::DOUBLE AS centre_gap FROM range(2, 11) t(k)"
 # every draw's score equations are 0 at the fit
 ORACLES["bootstrap_score_equations"] = "SELECT CAST(r AS INTEGER) AS replicate, 0.0::DOUBLE AS largest_residual FROM range(0, 200) t(r)"
+_add("deployed_explanations", ORACLES["stratified_split"].removeprefix("WITH ").rpartition("SELECT customerID, Churn, CASE")[0]
+     + "SELECT customerID, 0.0::DOUBLE AS gap FROM q WHERE rk <= t")
+
+
+def _run_digits(name, wanted):
+    """A digit per run: 1 if the customer is among the first in the run's seeded order."""
+    return _OBS + f""", o AS (SELECT customerID, treated, r FROM obs, range(0, 12) t(r)),
+k AS (SELECT customerID, r, row_number() OVER (PARTITION BY r ORDER BY md5(customerID || '#' || r || ':{SEED}')) AS rk, {wanted} AS m FROM o)
+SELECT customerID, string_agg(CASE WHEN rk <= m THEN '1' ELSE '0' END, '' ORDER BY r) AS {name} FROM k GROUP BY 1"""
+
+
+_add("placebo_assignment", _run_digits("arms", "sum(treated) OVER (PARTITION BY r)"))
+_add("subset_assignment", _run_digits("members", "floor(0.7::DOUBLE * count(*) OVER (PARTITION BY r))"))
+ORACLES["registered_designs"] = """WITH o AS (SELECT o_orderpriority AS experiment, o_orderdate::DATE AS day, (o_orderstatus = 'F')::INT AS done FROM orders),
+m AS (SELECT experiment, (date_trunc('month', day) + INTERVAL 1 MONTH)::DATE AS registered_at, count(*) AS available_n, sum(done)::BIGINT AS finished FROM o GROUP BY ALL),
+f AS (SELECT experiment, min(day) AS first_outcome FROM o WHERE day >= DATE '1997-01-01' GROUP BY 1)
+SELECT f.experiment, strftime(f.first_outcome, '%Y-%m-%d') AS first_outcome, strftime(arg_max(m.registered_at, m.registered_at) FILTER (m.registered_at < f.first_outcome), '%Y-%m-%d') AS registered_at,
+  arg_max(available_n, m.registered_at) FILTER (m.registered_at < f.first_outcome) AS available_n, arg_max(finished, m.registered_at) FILTER (m.registered_at < f.first_outcome) AS finished,
+  count(*) FILTER (m.registered_at >= f.first_outcome) AS refused FROM f LEFT JOIN m USING (experiment) GROUP BY f.experiment, f.first_outcome"""
+ORACLES["table_chain"] = ORACLES["churn_by_segment"]
+_add("table_loads", _SCORED + """, n AS (SELECT count(*) AS n, count(*) FILTER (p >= 0.5) AS part FROM scored)
+SELECT 'replace' AS step, n AS rows FROM n UNION ALL SELECT 'append', part FROM n UNION ALL SELECT 'replace again', part FROM n UNION ALL SELECT 'held', part FROM n""")
+ORACLES["published_predictions"] = ORACLES["score_linear"]
 _add("report_flatten", _PROFILE + " SELECT segment, customers, share, churn_rate, monthly_revenue FROM prof")
 _add("stream_quarantine", _FEAT + """, broken AS (SELECT customerID, TotalCharges IS NULL AS missing, tenure % 11 = 3 AS negative, tenure % 13 = 5 AS senior FROM typed)
 SELECT customerID, concat_ws('; ', CASE WHEN missing THEN 'missing TotalCharges' END, CASE WHEN negative THEN 'negative tenure' END,
   CASE WHEN senior THEN 'SeniorCitizen out of range' END) AS problems FROM broken WHERE missing OR negative OR senior""")
 _add("stream_score", _SCORED + f""" SELECT customerID, churn_probability, prediction, {_BAND} AS risk_category, 'v1' AS model_version, 'linear_score' AS model_name
   FROM scored WHERE customerID IN (SELECT customerID FROM typed WHERE TotalCharges IS NOT NULL)""")
+
+
+# reports: every number of the queries they hold, under section, key and column
+_REPORTS = {
+    "drift": ("numeric", "drift_numeric", ["feature"], ["train_mean", "scoring_mean", "mean_drift_percent", "train_std", "scoring_std", "std_drift_percent", "drifted"]),
+    "experiment": ("readout", "fact_experiment", ["run", "metric"], ["treatment", "control", "difference", "p_value", "effect_size", "significant"]),
+    "power": ("designs", "verdicts", ["Contract"], ["p_value", "required_n_per_arm", "available_n_per_arm", "adequately_powered", "inflation_caveat", "achieved_power"]),
+    "segmentation": ("segments", "segment_profile", ["segment"], None),
+    "causal": ("estimates", "fact_causal", ["analysis", "estimator"], ["estimate", "adjusted"]),
+    "coefficients": ("terms", "wald_odds", ["feature"], ["coefficient", "std_error", "odds_ratio", "significant", "vif"]),
+}
+
+
+def _report(kind, section, source, key, columns):
+    values = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns) if columns else f"CAST(COLUMNS(* EXCLUDE ({', '.join(key)})) AS DOUBLE)"
+    path = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in key)
+    return f"""SELECT '{kind}' AS report, '{section}.' || k || '.' || name AS path, number FROM (
+  UNPIVOT (SELECT {path} AS k, {values} FROM ({ORACLES[source]})) ON COLUMNS(* EXCLUDE (k)) INTO NAME name VALUE number)"""
+
+
+ORACLES["reports_flat"] = " UNION ALL ".join(_report(kind, *r) for kind, r in _REPORTS.items())

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ def test_from_raw_to_gate(spark, many):
     assert pipeline.segment_report(spark, "t_", 3).count() <= 3
 
     root = scratch_folder(spark, "runs")
-    scorer = pipeline.train_stage(features, root, "20260101-000000", tree_params={"maxIter": 3, "maxDepth": 2})
+    scorer = pipeline.train_stage(features, root, "20260101-000000", tree_params={"maxIter": 3, "maxDepth": 2}, trials=2)
     assert pipeline.newest_model(spark, root).name == scorer.name
     batch = spark.read.parquet(f"{root}/scoring_batch").drop("run_ts")
     assert batch.count() < 100
@@ -44,6 +46,33 @@ def test_from_raw_to_gate(spark, many):
     assert not pipeline.gate_stage(spark, root, 1.01).first()["passed"]
     assert pipeline.gate_stage(spark, root, 0.5).first()["passed"]
     assert spark.read.parquet(f"{root}/promotions").count() == 1
+    ledger = spark.read.parquet(f"{root}/ledger")
+    assert ledger.filter("scope like 'metrics/%'").select("scope").distinct().count() == 4
+    assert ledger.filter("scope like 'trials/%' and key = 'roc_auc'").count() == 2 and ledger.filter("scope = 'params/boosted_trees_tuned'").count() > 4
+
+
+def test_experiment_to_extract(spark, many, tmp_path):
+    features = pipeline.feature_stage(many, "e_")
+    root = scratch_folder(spark, "runs")
+    pipeline.train_stage(features, root, "20260101-000000", tree_params={"maxIter": 3, "maxDepth": 2}, trials=1)
+    batch = spark.read.parquet(f"{root}/scoring_batch").drop("run_ts")
+    pipeline.score_stage(batch, root, "20260102-000000")
+    long = pipeline.explain_stage(batch, root, "20260102-000000")
+    assert long.select("customerID").distinct().count() == batch.count()
+    scored = pipeline.newest_model(spark, root).score(features)
+    pipeline.design_stage(scored, root, "offer", 0.3)
+    out = pipeline.experiment_stage(scored, root, "20260103-000000", "offer", 0.3, datetime(2100, 1, 1))
+    assert out["fct_ab_test"].count() == 4 and out["fct_power"].first()["verdict"] in ("significant", "null", "inconclusive")
+    late = pipeline.experiment_stage(scored, root, "20260104-000000", "offer", 0.3, datetime(2000, 1, 1))
+    assert late["fct_power"].isEmpty()
+    pipeline.experiment_stage(scored, root, "20260105-000000", "offer", 0.3, datetime(2100, 1, 1))
+    assert pipeline.interpret_stage(features, root, "20260105-000000").count() > 10
+    pipeline.causal_stage(features, root, "20260105-000000", draws=0, runs=1)
+    pipeline.extract_stage(spark, root, str(tmp_path))
+    facts = spark.read.csv(f"{tmp_path}/fct_reports", header=True)
+    assert {r["report"] for r in facts.select("report").distinct().collect()} == {"experiment", "power", "causal", "coefficients"}
+    assert {r["run_ts"] for r in facts.select("run_ts").distinct().collect()} == {"20260105-000000"}
+    assert not facts.filter("report = 'causal' and path = 'estimates.ipw_ate.estimate'").isEmpty()
 
 
 def test_segments_and_export(spark, many, tmp_path):
