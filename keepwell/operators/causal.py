@@ -225,6 +225,20 @@ def aipw_saturated(wide: DataFrame, by=()) -> DataFrame:
         (F.sum(influence) / F.sum(n)).alias("aipw_ate"))
 
 
+def aipw_strata(wide: DataFrame, columns: Sequence[str], p: str = "propensity") -> DataFrame:
+    """Doubly robust effect with outcome means per arm in strata coarser than the propensity's cells.
+
+    One row: the effect and the part of it that corrects the outcome model by
+    weighted residuals. Strata without both arms are left out.
+    """
+    columns = list(columns)
+    strata = wide.groupBy(*columns).agg(*[F.sum(c).alias(f"_{c}") for c in ("n_t", "n_c", "y_t", "y_c")]).filter("_n_t > 0 and _n_c > 0")
+    cells = wide.join(strata.select(*columns, (F.col("_y_t") / F.col("_n_t")).alias("m1"), (F.col("_y_c") / F.col("_n_c")).alias("m0")), columns)
+    q, n = clamp(F.col(p), *WEIGHT_CLIP), F.col("n_t") + F.col("n_c")
+    residual = (F.col("y_t") - F.col("n_t") * F.col("m1")) / q - (F.col("y_c") - F.col("n_c") * F.col("m0")) / (1 - q)
+    return cells.agg((F.sum(n * (F.col("m1") - F.col("m0")) + residual) / F.sum(n)).alias("aipw_ate"), (F.sum(residual) / F.sum(n)).alias("correction"))
+
+
 def e_value(risk_ratio: Column) -> Column:
     """Confounder strength on the risk-ratio scale needed to explain a result away."""
     rr = F.when(risk_ratio >= 1, risk_ratio).otherwise(F.try_divide(F.lit(1.0), risk_ratio))

@@ -615,6 +615,14 @@ def most_exposed(spark, d):
         "segment", "customers", "churn_rate", "monthly_revenue_at_risk")
 
 
+@query
+def median_filled(spark, d):
+    """Clustering inputs of a frame with gaps: every ninth tenure has no total, every seventh no charge."""
+    gap = lambda c, n: F.when(F.col("tenure") % n != 0, F.col(c))
+    frame = features(spark, d).withColumns({"TotalCharges": gap("TotalCharges", 9), "MonthlyCharges": gap("MonthlyCharges", 7)})
+    return seg.cluster_matrix(frame, [ID]).select(ID, r("TotalCharges", 4), r("MonthlyCharges", 4))
+
+
 def labelled_points(spark, d) -> DataFrame:
     matrix = seg.cluster_matrix(ruled_segments(features(spark, d)), [ID, "segment"]).persist()
     return cluster.standardised(matrix, [ID, "segment"])
@@ -824,6 +832,12 @@ def aipw_ate(spark, d):
     return causal.aipw_saturated(supported(spark, d)).select(r("aipw_ate"))
 
 
+@query
+def aipw_coarse(spark, d):
+    """Outcome means per internet service, corrected by the residuals of the finer propensity cells."""
+    return causal.aipw_strata(supported(spark, d), ["InternetService"]).select(r("aipw_ate"), r("correction"))
+
+
 SMD_TERMS = {"tenure": F.col, "num_other_addons": F.col}
 
 

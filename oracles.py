@@ -714,7 +714,32 @@ SELECT t_score, c_score, count(*) AS pairs FROM walk WHERE c_score IS NOT NULL G
 ORACLES["kmeans_stationary"] = "SELECT CAST(k AS INTEGER) AS k, CAST(0 AS BIGINT) AS nearer_elsewhere, 0.0::DOUBLE AS centre_gap FROM range(2, 11) t(k)"
 # every draw's score equations are 0 at the fit
 ORACLES["bootstrap_score_equations"] = "SELECT CAST(r AS INTEGER) AS replicate, 0.0::DOUBLE AS largest_residual FROM range(0, 200) t(r)"
-_add("deployed_explanations", ORACLES["stratified_split"].removeprefix("WITH ").rpartition("SELECT customerID, Churn, CASE")[0]
+# published columns by datatype, in no order
+_DICTIONARY = {
+    "dim_customer": {
+        "string": ["customerID", "gender", "Partner", "Dependents", "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity", "OnlineBackup",
+                   "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod", "tenure_bucket",
+                   "spend_bucket", "risk_category", "model_version", "model_name", "prediction_outcome"],
+        "integer": ["SeniorCitizen", "tenure", "Churn", "num_addon_services", "prediction", "risk_decile", "actual_churn"],
+        "real": ["MonthlyCharges", "TotalCharges", "avg_monthly_spend", "charges_ratio", "churn_probability", "annual_revenue", "revenue_at_risk"]},
+    "dim_segment": {
+        "integer": ["segment", "customers"],
+        "real": ["share", "churn_rate", "avg_tenure", "avg_monthly_charges", "avg_total_charges", "avg_addons", "pct_month_to_month", "pct_fiber",
+                 "monthly_revenue", "monthly_revenue_share", "monthly_revenue_at_risk"]},
+}
+_entries = ", ".join(f"('{t}', '{c}', '{kind}')" for t, kinds in _DICTIONARY.items() for kind, columns in kinds.items() for c in columns)
+_add("data_dictionary", _PROFILE + f""", e(t, c, k) AS (VALUES {_entries}),
+n AS (SELECT 'dim_customer' AS t, count(*) AS n FROM typed UNION ALL SELECT 'dim_segment', count(*) FROM prof),
+m AS (SELECT *, k <> 'string' AND c NOT IN ('customerID', 'model_version', 'segment', 'rank', 'rank_within_customer', 'risk_decile') AS measure FROM e)
+SELECT t AS table_name, CAST(NULL AS VARCHAR) AS note, n AS row_count, CAST(count(*) OVER (PARTITION BY t) AS INTEGER) AS column_count, c AS column_name, k AS datatype,
+  CASE WHEN measure THEN 'measure' ELSE 'dimension' END AS role, CASE WHEN measure THEN 'quantitative' ELSE 'nominal' END AS kind,
+  array_to_string(list_transform(string_split(c, '_'), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS caption FROM m JOIN n USING (t)""")
+_add("aipw_coarse", _CELLS + """, m AS (SELECT InternetService, sum(y_t) / sum(n_t) AS m1, sum(y_c) / sum(n_c) AS m0 FROM sup GROUP BY 1),
+j AS (SELECT n_t + n_c AS n, m1 - m0 AS gap, (y_t - n_t * m1) / q - (y_c - n_c * m0) / (1 - q) AS res FROM sup JOIN m USING (InternetService))
+SELECT round(sum(n * gap + res) / sum(n), 6) AS aipw_ate, round(sum(res) / sum(n), 6) AS correction FROM j""")
+_add("median_filled", _FEAT + """, g AS (SELECT customerID, CASE WHEN tenure % 9 <> 0 THEN TotalCharges END AS t, CASE WHEN tenure % 7 <> 0 THEN MonthlyCharges END AS m FROM feat)
+SELECT customerID, round(coalesce(t, (SELECT median(t) FROM g)), 4) AS TotalCharges, round(coalesce(m, (SELECT median(m) FROM g)), 4) AS MonthlyCharges FROM g""")
+_add("deployed_explanations",ORACLES["stratified_split"].removeprefix("WITH ").rpartition("SELECT customerID, Churn, CASE")[0]
      + "SELECT customerID, 0.0::DOUBLE AS gap FROM q WHERE rk <= t")
 
 
