@@ -287,12 +287,11 @@ ip AS (SELECT n::BIGINT AS n, wy1 / w1 - wy0 / w0 AS ate, n1 / n AS m, w1, w0, w
 _AIPW = """ai AS (SELECT sum((n_t + n_c) * (y_t::DOUBLE / n_t - y_c::DOUBLE / n_c)) / sum(n_t + n_c) AS ate FROM sup WHERE n_t > 0 AND n_c > 0)"""
 
 _PANEL = """
-act AS (SELECT o_custkey, max(CASE WHEN h = -2 THEN 1 ELSE 0 END) AS a0, max(CASE WHEN h = -1 THEN 1 ELSE 0 END) AS a1,
-   max(CASE WHEN h = 0 THEN 1 ELSE 0 END) AS a2
-   FROM (SELECT o_custkey, (year(o_orderdate) - 2001) * 2 + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END AS h FROM orders) GROUP BY 1),
-pn0 AS (SELECT c_custkey, CASE WHEN c_nationkey % 3 = 1 THEN 1 ELSE 0 END AS g, a0, a1, a2 FROM customer JOIN act ON c_custkey = o_custkey),
-pn AS (SELECT g, -2 AS period, 0 AS post, 1 - a0 AS y FROM pn0 UNION ALL SELECT g, -1, 0, 1 - a1 FROM pn0
-       UNION ALL SELECT g, 0, 1, 1 - a2 FROM pn0),
+oh AS (SELECT o_custkey, o_orderdate::DATE AS day, (year(o_orderdate) - 2001) * 2 + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END AS h FROM orders),
+act AS (SELECT o_custkey, list(DISTINCT h) AS hs FROM oh GROUP BY 1),
+fp AS (SELECT min(h) + CASE WHEN day(min(day)) = 1 AND month(min(day)) IN (1, 7) THEN 0 ELSE 1 END AS p FROM oh),
+pn AS (SELECT CASE WHEN c_nationkey % 3 = 1 THEN 1 ELSE 0 END AS g, CAST(period AS INTEGER) AS period, CASE WHEN period = 0 THEN 1 ELSE 0 END AS post,
+   CASE WHEN list_contains(hs, period) THEN 0 ELSE 1 END AS y FROM customer JOIN act ON c_custkey = o_custkey, (SELECT unnest(range(p, 1)) AS period FROM fp)),
 dc AS (SELECT avg(y) FILTER (g = 1 AND post = 0 AND period = -1) AS tp, avg(y) FILTER (g = 1 AND post = 1) AS tq,
    avg(y) FILTER (g = 0 AND period = -1) AS cp, avg(y) FILTER (g = 0 AND post = 1) AS cq FROM pn)
 """
@@ -609,12 +608,15 @@ _add("did", _PANEL + """ SELECT round(tp, 6) AS treated_pre, round(tq, 6) AS tre
   round(tq - tp, 6) AS treated_change, round(cq - cp, 6) AS control_change, round(tq - cq, 6) AS naive_post_period, round(tq - tp - (cq - cp), 6) AS did_estimate FROM dc""")
 _add("did_regression", _PANEL + ", src AS (SELECT y, g AS a, post AS b FROM pn WHERE period IN (-1, 0))," + _GRID.format("'const'", "'treated_group'", "'post'", "'did'"))
 _add("pre_period_gaps", _PANEL + " SELECT period, round(avg(y) FILTER (g = 1) - avg(y) FILTER (g = 0), 6) AS gap FROM pn WHERE period < 0 GROUP BY period")
-# With periods -2 and -1 the interaction is the change of the gap over one step.
-_add("parallel_trends", _PANEL + f""", src AS (SELECT y, g AS a, period + 2 AS b FROM pn WHERE period < 0),
-  gc AS (SELECT a, b, count(*) AS n, avg(y) AS m, var_pop(y) AS v FROM src GROUP BY a, b),
-  k AS (SELECT sum(n) AS nn, sum(v / n) AS vv, max(m) FILTER (a = 1 AND b = 1) - max(m) FILTER (a = 1 AND b = 0) - max(m) FILTER (a = 0 AND b = 1) + max(m) FILTER (a = 0 AND b = 0) AS i FROM gc),
-  k2 AS (SELECT *, sqrt(nn::DOUBLE / (nn - 4) * vv) AS s, nn - 4 AS dof FROM k), k3 AS (SELECT *, i / s AS t FROM k2), k4 AS (SELECT *, {_t_p('t', 'dof')} AS pv FROM k3)
-  SELECT 2::BIGINT AS pre_periods, true AS testable, round(abs(i), 6) AS gap_drift, round(i, 6) AS interaction, round(s, 6) AS std_error, round(t, 6) AS t_statistic,
+# The interaction is the difference of the two groups' slopes over all periods before the event.
+_add("parallel_trends", _PANEL + f""", src AS (SELECT y::DOUBLE AS y, g AS a, period::DOUBLE AS t FROM pn WHERE period < 0),
+  gm AS (SELECT a, avg(t) AS tm, avg(y) AS ym FROM src GROUP BY a),
+  sl AS (SELECT a, tm, ym, sum((t - tm) * (t - tm)) AS sxx, sum((t - tm) * (y - ym)) / sum((t - tm) * (t - tm)) AS b FROM src JOIN gm USING (a) GROUP BY a, tm, ym),
+  vr AS (SELECT a, any_value(b) AS b, sum(power((t - tm) * (y - ym - b * (t - tm)), 2)) / power(any_value(sxx), 2) AS v, count(*) AS n FROM src JOIN sl USING (a) GROUP BY a),
+  k AS (SELECT sum(n) AS nn, sum(v) AS vv, max(b) FILTER (a = 1) - max(b) FILTER (a = 0) AS i FROM vr),
+  gp AS (SELECT max(gap) - min(gap) AS drift, count(*) AS periods FROM (SELECT t, avg(y) FILTER (a = 1) - avg(y) FILTER (a = 0) AS gap FROM src GROUP BY t)),
+  k2 AS (SELECT *, sqrt(nn::DOUBLE / (nn - 4) * vv) AS s, nn - 4 AS dof FROM k, gp), k3 AS (SELECT *, i / s AS t FROM k2), k4 AS (SELECT *, {_t_p('t', 'dof')} AS pv FROM k3)
+  SELECT periods AS pre_periods, true AS testable, round(drift, 6) AS gap_drift, round(i, 6) AS interaction, round(s, 6) AS std_error, round(t, 6) AS t_statistic,
   round(pv, 6) AS p_value, NOT pv < 0.05 AS trends_parallel FROM k4""")
 _add("tsls_late", _IV + f""", c1 AS (SELECT 'redeemed' AS term, late AS b, sqrt(f * meat) / sxx AS s, n - 2 AS dof FROM i4
    UNION ALL SELECT 'const', c, sqrt(f * (SELECT sum(power((y - i4.c - i4.late * d) * (1.0::DOUBLE / i4.n - i4.dm * ((CASE WHEN z = 1 THEN i4.d1 ELSE i4.d0 END) - i4.dm) / i4.sxx), 2)) FROM iv)), n - 2 FROM i4),
