@@ -1,10 +1,11 @@
+import os
 from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keepwell.plans import pipeline
+from keepwell.plans import pipeline, reports
 from keepwell.schema import CANONICAL_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
 from keepwell.session import scratch_folder
 from conftest import RAW
@@ -54,7 +55,7 @@ def test_from_raw_to_gate(spark, many):
 def test_experiment_to_extract(spark, many, tmp_path):
     features = pipeline.feature_stage(many, "e_")
     root = scratch_folder(spark, "runs")
-    pipeline.train_stage(features, root, "20260101-000000", tree_params={"maxIter": 3, "maxDepth": 2}, trials=1)
+    pipeline.train_stage(features, root, "20260101-000000", tree_params={"maxIter": 1, "maxDepth": 1}, trials=1)
     batch = spark.read.parquet(f"{root}/scoring_batch").drop("run_ts")
     pipeline.score_stage(batch, root, "20260102-000000")
     long = pipeline.explain_stage(batch, root, "20260102-000000")
@@ -63,16 +64,20 @@ def test_experiment_to_extract(spark, many, tmp_path):
     pipeline.design_stage(scored, root, "offer", 0.3)
     out = pipeline.experiment_stage(scored, root, "20260103-000000", "offer", 0.3, datetime(2100, 1, 1))
     assert out["fct_ab_test"].count() == 4 and out["fct_power"].first()["verdict"] in ("significant", "null", "inconclusive")
-    late = pipeline.experiment_stage(scored, root, "20260104-000000", "offer", 0.3, datetime(2000, 1, 1))
-    assert late["fct_power"].isEmpty()
-    pipeline.experiment_stage(scored, root, "20260105-000000", "offer", 0.3, datetime(2100, 1, 1))
+    pipeline.extract_stage(spark, root, str(tmp_path), kinds=("experiment", "power"))
+    facts = spark.read.csv(f"{tmp_path}/fct_reports", header=True)
+    assert {r["report"] for r in facts.select("report").distinct().collect()} == {"experiment", "power"}
+    assert {r["run_ts"] for r in facts.select("run_ts").distinct().collect()} == {"20260103-000000"}
+
+
+@pytest.mark.skipif(not os.environ.get("SLOW_TESTS"), reason="minutes; set SLOW_TESTS")
+def test_causal_and_coefficient_reports(spark, many):
+    features = pipeline.feature_stage(many, "c_")
+    root = scratch_folder(spark, "runs")
     assert pipeline.interpret_stage(features, root, "20260105-000000").count() > 10
     pipeline.causal_stage(features, root, "20260105-000000", draws=0, runs=1)
-    pipeline.extract_stage(spark, root, str(tmp_path))
-    facts = spark.read.csv(f"{tmp_path}/fct_reports", header=True)
-    assert {r["report"] for r in facts.select("report").distinct().collect()} == {"experiment", "power", "causal", "coefficients"}
-    assert {r["run_ts"] for r in facts.select("run_ts").distinct().collect()} == {"20260105-000000"}
-    assert not facts.filter("report = 'causal' and path = 'estimates.ipw_ate.estimate'").isEmpty()
+    flat = reports.flatten(reports.newest_report(spark, f"{root}/reports", "causal"), ("report", "run_ts"))
+    assert not flat.filter("path = 'estimates.ipw_ate.estimate'").isEmpty()
 
 
 def test_segments_and_export(spark, many, tmp_path):
