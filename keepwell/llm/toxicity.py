@@ -1,23 +1,28 @@
 """Toxicity by the nearest labelled examples.
 
-A text's terms are its lower-cased words and their beginnings of three to seven
-letters; all terms of the examples are kept. Examples and texts are TF-IDF vectors
-over these terms, with idf over all documents and more weight on terms that go with
-the label among the examples. The cosines of a text with all examples are computed at
-once (frequent terms as a matrix, others by inverted lists) in single precision; the
-largest of each block of examples gives a mark, and what may reach it is computed
-again exactly. The nearest vote with the square of their cosine against a prior; the
-votes are calibrated by isotonic regression on all examples, each left out of its own
-vote.
+A text's terms are its lower-cased words. Examples and texts are TF-IDF vectors over
+the words of the examples, with idf over all documents. The idf of a word that goes
+with the label among the examples is multiplied (``PLAIN_Z``): with plain idf the
+nearest neighbours share a subject, not an insult. The cosines are exact over these
+vectors.
+
+The index keeps, for every term and block of examples, the largest weight. The
+products of a text's weights with these maxima, summed by block, are bounds on the
+cosines of the block; blocks are settled exactly in the order of their bounds, until no
+bound reaches the k-th cosine found. Similar examples lie in one block, so that the
+bounds are tight. Bounds and cosines are added in the same order of terms, so a bound
+is never below a cosine, rounding included. The nearest vote with the square of their
+cosine against a prior; the votes are calibrated by isotonic regression on all
+examples, each left out of its own vote.
 
 Bound: the model is fitted on at most MAX_EXAMPLES labelled rows (those with the
-smallest hash of doc_id). Everything else covers all rows and terms: every text is
+smallest hash of doc_id). Everything else covers all rows and words: every text is
 searched and scored whole.
 
-Edge cases: a null text, or one without a term of the examples, gets the calibrated rate of such
+Edge cases: a null text, or one without a word of the examples, gets the calibrated rate of such
 examples; no labels at all give every text the score 0; of several labels of a doc_id the largest
-counts; a null doc_id is not held out; equal texts among the examples count once;
-other columns are not read. ``terms`` lists the terms of a text that go clearly with
+counts; a null doc_id is not held out; equal texts among the examples count once, different texts
+of one doc_id each; other columns are not read. ``terms`` lists the words of a text that go clearly with
 the label (at least MIN_DOCS examples, z at least MIN_Z); they are no condition of the search.
 """
 
@@ -40,30 +45,24 @@ from keepwell.llm.tables import written
 MAX_EXAMPLES, MIN_DOCS, MIN_Z = 12_000, 5, 5.0
 #: A term of this z weighs its idf; each unit above adds one idf.
 PLAIN_Z = 2.0
-STEMS = range(3, 8)
-K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 64, 0.5, 0.3
-#: Terms in more than this share of the examples are held as a matrix; texts of one matrix product.
-FREQUENT, TEXTS = 1 / 16, 64
-REMEMBERED = 200_000
+K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 32, 0.5, 0.3
+#: Blocks settled before the others are looked at; texts handled at a time.
+FIRST_BLOCKS, TEXTS = 8, 256
+REMEMBERED = 400_000
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(word: str) -> list[str]:
-    """A word and its beginnings, which are marked by a star."""
-    return [word, *(word[:n] + "*" for n in STEMS if n < len(word))]
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def examples(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> DataFrame:
-    """(doc_id, toxic, text) of the labelled rows to learn from."""
+    """(k, doc_id, toxic, text) of the labelled rows to learn from; k names the text."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
-    return rows.groupBy(F.md5("text").alias("k")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("e")).select("e.*")
+    return rows.groupBy(F.md5("text").alias("k")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("e")).select("k", "e.*")
 
 
 def keys_of(terms: list[str]) -> np.ndarray:
@@ -76,7 +75,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         every, toxic = Counter(), Counter()
         for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            found = {t for w in set(_WORD.findall(text.lower())) for t in terms_of(w)}
+            found = set(_WORD.findall(text.lower()))
             every.update(found)
             if y > 0:
                 toxic.update(found)
@@ -85,49 +84,44 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Terms:
-    """All terms of the examples, by sorted keys, with their weights; turns texts into unit vectors."""
+    """All words of the examples, by sorted keys, with their weights; turns texts into unit vectors."""
 
     def __init__(self, keys: np.ndarray, marked: np.ndarray, weight: np.ndarray | None = None):
         self.keys, self.marked, self.weight = keys, marked, weight
-        self._known: dict[str, tuple[tuple[int, ...], tuple[str, ...]]] = {}
+        self._known: dict[str, int] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_known": {}}
 
     def learn(self, words: set[str]) -> None:
-        """Remember, of every word, the numbers of its terms and the names of those that go with the label."""
+        """Remember the number of every word, -1 of one that no example has."""
         if len(self._known) > REMEMBERED:
             self._known.clear()
         new = [w for w in words if w not in self._known]
-        names = [terms_of(w) for w in new]
-        flat = [t for n in names for t in n]
-        keys = keys_of(flat)
+        keys = keys_of(new)
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        marked = {i for i in np.flatnonzero(found).tolist() if self.marked[at[i]]}
-        at, found, i = at.tolist(), found.tolist(), 0
-        for w, own in zip(new, names):
-            j = i + len(own)
-            self._known[w] = tuple(a for a, f in zip(at[i:j], found[i:j]) if f), tuple(flat[x] for x in range(i, j) if x in marked)
-            i = j
-
-    def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, list[str]]]:
-        """(term, times) of every text, and its terms that go with the label."""
+        self._known.update(zip(new, np.where(found, at, -1).tolist()))
+
+    def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(term, times) of every text, by ascending term."""
         words = [Counter(_WORD.findall((t or "").lower())) for t in texts]
-        self.learn({w for c in words for w in c})
-        return [self._counts(c) for c in words]
-
-    def _counts(self, words: Counter) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        at, times, names = [], [], set()
-        for w, n in words.items():
-            hits, marked = self._known[w]
-            if hits:
-                at += hits
-                times += [n] * len(hits)
-                names.update(marked)
-        numbers, back = np.unique(np.array(at, np.int64), return_inverse=True)
-        return numbers, np.bincount(back, np.array(times, float), len(numbers)), sorted(names)
+        self.learn(set().union(*words))
+        known, out = self._known, []
+        for c in words:
+            at = np.fromiter((known[w] for w in c), np.int64, len(c))
+            times = np.fromiter(c.values(), np.int64, len(c))
+            order = np.argsort(at)
+            order = order[np.searchsorted(at[order], 0):]
+            out.append((at[order], times[order]))
+        return out
+
+    def marked_words(self, text: str | None, at: np.ndarray) -> list[str]:
+        """The words of a text, with the terms ``at``, that go with the label."""
+        if not self.marked[at].any():
+            return []
+        return sorted(w for w in set(_WORD.findall((text or "").lower())) if (i := self._known[w]) >= 0 and self.marked[i])
 
     def unit(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = (1 + np.log(times)) * self.weight[at]
@@ -141,85 +135,74 @@ def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Vectors of the examples; the largest score of every block tells which examples are computed exactly."""
+    """Inverted lists over examples, cut into blocks whose largest weights bound what a block can score.
+
+    ``vectors`` holds (ascending terms, positive weights) of every example.
+    """
 
     def __init__(self, vectors: list, size: int = BLOCK):
         self.size, self.n = size, len(vectors)
-        self.begin = np.r_[0, np.cumsum([len(v[0]) for v in vectors])].astype(np.int64)
-        self.at = np.concatenate([np.asarray(v[0], np.int32) for v in vectors] or [np.zeros(0, np.int32)])
-        self.own = np.concatenate([np.asarray(v[1], float) for v in vectors] or [np.zeros(0)])
-        self._ready = False
-
-    def __getstate__(self) -> dict:
-        return {k: self.__dict__[k] for k in ("size", "n", "begin", "at", "own")} | {"_ready": False}
-
-    def _prepare(self) -> None:
-        """Matrix of the frequent terms and inverted lists of the others; made where they are used."""
-        self.width = int(self.at.max()) + 1 if len(self.at) else 0
-        df = np.bincount(self.at, minlength=self.width)
-        row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.begin))
-        self.column = np.full(self.width, -1, np.int32)
-        frequent = np.flatnonzero(df > max(self.size, self.n * FREQUENT))
-        self.column[frequent] = np.arange(len(frequent))
-        self.matrix = np.zeros((len(frequent), self.n), np.float32)
-        dense = self.column[self.at] >= 0
-        self.matrix[self.column[self.at[dense]], row[dense]] = self.own[dense]
-        rare = np.flatnonzero(~dense)
-        rare = rare[np.argsort(self.at[rare], kind="stable")]
-        self.rows, self.weights = row[rare], self.own[rare].astype(np.float32)
-        self.length = np.where(self.column < 0, df, 0)
-        self.first = np.cumsum(self.length) - self.length
-        self.query = np.zeros(self.width)
-        # no rounding of a sum of products, which is at most 1, is larger
-        self.slack = 2.0 ** -22 * (len(frequent) + 64)
-        self._ready = True
+        self.settled = 0
+        row = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
+        at = np.concatenate([np.asarray(v[0], np.int64) for v in vectors] or [np.zeros(0, np.int64)])
+        own = np.concatenate([np.asarray(v[1], float) for v in vectors] or [np.zeros(0)])
+        self.width = int(at.max()) + 1 if len(at) else 0
+        # examples of the same strongest shared term lie together
+        strength = np.where(np.bincount(at, minlength=self.width)[at] > 1, own, 0.0) if len(at) else own
+        strongest = np.full(self.n, -1)
+        order = np.lexsort((strength, row))
+        last = order[np.flatnonzero(np.r_[row[1:] != row[:-1], True])] if len(row) else order
+        strongest[row[last]] = at[last]
+        self.example = np.argsort(strongest, kind="stable")
+        place = np.empty(self.n, np.int64)
+        place[self.example] = np.arange(self.n)
+        place = place[row]
+        order = np.lexsort((place, at))
+        at, place, own = at[order], place[order], own[order]
+        block = place // size
+        # one entry for each term and block: its largest weight and where its postings begin
+        begin = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.zeros(0, np.int64)
+        self.place, self.own = place.astype(np.int32), own
+        self.block, self.begin = block[begin].astype(np.int32), np.r_[begin, len(at)]
+        self.most = np.maximum.reduceat(own, begin) if len(at) else own
+        self.first = np.searchsorted(at[begin], np.arange(self.width + 1))
 
     def nearest(self, at: list[int], weights: list[float], k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0, exactly: (cosine, example), ties by example."""
-        return self.nearest_of([(at, weights)], k, [without])[0]
-
-    def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
-        """``nearest`` of several vectors."""
-        if not self._ready:
-            self._prepare()
-        out = []
-        for i in range(0, len(queries), TEXTS):
-            part = []
-            for q in queries[i:i + TEXTS]:
-                at, w = np.asarray(q[0], np.int64), np.asarray(q[1], float)
-                on = at < self.width
-                part.append((at[on], w[on]))
-            left = np.zeros((len(part), len(self.matrix)), np.float32)
-            for j, (at, w) in enumerate(part):
-                column = self.column[at]
-                left[j, column[column >= 0]] = w[column >= 0]
-            rough = left @ self.matrix
-            for j, (at, w) in enumerate(part):
-                out.append(self._settled(rough[j], at, w, k, without[i + j] if without else -1))
-        return out
-
-    def _settled(self, rough: np.ndarray, at: np.ndarray, w: np.ndarray, k: int, without: int) -> list[tuple[float, int]]:
-        length = self.length[at]
-        inside = _ranges(self.first[at], length)
-        rough = rough + np.bincount(self.rows[inside], self.weights[inside] * np.repeat(w, length), self.n)
-        if without >= 0:
-            rough[without] = 0.0
-        blocks = -(-self.n // self.size)
-        if blocks > k:
-            most = np.maximum.reduceat(rough, np.arange(0, self.n, self.size))
-            found = np.flatnonzero((rough > 0) & (rough >= np.partition(most, blocks - k)[blocks - k] - self.slack))
-        else:
-            found = np.flatnonzero(rough > 0)
-        if len(found) > k:
-            found = found[rough[found] >= np.partition(rough[found], len(found) - k)[len(found) - k] - self.slack]
-        # added up term by term in one order, so the result does not depend on the other texts of the product
-        self.query[at] = w
-        length = np.diff(self.begin)[found]
-        inside = _ranges(self.begin[found], length)
-        exact = np.bincount(np.repeat(np.arange(len(found)), length), self.own[inside] * self.query[self.at[inside]], len(found))
-        self.query[at] = 0.0
-        order = np.lexsort((found, -exact))[:k]
-        return [(float(exact[o]), int(found[o])) for o in order]
+        at, w = np.asarray(at, np.int64), np.asarray(weights, float)
+        order = np.argsort(at)
+        order = order[at[order] < self.width]
+        at, w = at[order], w[order]
+        length = self.first[at + 1] - self.first[at]
+        entry, w = _ranges(self.first[at], length), np.repeat(w, length)
+        block = self.block[entry]
+        bound = np.bincount(block, self.most[entry] * w, -(-self.n // self.size))
+        ranked = np.argsort(-bound, kind="stable")
+        scores = np.zeros(self.n)
+        floor, at_rank, step = 0.0, 0, FIRST_BLOCKS
+        while at_rank < len(ranked):
+            part = ranked[at_rank:at_rank + step]
+            part = part[(bound[part] >= floor) & (bound[part] > 0)]
+            if not len(part):
+                break
+            chosen = np.zeros(len(bound), bool)
+            chosen[part] = True
+            inside = chosen[block]
+            e = entry[inside]
+            length = self.begin[e + 1] - self.begin[e]
+            posting = _ranges(self.begin[e], length)
+            scores += np.bincount(self.place[posting], self.own[posting] * np.repeat(w[inside], length), self.n)
+            if without >= 0 and at_rank == 0:
+                hidden = int(np.flatnonzero(self.example == without)[0])
+            if without >= 0:
+                scores[hidden] = 0.0
+            if self.n > k:
+                floor = float(np.partition(scores, self.n - k)[self.n - k])
+            self.settled += len(part)
+            at_rank, step = at_rank + step, step * 4
+        found = np.flatnonzero((scores > 0) & (scores >= floor))
+        order = np.lexsort((self.example[found], -scores[found]))[:k]
+        return [(float(scores[o]), int(self.example[o])) for o in found[order]]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,13 +219,14 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Terms, examples and votes; packed small enough to go to every worker."""
+    """Words, examples and votes; packed small enough to go to every worker."""
 
-    def __init__(self, terms: Terms, doc: np.ndarray, y: np.ndarray, counts: list):
-        """Examples by ascending doc_id, with (term, times) of each."""
+    def __init__(self, terms: Terms, names: list[str], doc: np.ndarray, y: np.ndarray, counts: list):
+        """Examples by ascending doc_id and name, with (term, times) of each."""
         self.terms = terms
         with_terms = np.array([len(c[0]) > 0 for c in counts], bool)
         self.doc, self.y = doc[with_terms], y[with_terms]
+        self.number = {k: i for i, k in enumerate(k for k, w in zip(names, with_terms) if w)}
         self.prior = float(y.sum()) / max(1, len(y))
         bare = y[~with_terms]
         self.bare = (float(bare.sum()) + self.prior) / (len(bare) + 1) if len(y) else 0.0
@@ -268,31 +252,31 @@ class Model:
         pull = [c * c for c, _ in near]
         return (sum(p * int(self.y[i]) for p, (_, i) in zip(pull, near)) + PRIOR_WEIGHT * self.prior) / (sum(pull) + PRIOR_WEIGHT)
 
-    def votes(self, docs: list[int], texts: list[str]) -> list[float]:
+    def votes(self, names: list[str], texts: list[str]) -> list[float]:
         """The votes on examples with terms, each left out of its own."""
-        near = self.index.nearest_of([self.terms.unit(*c[:2]) for c in self.terms.counts_of(texts)], K, np.searchsorted(self.doc, docs).tolist())
-        return [self._vote(n) for n in near]
+        return [self._vote(self.index.nearest(*self.terms.unit(*c), K, self.number[k])) for k, c in zip(names, self.terms.counts_of(texts))]
 
     def scores(self, texts: list[str | None], steps: tuple[np.ndarray, np.ndarray] | None) -> list[tuple[float, list[dict], list[str]]]:
-        """Calibrated score, the nearest examples and the terms that go with the label, of every text."""
+        """Calibrated score, the nearest examples and the words that go with the label, of every text."""
         if steps is None:
             return [(float(self.bare), [], []) for _ in texts]
-        counts = self.terms.counts_of(texts)
         begins, values = steps
         out = []
-        for (_, _, names), near in zip(counts, self.index.nearest_of([self.terms.unit(*c[:2]) for c in counts], K)):
+        for text, c in zip(texts, self.terms.counts_of(texts)):
+            near = self.index.nearest(*self.terms.unit(*c), K)
             if not near:
                 out.append((float(self.bare), [], []))
                 continue
             value = float(values[max(0, int(np.searchsorted(begins, self._vote(near), "right")) - 1)])
-            out.append((min(1.0, max(0.0, value)), [{"doc_id": int(self.doc[i]), "cosine": min(1.0, c), "toxic": int(self.y[i])} for c, i in near[:3]], names))
+            out.append((min(1.0, max(0.0, value)), [{"doc_id": int(self.doc[i]), "cosine": min(1.0, c), "toxic": int(self.y[i])} for c, i in near[:3]],
+                        self.terms.marked_words(text, c[0])))
         return out
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in parts that bound the vectors held at a time."""
-    for i in range(0, batch.num_rows, TEXTS * 4):
-        yield batch.slice(i, TEXTS * 4)
+    for i in range(0, batch.num_rows, TEXTS):
+        yield batch.slice(i, TEXTS)
 
 
 def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
@@ -305,7 +289,7 @@ def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
         for batch in (p for b in batches for p in _parts(b)):
             texts = batch.column("text").drop_null().to_pylist()
             total += len(texts)
-            for at, _, _ in known.counts_of(texts):
+            for at, _ in known.counts_of(texts):
                 seen[at] += 1
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[total, seen[at]])], names=["term", "n"])
@@ -324,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, tuple[np.ndarray
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") > 0).cast("int")), F.lit(0))).first()
     if not total:
         none = np.zeros(0, np.int64)
-        return rows.sparkSession.sparkContext.broadcast(Model(Terms(none, none), none, none, [])), None
+        return rows.sparkSession.sparkContext.broadcast(Model(Terms(none, none), [], none, none, [])), None
     counts = (rows.select("text", "toxic").mapInArrow(_counted, "term long, n long, n_toxic long")
               .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).toArrow())
     keys, n, n_toxic = (counts[c].to_numpy() for c in ("term", "n", "n_toxic"))
@@ -341,16 +325,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, tuple[np.ndarray
         for batch in (p for b in batches for p in _parts(b)):
             got = sent.value.counts_of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([int(t.as_py() > 0) for t in batch.column("toxic")], pa.int32()),
+                [batch.column("k"), batch.column("doc_id"), pa.array([int(t.as_py() > 0) for t in batch.column("toxic")], pa.int32()),
                  pa.array([g[0].astype(np.int32) for g in got], pa.list_(pa.int32())), pa.array([g[1].astype(np.int32) for g in got], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "at", "times"])
+                names=["k", "doc_id", "toxic", "at", "times"])
 
-    fitted = rows.mapInArrow(counted, "doc_id long, toxic int, at array<int>, times array<int>").toArrow()
+    fitted = rows.mapInArrow(counted, "k string, doc_id long, toxic int, at array<int>, times array<int>").toArrow()
     sent.destroy()
-    doc, y = fitted["doc_id"].to_numpy(), fitted["toxic"].to_numpy().astype(np.int64)
+    names, doc, y = fitted["k"].to_pylist(), fitted["doc_id"].to_numpy(), fitted["toxic"].to_numpy().astype(np.int64)
     found = [pair for at, times in zip(fitted["at"].chunks, fitted["times"].chunks) for pair in zip(_split(at), _split(times))]
-    order = np.argsort(doc)
-    sent = rows.sparkSession.sparkContext.broadcast(Model(terms, doc[order], y[order], [found[i] for i in order]))
+    order = np.lexsort((np.array(names), doc))
+    sent = rows.sparkSession.sparkContext.broadcast(Model(terms, [names[i] for i in order], doc[order], y[order], [found[i] for i in order]))
     return sent, _steps(sent, rows)
 
 
@@ -364,12 +348,11 @@ def _steps(sent: Broadcast, rows: DataFrame) -> tuple[np.ndarray, np.ndarray] |
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in _parts(b)):
-            known = set(sent.value.doc[np.isin(sent.value.doc, batch.column("doc_id").to_numpy(zero_copy_only=False))].tolist())
-            got = [(d, t, int(y > 0)) for d, t, y in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))) if d in known]
+            got = [(k, t, int(y > 0)) for k, t, y in zip(*(batch.column(c).to_pylist() for c in ("k", "text", "toxic"))) if k in sent.value.number]
             yield pa.RecordBatch.from_arrays([pa.array(sent.value.votes([g[0] for g in got], [g[1] for g in got]), pa.float64()),
                                               pa.array([g[2] for g in got], pa.int32())], names=["vote", "toxic"])
 
-    votes = rows.select("doc_id", "text", "toxic").mapInArrow(cast, "vote double, toxic int").toArrow()
+    votes = rows.select("k", "text", "toxic").mapInArrow(cast, "vote double, toxic int").toArrow()
     return isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(float)) if votes.num_rows else None
 
 

@@ -339,3 +339,74 @@ def test_texts_without_label_terms_are_searched(spark):
     assert len({r.score for r in got}) > 1
     assert [(r.doc_id, r.score, r.evidence) for r in sorted(got)] == [
         (r.doc_id, r.score, r.evidence) for r in sorted(toxicity.toxicity(frame(spark, rows).repartition(7), labels).collect())]
+
+
+def test_blocks_below_the_threshold_are_left_out():
+    r = np.random.RandomState(3)
+    vectors = []
+    for i in range(1200):
+        at = np.unique(np.r_[i % 40, 40 + r.choice(400, 12)])
+        w = np.where(at < 40, 6.0, 1.0)
+        vectors.append((at, w / np.sqrt((w * w).sum())))
+    index = toxicity.BlockMaxIndex(vectors, size=16)
+    dense = np.zeros((1200, 440))
+    for i, (at, w) in enumerate(vectors):
+        dense[i, at] = w
+    for i in range(0, 1200, 30):
+        cosine = np.round(dense @ dense[i], 12)
+        cosine[i] = 0
+        got = index.nearest(*vectors[i], 10, i)
+        assert [round(c, 12) for c, _ in got] == sorted(cosine, reverse=True)[:10]
+        assert all(cosine[k] == round(c, 12) for c, k in got)
+    assert index.settled < 0.4 * 40 * 75
+
+
+def test_scores_equal_a_plain_search(spark):
+    rows = [(i, sentence(i % 170, 30 + i % 9) + (" zonker muppetish" if i % 5 == 0 else ""), "s") for i in range(240)]
+    rows += [(7, "Another text of the seventh " + sentence(900, 20), "s"), (8, None, "s"), (9000, "1 2 3", "s"), (9001, "", "s")]
+    label = {i: int(i % 5 == 0) for i in range(200)}
+    docs = frame(spark, rows)
+    got = toxicity.toxicity(docs, spark.createDataFrame(list(label.items()), "doc_id long, toxic int")).collect()
+
+    def counted(t):
+        return Counter(re.findall(r"[^\W\d_]+", (t or "").lower()))
+
+    import zlib
+    first = {}
+    for i, t, _ in sorted((r for r in rows if r[1] is not None and r[0] in label and zlib.crc32(str(r[0]).encode()) % 4 != 2), key=lambda r: (r[0], label[r[0]], r[1])):
+        first.setdefault(t, i)
+    learned = sorted(((i, t) for t, i in first.items()), key=lambda e: (e[0], hashlib.md5(e[1].encode()).hexdigest()))
+    bags, y = [counted(t) for _, t in learned], [label[i] for i, _ in learned]
+    n, n_toxic = Counter(w for b in bags for w in b), Counter(w for b, v in zip(bags, y) if v for w in b)
+    whole = [r[1] for r in rows if r[1] is not None]
+    df = Counter(w for t in whole for w in counted(t))
+    share = sum(y) / len(y)
+    weight = {w: (np.log((1 + len(whole)) / (1 + df[w])) + 1) * (1 + max(0.0, (n_toxic[w] - c * share) / np.sqrt(c * share * (1 - share) + 1e-9) - toxicity.PLAIN_Z)) for w, c in n.items()}
+
+    def vector(b):
+        v = {w: (1 + np.log(c)) * weight[w] for w, c in b.items() if w in weight}
+        size = np.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {w: x / size for w, x in v.items()}
+
+    made = [vector(b) for b in bags]
+
+    def vote(v, without=-1):
+        cosine = [(sum(x * m.get(w, 0.0) for w, x in v.items()), k) for k, m in enumerate(made) if k != without]
+        near = sorted(((-c, k) for c, k in cosine if c > 0))[:toxicity.K]
+        return (sum(c * c * y[k] for c, k in near) + toxicity.PRIOR_WEIGHT * share) / (sum(c * c for c, _ in near) + toxicity.PRIOR_WEIGHT)
+
+    votes = sorted((vote(v, k), y[k]) for k, v in enumerate(made))
+
+    def calibrated(x):
+        """Isotonic regression at x by its min-max form: the largest over beginnings of the smallest mean over ends."""
+        at = [i for i, (v, _) in enumerate(votes) if v <= x + 1e-9]
+        last = max(len(at) - 1, 0)
+        sums = np.r_[0, np.cumsum([t for _, t in votes])]
+        return max(min((sums[e] - sums[b]) / (e - b) for e in range(last + 1, len(votes) + 1)) for b in range(last + 1))
+
+    texts = Counter((r[0], r[1]) for r in rows)
+    assert len(got) == len(rows) and sum(texts.values()) == len(got)
+    want = Counter((i, round(calibrated(vote(vector(counted(t)))), 6)) for i, t, _ in rows if counted(t))
+    assert Counter((r.doc_id, round(r.score, 6)) for r in got if r.evidence) == want
+    assert {r.doc_id for r in got if not r.evidence} == {8, 9000, 9001}
+    assert all(set(r.terms) <= {"zonker", "muppetish"} for r in got) and any(r.terms for r in got)
