@@ -6,12 +6,14 @@ with the label among the examples is multiplied (``PLAIN_Z``): with plain idf th
 nearest neighbours share a subject, not an insult. The cosines are exact over these
 vectors.
 
-The index keeps, for every term and block of examples, the largest weight. The
-products of a text's weights with these maxima, summed by block, are bounds on the
-cosines of the block; blocks are settled exactly in the order of their bounds, until no
-bound reaches the k-th cosine found. Similar examples lie in one block, so that the
-bounds are tight. Bounds and cosines are added in the same order of terms, so a bound
-is never below a cosine, rounding included. The nearest vote with the square of their
+The lists of rare words are walked. For frequent words, which hold most of the
+postings, the index keeps the largest weight of every block of examples: what an
+example got from the rare words, and the products of the frequent ones with the maxima
+of its block (or the product of the lengths, if it is less), bound its cosine. The examples of the largest bounds are settled first;
+of the others only those whose bound reaches the k-th cosine found. Similar examples
+lie in one block, so that the bounds are tight. Bounds are single precision with room
+for its rounding; the cosines that remain are added up again in double precision.
+The nearest vote with the square of their
 cosine against a prior; the votes are calibrated by isotonic regression on all
 examples, each left out of its own vote.
 
@@ -45,9 +47,9 @@ from keepwell.llm.tables import written
 MAX_EXAMPLES, MIN_DOCS, MIN_Z = 12_000, 5, 5.0
 #: A term of this z weighs its idf; each unit above adds one idf.
 PLAIN_Z = 2.0
-K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 32, 0.5, 0.3
-#: Blocks settled before the others are looked at; texts handled at a time.
-FIRST_BLOCKS, TEXTS = 8, 256
+K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 16, 0.5, 0.3
+#: Words in more than this share of the examples are frequent; examples settled first, as a multiple of k; texts handled at a time.
+FREQUENT, FIRST, TEXTS = 1 / 20, 4, 256
 REMEMBERED = 400_000
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -135,74 +137,86 @@ def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Inverted lists over examples, cut into blocks whose largest weights bound what a block can score.
+    """Inverted lists of rare terms over examples, and block maxima of the frequent ones.
 
-    ``vectors`` holds (ascending terms, positive weights) of every example.
+    ``vectors`` holds (ascending terms, positive weights) of every example; ``settled`` counts the examples
+    whose frequent terms were looked at.
     """
 
-    def __init__(self, vectors: list, size: int = BLOCK):
-        self.size, self.n = size, len(vectors)
-        self.settled = 0
+    def __init__(self, vectors: list, size: int = BLOCK, frequent: float = FREQUENT):
+        self.n, self.settled = len(vectors), 0
         row = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
         at = np.concatenate([np.asarray(v[0], np.int64) for v in vectors] or [np.zeros(0, np.int64)])
         own = np.concatenate([np.asarray(v[1], float) for v in vectors] or [np.zeros(0)])
         self.width = int(at.max()) + 1 if len(at) else 0
+        df = np.bincount(at, minlength=self.width)
         # examples of the same strongest shared term lie together
-        strength = np.where(np.bincount(at, minlength=self.width)[at] > 1, own, 0.0) if len(at) else own
         strongest = np.full(self.n, -1)
-        order = np.lexsort((strength, row))
-        last = order[np.flatnonzero(np.r_[row[1:] != row[:-1], True])] if len(row) else order
-        strongest[row[last]] = at[last]
+        if len(at):
+            order = np.lexsort((np.where(df[at] > 1, own, 0.0), row))
+            last = order[np.flatnonzero(np.r_[row[1:] != row[:-1], True])]
+            strongest[row[last]] = at[last]
         self.example = np.argsort(strongest, kind="stable")
-        place = np.empty(self.n, np.int64)
-        place[self.example] = np.arange(self.n)
-        place = place[row]
-        order = np.lexsort((place, at))
-        at, place, own = at[order], place[order], own[order]
-        block = place // size
-        # one entry for each term and block: its largest weight and where its postings begin
-        begin = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.zeros(0, np.int64)
-        self.place, self.own = place.astype(np.int32), own
-        self.block, self.begin = block[begin].astype(np.int32), np.r_[begin, len(at)]
-        self.most = np.maximum.reduceat(own, begin) if len(at) else own
-        self.first = np.searchsorted(at[begin], np.arange(self.width + 1))
+        self.place = np.empty(self.n, np.int64)
+        self.place[self.example] = np.arange(self.n)
+        self.block = np.arange(self.n) // size
+        order = np.lexsort((at, self.place[row]))
+        row, self.at, self.own = self.place[row][order], at[order].astype(np.int32), own[order]
+        self.begin = np.searchsorted(row, np.arange(self.n + 1))
+        often = np.flatnonzero(df > max(size, self.n * frequent))
+        self.column = np.full(self.width, -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        column = self.column[self.at]
+        self.matrix = np.zeros((len(often), self.n), np.float32)
+        self.matrix[column[column >= 0], row[column >= 0]] = self.own[column >= 0]
+        self.most = np.maximum.reduceat(self.matrix, np.arange(0, self.n, size), axis=1) if self.n else self.matrix
+        self.norm = np.sqrt((self.matrix ** 2).sum(axis=0))
+        rare = np.flatnonzero(column < 0)
+        rare = rare[np.argsort(self.at[rare], kind="stable")]
+        self.rows, self.weights = row[rare], self.own[rare]
+        self.length = np.where(self.column < 0, df, 0)
+        self.first = np.cumsum(self.length) - self.length
+        self.query = np.zeros(self.width)
+        # no rounding of a sum of products, which is at most 1, is larger
+        self.slack = 2.0 ** -22 * (len(often) + 64)
 
     def nearest(self, at: list[int], weights: list[float], k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0, exactly: (cosine, example), ties by example."""
         at, w = np.asarray(at, np.int64), np.asarray(weights, float)
-        order = np.argsort(at)
-        order = order[at[order] < self.width]
-        at, w = at[order], w[order]
-        length = self.first[at + 1] - self.first[at]
-        entry, w = _ranges(self.first[at], length), np.repeat(w, length)
-        block = self.block[entry]
-        bound = np.bincount(block, self.most[entry] * w, -(-self.n // self.size))
-        ranked = np.argsort(-bound, kind="stable")
-        scores = np.zeros(self.n)
-        floor, at_rank, step = 0.0, 0, FIRST_BLOCKS
-        while at_rank < len(ranked):
-            part = ranked[at_rank:at_rank + step]
-            part = part[(bound[part] >= floor) & (bound[part] > 0)]
-            if not len(part):
-                break
-            chosen = np.zeros(len(bound), bool)
-            chosen[part] = True
-            inside = chosen[block]
-            e = entry[inside]
-            length = self.begin[e + 1] - self.begin[e]
-            posting = _ranges(self.begin[e], length)
-            scores += np.bincount(self.place[posting], self.own[posting] * np.repeat(w[inside], length), self.n)
-            if without >= 0 and at_rank == 0:
-                hidden = int(np.flatnonzero(self.example == without)[0])
-            if without >= 0:
-                scores[hidden] = 0.0
-            if self.n > k:
-                floor = float(np.partition(scores, self.n - k)[self.n - k])
-            self.settled += len(part)
-            at_rank, step = at_rank + step, step * 4
-        found = np.flatnonzero((scores > 0) & (scores >= floor))
-        order = np.lexsort((self.example[found], -scores[found]))[:k]
-        return [(float(scores[o]), int(self.example[o])) for o in found[order]]
+        w, at = w[at < self.width], at[at < self.width]
+        if not self.n or not len(at):
+            return []
+        length = self.length[at]
+        inside = _ranges(self.first[at], length)
+        rare = np.bincount(self.rows[inside], self.weights[inside] * np.repeat(w, length), self.n)
+        column = self.column[at]
+        frequent = column >= 0
+        column, part = column[frequent], w[frequent].astype(np.float32)
+        bound = rare + np.minimum((part @ self.most[column])[self.block], np.sqrt((part * part).sum()) * self.norm)
+        if without >= 0:
+            bound[self.place[without]] = 0.0
+        first = np.argpartition(bound, self.n - FIRST * k)[self.n - FIRST * k:] if self.n > FIRST * k else np.arange(self.n)
+        rough = rare[first] + part @ self.matrix[np.ix_(column, first)]
+        rough[bound[first] <= 0] = 0.0
+        found = first
+        if len(first) < self.n:
+            floor = np.partition(rough, len(rough) - k)[len(rough) - k]
+            rest = bound >= floor - 2 * self.slack
+            rest[first] = False
+            rest = np.flatnonzero(rest & (bound > 0))
+            found, rough = np.r_[first, rest], np.r_[rough, rare[rest] + part @ self.matrix[np.ix_(column, rest)]]
+        self.settled += len(found)
+        floor = np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) > k else 0.0
+        found = found[(rough > 0) & (rough >= floor - 2 * self.slack)]
+        # added up term by term in one order
+        self.query[at] = w
+        length = self.begin[found + 1] - self.begin[found]
+        inside = _ranges(self.begin[found], length)
+        exact = np.bincount(np.repeat(np.arange(len(found)), length), self.own[inside] * self.query[self.at[inside]], len(found))
+        self.query[at] = 0.0
+        names = self.example[found]
+        order = np.lexsort((names, -exact))[:k]
+        return [(float(exact[o]), int(names[o])) for o in order]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
