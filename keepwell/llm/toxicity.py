@@ -50,7 +50,7 @@ PLAIN_Z = 2.0
 K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 16, 0.5, 0.3
 #: Words in more than this share of the examples are frequent; examples settled first, as a multiple of k; texts handled at a time.
 FREQUENT, FIRST, TEXTS = 1 / 20, 4, 256
-REMEMBERED = 400_000
+WHOLE_ROWS, REMEMBERED = 1 / 16, 400_000
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -204,7 +204,9 @@ class BlockMaxIndex:
             rest = bound >= floor - 2 * self.slack
             rest[first] = False
             rest = np.flatnonzero(rest & (bound > 0))
-            found, rough = np.r_[first, rest], np.r_[rough, rare[rest] + part @ self.matrix[np.ix_(column, rest)]]
+            # many scattered examples are cheaper read as whole rows
+            more = (part @ self.matrix[column])[rest] if len(rest) > WHOLE_ROWS * self.n else part @ self.matrix[np.ix_(column, rest)]
+            found, rough = np.r_[first, rest], np.r_[rough, rare[rest] + more]
         self.settled += len(found)
         floor = np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) > k else 0.0
         found = found[(rough > 0) & (rough >= floor - 2 * self.slack)]
