@@ -10,7 +10,8 @@ The lists of rare words are walked. For frequent words, which hold most of the
 postings, the index keeps the largest weight of every block of examples: what an
 example got from the rare words, and the products of the frequent ones with the maxima
 of its block (or the product of the lengths, if it is less), bound its cosine. The examples of the largest bounds are settled first;
-of the others only those whose bound reaches the k-th cosine found. Similar examples
+of the others only blocks with an example whose bound reaches the k-th cosine found are
+read, each once for all texts of a batch that need it. Similar examples
 lie in one block, so that the bounds are tight. Bounds are single precision with room
 for its rounding; the cosines that remain are added up again in double precision.
 The nearest vote with the square of their
@@ -33,7 +34,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,7 +51,7 @@ PLAIN_Z = 2.0
 K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 16, 0.5, 0.3
 #: Words in more than this share of the examples are frequent; examples settled first, as a multiple of k; texts handled at a time.
 FREQUENT, FIRST, TEXTS = 1 / 20, 4, 256
-WHOLE_ROWS, REMEMBERED = 1 / 16, 400_000
+REMEMBERED = 400_000
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -95,7 +96,7 @@ class Terms:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_known": {}}
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: Iterable[str]) -> None:
         """Remember the number of every word, -1 of one that no example has."""
         if len(self._known) > REMEMBERED:
             self._known.clear()
@@ -106,13 +107,18 @@ class Terms:
         found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         self._known.update(zip(new, np.where(found, at, -1).tolist()))
 
+    def numbers_of(self, words: Counter) -> np.ndarray:
+        """The numbers of different words, -1 of one that no example has."""
+        self.learn(words.keys())
+        return np.fromiter((self._known[w] for w in words), np.int64, len(words))
+
     def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(term, times) of every text, by ascending term."""
         words = [Counter(_WORD.findall((t or "").lower())) for t in texts]
         self.learn(set().union(*words))
         known, out = self._known, []
         for c in words:
-            at = np.fromiter((known[w] for w in c), np.int64, len(c))
+            at = np.fromiter(map(known.__getitem__, c), np.int64, len(c))
             times = np.fromiter(c.values(), np.int64, len(c))
             order = np.argsort(at)
             order = order[np.searchsorted(at[order], 0):]
@@ -140,7 +146,7 @@ class BlockMaxIndex:
     """Inverted lists of rare terms over examples, and block maxima of the frequent ones.
 
     ``vectors`` holds (ascending terms, positive weights) of every example; ``settled`` counts the examples
-    whose frequent terms were looked at.
+    in blocks that were read, over all vectors searched for.
     """
 
     def __init__(self, vectors: list, size: int = BLOCK, frequent: float = FREQUENT):
@@ -159,7 +165,8 @@ class BlockMaxIndex:
         self.example = np.argsort(strongest, kind="stable")
         self.place = np.empty(self.n, np.int64)
         self.place[self.example] = np.arange(self.n)
-        self.block = np.arange(self.n) // size
+        self.starts = np.arange(0, self.n, size)
+        self.spans = np.diff(self.starts, append=self.n)
         order = np.lexsort((at, self.place[row]))
         row, self.at, self.own = self.place[row][order], at[order].astype(np.int32), own[order]
         self.begin = np.searchsorted(row, np.arange(self.n + 1))
@@ -167,10 +174,10 @@ class BlockMaxIndex:
         self.column = np.full(self.width, -1, np.int32)
         self.column[often] = np.arange(len(often))
         column = self.column[self.at]
-        self.matrix = np.zeros((len(often), self.n), np.float32)
-        self.matrix[column[column >= 0], row[column >= 0]] = self.own[column >= 0]
-        self.most = np.maximum.reduceat(self.matrix, np.arange(0, self.n, size), axis=1) if self.n else self.matrix
-        self.norm = np.sqrt((self.matrix ** 2).sum(axis=0))
+        self.matrix = np.zeros((self.n, len(often)), np.float32)
+        self.matrix[row[column >= 0], column[column >= 0]] = self.own[column >= 0]
+        self.most = np.maximum.reduceat(self.matrix, self.starts, axis=0) if self.n else self.matrix
+        self.norm = np.sqrt((self.matrix ** 2).sum(axis=1))
         rare = np.flatnonzero(column < 0)
         rare = rare[np.argsort(self.at[rare], kind="stable")]
         self.rows, self.weights = row[rare], self.own[rare]
@@ -182,34 +189,51 @@ class BlockMaxIndex:
 
     def nearest(self, at: list[int], weights: list[float], k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0, exactly: (cosine, example), ties by example."""
-        at, w = np.asarray(at, np.int64), np.asarray(weights, float)
-        w, at = w[at < self.width], at[at < self.width]
-        if not self.n or not len(at):
-            return []
-        length = self.length[at]
-        inside = _ranges(self.first[at], length)
-        rare = np.bincount(self.rows[inside], self.weights[inside] * np.repeat(w, length), self.n)
-        column = self.column[at]
-        frequent = column >= 0
-        column, part = column[frequent], w[frequent].astype(np.float32)
-        bound = rare + np.minimum((part @ self.most[column])[self.block], np.sqrt((part * part).sum()) * self.norm)
-        if without >= 0:
-            bound[self.place[without]] = 0.0
-        first = np.argpartition(bound, self.n - FIRST * k)[self.n - FIRST * k:] if self.n > FIRST * k else np.arange(self.n)
-        rough = rare[first] + part @ self.matrix[np.ix_(column, first)]
-        rough[bound[first] <= 0] = 0.0
-        found = first
-        if len(first) < self.n:
-            floor = np.partition(rough, len(rough) - k)[len(rough) - k]
-            rest = bound >= floor - 2 * self.slack
-            rest[first] = False
-            rest = np.flatnonzero(rest & (bound > 0))
-            # many scattered examples are cheaper read as whole rows
-            more = (part @ self.matrix[column])[rest] if len(rest) > WHOLE_ROWS * self.n else part @ self.matrix[np.ix_(column, rest)]
-            found, rough = np.r_[first, rest], np.r_[rough, rare[rest] + more]
-        self.settled += len(found)
-        floor = np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) > k else 0.0
-        found = found[(rough > 0) & (rough >= floor - 2 * self.slack)]
+        return self.nearest_of([(at, weights)], k, [without])[0]
+
+    def nearest_of(self, vectors: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """``nearest`` of several vectors, which share the reading of a block."""
+        texts = []
+        for at, w in vectors:
+            at, w = np.asarray(at, np.int64), np.asarray(w, float)
+            texts.append((at[at < self.width], w[at < self.width]))
+        if not self.n:
+            return [[] for _ in texts]
+        rough, part = np.empty((len(texts), self.n), np.float32), np.zeros((len(texts), self.matrix.shape[1]), np.float32)
+        for t, (at, w) in enumerate(texts):
+            length = self.length[at]
+            inside = _ranges(self.first[at], length)
+            rough[t] = np.bincount(self.rows[inside], self.weights[inside] * np.repeat(w, length), self.n)
+            column = self.column[at]
+            part[t, column[column >= 0]] = w[column >= 0]
+        # the rare words are in; the frequent ones add this at most
+        more = np.repeat(part @ self.most.T, self.spans, axis=1)
+        np.minimum(more, np.sqrt((part * part).sum(axis=1))[:, None] * self.norm, out=more)
+        more += rough
+        for t, own in enumerate(without or ()):
+            if own >= 0:
+                more[t, self.place[own]] = 0.0
+        floor = np.zeros(len(texts), np.float32)
+        if self.n > FIRST * k:
+            for t, best in enumerate(np.argpartition(more, self.n - FIRST * k, axis=1)[:, self.n - FIRST * k:]):
+                sums = rough[t, best] + self.matrix[best] @ part[t]
+                sums[more[t, best] <= 0] = 0.0
+                floor[t] = np.partition(sums, len(sums) - k)[len(sums) - k]
+        least = np.maximum(floor - 2 * self.slack, np.finfo(np.float32).tiny)[:, None]
+        possible = more >= least
+        needed = np.logical_or.reduceat(possible, self.starts, axis=1)
+        for j, (lo, n) in enumerate(zip(self.starts.tolist(), self.spans.tolist())):
+            who = np.flatnonzero(needed[:, j])
+            if len(who):
+                rough[who, lo : lo + n] += part[who] @ self.matrix[lo : lo + n].T
+        self.settled += int((needed * self.spans).sum())
+        possible &= rough >= least
+        return [self._exact(f := np.flatnonzero(possible[t]), rough[t, f], *texts[t], k) for t in range(len(texts))]
+
+    def _exact(self, found: np.ndarray, rough: np.ndarray, at: np.ndarray, w: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The k best of the examples ``found``, of which the single-precision sums are known."""
+        if len(found) > k:
+            found = found[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 2 * self.slack]
         # added up term by term in one order
         self.query[at] = w
         length = self.begin[found + 1] - self.begin[found]
@@ -270,16 +294,16 @@ class Model:
 
     def votes(self, names: list[str], texts: list[str]) -> list[float]:
         """The votes on examples with terms, each left out of its own."""
-        return [self._vote(self.index.nearest(*self.terms.unit(*c), K, self.number[k])) for k, c in zip(names, self.terms.counts_of(texts))]
+        units = [self.terms.unit(*c) for c in self.terms.counts_of(texts)]
+        return [self._vote(near) for near in self.index.nearest_of(units, K, [self.number[k] for k in names])]
 
     def scores(self, texts: list[str | None], steps: tuple[np.ndarray, np.ndarray] | None) -> list[tuple[float, list[dict], list[str]]]:
         """Calibrated score, the nearest examples and the words that go with the label, of every text."""
         if steps is None:
             return [(float(self.bare), [], []) for _ in texts]
         begins, values = steps
-        out = []
-        for text, c in zip(texts, self.terms.counts_of(texts)):
-            near = self.index.nearest(*self.terms.unit(*c), K)
+        counts, out = self.terms.counts_of(texts), []
+        for text, c, near in zip(texts, counts, self.index.nearest_of([self.terms.unit(*c) for c in counts], K)):
             if not near:
                 out.append((float(self.bare), [], []))
                 continue
@@ -303,10 +327,12 @@ def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
         known, total = sent.value, 0
         seen = np.zeros(len(known.keys), np.int64)
         for batch in (p for b in batches for p in _parts(b)):
-            texts = batch.column("text").drop_null().to_pylist()
+            texts, found = batch.column("text").drop_null().to_pylist(), Counter()
             total += len(texts)
-            for at, _ in known.counts_of(texts):
-                seen[at] += 1
+            for text in texts:
+                found.update(set(_WORD.findall(text.lower())))
+            at = known.numbers_of(found)
+            seen[at[at >= 0]] += np.fromiter(found.values(), np.int64, len(found))[at >= 0]
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[total, seen[at]])], names=["term", "n"])
 
