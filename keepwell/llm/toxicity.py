@@ -34,7 +34,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -54,6 +54,8 @@ FREQUENT, FIRST, TEXTS = 1 / 20, 4, 256
 REMEMBERED = 400_000
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
+#: ASCII characters other than letters become spaces; bytes of other characters stay.
+_SPACED = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -68,6 +70,14 @@ def examples(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> D
     return rows.groupBy(F.md5("text").alias("k")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("e")).select("k", "e.*")
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, in lower case; the pattern is only put to words with other than ASCII letters."""
+    words = text.lower().encode().translate(_SPACED).decode().split()
+    if text.isascii():
+        return words
+    return [w for x in words for w in ((x,) if x.isascii() else _WORD.findall(x))]
+
+
 def keys_of(terms: list[str]) -> np.ndarray:
     """64-bit keys, the same in every process."""
     return pd.util.hash_array(np.array(terms, object), categorize=False).view(np.int64) if terms else np.zeros(0, np.int64)
@@ -78,7 +88,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         every, toxic = Counter(), Counter()
         for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            found = set(_WORD.findall(text.lower()))
+            found = set(words_of(text))
             every.update(found)
             if y > 0:
                 toxic.update(found)
@@ -96,8 +106,8 @@ class Terms:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_known": {}}
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Remember the number of every word, -1 of one that no example has."""
+    def learn(self, words: Collection[str]) -> None:
+        """Remember the number of every word, -1 of one that no example has; earlier words may be forgotten."""
         if len(self._known) > REMEMBERED:
             self._known.clear()
         new = [w for w in words if w not in self._known]
@@ -114,11 +124,14 @@ class Terms:
 
     def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(term, times) of every text, by ascending term."""
-        words = [Counter(_WORD.findall((t or "").lower())) for t in texts]
-        self.learn(set().union(*words))
-        known, out = self._known, []
-        for c in words:
-            at = np.fromiter(map(known.__getitem__, c), np.int64, len(c))
+        words, known, out = [Counter(words_of(t or "")) for t in texts], self._known, []
+        numbers = [list(map(known.get, c)) for c in words]
+        new = [i for i, x in enumerate(numbers) if None in x]
+        self.learn(set().union(*(words[i] for i in new)))
+        for i in new:
+            numbers[i] = [known[w] for w in words[i]]
+        for c, number in zip(words, numbers):
+            at = np.array(number, np.int64)
             times = np.fromiter(c.values(), np.int64, len(c))
             order = np.argsort(at)
             order = order[np.searchsorted(at[order], 0):]
@@ -129,7 +142,8 @@ class Terms:
         """The words of a text, with the terms ``at``, that go with the label."""
         if not self.marked[at].any():
             return []
-        return sorted(w for w in set(_WORD.findall((text or "").lower())) if (i := self._known[w]) >= 0 and self.marked[i])
+        words = Counter(set(words_of(text or "")))
+        return sorted(w for w, i in zip(words, self.numbers_of(words).tolist()) if i >= 0 and self.marked[i])
 
     def unit(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = (1 + np.log(times)) * self.weight[at]
@@ -180,7 +194,7 @@ class BlockMaxIndex:
         self.norm = np.sqrt((self.matrix ** 2).sum(axis=1))
         rare = np.flatnonzero(column < 0)
         rare = rare[np.argsort(self.at[rare], kind="stable")]
-        self.rows, self.weights = row[rare], self.own[rare]
+        self.rows, self.weights = row[rare].astype(np.int32), self.own[rare].astype(np.float32)
         self.length = np.where(self.column < 0, df, 0)
         self.first = np.cumsum(self.length) - self.length
         self.query = np.zeros(self.width)
@@ -199,11 +213,13 @@ class BlockMaxIndex:
             texts.append((at[at < self.width], w[at < self.width]))
         if not self.n:
             return [[] for _ in texts]
-        rough, part = np.empty((len(texts), self.n), np.float32), np.zeros((len(texts), self.matrix.shape[1]), np.float32)
+        rough, part = np.zeros((len(texts), self.n), np.float32), np.zeros((len(texts), self.matrix.shape[1]), np.float32)
         for t, (at, w) in enumerate(texts):
             length = self.length[at]
-            inside = _ranges(self.first[at], length)
-            rough[t] = np.bincount(self.rows[inside], self.weights[inside] * np.repeat(w, length), self.n)
+            lists = [slice(a, b) for a, b in zip(self.first[at].tolist(), (self.first[at] + length).tolist()) if a < b]
+            if lists:
+                weights = np.concatenate([self.weights[s] for s in lists]) * np.repeat(w, length).astype(np.float32)
+                rough[t] = np.bincount(np.concatenate([self.rows[s] for s in lists]), weights, self.n)
             column = self.column[at]
             part[t, column[column >= 0]] = w[column >= 0]
         # the rare words are in; the frequent ones add this at most
@@ -330,7 +346,7 @@ def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
             texts, found = batch.column("text").drop_null().to_pylist(), Counter()
             total += len(texts)
             for text in texts:
-                found.update(set(_WORD.findall(text.lower())))
+                found.update(set(words_of(text)))
             at = known.numbers_of(found)
             seen[at[at >= 0]] += np.fromiter(found.values(), np.int64, len(found))[at >= 0]
         at = np.flatnonzero(seen)
