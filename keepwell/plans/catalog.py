@@ -876,8 +876,9 @@ def matched(spark, d):
     ends = causal.overlap(cells.withColumn("propensity", first)).first()
     inside = first.between(ends["low"], ends["high"])
     model = causal.fit_logistic(cells.filter(inside), terms, F.col("treated"), F.col("n"))
-    scored_units = units.filter(inside).withColumn("score", S.logit(model.probability, causal.LOGIT_CLIP))
-    return scored_units, terms, matching.match_pairs(scored_units, ID, "score", "treated", carry=["outcome"], seed=SEED)
+    # stored: otherwise the planner derives constraints from both models in every join of units with pairs
+    scored_units = units.filter(inside).withColumn("score", S.logit(model.probability, causal.LOGIT_CLIP)).persist()
+    return scored_units, terms, matching.match_pairs(scored_units, ID, "score", "treated", carry=["outcome"], seed=SEED).persist()
 
 
 @query

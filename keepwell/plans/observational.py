@@ -43,8 +43,9 @@ def run_observational(units: DataFrame, key: str, mediators: bool = False, draws
         raise ValueError("the propensity has one class on the common support or did not converge")
     second = causal.Logistic(float(fitted.propensity.intercept[0]), dict(zip(terms, map(float, fitted.propensity.weights[0]))), terms)
     weighted = cells.withColumn("propensity", second.probability)
+    # stored: otherwise the planner derives constraints from both models in every join of units with pairs
     kept = units.filter(first.probability.between(ends["low"], ends["high"])).withColumn(
-        "score", logit(second.probability, causal.LOGIT_CLIP))
+        "score", logit(second.probability, causal.LOGIT_CLIP)).persist()
     caliper = matching.caliper_width(kept, "score")
     pairs = matching.match_pairs(kept, key, "score", "treated", caliper, carry=["outcome"], seed=seed).checkpoint()
     effect = matching.att(pairs).first()

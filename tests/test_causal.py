@@ -84,6 +84,19 @@ def confounded(spark, effect, n=4000, seed=0):
     return df.withColumns({k: F.lit(v) for k, v in fixed.items()}).withColumn("MonthlyCharges", F.lit(50.0))
 
 
+def test_balance_reads_stored_units_and_pairs(spark, monkeypatch):
+    from keepwell.plans import catalog
+    monkeypatch.setattr(catalog, "observational", lambda spark, folder: confounded(spark, -0.10, 600))
+    units, terms, pairs = catalog.matched(spark, "")
+    assert units.storageLevel.useDisk and pairs.storageLevel.useDisk       # else the planner unfolds both models in the join
+    rows = {r["customerID"]: r["tenure"] for r in units.collect()}
+    taken = [rows[i] for r in pairs.collect() for i in (r["treated_id"], r["control_id"])]
+    t, c = np.array(taken[::2], float), np.array(taken[1::2], float)
+    got = {r["covariate"]: r["smd_after"] for r in catalog.match_balance(spark, "").collect()}
+    assert len(t) and got["tenure"] == pytest.approx((t.mean() - c.mean()) / np.sqrt((t.var() + c.var()) / 2))
+    spark.catalog.clearCache()
+
+
 def test_estimators_recover_effect_where_naive_fails(spark):
     units = confounded(spark, -0.10).persist()
     out = run_observational(units, "customerID", seed=1)
