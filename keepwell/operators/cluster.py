@@ -24,6 +24,9 @@ STABLE_ARI = 0.5
 SHIFT = 100.0
 # --- end of fixed values ----------------------------------------------------
 
+#: Centres a row is compared with at the cost of a row of a small fit, and the work of a row that is labelled by columns.
+CENTRES, LABELLING = 16, 25
+
 
 def standardised(matrix: DataFrame, keep=(), inputs=CLUSTER_INPUTS) -> DataFrame:
     """Population-scaled inputs beside the kept columns, with a vector column."""
@@ -33,32 +36,35 @@ def standardised(matrix: DataFrame, keep=(), inputs=CLUSTER_INPUTS) -> DataFrame
     return VectorAssembler(inputCols=list(inputs), outputCol="features").transform(wide)
 
 
-def model_rows(points: DataFrame, inputs=CLUSTER_INPUTS, samples: list | None = None) -> DataFrame:
+def model_rows(points: DataFrame, models: list[lloyd.Model], inputs=CLUSTER_INPUTS, samples: list | None = None) -> DataFrame:
     """What fits read: the inputs, a hash of the row and the samples it is in."""
     plain = [f.name for f in points.schema if f.name != "features"]
     extra = [F.array(*samples).alias("w")] if samples else []
-    return for_iteration(points.select(F.array(*[F.col(c).cast("double") for c in inputs]).alias("x"), F.xxhash64(*plain).alias("h"), *extra))
+    rows = points.select(F.array(*[F.col(c).cast("double") for c in inputs]).alias("x"), F.xxhash64(*plain).alias("h"), *extra)
+    return for_iteration(rows, work=max(1, sum(m.k for m in models) // CENTRES))
 
 
 def fit_kmeans(points: DataFrame, k: int, restarts: int = 1, seed: int = 42, inputs=CLUSTER_INPUTS) -> lloyd.Fitted:
     """Lowest-cost model over several seeded starts, fitted together."""
-    rows = model_rows(points, inputs)
-    fits = lloyd.fit_models(rows, [lloyd.Model(k, i) for i in range(restarts)], len(inputs), seed)
+    models = [lloyd.Model(k, i) for i in range(restarts)]
+    rows = model_rows(points, models, inputs)
+    fits = lloyd.fit_models(rows, models, len(inputs), seed)
     rows.unpersist()
     return lloyd.best_of(fits)
 
 
 def sweep_models(points: DataFrame, ks=K_RANGE, restarts: int = 1, seed: int = 42, inputs=CLUSTER_INPUTS) -> list[lloyd.Fitted]:
     """The best model per k; all k and starts are fitted together."""
-    rows = model_rows(points, inputs)
-    fits = lloyd.fit_models(rows, [lloyd.Model(k, i) for k in ks for i in range(restarts)], len(inputs), seed)
+    models = [lloyd.Model(k, i) for k in ks for i in range(restarts)]
+    rows = model_rows(points, models, inputs)
+    fits = lloyd.fit_models(rows, models, len(inputs), seed)
     rows.unpersist()
     return [lloyd.best_of([f for f in fits if f.model.k == k]) for k in ks]
 
 
 def sweep_k(points: DataFrame, ks=K_RANGE, restarts: int = 1, seed: int = 42, inputs=CLUSTER_INPUTS) -> DataFrame:
     """Quality of the best labelling per k."""
-    points = for_iteration(points)
+    points = for_iteration(points, work=LABELLING)
     frames = []
     for fit in sweep_models(points, ks, restarts, seed, inputs):
         row = metrics.cluster_quality(fit.assign(points, inputs), "segment", inputs).first()
@@ -89,8 +95,9 @@ def resample_agreement(points: DataFrame, own: lloyd.Fitted, key: str, runs: int
     """
     hashes = [seeded_hash(key, f"{seed}:{r}") for r in range(runs)]
     cuts = hash_cuts(points, hashes, lambda n: [math.floor(RESAMPLE_SHARE * n)])
-    rows = model_rows(points, inputs, [cuts.below(h, i).cast("int") for i, h in enumerate(hashes)])
-    fits = lloyd.fit_models(rows, [lloyd.Model(own.model.k, i, r) for r in range(runs) for i in range(restarts)], len(inputs), seed)
+    models = [lloyd.Model(own.model.k, i, r) for r in range(runs) for i in range(restarts)]
+    rows = model_rows(points, models, inputs, [cuts.below(h, i).cast("int") for i, h in enumerate(hashes)])
+    fits = lloyd.fit_models(rows, models, len(inputs), seed)
     best = [lloyd.best_of([f for f in fits if f.model.sample == r]) for r in range(runs)]
     found = lloyd.agreement(rows, own, best)
     rows.unpersist()

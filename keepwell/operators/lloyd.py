@@ -51,10 +51,14 @@ class Fitted:
 
     def label(self, inputs: Sequence[str]) -> Column:
         """Number of the nearest centre; ties go to the smaller number."""
-        gaps = [sum(((F.col(c) - float(v)) * (F.col(c) - float(v)) for c, v in zip(inputs, centre)), F.lit(0.0)) for centre in self.centres]
-        far = F.array(*gaps)
+        far = self.distances(inputs)
         return (F.array_position(far, F.array_min(far)) - 1).cast("int")
 
+    def distances(self, inputs: Sequence[str]) -> Column:
+        """Squared distances to the centres, as one SQL text: a call per term takes seconds."""
+        gap = lambda c, v: f"(`{c}` - {float(v)!r}D) * (`{c}` - {float(v)!r}D)"
+        return F.expr("array(" + ", ".join(" + ".join(["0.0D", *map(gap, inputs, centre)]) for centre in self.centres) + ")")
+
     def assign(self, points: DataFrame, inputs: Sequence[str], name: str = "segment") -> DataFrame:
         return points.withColumn(name, self.label(inputs))
 
@@ -80,8 +84,8 @@ def _weights(part: pa.RecordBatch, samples: Sequence[int | None]) -> np.ndarray
     """0 or 1 per row and model; None if every model takes all points."""
     if all(s is None for s in samples):
         return None
-    w = matrix(part.column("w"), part.num_rows)
-    return np.column_stack([np.ones(part.num_rows) if s is None else w[:, s] for s in samples])
+    w = np.column_stack([np.ones(part.num_rows), matrix(part.column("w"), part.num_rows)])
+    return w[:, [0 if s is None else s + 1 for s in samples]]
 
 
 def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -133,28 +137,42 @@ def _seeded(rows: DataFrame, models: Sequence[Model], dimensions: int, seed: int
 
 
 def _step(rows: DataFrame, models: Sequence[Model], centres: dict[Model, np.ndarray], dimensions: int) -> np.ndarray:
-    """Per model: cost, then count and sums of each cluster, padded to the largest k."""
+    """Per model: cost, then count and sums of each cluster, padded to the largest k.
+
+    Distances lie cluster by cluster, a row of all models each, so that the nearest
+    centre is found by whole-row minima; ties go to the smaller number.
+    """
     groups = []
     for k in sorted({m.k for m in models}):
         own = [i for i, m in enumerate(models) if m.k == k]
-        groups.append((k, own, np.concatenate([centres[models[i]] for i in own]), [models[i].sample for i in own]))
+        c = np.stack([centres[models[i]] for i in own], axis=1).reshape(k * len(own), dimensions)
+        groups.append((k, own, c, (c * c).sum(axis=1)[:, None], [models[i].sample for i in own]))
     most = max(k for k, *_ in groups)
-    total = sum(len(c) for _, _, c, _ in groups)
+    total = sum(len(c) for _, _, c, *_ in groups)
 
     def values(part, x):
         out = np.zeros((len(models), 1 + most * (1 + dimensions)))
-        for k, own, c, samples in groups:
-            d = _squared(x, c).reshape(len(x), len(own), k)
-            near = d.argmin(axis=2)
-            hit = (near[:, :, None] == np.arange(k)).astype(float)
-            least = d.min(axis=2)
+        norm, double, ones = (x * x).sum(axis=1), (-2 * x).T, np.column_stack([np.ones(len(x)), x])
+        for k, own, c, norms, samples in groups:
+            d = c @ double
+            d += norm
+            d += norms
+            np.maximum(d, 0.0, out=d)
+            d = d.reshape(k, len(own), len(x))
+            least, near = d[0].copy(), np.zeros(d[0].shape, np.int32)
+            for j in range(1, k):
+                np.copyto(near, j, where=d[j] < least)
+                np.minimum(least, d[j], out=least)
+            for j in range(k):
+                np.equal(near, j, out=d[j])
             w = _weights(part, samples)
             if w is not None:
-                hit, least = hit * w[:, :, None], least * w
-            flat = hit.reshape(len(x), len(own) * k)
-            out[own, 0] = least.sum(axis=0)
-            out[own, 1:1 + k] = flat.sum(axis=0).reshape(len(own), k)
-            out[own, 1 + most:1 + most + k * dimensions] = (flat.T @ x).reshape(len(own), k * dimensions)
+                d *= w.T
+                least *= w.T
+            sums = (d.reshape(k * len(own), len(x)) @ ones).reshape(k, len(own), 1 + dimensions)
+            out[own, 0] = least.sum(axis=1)
+            out[own, 1:1 + k] = sums[:, :, 0].T
+            out[own, 1 + most:1 + most + k * dimensions] = sums[:, :, 1:].transpose(1, 0, 2).reshape(len(own), k * dimensions)
         return out
 
     return summed(rows, total, values)
@@ -224,9 +242,7 @@ def _rand(table: np.ndarray) -> float:
 
 def fixed_point(points: DataFrame, fit: Fitted, inputs: Sequence[str]) -> DataFrame:
     """(k, nearer_elsewhere, centre_gap) by plain column sums: both are 0 for a model that came to rest."""
-    gaps = [sum(((F.col(c) - float(v)) * (F.col(c) - float(v)) for c, v in zip(inputs, centre)), F.lit(0.0)) for centre in fit.centres]
-    far = F.array(*gaps)
-    labelled = points.select(*inputs, fit.label(inputs).alias("label"), far.alias("far"))
+    labelled = points.select(*inputs, fit.label(inputs).alias("label"), fit.distances(inputs).alias("far"))
     elsewhere = F.count_if(F.exists("far", lambda d: d < F.col("far")[F.col("label")] - 1e-9))
     means = labelled.groupBy("label").agg(elsewhere.alias("elsewhere"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(inputs)])
     own = F.array(*[F.array(*[F.lit(float(v)) for v in centre]) for centre in fit.centres])[F.col("label")]

@@ -660,7 +660,7 @@ def kmeans_choice(spark, d):
 
 
 def kmeans_labels(spark, d, k=3):
-    points = for_iteration(labelled_points(spark, d).drop("segment"))
+    points = for_iteration(labelled_points(spark, d).drop("segment"), work=cluster.LABELLING)
     fit = cluster.fit_kmeans(points, k, restarts=cluster.RESTARTS)
     return points, fit, fit.assign(points, seg.CLUSTER_INPUTS)
 
@@ -675,7 +675,7 @@ def kmeans_assign(spark, d):
 @query
 def kmeans_stationary(spark, d):
     """The best model of every k as a fixed point: rows nearer to another centre, and how far centres are from their means."""
-    points = for_iteration(labelled_points(spark, d).drop("segment"))
+    points = for_iteration(labelled_points(spark, d).drop("segment"), work=cluster.LABELLING)
     out = None
     for fit in cluster.sweep_models(points, restarts=cluster.RESTARTS):
         row = lloyd.fixed_point(points, fit, seg.CLUSTER_INPUTS)

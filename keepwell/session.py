@@ -48,11 +48,14 @@ def ship_package(spark: SparkSession) -> None:
 ROWS_PER_TASK = 250_000
 
 
-def for_iteration(df: DataFrame, rows: int | None = None) -> DataFrame:
+def for_iteration(df: DataFrame, rows: int | None = None, work: int = 1) -> DataFrame:
     """Input of an iterative fit: partitions sized to the rows, kept in memory.
 
     A fit runs one job per iteration, so many near-empty tasks cost more than
-    the arithmetic. Partitions that do not fit in memory spill to disk.
+    the arithmetic. ``work`` is what a row costs in units of a small fit: dear rows
+    are spread over the cores as well. Partitions that do not fit in memory spill to disk.
     """
     rows = df.count() if rows is None else rows
-    return df.repartition(max(1, -(-rows // ROWS_PER_TASK))).persist()
+    by_rows, by_work = -(-rows // ROWS_PER_TASK), -(-rows * work // ROWS_PER_TASK)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, by_rows, min(cores, by_work))).persist()

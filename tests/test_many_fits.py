@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keepwell.operators import encode, lloyd, metrics, ranking
+from keepwell.operators import cluster, encode, lloyd, metrics, ranking
+from keepwell.session import for_iteration
 
 
 def point_rows(spark, n=400, samples=3, seed=0, dimensions=3):
@@ -67,6 +68,30 @@ def test_agreement_equals_the_column_form(spark):
     assert lloyd.agreement(df, own, [other])[0] == pytest.approx(metrics.adjusted_rand(both, "one", "two").first()[0])
 
 
+def test_dear_rows_are_spread_over_the_cores(spark, monkeypatch):
+    points = spark.range(16000).selectExpr("cast(id as string) as k", *[f"cast(id % {n} as double) as {c}" for n, c in ((7, "a"), (11, "b"), (13, "c"))])
+    seen, fit = [], lloyd.fit_models
+    monkeypatch.setattr(lloyd, "fit_models", lambda rows, models, *rest: seen.append(rows.rdd.getNumPartitions()) or fit(rows, models[:2], *rest))
+    monkeypatch.setattr(lloyd, "best_of", lambda fits: None)
+    cores = spark.sparkContext.defaultParallelism
+    cluster.sweep_models(points, restarts=20, inputs=list("abc"))
+    assert seen == [cores]
+    assert for_iteration(points).rdd.getNumPartitions() == 1          # cheap rows stay together
+    assert for_iteration(points, work=20).rdd.getNumPartitions() == min(cores, 2)
+
+
+def test_a_step_equals_plain_sums(spark):
+    df, x, w = point_rows(spark, seed=5)
+    models = [lloyd.Model(2, 0), lloyd.Model(3, 0, 1), lloyd.Model(3, 1, 0), lloyd.Model(3, 2)]
+    centres = {m: x[i:i + m.k] + 0.01 for i, m in enumerate(models)}
+    for m, row in zip(models, lloyd._step(df, models, centres, 3)):
+        d = ((x[:, None, :] - centres[m][None]) ** 2).sum(axis=2)
+        near, own = d.argmin(axis=1), np.ones(len(x)) if m.sample is None else w[:, m.sample]
+        assert row[0] == pytest.approx((d.min(axis=1) * own).sum())
+        assert row[1:1 + m.k] == pytest.approx([own[near == j].sum() for j in range(m.k)])
+        assert row[4:4 + 3 * m.k] == pytest.approx(np.concatenate([(x * own[:, None])[near == j].sum(axis=0) for j in range(m.k)]))
+
+
 def test_fixed_point_sees_motion(spark):
     df, x, _ = point_rows(spark, seed=4)
     named = df.select(*[F.col("x")[i].alias(c) for i, c in enumerate("abc")])
