@@ -12,7 +12,9 @@ example got from the rare words, and the products of the frequent ones with the
 of its block (or the product of the lengths, if it is less), bound its cosine. The examples of the largest bounds are settled first;
 of the others only blocks with an example whose bound reaches the k-th cosine found are
 read, each once for all texts of a batch that need it. Similar examples
-lie in one block, so that the bounds are tight. Bounds are single precision with room
+lie in one block, so that the bounds are tight. Where a batch had to read more than WHOLE
+of the examples, the next ones multiply the frequent words of all examples without bounds
+and the rare lists are walked as before. Bounds are single precision with room
 for its rounding; the cosines that remain are added up again in double precision.
 The nearest vote with the square of their
 cosine against a prior; the votes are calibrated by isotonic regression on all
@@ -33,7 +35,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -51,9 +53,22 @@ PLAIN_Z = 2.0
 K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 16, 0.5, 0.3
 #: Words in more than this share of the examples are frequent; examples settled first, as a multiple of k; texts handled at a time.
 FREQUENT, FIRST, TEXTS = 1 / 20, 4, 256
+#: Examples read, as a share, above which bounds cost more than they save; batches until they are tried again.
+WHOLE, RETRIED = 0.25, 16
 REMEMBERED = 400_000
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
+#: Of bytes: ASCII characters but a-z become spaces.
+_GAPS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def words_of(text: str | None) -> list[str]:
+    """The lower-cased words of a text, all matches of ``_WORD``; only pieces with other than ASCII letters are matched."""
+    lower = (text or "").lower()
+    pieces = lower.encode("utf-8", "surrogatepass").translate(_GAPS).decode("utf-8", "surrogatepass").split()
+    if lower.isascii():
+        return pieces
+    return [w for p in pieces for w in ((p,) if p.isalpha() else _WORD.findall(p))]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -78,7 +93,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         every, toxic = Counter(), Counter()
         for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            found = set(_WORD.findall(text.lower()))
+            found = set(words_of(text))
             every.update(found)
             if y > 0:
                 toxic.update(found)
@@ -92,9 +107,10 @@ class Terms:
     def __init__(self, keys: np.ndarray, marked: np.ndarray, weight: np.ndarray | None = None):
         self.keys, self.marked, self.weight = keys, marked, weight
         self._known: dict[str, int] = {}
+        self._names: dict[int, set[str]] = {}        # of marked terms
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": {}}
+        return self.__dict__ | {"_known": {}, "_names": {}}
 
     def learn(self, words: Iterable[str]) -> None:
         """Remember the number of every word, -1 of one that no example has."""
@@ -106,30 +122,31 @@ class Terms:
         at[at == len(self.keys)] = 0
         found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         self._known.update(zip(new, np.where(found, at, -1).tolist()))
-
-    def numbers_of(self, words: Counter) -> np.ndarray:
-        """The numbers of different words, -1 of one that no example has."""
-        self.learn(words.keys())
-        return np.fromiter((self._known[w] for w in words), np.int64, len(words))
+        for i in np.flatnonzero(found & self.marked[at]).tolist() if len(self.keys) else ():
+            self._names.setdefault(int(at[i]), set()).add(new[i])
 
     def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(term, times) of every text, by ascending term."""
-        words = [Counter(_WORD.findall((t or "").lower())) for t in texts]
-        self.learn(set().union(*words))
-        known, out = self._known, []
-        for c in words:
-            at = np.fromiter(map(known.__getitem__, c), np.int64, len(c))
-            times = np.fromiter(c.values(), np.int64, len(c))
-            order = np.argsort(at)
-            order = order[np.searchsorted(at[order], 0):]
-            out.append((at[order], times[order]))
+        # words are numbered among these texts first, so that each is looked up once
+        own: dict[str, int] = defaultdict()
+        own.default_factory = own.__len__
+        places = [np.fromiter(map(own.__getitem__, words), np.int64, len(words)) for words in map(words_of, texts)]
+        self.learn(own)
+        numbers = np.fromiter(map(self._known.__getitem__, own), np.int64, len(own))
+        out = []
+        for place in places:
+            at, times = np.unique(numbers[place], return_counts=True)
+            known = int(np.searchsorted(at, 0))
+            out.append((at[known:], times[known:]))
         return out
 
     def marked_words(self, text: str | None, at: np.ndarray) -> list[str]:
         """The words of a text, with the terms ``at``, that go with the label."""
-        if not self.marked[at].any():
-            return []
-        return sorted(w for w in set(_WORD.findall((text or "").lower())) if (i := self._known[w]) >= 0 and self.marked[i])
+        names = [self._names[i] for i in at[self.marked[at]].tolist()]
+        if any(len(n) > 1 for n in names):           # words of equal keys
+            own = set(words_of(text))
+            names = [n & own for n in names]
+        return sorted(set().union(*names))
 
     def unit(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = (1 + np.log(times)) * self.weight[at]
@@ -138,19 +155,20 @@ class Terms:
 
 def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """All positions of several ranges, one range after another."""
-    ends = np.cumsum(length)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length)
+    at = np.repeat(begin - np.cumsum(length) + length, length)
+    at += np.arange(len(at))
+    return at
 
 
 class BlockMaxIndex:
     """Inverted lists of rare terms over examples, and block maxima of the frequent ones.
 
     ``vectors`` holds (ascending terms, positive weights) of every example; ``settled`` counts the examples
-    in blocks that were read, over all vectors searched for.
+    whose frequent words were read, over all vectors searched for; ``whole`` the batches still to be searched without bounds.
     """
 
     def __init__(self, vectors: list, size: int = BLOCK, frequent: float = FREQUENT):
-        self.n, self.settled = len(vectors), 0
+        self.n, self.settled, self.whole = len(vectors), 0, 0
         row = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
         at = np.concatenate([np.asarray(v[0], np.int64) for v in vectors] or [np.zeros(0, np.int64)])
         own = np.concatenate([np.asarray(v[1], float) for v in vectors] or [np.zeros(0)])
@@ -168,22 +186,23 @@ class BlockMaxIndex:
         self.starts = np.arange(0, self.n, size)
         self.spans = np.diff(self.starts, append=self.n)
         order = np.lexsort((at, self.place[row]))
-        row, self.at, self.own = self.place[row][order], at[order].astype(np.int32), own[order]
-        self.begin = np.searchsorted(row, np.arange(self.n + 1))
+        row, at, own = self.place[row][order], at[order], own[order]
         often = np.flatnonzero(df > max(size, self.n * frequent))
         self.column = np.full(self.width, -1, np.int32)
         self.column[often] = np.arange(len(often))
-        column = self.column[self.at]
+        column = self.column[at]
+        often_in = column >= 0
+        self.begin = np.searchsorted(row[often_in], np.arange(self.n + 1))
+        self.columns, self.own = column[often_in], own[often_in]
         self.matrix = np.zeros((self.n, len(often)), np.float32)
-        self.matrix[row[column >= 0], column[column >= 0]] = self.own[column >= 0]
+        self.matrix[row[often_in], self.columns] = self.own
         self.most = np.maximum.reduceat(self.matrix, self.starts, axis=0) if self.n else self.matrix
         self.norm = np.sqrt((self.matrix ** 2).sum(axis=1))
-        rare = np.flatnonzero(column < 0)
-        rare = rare[np.argsort(self.at[rare], kind="stable")]
-        self.rows, self.weights = row[rare], self.own[rare]
+        rare = np.flatnonzero(~often_in)
+        rare = rare[np.argsort(at[rare], kind="stable")]
+        self.rows, self.weights = row[rare].astype(np.int32), own[rare]
         self.length = np.where(self.column < 0, df, 0)
         self.first = np.cumsum(self.length) - self.length
-        self.query = np.zeros(self.width)
         # no rounding of a sum of products, which is at most 1, is larger
         self.slack = 2.0 ** -22 * (len(often) + 64)
 
@@ -199,20 +218,49 @@ class BlockMaxIndex:
             texts.append((at[at < self.width], w[at < self.width]))
         if not self.n:
             return [[] for _ in texts]
-        rough, part = np.empty((len(texts), self.n), np.float32), np.zeros((len(texts), self.matrix.shape[1]), np.float32)
+        part = np.zeros((len(texts), self.matrix.shape[1]), np.float32)
         for t, (at, w) in enumerate(texts):
-            length = self.length[at]
-            inside = _ranges(self.first[at], length)
-            rough[t] = np.bincount(self.rows[inside], self.weights[inside] * np.repeat(w, length), self.n)
             column = self.column[at]
             part[t, column[column >= 0]] = w[column >= 0]
+        own = [self.place[i] if i >= 0 else -1 for i in without or [-1] * len(texts)]
+        if self.whole:
+            self.whole -= 1
+            self.settled += len(texts) * self.n
+            return [self._best(rough, self._rare(*text), *text, i, k) for rough, text, i in zip(part @ self.matrix.T, texts, own)]
+        return self._bounded(texts, part, own, k)
+
+    def _rare(self, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What every example gets from the rare words, term by term."""
+        some = np.flatnonzero(self.length[at])
+        if not len(some):
+            return np.zeros(self.n)
+        length = self.length[at[some]]
+        inside = _ranges(self.first[at[some]], length)
+        weights = self.weights.take(inside)
+        weights *= np.repeat(w[some], length)
+        return np.bincount(self.rows.take(inside), weights, self.n)
+
+    def _best(self, rough: np.ndarray, rare: np.ndarray, at: np.ndarray, w: np.ndarray, own: int, k: int) -> list[tuple[float, int]]:
+        """The k best of all examples, of which ``rough`` holds the products of the frequent words."""
+        rough += rare
+        if own >= 0:
+            rough[own] = 0.0
+        least = np.finfo(np.float32).tiny
+        if self.n > k:
+            least = max(least, np.partition(rough, self.n - k)[self.n - k] - 2 * self.slack)
+        return self._exact(found := np.flatnonzero(rough >= least), rough[found], rare[found], at, w, k)
+
+    def _bounded(self, texts: list, part: np.ndarray, own: list[int], k: int) -> list[list[tuple[float, int]]]:
+        """The k best of every text; blocks whose bounds stay below its k-th cosine are left out."""
+        rare = np.array([self._rare(at, w) for at, w in texts])
+        rough = rare.astype(np.float32)
         # the rare words are in; the frequent ones add this at most
         more = np.repeat(part @ self.most.T, self.spans, axis=1)
         np.minimum(more, np.sqrt((part * part).sum(axis=1))[:, None] * self.norm, out=more)
         more += rough
-        for t, own in enumerate(without or ()):
-            if own >= 0:
-                more[t, self.place[own]] = 0.0
+        for t, i in enumerate(own):
+            if i >= 0:
+                more[t, i] = 0.0
         floor = np.zeros(len(texts), np.float32)
         if self.n > FIRST * k:
             for t, best in enumerate(np.argpartition(more, self.n - FIRST * k, axis=1)[:, self.n - FIRST * k:]):
@@ -226,20 +274,24 @@ class BlockMaxIndex:
             who = np.flatnonzero(needed[:, j])
             if len(who):
                 rough[who, lo : lo + n] += part[who] @ self.matrix[lo : lo + n].T
-        self.settled += int((needed * self.spans).sum())
+        read = int((needed * self.spans).sum())
+        self.settled += read
+        if len(texts) >= BLOCK and read > WHOLE * len(texts) * self.n:
+            self.whole = RETRIED - 1
         possible &= rough >= least
-        return [self._exact(f := np.flatnonzero(possible[t]), rough[t, f], *texts[t], k) for t in range(len(texts))]
+        return [self._exact(f := np.flatnonzero(possible[t]), rough[t, f], rare[t, f], *texts[t], k) for t in range(len(texts))]
 
-    def _exact(self, found: np.ndarray, rough: np.ndarray, at: np.ndarray, w: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k best of the examples ``found``, of which the single-precision sums are known."""
+    def _exact(self, found: np.ndarray, rough: np.ndarray, rare: np.ndarray, at: np.ndarray, w: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The k best of the examples ``found``, of which the single-precision sums and what rare words add are known."""
         if len(found) > k:
-            found = found[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 2 * self.slack]
+            kept = rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 2 * self.slack
+            found, rare = found[kept], rare[kept]
         # added up term by term in one order
-        self.query[at] = w
+        query, column = np.zeros(self.matrix.shape[1]), self.column[at]
+        query[column[column >= 0]] = w[column >= 0]
         length = self.begin[found + 1] - self.begin[found]
         inside = _ranges(self.begin[found], length)
-        exact = np.bincount(np.repeat(np.arange(len(found)), length), self.own[inside] * self.query[self.at[inside]], len(found))
-        self.query[at] = 0.0
+        exact = rare + np.bincount(np.repeat(np.arange(len(found)), length), self.own[inside] * query[self.columns[inside]], len(found))
         names = self.example[found]
         order = np.lexsort((names, -exact))[:k]
         return [(float(exact[o]), int(names[o])) for o in order]
@@ -327,12 +379,10 @@ def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
         known, total = sent.value, 0
         seen = np.zeros(len(known.keys), np.int64)
         for batch in (p for b in batches for p in _parts(b)):
-            texts, found = batch.column("text").drop_null().to_pylist(), Counter()
+            texts = batch.column("text").drop_null().to_pylist()
             total += len(texts)
-            for text in texts:
-                found.update(set(_WORD.findall(text.lower())))
-            at = known.numbers_of(found)
-            seen[at[at >= 0]] += np.fromiter(found.values(), np.int64, len(found))[at >= 0]
+            for at, _ in known.counts_of(texts):
+                seen[at] += 1
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[total, seen[at]])], names=["term", "n"])
 

@@ -361,6 +361,34 @@ def test_blocks_below_the_threshold_are_left_out():
     assert index.settled < 0.4 * 40 * 1200
 
 
+def test_bounds_that_exclude_nothing_are_given_up():
+    r = np.random.RandomState(5)
+    vectors = []
+    for _ in range(600):
+        at = np.sort(r.choice(120, 40, replace=False))
+        w = r.rand(40) + 0.5
+        vectors.append((np.r_[at, 120 + r.randint(200)], np.r_[w, 2.0] / np.sqrt((w * w).sum() + 4)))
+    index = toxicity.BlockMaxIndex(vectors)
+    dense = np.zeros((600, 320))
+    for i, (at, w) in enumerate(vectors):
+        dense[i, at] = w
+    for turn in range(toxicity.RETRIED + 1):
+        own = range(turn * 30, turn * 30 + 30)
+        got = index.nearest_of([vectors[i] for i in own], 10, list(own))
+        # bounds once, then whole products; then bounds are tried again
+        assert index.whole == (toxicity.RETRIED - 1 - turn) % toxicity.RETRIED
+        for i, near in zip(own, got):
+            cosine = np.round(dense @ dense[i], 12)
+            cosine[i] = 0
+            assert [round(c, 12) for c, _ in near] == sorted(cosine, reverse=True)[:10]
+            assert all(cosine[k] == round(c, 12) for c, k in near)
+
+
+def test_words_are_the_letters_between_others():
+    for text in ["", None, "One two_three 4x", "\u00c4rger \u00bd\u00b2x a\u0301b na\u00efve caf\u00e9s!", "\u039f\u0394\u039f\u03a3 \u4e2d\u6587x\u0663y \ud800z\u2003w\x85v", "I\u0130i"]:
+        assert toxicity.words_of(text) == re.findall(r"[^\W\d_]+", (text or "").lower())
+
+
 def test_scores_equal_a_plain_search(spark):
     rows = [(i, sentence(i % 170, 30 + i % 9) + (" zonker muppetish" if i % 5 == 0 else ""), "s") for i in range(240)]
     rows += [(7, "Another text of the seventh " + sentence(900, 20), "s"), (8, None, "s"), (9000, "1 2 3", "s"), (9001, "", "s")]
