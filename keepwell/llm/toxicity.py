@@ -36,7 +36,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -51,11 +52,12 @@ MAX_EXAMPLES, MIN_DOCS, MIN_Z = 12_000, 5, 5.0
 #: A term of this z weighs its idf; each unit above adds one idf.
 PLAIN_Z = 2.0
 K, BLOCK, PRIOR_WEIGHT, THRESHOLD = 25, 16, 0.5, 0.3
-#: Words in more than this share of the examples are frequent; examples settled first, as a multiple of k; texts handled at a time.
-FREQUENT, FIRST, TEXTS = 1 / 20, 4, 256
+#: Words in more than this share of the examples are frequent; examples settled first, as a multiple of k; texts searched and texts counted at a time.
+FREQUENT, FIRST, TEXTS, COUNTED = 1 / 20, 4, 256, 1024
 #: Examples read, as a share, above which bounds cost more than they save; batches until they are tried again.
 WHOLE, RETRIED = 0.25, 16
 REMEMBERED = 400_000
+_UNSEEN = -2
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>, terms array<string>"
 _WORD = re.compile(r"[^\W\d_]+")
 #: Of bytes: ASCII characters but a-z become spaces.
@@ -63,10 +65,10 @@ _GAPS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
 def words_of(text: str | None) -> list[str]:
-    """The lower-cased words of a text, all matches of ``_WORD``; only pieces with other than ASCII letters are matched."""
+    """The lower-cased words of a text, all matches of ``_WORD``; only pieces with other characters than letters are matched."""
     lower = (text or "").lower()
     pieces = lower.encode("utf-8", "surrogatepass").translate(_GAPS).decode("utf-8", "surrogatepass").split()
-    if lower.isascii():
+    if lower.isascii() or "".join(pieces).isalpha():
         return pieces
     return [w for p in pieces for w in ((p,) if p.isalpha() else _WORD.findall(p))]
 
@@ -112,32 +114,40 @@ class Terms:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_known": {}, "_names": {}}
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Remember the number of every word, -1 of one that no example has."""
+    def learn(self, new: list[str]) -> np.ndarray:
+        """Remember the numbers of words, -1 of one that no example has, and give them."""
         if len(self._known) > REMEMBERED:
             self._known.clear()
-        new = [w for w in words if w not in self._known]
         keys = keys_of(new)
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        self._known.update(zip(new, np.where(found, at, -1).tolist()))
+        numbers = np.where(found, at, -1)
+        self._known.update(zip(new, numbers.tolist()))
         for i in np.flatnonzero(found & self.marked[at]).tolist() if len(self.keys) else ():
             self._names.setdefault(int(at[i]), set()).add(new[i])
+        return numbers
+
+    def numbers_of(self, words: dict[str, int]) -> np.ndarray:
+        """The numbers of different words, -1 of one that no example has."""
+        numbers = np.fromiter(map(self._known.get, words, repeat(_UNSEEN)), np.int64, len(words))
+        unseen = numbers == _UNSEEN
+        numbers[unseen] = self.learn(list(compress(words, unseen.tolist())))
+        return numbers
 
     def counts_of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(term, times) of every text, by ascending term."""
         # words are numbered among these texts first, so that each is looked up once
         own: dict[str, int] = defaultdict()
         own.default_factory = own.__len__
-        places = [np.fromiter(map(own.__getitem__, words), np.int64, len(words)) for words in map(words_of, texts)]
-        self.learn(own)
-        numbers = np.fromiter(map(self._known.__getitem__, own), np.int64, len(own))
-        out = []
-        for place in places:
-            at, times = np.unique(numbers[place], return_counts=True)
-            known = int(np.searchsorted(at, 0))
-            out.append((at[known:], times[known:]))
+        counts = [Counter(words_of(t)) for t in texts]
+        places = [np.fromiter(map(own.__getitem__, c), np.int64, len(c)) for c in counts]
+        numbers, out = self.numbers_of(own), []
+        for c, place in zip(counts, places):
+            at, times = numbers[place], np.fromiter(c.values(), np.int64, len(c))
+            order = np.argsort(at)
+            order = order[np.searchsorted(at[order], 0):]
+            out.append((at[order], times[order]))
         return out
 
     def marked_words(self, text: str | None, at: np.ndarray) -> list[str]:
@@ -169,7 +179,8 @@ class BlockMaxIndex:
 
     def __init__(self, vectors: list, size: int = BLOCK, frequent: float = FREQUENT):
         self.n, self.settled, self.whole = len(vectors), 0, 0
-        row = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
+        lengths = np.array([len(v[0]) for v in vectors], np.int64)
+        row, begin = np.repeat(np.arange(self.n), lengths), np.cumsum(lengths) - lengths
         at = np.concatenate([np.asarray(v[0], np.int64) for v in vectors] or [np.zeros(0, np.int64)])
         own = np.concatenate([np.asarray(v[1], float) for v in vectors] or [np.zeros(0)])
         self.width = int(at.max()) + 1 if len(at) else 0
@@ -177,15 +188,18 @@ class BlockMaxIndex:
         # examples of the same strongest shared term lie together
         strongest = np.full(self.n, -1)
         if len(at):
-            order = np.lexsort((np.where(df[at] > 1, own, 0.0), row))
-            last = order[np.flatnonzero(np.r_[row[1:] != row[:-1], True])]
+            shared = np.where(df[at] > 1, own, 0.0)
+            largest = np.zeros(self.n)
+            largest[lengths > 0] = np.maximum.reduceat(shared, begin[lengths > 0])
+            last = np.flatnonzero(shared == largest[row])
+            last = last[np.r_[row[last][1:] != row[last][:-1], True]]
             strongest[row[last]] = at[last]
         self.example = np.argsort(strongest, kind="stable")
         self.place = np.empty(self.n, np.int64)
         self.place[self.example] = np.arange(self.n)
         self.starts = np.arange(0, self.n, size)
         self.spans = np.diff(self.starts, append=self.n)
-        order = np.lexsort((at, self.place[row]))
+        order = _ranges(begin[self.example], lengths[self.example])
         row, at, own = self.place[row][order], at[order], own[order]
         often = np.flatnonzero(df > max(size, self.n * frequent))
         self.column = np.full(self.width, -1, np.int32)
@@ -211,7 +225,10 @@ class BlockMaxIndex:
         return self.nearest_of([(at, weights)], k, [without])[0]
 
     def nearest_of(self, vectors: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
-        """``nearest`` of several vectors, which share the reading of a block."""
+        """``nearest`` of several vectors; TEXTS of them share the reading of a block."""
+        if len(vectors) > TEXTS:
+            parts = [(vectors[i : i + TEXTS], without and without[i : i + TEXTS]) for i in range(0, len(vectors), TEXTS)]
+            return [near for v, own in parts for near in self.nearest_of(v, k, own)]
         texts = []
         for at, w in vectors:
             at, w = np.asarray(at, np.int64), np.asarray(w, float)
@@ -366,9 +383,9 @@ class Model:
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in parts that bound the vectors held at a time."""
-    for i in range(0, batch.num_rows, TEXTS):
-        yield batch.slice(i, TEXTS)
+    """A batch in parts that bound the words held at a time."""
+    for i in range(0, batch.num_rows, COUNTED):
+        yield batch.slice(i, COUNTED)
 
 
 def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
@@ -381,8 +398,11 @@ def _document_counts(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
         for batch in (p for b in batches for p in _parts(b)):
             texts = batch.column("text").drop_null().to_pylist()
             total += len(texts)
-            for at, _ in known.counts_of(texts):
-                seen[at] += 1
+            found = Counter()
+            for text in texts:
+                found.update(set(words_of(text)))
+            at = known.numbers_of(found)
+            seen[at[at >= 0]] += np.fromiter(found.values(), np.int64, len(found))[at >= 0]
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[total, seen[at]])], names=["term", "n"])
 
