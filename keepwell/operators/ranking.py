@@ -170,7 +170,7 @@ def cumulative_by_value(df: DataFrame, value: str, sums: Mapping[str, Column],
         "_slab", *[(F.col(f"_g{n}") + F.coalesce(F.sum(n).over(inside), F.lit(0))).alias(f"_{n}") for n in sums])
     within = Window.partitionBy("_slab").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slabbed.join(offsets, "_slab")
+        slabbed.join(F.broadcast(offsets), "_slab")             # a row per slab; never the values
         .select(value, *sums, *[
             (F.col(f"_{n}") + F.coalesce(F.sum(n).over(within), F.lit(0))).alias(f"{n}_below")
             for n in sums])

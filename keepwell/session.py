@@ -46,6 +46,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 ROWS_PER_TASK = 250_000
+MOST_ROWS_PER_TASK = 1_000_000
 
 
 def for_iteration(df: DataFrame, rows: int | None = None, work: int = 1) -> DataFrame:
@@ -53,9 +54,11 @@ def for_iteration(df: DataFrame, rows: int | None = None, work: int = 1) -> Data
 
     A fit runs one job per iteration, so many near-empty tasks cost more than
     the arithmetic. ``work`` is what a row costs in units of a small fit: dear rows
-    are spread over the cores as well. Partitions that do not fit in memory spill to disk.
+    are spread over the cores as well. Every task of every iteration answers to the
+    driver: more partitions than cores are made only beyond MOST_ROWS_PER_TASK.
+    Partitions that do not fit in memory spill to disk.
     """
     rows = df.count() if rows is None else rows
-    by_rows, by_work = -(-rows // ROWS_PER_TASK), -(-rows * work // ROWS_PER_TASK)
+    least, wanted = -(-rows // MOST_ROWS_PER_TASK), -(-rows * max(work, 1) // ROWS_PER_TASK)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, by_rows, min(cores, by_work))).persist()
+    return df.repartition(max(1, least, min(cores, wanted))).persist()

@@ -71,7 +71,8 @@ def customer_frame(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("o_custkey")
         .agg(F.count("*").alias("n"), F.max("o_orderdate").alias("last_order"))
     )
-    joined = table(spark, folder, "customer").join(
+    # customers grow like orders: as a broadcast they would pass whole through the driver at every reading
+    joined = table(spark, folder, "customer").hint("shuffle_hash").join(
         per_customer, F.col("c_custkey") == F.col("o_custkey"))
     hashed = joined.selectExpr(
         "*",

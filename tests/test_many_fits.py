@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from keepwell import session
 from keepwell.operators import cluster, encode, lloyd, metrics, ranking
 from keepwell.session import for_iteration
+from keepwell.sources import customers
 
 
 def point_rows(spark, n=400, samples=3, seed=0, dimensions=3):
@@ -148,3 +150,38 @@ def test_running_totals_in_two_levels(spark, monkeypatch):
         got = {r["v"]: (r["n"], r["n_below"]) for r in ranking.cumulative_by_value(df, "v", {"n": F.col("n")}, slab_values=size).collect()}
         rows = df.collect()
         assert got == {k: (sum(r.n for r in rows if r.v == k), sum(r.n for r in rows if r.v < k)) for k in set(v.tolist())}
+
+
+def test_more_partitions_than_cores_only_for_very_many_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = lambda rows: for_iteration(spark.range(10), rows).rdd.getNumPartitions()
+    assert parts(session.ROWS_PER_TASK * 3 * cores) == cores
+    assert parts(session.MOST_ROWS_PER_TASK * 3 * cores) == 3 * cores
+
+
+def test_a_step_deals_ties_to_the_smaller_number_and_leaves_out_other_samples(spark):
+    df, x, w = point_rows(spark, n=50, samples=2)
+    models = [lloyd.Model(3, 0, 1), lloyd.Model(2, 0)]
+    centres = {models[0]: np.array([x[0], x[0], x[1]]), models[1]: np.array([x[2], x[2]])}
+    got = lloyd._step(df, models, centres, 3)
+    first = ((x - x[0]) ** 2).sum(1) <= ((x - x[1]) ** 2).sum(1)
+    chosen = w[:, 1] == 1
+    assert got[0, 1:4].tolist() == [(first & chosen).sum(), 0, (~first & chosen).sum()]
+    assert got[1, 1:3].tolist() == [50, 0]
+    assert np.allclose(got[0, 0], np.minimum(((x - x[0]) ** 2).sum(1), ((x - x[1]) ** 2).sum(1))[chosen].sum())
+
+
+def test_running_totals_send_slab_totals_only(spark):
+    df = spark.createDataFrame([(float(v), 1) for v in range(40)], "v double, n long")
+    plan = ranking.cumulative_by_value(df, "v", {"n": F.col("n")}, slab_values=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+
+
+def test_customers_meet_their_orders_without_a_broadcast(spark, tmp_path):
+    spark.sql("select id as c_custkey, 'n' as c_name, cast(id % 5 as int) as c_nationkey, 10.5D as c_acctbal, 'MACHINERY' as c_mktsegment "
+              "from range(20)").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("select id as o_orderkey, id % 15 as o_custkey, 'O' as o_orderstatus, 1.0D as o_totalprice, "
+              "timestamp_ntz'2001-02-03 00:00:00' as o_orderdate, 'x' as o_orderpriority from range(60)").write.parquet(f"{tmp_path}/orders.parquet")
+    frame = customers.customer_frame(spark, str(tmp_path))
+    assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["customerID"] for r in frame.collect()) == [f"C-{i:09d}" for i in range(15)]
