@@ -140,35 +140,36 @@ def _step(rows: DataFrame, models: Sequence[Model], centres: dict[Model, np.ndar
     """Per model: cost, then count and sums of each cluster, padded to the largest k.
 
     Distances lie cluster by cluster, a row of all models each, so that the nearest
-    centre is found by whole-row minima; ties go to the smaller number.
+    centre is found by whole-row comparisons without branches; ties go to the smaller
+    number. The norm of a point is the same for all centres and is added to the least
+    distance only; points outside the sample of a model are dealt to no cluster.
     """
     groups = []
     for k in sorted({m.k for m in models}):
         own = [i for i, m in enumerate(models) if m.k == k]
         c = np.stack([centres[models[i]] for i in own], axis=1).reshape(k * len(own), dimensions)
-        groups.append((k, own, c, (c * c).sum(axis=1)[:, None], [models[i].sample for i in own]))
+        groups.append((k, own, np.column_stack([-2 * c, (c * c).sum(axis=1)]), [models[i].sample for i in own]))
     most = max(k for k, *_ in groups)
-    total = sum(len(c) for _, _, c, *_ in groups)
+    total = sum(len(c) for _, _, c, _ in groups)
 
     def values(part, x):
         out = np.zeros((len(models), 1 + most * (1 + dimensions)))
-        norm, double, ones = (x * x).sum(axis=1), (-2 * x).T, np.column_stack([np.ones(len(x)), x])
-        for k, own, c, norms, samples in groups:
-            d = c @ double
-            d += norm
-            d += norms
-            np.maximum(d, 0.0, out=d)
-            d = d.reshape(k, len(own), len(x))
-            least, near = d[0].copy(), np.zeros(d[0].shape, np.int32)
-            for j in range(1, k):
-                np.copyto(near, j, where=d[j] < least)
-                np.minimum(least, d[j], out=least)
-            for j in range(k):
-                np.equal(near, j, out=d[j])
+        norm, ones = (x * x).sum(axis=1), np.column_stack([np.ones(len(x)), x])
+        lifted = np.vstack([x.T, np.ones(len(x))])
+        for k, own, c, samples in groups:
+            d = (c @ lifted).reshape(k, len(own), len(x))
+            least = d.min(axis=0)
             w = _weights(part, samples)
+            w = None if w is None else np.ascontiguousarray(w.T)
+            dealt = np.zeros(least.shape, bool) if w is None else w == 0
+            for j in range(k):
+                mine = (d[j] == least) & ~dealt
+                dealt |= mine
+                d[j] = mine
+            least += norm
+            np.maximum(least, 0.0, out=least)
             if w is not None:
-                d *= w.T
-                least *= w.T
+                least *= w
             sums = (d.reshape(k * len(own), len(x)) @ ones).reshape(k, len(own), 1 + dimensions)
             out[own, 0] = least.sum(axis=1)
             out[own, 1:1 + k] = sums[:, :, 0].T
