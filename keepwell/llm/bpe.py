@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,12 +25,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from keepwell.llm.textblocks import WIDE_SPACE, Lookup, column_bytes, slices
+from keepwell.llm.textblocks import WIDE_SPACE, Lookup, column_bytes, gathered, give_back, slices
 
 #: Texts of about this many bytes are replayed together.
-BLOCK = 4 << 20
-#: Different units whose ids a task remembers from block to block.
-REMEMBERED = 1_000_000
+BLOCK = 2 << 20
+#: Different words of about this many bytes are replayed together.
+REPLAYED = 1 << 19
+#: Pairs that are looked up together.
+PAIRS = 1 << 16
+#: Different units whose ids a worker remembers from block to block.
+REMEMBERED = 400_000
 ENCODED = "doc_id long, ids array<int>"
 
 
@@ -61,15 +66,15 @@ class Ranks:
 
     def joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair of tokens, -1 where they don't join."""
+        if len(a) > PAIRS:
+            return np.concatenate([self.joined(a[i : i + PAIRS], b[i : i + PAIRS]) for i in range(0, len(a), PAIRS)])
         key = a << 32 | b
         at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
         return np.where(self._keys[at] == key, self._joined[at], -1)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a sequence of ids."""
-        size = self._sizes[ids]
-        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        return self._bytes[np.repeat(self._starts[ids], size) + within].tobytes()
+        return gathered(self._bytes, self._starts[ids], self._sizes[ids]).tobytes()
 
 
 @lru_cache(maxsize=4)
@@ -92,10 +97,10 @@ def _apart(at: np.ndarray, after: np.ndarray, mark: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def replay(words: list[bytes], r: Ranks) -> list[np.ndarray]:
-    """Ids of every word: all merges in rank order over all words at once."""
+def replay(words: list[bytes], r: Ranks) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, sizes) of every word, one behind the other: all merges in rank order over all words at once."""
     if not words:
-        return []
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
     sizes = np.array([len(w) for w in words], np.int64)
     ends = np.cumsum(sizes)
     token = r.byte[np.frombuffer(b"".join(words), np.uint8)]
@@ -155,8 +160,7 @@ def replay(words: list[bytes], r: Ranks) -> list[np.ndarray]:
         lead = lead[(lead >= 0) & ~mark[lead]]
         mark[at] = False
         enter(np.concatenate([at[inner], lead]))
-    ids, ends = token[live], np.cumsum(np.bincount(word[live], minlength=len(words))).tolist()
-    return [ids[a:b] for a, b in zip([0, *ends], ends)]
+    return token[live].astype(np.int32), np.bincount(word[live], minlength=len(words))
 
 
 class Encoder:
@@ -166,25 +170,38 @@ class Encoder:
         self.ranks, self.split = ranks(path), regex.compile(pattern)
         self.lookup = Lookup(self._units, REMEMBERED)
 
-    def _words(self, fresh: list[bytes]) -> list[np.ndarray]:
-        """Ids of different words: a word that is a token, else its replay."""
-        whole = [self.ranks.rank.get(w) for w in fresh]
-        made = iter(replay([w for w, k in zip(fresh, whole) if k is None], self.ranks))
-        return [np.array([k]) if k is not None else next(made) for k in whole]
-
-    def _units(self, units: list[bytes]) -> list[list[int]]:
+    def _words(self, fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of different words: a word that is a token, else its replay."""
+        whole = np.array([self.ranks.rank.get(w, -1) for w in fresh], np.int32)
+        rest = np.flatnonzero(whole < 0)
+        ends = np.cumsum([len(fresh[i]) for i in rest.tolist()])
+        cuts = [0, *np.searchsorted(ends, np.arange(REPLAYED, ends[-1], REPLAYED)).tolist(), len(rest)] if len(rest) else []
+        made = [replay([fresh[i] for i in rest[a:b].tolist()], self.ranks) for a, b in zip(cuts, cuts[1:])]
+        sizes = np.ones(len(fresh), np.int64)
+        sizes[rest] = np.concatenate([size for _, size in made]) if made else 0
+        ids = np.repeat(whole, sizes)
+        ids[np.repeat(whole < 0, sizes)] = np.concatenate([x for x, _ in made]) if made else 0
+        return ids, sizes
+
+    def _units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of units; Python objects are made of the different words only."""
         number: dict[str, int] = {}
-        parts = [[number.setdefault(w, len(number)) for w in self.split.findall(u.decode())] for u in units]
-        ids = [x.tolist() for x in self._words([w.encode() for w in number])]
-        return [ids[p[0]] if len(p) == 1 else [k for i in p for k in ids[i]] for p in parts]
+        code, ends = array("q"), array("q")
+        for u in units:
+            code.extend([number.setdefault(w, len(number)) for w in self.split.findall(u.decode())])
+            ends.append(len(code))
+        ids, sizes = self._words([w.encode() for w in number])
+        code, starts = np.array(code, np.int64), np.cumsum(sizes) - sizes
+        bounds = np.r_[0, np.cumsum(sizes[code])][np.r_[0, np.array(ends, np.int64)]]
+        return gathered(ids, starts[code], sizes[code]), np.diff(bounds)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of a column of texts."""
         raw, offsets = column_bytes(column)
         found = None if WIDE_SPACE.search(raw.tobytes()) else self.lookup.ids(raw, offsets)
         if found is None:
-            ids = self._units([t or b"" for t in column.cast(pa.binary()).to_pylist()])
-            return np.array([k for x in ids for k in x], np.int32), np.r_[0, np.cumsum([len(x) for x in ids])]
+            ids, sizes = self._units([t or b"" for t in column.cast(pa.binary()).to_pylist()])
+            return ids, np.r_[0, np.cumsum(sizes)]
         return found
 
 
@@ -202,6 +219,7 @@ def _encoded(path: str, pattern: str):
                 ids, offsets = encoder.encode(batch.column("text"))
                 lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "ids"])
+        give_back()
     return run
 
 

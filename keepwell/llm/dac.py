@@ -23,6 +23,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -144,8 +145,11 @@ class LibraryEncoder:
         self.added = [t for t in added if t]
         self.lookup = Lookup(lambda units: self._whole([u.decode() for u in units]), REMEMBERED)
 
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of texts, one behind the other."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in ids], np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         raw, offsets = column_bytes(column)
@@ -153,8 +157,8 @@ class LibraryEncoder:
         plain = not WIDE_SPACE.search(data) and not any(t in data for t in self.added)
         found = self.lookup.ids(raw, offsets) if plain else None
         if found is None:
-            ids = self._whole([t or "" for t in column.to_pylist()])
-            return np.array([i for x in ids for i in x], np.int32), np.r_[0, np.cumsum([len(x) for x in ids])]
+            ids, sizes = self._whole([t or "" for t in column.to_pylist()])
+            return ids, np.r_[0, np.cumsum(sizes)]
         return found
 
 

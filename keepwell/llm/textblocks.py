@@ -6,15 +6,18 @@ power of its first position: prefix sums give the hash of any span at once.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
+from contextlib import suppress
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+#: Elements that are gathered together.
+PIECE = CHUNK >> 2
 SPACES = b" \t\n\x0b\x0c\r"
 BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -84,6 +87,13 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterator[p
         first = last
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the machine; workers outlive their tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Words:
     """Words (runs without white space) of a block of texts.
 
@@ -171,7 +181,7 @@ class Units:
         w = 0
         while w < len(self.starts):
             low = self.starts[w]
-            last = max(w + 1, int(np.searchsorted(self.ends, low + CHUNK, "right")))
+            last = max(w + 1, int(np.searchsorted(self.ends, low + PIECE, "right")))
             piece = _BYTE[raw[low : self.ends[last - 1]]]
             self.hashes[w:last] = span_hashes(piece, self.starts[w:last] - low, self.ends[w:last] - low)
             w = last
@@ -185,7 +195,7 @@ class Units:
             return False
         w = 0
         while w < len(size):  # in pieces, as a place takes eight times its byte
-            last = max(w + 1, int(np.searchsorted(self.ends, self.starts[w] + CHUNK, "right")))
+            last = max(w + 1, int(np.searchsorted(self.ends, self.starts[w] + PIECE, "right")))
             if not np.array_equal(self.raw[self.starts[w] : self.ends[last - 1]], gathered(self.raw, self.starts[same[w:last]], size[w:last])):
                 return False
             w = last
@@ -200,14 +210,23 @@ class Units:
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """flat[s : s + n] of every pair, one behind the other."""
     ends = np.cumsum(sizes)
-    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    out = np.empty(ends[-1] if len(ends) else 0, flat.dtype)
+    w = 0
+    while w < len(ends):  # in pieces, as a place takes eight bytes
+        low = ends[w] - sizes[w]
+        last = max(w + 1, int(np.searchsorted(ends, low + PIECE, "right")))
+        begin = starts[w:last] - (ends[w:last] - sizes[w:last])
+        out[low : ends[last - 1]] = flat[np.repeat(begin, sizes[w:last]) + np.arange(low, ends[last - 1])]
+        w = last
+    return out
 
 
 class Lookup:
     """Ids of units met so far, found by hash and confirmed by their bytes.
 
-    ``encode`` gets a list of new units. When more than ``limit`` are held,
-    those met in one block only are forgotten.
+    ``encode`` gets a list of new units and returns their ids, one behind the
+    other, and how many each has. When more than ``limit`` are held, those met in
+    one block only are forgotten.
     """
 
     def __init__(self, encode, limit: int):
@@ -250,14 +269,13 @@ class Lookup:
                 gathered(self.raw, self.places[k], self.lengths[k]), gathered(raw, begin[old], length[old])):
             return None
         if len(new):
-            made = self.encode(units.bytes(units.sample[new]))
-            size = np.array([len(x) for x in made], np.int64)
+            made, size = self.encode(units.bytes(units.sample[new]))
             order = np.argsort(np.concatenate([self.keys, keys[new]]))
             join = lambda x, y: np.concatenate([x, y])[order]
             self.starts = join(self.starts, len(self.flat) + np.cumsum(size) - size)
             self.places = join(self.places, len(self.raw) + np.cumsum(length[new]) - length[new])
             self.raw = np.concatenate([self.raw, gathered(raw, begin[new], length[new])])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(made), np.int32, int(size.sum()))])
+            self.flat = np.concatenate([self.flat, made])
             self.keys, self.sizes = join(self.keys, keys[new]), join(self.sizes, size)
             self.lengths, self.met = join(self.lengths, length[new]), join(self.met, np.zeros(len(new), np.int64))
             row = self._row(keys)

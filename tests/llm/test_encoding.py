@@ -3,6 +3,7 @@ import base64
 import hashlib
 import io
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from keepwell.llm import bpe, dac, warc
+from keepwell.llm import bpe, dac, textblocks, warc
 from tests.llm.fixtures import awkward, frame  # noqa: F401
 
 RANKS, LIBRARY = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
@@ -46,6 +47,33 @@ def test_memory_of_units_is_bounded():
     assert len(own.lookup.keys) < 200
 
 
+def test_words_are_replayed_in_pieces(monkeypatch):
+    ref, t = reference(), [*texts(200), "ab" * 700, ""]
+    monkeypatch.setattr(bpe, "REPLAYED", 40)
+    monkeypatch.setattr(bpe, "PAIRS", 3)
+    monkeypatch.setattr(textblocks, "PIECE", 16)
+    ids, at = bpe.Encoder(RANKS, P.PATTERN).encode(pa.array(t))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ref.encode_ordinary(x) for x in t]
+
+
+def test_memory_of_a_block_is_bounded():
+    """One Arrow batch of 4 MB, nearly all words different: what numpy and Python hold at once."""
+    bpe.ranks(RANKS)
+    r = random.Random(7)
+    rows = [" ".join("".join(r.choices("abcdefghijklmnop", k=r.randint(3, 9))) for _ in range(1_500)) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], names=["doc_id", "text"])
+    run = bpe._digests(RANKS)(bpe._encoded(RANKS, P.PATTERN)(iter([batch])))
+    bpe.encoder_of.cache_clear()
+    tracemalloc.start()
+    try:
+        got = [x for b in run for x in b.column("decoded_sha256").to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == [hashlib.sha256(t.encode()).hexdigest() for t in rows]
+    assert peak < 200 << 20, f"{peak >> 20} MB"
+
+
 def test_round_trip_of_awkward_rows(spark, awkward):
     ref = reference()
     got = bpe.round_trip(awkward, RANKS, P.PATTERN).collect()
