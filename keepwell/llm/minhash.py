@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.llm.tables import measured, small, written
-from keepwell.llm.textblocks import Words, column_bytes, mixed, slices
+from keepwell.llm.textblocks import Words, column_bytes, give_back, mixed, slices
 
 BANDS, ROWS, BITS = 32, 4, 4
 K = BANDS * ROWS
@@ -98,6 +98,7 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Reco
                  pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()), bands,
                  *(low[b][:, h] for b in range(BITS) for h in range(K // 64))],
                 names=["doc_id", "n_shingles", "set_key", "bands", *PLANES])
+    give_back()
 
 
 def full_set(text: str | None, shingle: int) -> set:
@@ -116,6 +117,7 @@ def _confirm(shingle: int):
                 if 100 * both >= PERCENT * (len(x) + len(y) - both):
                     good.append(i)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+        give_back()
     return confirm
 
 
@@ -162,6 +164,7 @@ def _compared(shingle: int):
                                  "lacks": np.flatnonzero(~shared).tolist() if close else None,
                                  "adds": (np.setdiff1d(x, y, assume_unique=True) >> np.uint64(33)).tolist() if close else None})
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("link", pa.bool_()), ("lacks", pa.list_(pa.int32())), ("adds", pa.list_(pa.int32()))]))
+        give_back()
     return run
 
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keepwell.llm.textblocks import give_back, slices
+
 #: The patterns of marked secrets and the least lengths of their values.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -106,7 +108,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Transition counts of a task: model, before, after, n."""
     counts = np.zeros((2, CLASSES + 1, CLASSES), np.int64)
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for text in (x.as_py() for x in batch.column("text")):
             spans = marked(text or "")
             ordinary, at = [], 0
             for a, b in [*((s[0], s[2]) for s in spans), (len(text or ""), 0)]:
@@ -121,6 +123,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     before[before == SPACE] = CLASSES
                     real = after != SPACE
                     counts[model] += np.bincount(before[real] * CLASSES + after[real], minlength=counts[model].size).reshape(counts[model].shape)
+    give_back()
     m, x, y = np.nonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(x), pa.array(y), pa.array(counts[m, x, y])], names=["m", "x", "y", "n"])
 
@@ -166,9 +169,11 @@ def _found(ratio: Ratio):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [[{"kind": k, "start": a, "end": b} for a, k, b in spans_of(t.as_py(), ratio)] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, kind)], names=["doc_id", "found"])
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                got = [[{"kind": k, "start": a, "end": b} for a, k, b in spans_of(t.as_py(), ratio)] for t in batch.column("text")]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, kind)], names=["doc_id", "found"])
+        give_back()
     return run
 
 
@@ -177,15 +182,19 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_found(train(docs)), "doc_id long, found array<struct<kind:string,start:int,end:int>>")
 
 
+def _masked(ratio: Ratio):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                texts = [t if t is None else masked(t, spans_of(t, ratio)) for t in (x.as_py() for x in batch.column("text"))]
+                new = {"text": pa.array(texts, batch.schema.field("text").type)}
+                if "n_chars" in batch.schema.names:
+                    new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(batch.schema.field("n_chars").type)
+                yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
+        give_back()
+    return run
+
+
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """The documents with every secret replaced by a mark; the columns of the input."""
-    ratio = train(docs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t if t is None else masked(t, spans_of(t, ratio)) for t in (x.as_py() for x in batch.column("text"))]
-            new = {"text": pa.array(texts, batch.schema.field("text").type)}
-            if "n_chars" in batch.schema.names:
-                new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(_masked(train(docs)), docs.schema)

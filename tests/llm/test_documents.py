@@ -196,6 +196,19 @@ def marked(text):
     return [(a, k, b) for a, _, k, b in sorted(found)]
 
 
+def test_a_large_batch_is_scanned_in_parts():
+    ratio = secrets.Ratio(*np.ones((2, secrets.CLASSES + 1, secrets.CLASSES)))
+    texts = [None, "", *[f"password=abcdef{i} " + "word " * 100_000 for i in range(6)], None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array([0] * len(texts))], names=["doc_id", "text", "n_chars"])
+    for made in (secrets._found(ratio), secrets._masked(ratio)):
+        parts = list(made(iter([batch])))
+        assert max(p.num_rows for p in parts) < 6
+        assert [i for p in parts for i in p.column("doc_id").to_pylist()] == list(range(len(texts)))
+    want = [t and secrets.masked(t, secrets.spans_of(t, ratio)) for t in texts]
+    assert [t for p in parts for t in p.column("text").to_pylist()] == want and "abcdef" not in want[2]
+    assert [n for p in parts for n in p.column("n_chars").to_pylist()] == [None if t is None else len(t) for t in want]
+
+
 def test_marked_secrets():
     import random
 
